@@ -12,7 +12,8 @@ def parse_date(text: Column, fmt: str = "yyyy-MM-dd") -> Column:
 
 def iso_year_week(date: Column) -> Column:
     """ISO label such as ``2022-W52`` (ISO year, so 2023-01-01 is 2022-W52)."""
-    return F.format_string("%d-W%02d", F.extract(F.lit("YEAROFWEEK"), date), F.weekofyear(date))
+    week = F.lpad(F.weekofyear(date).cast("string"), 2, "0")
+    return F.concat(F.extract(F.lit("YEAROFWEEK"), date).cast("string"), F.lit("-W"), week)
 
 
 def iso_week_start(date: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,44 +14,57 @@ from depotline.session import store
 from depotline.sources import bridge, catalog, readers
 
 
-@dataclass
 class Network:
     """Cleaned inputs and what is derived from them.
 
-    Methods return plans; ``stored_*`` properties write their table once and
-    read it back, so that the branches built on it share a single pass.
+    Inputs are built on first use. Methods return plans; ``stored_*`` properties
+    write their table once and read it back, so that the branches built on it
+    share a single pass.
     """
 
-    demand: DataFrame
-    calendar: DataFrame
-    skus: DataFrame
-    warehouses: DataFrame
-    lanes: DataFrame
-    stock: DataFrame
+    def __init__(self, load: Callable[[str], DataFrame]) -> None:
+        """``load`` maps a catalog name to its cleaned table."""
+        self._load = load
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, root: str, fmt: str = "parquet") -> Network:
-        required = {name: entry.contract.fieldNames() for name, entry in catalog.DATASETS.items()}
-        tables = readers.load_tables(spark, root, required, fmt)
-        return cls(
-            tables["daily_demand"],
-            tables["event_calendar"],
-            tables["sku_master"],
-            tables["warehouses"],
-            tables["warehouse_region_costs"],
-            tables["starting_inventory"],
-        )
+        return cls(lambda name: readers.load_tables(spark, root, {name: catalog.dataset(name).contract.names}, fmt)[name])
 
     @classmethod
     def from_benchmark(cls, spark: SparkSession, sf_dir: str) -> Network:
-        return cls(
-            bridge.daily_demand(spark, sf_dir),
-            bridge.event_calendar(spark, sf_dir),
-            bridge.sku_master(spark, sf_dir),
-            bridge.warehouses(spark, sf_dir),
-            bridge.lanes(spark, sf_dir),
-            bridge.starting_inventory(spark, sf_dir),
-        )
+        views = {
+            "daily_demand": bridge.daily_demand,
+            "event_calendar": bridge.event_calendar,
+            "sku_master": bridge.sku_master,
+            "warehouses": bridge.warehouses,
+            "warehouse_region_costs": bridge.lanes,
+            "starting_inventory": bridge.starting_inventory,
+        }
+        return cls(lambda name: views[name](spark, sf_dir))
+
+    @cached_property
+    def demand(self) -> DataFrame:
+        return self._load("daily_demand")
+
+    @cached_property
+    def calendar(self) -> DataFrame:
+        return self._load("event_calendar")
+
+    @cached_property
+    def skus(self) -> DataFrame:
+        return self._load("sku_master")
+
+    @cached_property
+    def warehouses(self) -> DataFrame:
+        return self._load("warehouses")
+
+    @cached_property
+    def lanes(self) -> DataFrame:
+        return self._load("warehouse_region_costs")
+
+    @cached_property
+    def stock(self) -> DataFrame:
+        return self._load("starting_inventory")
 
     # --- demand ---------------------------------------------------------------
     def demand_with_category(self) -> DataFrame:

@@ -27,12 +27,31 @@ SHORT_IDS = {f"WH-{r[:2].upper()}": f"WH-{r.upper().replace(' ', '-')}" for r in
 SERVICE_LEVELS = {"PROMO": 0.98, "ECONOMY": 0.95, "MEDIUM": 0.95, "LARGE": 0.92, "SMALL": 0.92, "STANDARD": 0.90}
 
 
+# Schemas of the benchmark tables in use; naming them spares a job per read.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(join(sf_dir, f"{name}.parquet"))
+    return spark.read.schema(SCHEMAS[name]).parquet(join(sf_dir, f"{name}.parquet"))
 
 
 def _sku(key: str):
-    return F.format_string("SKU-%06d", F.col(key))
+    """``SKU-`` and at least six digits; longer keys keep all of theirs."""
+    digits = F.col(key).cast("string")
+    return F.concat(F.lit("SKU-"), F.lpad(digits, F.greatest(F.lit(6), F.length(digits)), F.lit("0")))
 
 
 def _warehouse(region: str):
@@ -60,7 +79,9 @@ def demand_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", F.to_date("l_shipdate").alias("date")
     )
-    return lines.join(_order_region(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey")).select(
+    # Lines and orders both grow with the data: shuffle and merge, never broadcast.
+    regions_of_orders = _order_region(spark, sf_dir).hint("merge")
+    return lines.join(regions_of_orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "l_orderkey",
         "date",
         _sku("l_partkey").alias("sku_id"),

@@ -144,7 +144,8 @@ FRAGMENTS: dict[str, str] = {
                max(holiday_peak_flag) AS holiday_peak_flag, max(prime_event_flag) AS prime_event_flag,
                max(marketing_push_flag) AS marketing_push_flag,
                avg(weather_disruption_index) AS weather_disruption,
-               min(year) AS year, min(month) AS month, min(quarter) AS quarter, min(week_number) AS week_number,
+               year(min(date)) AS year, month(min(date)) AS month, quarter(min(date)) AS quarter,
+               min(week_number) AS week_number,
                CAST(date_trunc('week', min(date)) AS DATE) AS week_start
         FROM demand_cat GROUP BY year_week, region, category""",
     "residuals": """
