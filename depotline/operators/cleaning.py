@@ -81,8 +81,8 @@ def cap_outliers(
 ) -> DataFrame:
     """Clip the upper tail at a percentile of the column.
 
-    The cap is a scalar subquery over a value histogram, so the table itself is
-    not shuffled. ``approximate`` swaps in a bounded-size sketch.
+    The cap is a scalar subquery over a stored histogram of values, so the table
+    itself is not shuffled. ``approximate`` swaps in a bounded-size sketch.
     """
     if approximate:
         cap = df.agg(F.percentile_approx(F.col(column).cast("double"), percentile / 100, 100000))

@@ -7,14 +7,15 @@ whose order agrees with the order of the values. Cell totals (a bounded table:
 running total is then computed inside the cells, in parallel.
 
 Callers aggregate to one row per value first, so that ties cannot fill a cell,
-and pass only the columns they need: both branches below then read the same
-shuffle, and Spark computes the input once.
+and store that table: the steps below read it more than once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from depotline.session import store
+
 _CELLS_PER_OCTAVE = 256
 # Larger than any |floor(256 * log2(x))| of a double, so cells keep their sign.
 _ORIGIN = 300_000
@@ -56,24 +57,26 @@ def running_totals(
 
 
 def value_counts_running(df: DataFrame, column: str) -> DataFrame:
-    """One row per distinct non-null value: ``value, n, upto`` (rows at or below it)."""
+    """One row per distinct non-null value: ``value, n, upto`` (rows at or below it).
+
+    The counts per value are stored, so the input is read exactly once.
+    """
     counts = (
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("double").alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return running_totals(counts, "value", {"upto": "n"})
+    return running_totals(store(counts, "value_counts"), "value", {"upto": "n"})
 
 
-def pick_percentiles(counted: DataFrame, percentages: list[float], n: str = "n", upto: str = "upto") -> list[Column]:
-    """Aggregates giving linear-interpolated percentiles from a running count table.
+def pick_percentiles(shares: list[float], rows: Column, upto: str = "upto") -> list[Column]:
+    """Aggregates giving linearly interpolated percentiles from a running count table.
 
     The value at zero-based position k is the smallest one with more than k rows
-    at or below it. Positions depend on the total, so it is read off ``counted``.
+    at or below it. ``rows`` is the total row count.
     """
-    rows = counted.agg(F.sum(n)).scalar()
     picks = []
-    for share in percentages:
+    for share in shares:
         position = (rows - 1) * F.lit(share)
         low = F.min(F.when(F.col(upto) > F.floor(position), F.col("value")))
         high = F.min(F.when(F.col(upto) > F.ceil(position), F.col("value")))
@@ -88,5 +91,5 @@ def exact_percentiles(df: DataFrame, column: str, names: dict[str, float]) -> Da
     this spreads them over the cluster and returns the same number.
     """
     counted = value_counts_running(df, column)
-    picks = pick_percentiles(counted, list(names.values()))
+    picks = pick_percentiles(list(names.values()), counted.agg(F.max("upto")).scalar())
     return counted.agg(*[pick.alias(name) for name, pick in zip(names, picks)])

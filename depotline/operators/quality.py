@@ -155,7 +155,7 @@ def schema_report(df: DataFrame, contract: T.StructType) -> DataFrame:
         else:
             status = "OK" if have == need else "TYPE"
         rows.append((name, need, have, status))
-    return df.sparkSession.createDataFrame(rows, "column string, expected string, actual string, status string")
+    return df.sparkSession.createDataFrame(rows, "column_name string, expected string, actual string, status string")
 
 
 def schema_matches(df: DataFrame, contract: T.StructType) -> bool:
@@ -217,7 +217,7 @@ def region_consistency(tables: dict[str, DataFrame], canonical: list[str]) -> Da
         for column in (c for c in df.columns if "region" in c.lower()):
             found.append(
                 df.where(F.col(column).isNotNull())
-                .select(F.lit(name).alias("table"), F.lit(column).alias("column"), F.col(column).alias("value"))
+                .select(F.lit(name).alias("table_name"), F.lit(column).alias("column_name"), F.col(column).alias("value"))
                 .distinct()
             )
     return reduce(DataFrame.unionByName, found).withColumn("canonical", F.col("value").isin(canonical))
@@ -280,7 +280,7 @@ def profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     if approximate:
         packed = [
             F.struct(
-                F.lit(c).alias("column"),
+                F.lit(c).alias("column_name"),
                 F.lit(kind).alias("type"),
                 F.count(F.lit(1)).alias("rows"),
                 F.count_if(F.col(c).isNull()).alias("nulls"),
@@ -291,14 +291,14 @@ def profile(df: DataFrame, approximate: bool = False) -> DataFrame:
         counted = df.agg(F.array(*packed).alias("p")).select(F.inline("p"))
     else:
         entries = [
-            F.struct(F.lit(c).alias("column"), F.lit(kind).alias("type"), F.col(c).cast("string").alias("value"))
+            F.struct(F.lit(c).alias("column_name"), F.lit(kind).alias("type"), F.col(c).cast("string").alias("value"))
             for c, kind in types.items()
         ]
         values = (
             df.select(F.inline(F.array(*entries)))
-            .groupBy("column", "type", "value").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("column_name", "type", "value").agg(F.count(F.lit(1)).alias("n"))
         )
-        counted = values.groupBy("column", "type").agg(
+        counted = values.groupBy("column_name", "type").agg(
             F.sum("n").alias("rows"),
             F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
             F.count(F.lit(1)).alias("distinct_values"),

@@ -13,6 +13,7 @@ from depotline.functions.normal import normal_upper_tail
 from depotline.functions.numeric import guarded_corr, ratio
 from depotline.operators.prefix import pick_percentiles, running_totals, value_counts_running
 from depotline.operators.weekly import SEGMENT
+from depotline.session import store
 
 
 def _median(count: str, upto: str, rows):
@@ -33,6 +34,7 @@ def mann_whitney(df: DataFrame, flag: str, target: str = "total_units") -> DataF
     counts = df.where(F.col(target).isNotNull() & F.col(flag).isin(0, 1)).groupBy(
         F.col(target).cast("double").alias("value")
     ).agg(F.count_if(on).alias("n1"), F.count_if(~on).alias("n0"))
+    counts = store(counts, "value_counts")
     ranked = running_totals(counts, "value", {"upto1": "n1", "upto0": "n0"})
     sizes = counts.agg(F.struct(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))).scalar()
 
@@ -89,7 +91,7 @@ def interval_coverage(residuals: DataFrame, low: float = 0.1, high: float = 0.9,
     Limits and coverage come from the same table of counts per distinct value.
     """
     counted = value_counts_running(residuals, column)
-    p_low, p_high = pick_percentiles(counted, [low, high])
+    p_low, p_high = pick_percentiles([low, high], counted.agg(F.max("upto")).scalar())
     bounds = counted.agg(F.struct(p_low.alias("p_low"), p_high.alias("p_high"))).scalar()
     inside = F.col("value").between(F.col("_b.p_low"), F.col("_b.p_high"))
     return counted.withColumn("_b", bounds).agg(

@@ -1,6 +1,6 @@
 """Importing this module registers every workload query."""
 
-from depotline.workload import scans_sinks  # noqa: F401
+from depotline.workload import columns, quality, scans_sinks  # noqa: F401
 from depotline.workload.registry import QUERIES
 
 __all__ = ["QUERIES"]

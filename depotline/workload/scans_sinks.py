@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from posixpath import join
 from uuid import uuid4
 
@@ -22,6 +23,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return join(checkpoint_dir(spark), "workload", f"{name}-{uuid4().hex}")
 
 
+def counts_by_name(tables: dict[str, DataFrame], label: str) -> DataFrame:
+    """One row per table with its row count."""
+    counted = [df.agg(F.lit(name).alias(label), F.count(F.lit(1)).alias("rows")) for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query(
     "s01_raw_text_scan",
     "region rows:l text_units:s blank_flags:l",
@@ -73,8 +80,9 @@ def date_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "s04_checked_load",
-    "name columns:l",
-    "SELECT * FROM (VALUES ('daily_demand', 16), ('event_calendar', 12), ('sku_master', 11), ('warehouses', 4)) t(name, columns)",
+    "name rows:l",
+    """SELECT 'daily_demand' AS name, count(*) AS rows FROM demand UNION ALL SELECT 'event_calendar', count(*) FROM calendar
+       UNION ALL SELECT 'sku_master', count(*) FROM skus UNION ALL SELECT 'warehouses', count(*) FROM sites""",
 )
 def checked_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four tables, each refused unless it has the columns its users need."""
@@ -84,11 +92,9 @@ def checked_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sku_master": bridge.sku_master(spark, sf_dir),
         "warehouses": bridge.warehouses(spark, sf_dir),
     }
-    rows = []
-    for name, df in tables.items():
-        needed = catalog.dataset(name).contract.fieldNames()
-        rows.append((name, len(readers.require_columns(df, needed, name).select(*needed).columns)))
-    return spark.createDataFrame(rows, "name string, columns int")
+    return counts_by_name(
+        {n: readers.require_columns(df, catalog.dataset(n).contract.names, n) for n, df in tables.items()}, "name"
+    )
 
 
 @query(
@@ -102,8 +108,7 @@ def optional_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_processed(bridge.warehouses(spark, sf_dir), "warehouses", root)
     present = readers.read_optional(spark, catalog.path_of(root, "warehouses", "processed"), schema)
     absent = readers.read_optional(spark, catalog.path_of(root, "sku_master", "processed"), schema)
-    counted = [df.agg(F.lit(n).alias("source"), F.count(F.lit(1)).alias("rows")) for n, df in (("present", present), ("absent", absent))]
-    return counted[0].unionByName(counted[1])
+    return counts_by_name({"present": present, "absent": absent}, "source")
 
 
 @query(
@@ -247,14 +252,7 @@ def mart_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five marts from one stored weekly table, written and counted from the files."""
     root = scratch(spark, "s12")
     paths = sinks.write_marts(Network.from_benchmark(spark, sf_dir).marts(), root)
-    counts = [
-        spark.read.parquet(path).agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("rows"))
-        for name, path in paths.items()
-    ]
-    result = counts[0]
-    for part in counts[1:]:
-        result = result.unionByName(part)
-    return result
+    return counts_by_name({name: spark.read.parquet(path) for name, path in paths.items()}, "mart")
 
 
 @query(
