@@ -86,38 +86,6 @@ def top_k(
     )
 
 
-def approximate_top_k(
-    index: DataFrame,
-    queries: DataFrame,
-    max_distance: float,
-    k: int = S.RETRIEVAL_TOP_K,
-    item_id: str = "vec_id",
-    query_id: str = "query_id",
-    vector: str = "embedding",
-    seed: int = S.BOOSTING_SEED,
-) -> DataFrame:
-    """LSH variant for query sets as large as the index: candidates within a distance.
-
-    On unit vectors, squared distance is 2 - 2 x cosine. Recall is below one by
-    design; ``top_k`` is the exact operator.
-    """
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    left = queries.select(query_id, array_to_vector(F.col(vector)).alias("features"))
-    right = index.select(item_id, array_to_vector(F.col(vector)).alias("features"))
-    hashing = BucketedRandomProjectionLSH(
-        inputCol="features", outputCol="hashes", bucketLength=max(max_distance, 0.1), numHashTables=4, seed=seed
-    ).fit(right)
-    near = hashing.approxSimilarityJoin(left, right, max_distance, "distance").select(
-        F.col(f"datasetA.{query_id}").alias(query_id),
-        F.col(f"datasetB.{item_id}").alias(item_id),
-        (F.lit(1.0) - F.col("distance") * F.col("distance") / 2).alias("score"),
-    )
-    order = Window.partitionBy(query_id).orderBy(F.col("score").desc(), item_id)
-    return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-
-
 def group_centroids(df: DataFrame, group: str = "label", vector: str = "embedding") -> DataFrame:
     """Mean vector per group: exploded by position so that partial sums combine early."""
     positions = df.select(group, F.posexplode(vector).alias("pos", "x"))

@@ -132,33 +132,31 @@ def autocorrelation(series: DataFrame, keys: list[str], index: str, value: str,
     )
 
 
-def _durbin_levinson(acf: np.ndarray) -> np.ndarray:
-    """Partial autocorrelations from autocorrelations (index 0 is lag 0)."""
-    partial = np.full(len(acf), np.nan)
-    partial[0] = 1.0
-    phi = np.zeros(0)
-    error = 1.0
-    for k in range(1, len(acf)):
-        if error <= 1e-12:
-            break
-        step = (acf[k] - phi @ acf[k - 1:0:-1]) / error if k > 1 else acf[1]
-        phi = np.append(phi - step * phi[::-1], step)
-        error *= 1.0 - step * step
-        partial[k] = step
-    return partial
-
-
 def partial_autocorrelation(acf: DataFrame, keys: list[str]) -> DataFrame:
-    """PACF from ACF rows. One small group (max_lag + 1 rows) per series."""
+    """PACF from ACF rows by the Durbin-Levinson recursion.
+
+    One small group (max_lag + 1 rows) per series. The function sent to the
+    workers is self-contained, so they need no copy of this package.
+    """
     group = keys or ["_all"]
     rows = acf if keys else acf.withColumn("_all", F.lit(0))
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*group).schema])
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         ordered = pdf.sort_values("lag")
-        out = ordered[[*group, "lag"]].copy()
-        out["pacf"] = _durbin_levinson(ordered["acf"].to_numpy(dtype=float))
-        return out
+        rho = ordered["acf"].to_numpy(dtype=float)
+        partial = np.full(len(rho), np.nan)
+        partial[0] = 1.0
+        weights, error = np.zeros(0), 1.0
+        for k in range(1, len(rho)):
+            if error <= 1e-12:
+                break
+            # weights[j] applies to lag j + 1; pair it with rho at k - 1 - j.
+            step = (rho[k] - weights @ rho[1:k][::-1]) / error
+            weights = np.append(weights - step * weights[::-1], step)
+            error *= 1.0 - step * step
+            partial[k] = step
+        return ordered[[*group, "lag"]].assign(pacf=partial)
 
     result = rows.select(*group, "lag", "acf").groupBy(*group).applyInPandas(solve, f"{schema}, lag int, pacf double")
     return result if keys else result.drop("_all")

@@ -39,7 +39,7 @@ def collapsed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "a02_weekly_grain",
-    "year_week region category total_units:2 avg_price_usd:6 holiday_peak_flag:i prime_event_flag:i marketing_push_flag:i "
+    "year_week region category total_units:2 avg_price_usd:4t holiday_peak_flag:i prime_event_flag:i marketing_push_flag:i "
     "weather_disruption:6 year:i month:i quarter:i week_number:i week_start:d",
     "SELECT * FROM weekly",
 )

@@ -1,8 +1,12 @@
 """Registration of workload queries and their checks.
 
 A query names its output columns once, in a small spec that both sides share:
-``name`` as is, ``name:4`` rounded to four digits, ``name:i`` int, ``name:l``
-bigint, ``name:d`` date, ``name:s`` string, ``name:b`` boolean.
+``name`` as is, ``name:4`` rounded to four digits, ``name:4t`` the same after a
+shift by a fifth of the last digit, ``name:i`` int, ``name:l`` bigint, ``name:d``
+date, ``name:s`` string, ``name:b`` boolean.
+
+The shifted form is for averages of few prices: their exact value often lies on
+a rounding boundary, where the order of summation would decide.
 """
 
 from __future__ import annotations
@@ -34,12 +38,21 @@ def _fields(spec: str) -> list[tuple[str, str]]:
     return [tuple((item + ":").split(":")[:2]) for item in spec.split()]
 
 
+def _digits(kind: str) -> tuple[int, float] | None:
+    """Digits to round to and the shift to add first, if ``kind`` asks for rounding."""
+    if not kind[:1].isdigit():
+        return None
+    digits = int(kind.rstrip("t"))
+    return digits, 2.0 * 10.0 ** -(digits + 1) if kind.endswith("t") else 0.0
+
+
 def spark_columns(spec: str) -> list[Column]:
     columns = []
     for name, kind in _fields(spec):
         column = F.col(name)
-        if kind.isdigit():
-            column = F.round(column.cast("double"), int(kind))
+        if rounding := _digits(kind):
+            digits, shift = rounding
+            column = F.round(column.cast("double") + shift if shift else column.cast("double"), digits)
         elif kind:
             column = column.cast(_SPARK_TYPES[kind])
         columns.append(column.alias(name))
@@ -50,9 +63,10 @@ def sql_columns(spec: str) -> str:
     parts = []
     for name, kind in _fields(spec):
         text = name
-        if kind.isdigit():
+        if rounding := _digits(kind):
+            digits, shift = rounding
             # Adding zero turns a rounded -0.0 into 0.0.
-            text = f"ROUND(CAST({name} AS DOUBLE), {kind}) + 0.0"
+            text = f"ROUND(CAST({name} AS DOUBLE) + {shift:.{digits + 1}f}, {digits}) + 0.0"
         elif kind:
             text = f"CAST({name} AS {_SQL_TYPES[kind]})"
         parts.append(f"{text} AS {name}")
