@@ -103,9 +103,13 @@ def _assert_all(columns: list[str]) -> Callable[[DataFrame], DataFrame]:
 
 
 def clean_warehouses(raw: DataFrame, audit: StepAudit | None = None, network: list[tuple] | None = None) -> DataFrame:
-    """The raw feed repeats the same sites many times; the network definition replaces it."""
+    """The raw feed repeats the same sites many times; the network definition replaces it.
+
+    The result does not read the feed, so its rows are counted separately.
+    """
+    if audit is not None:
+        audit.record("load_raw", raw.count(), **_note("raw text load"))
     steps = [
-        ("load_raw", None, _note("raw text load")),
         ("canonical_network", lambda d: C.canonical_warehouses(d.sparkSession, network),
          _note("sites repeat", "replaced by the network definition", "the definition is the truth")),
     ]

@@ -35,12 +35,20 @@ class _Step:
     action: str
     assumption: str
     status: str
-    observation: Observation
+    counted: Observation | int
+
+    @property
+    def rows(self) -> int:
+        return self.counted if isinstance(self.counted, int) else int(self.counted.get["rows"])
 
 
 @dataclass
 class StepAudit:
-    """Collects one entry per step; read the log only after the action ran."""
+    """Collects one entry per step.
+
+    ``log`` waits for the observed counts, so call it after the action that
+    writes the result, and only for steps which that action runs through.
+    """
 
     dataset: str
     steps: list[_Step] = field(default_factory=list)
@@ -61,6 +69,10 @@ class StepAudit:
         self.steps.append(_Step(name, issue, action, assumption, status, observation))
         return result.observe(observation, F.count(F.lit(1)).alias("rows"))
 
+    def record(self, name: str, rows: int, issue: str = "", action: str = "", assumption: str = "", status: str = "PASS") -> None:
+        """Enter a count taken elsewhere, for an input that the final plan does not read."""
+        self.steps.append(_Step(name, issue, action, assumption, status, rows))
+
     def warn(self, df: DataFrame, name: str, **notes: str) -> DataFrame:
         return self.step(df, name, status="WARN", **notes)
 
@@ -72,7 +84,7 @@ class StepAudit:
         now = datetime.now(timezone.utc)
         rows, before = [], 0
         for entry in self.steps:
-            after = int(entry.observation.get["rows"])
+            after = entry.rows
             rows.append(
                 (self.dataset, entry.name, before, after, before - after,
                  entry.issue, entry.action, entry.assumption, entry.status, now)
