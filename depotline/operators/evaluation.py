@@ -114,7 +114,7 @@ def last_value_forecast(marked: DataFrame, by: list[str] | None = None, target:
 def persistence_residuals(weekly: DataFrame, target: str = TARGET) -> DataFrame:
     """One-step persistence over history: actual, prediction (previous row) and residual."""
     previous = F.lag(target).over(segment_window())
-    rows = weekly.select("week_start", "year_week", *SEGMENT, F.col(target), previous.alias("predicted_units"))
+    rows = weekly.select("week_start", *SEGMENT, F.col(target), previous.alias("predicted_units"))
     return rows.where(F.col("predicted_units").isNotNull()).withColumn(
         "residual", F.col(target) - F.col("predicted_units")
     )
