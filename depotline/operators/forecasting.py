@@ -14,6 +14,7 @@ from depotline import settings as S
 from depotline.functions.numeric import intercept, slope
 from depotline.operators.evaluation import TARGET, metrics
 from depotline.operators.weekly import SEGMENT
+from depotline.session import store
 
 # Features that can be formed for a week that has not happened yet.
 FORWARD_FEATURES = [
@@ -103,8 +104,9 @@ def cross_validate(folded: DataFrame, pipeline: Pipeline, features: list[str], f
     """Fit once per fold, predict its validation rows, return metrics per fold.
 
     The loop is over folds (a handful); every fit and prediction is distributed.
+    The folded rows are stored, so the input is expanded once.
     """
-    rows = complete_rows(folded, features).persist()
+    rows = store(complete_rows(folded, features).select("fold", "is_train", TARGET, *features), "folds")
     scored = []
     for fold in range(1, folds + 1):
         part = rows.where(F.col("fold") == fold)

@@ -88,7 +88,7 @@ def cover_summary(cover: DataFrame) -> DataFrame:
     return cover.agg(
         F.min("days_of_cover").alias("min_cover"),
         F.max("days_of_cover").alias("max_cover"),
-        F.round(F.avg("days_of_cover"), 1).alias("mean_cover"),
+        F.avg("days_of_cover").alias("mean_cover"),
         F.count_if(zone == "at_risk").alias("at_risk"),
         F.count_if(zone == "watch").alias("watch"),
         F.count_if(zone == "healthy").alias("healthy"),

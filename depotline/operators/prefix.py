@@ -59,14 +59,15 @@ def running_totals(
 def value_counts_running(df: DataFrame, column: str) -> DataFrame:
     """One row per distinct non-null value: ``value, n, upto`` (rows at or below it).
 
-    The counts per value are stored, so the input is read exactly once.
+    Counts and running counts are stored: the input is read exactly once, and
+    callers may use the result several times.
     """
     counts = (
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("double").alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return running_totals(store(counts, "value_counts"), "value", {"upto": "n"})
+    return store(running_totals(store(counts, "value_counts"), "value", {"upto": "n"}), "running_counts")
 
 
 def pick_percentiles(shares: list[float], rows: Column, upto: str = "upto") -> list[Column]:

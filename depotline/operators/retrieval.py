@@ -12,7 +12,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from depotline import settings as S
 from depotline.functions.vectors import unit_vector
 
-QUERY_BATCH = 1024
+# Largest query matrix sent to the workers at once, in numbers (64 MB of doubles).
+BATCH_NUMBERS = 8 << 20
+# Queries scored together inside a task; bounds the score block of one Arrow batch.
+_SCORED_TOGETHER = 256
 
 
 def build_index(df: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -26,7 +29,7 @@ def _batches(queries: DataFrame, query_id: str, vector: str) -> Iterator[tuple[l
     for row in queries.select(query_id, vector).toLocalIterator():
         ids.append(row[0])
         vectors.append(row[1])
-        if len(ids) == QUERY_BATCH:
+        if len(ids) * len(row[1]) >= BATCH_NUMBERS:
             yield ids, np.asarray(vectors, dtype=np.float64)
             ids, vectors = [], []
     if ids:
@@ -43,35 +46,40 @@ def top_k(
 ) -> DataFrame:
     """The ``k`` most similar items per query: exact, ties by item id.
 
-    Every task scores its share of the index against a batch of queries with one
-    matrix product and keeps only its ``k`` best items per query, so what is
+    Every task scores its share of the index against a batch of queries with
+    matrix products and keeps only its ``k`` best items per query, so what is
     shuffled is at most k x queries rows per task and no pair table is formed.
-    Both sides must hold unit vectors. More queries than one batch run as
+    Both sides must hold unit vectors. Queries beyond one batch (64 MB) run as
     further passes over the index.
     """
     id_type = index.schema[item_id].dataType.simpleString()
     query_type = queries.schema[query_id].dataType.simpleString()
     schema = f"{query_id} {query_type}, {item_id} {id_type}, score double"
+    together = _SCORED_TOGETHER
 
     def search(ids: list, matrix: np.ndarray) -> DataFrame:
-        def local_best(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            best: pd.DataFrame | None = None
-            for pdf in parts:
+        parts = [(ids[i : i + together], matrix[i : i + together]) for i in range(0, len(ids), together)]
+
+        def local_best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best: list = [None] * len(parts)
+            for pdf in batches:
                 if pdf.empty:
                     continue
-                # Twelve digits: summation order must not decide between equal vectors.
-                scores = np.round(np.vstack(pdf[vector].to_numpy()).astype(np.float64) @ matrix.T, 12)
-                block = pd.DataFrame(
-                    {
-                        query_id: np.repeat(np.asarray(ids, dtype=object), len(pdf)),
-                        item_id: np.tile(pdf[item_id].to_numpy(), len(ids)),
-                        "score": scores.T.ravel(),
-                    }
-                )
-                merged = block if best is None else pd.concat([best, block])
-                best = merged.sort_values(["score", item_id], ascending=[False, True]).groupby(query_id).head(k)
-            if best is not None:
-                yield best
+                items, vectors = pdf[item_id].to_numpy(), np.vstack(pdf[vector].to_numpy()).astype(np.float64)
+                for p, (names, rows) in enumerate(parts):
+                    # Twelve digits: summation order must not decide between equal vectors.
+                    scores = np.round(vectors @ rows.T, 12)
+                    block = pd.DataFrame(
+                        {
+                            query_id: np.repeat(np.asarray(names, dtype=object), len(items)),
+                            item_id: np.tile(items, len(names)),
+                            "score": scores.T.ravel(),
+                        }
+                    )
+                    merged = block if best[p] is None else pd.concat([best[p], block])
+                    ordered = merged.sort_values(["score", item_id], ascending=[False, True])
+                    best[p] = ordered.groupby(query_id).head(k)
+            yield from (found for found in best if found is not None)
 
         return index.select(item_id, vector).mapInPandas(local_best, schema)
 

@@ -118,9 +118,13 @@ class Network:
     def requirements(self) -> DataFrame:
         return P.segment_requirements(self.forecast(), self.safety_stock())
 
+    @cached_property
+    def stored_options(self) -> DataFrame:
+        """Segments x lanes of their region on disk; allocation reads them twice."""
+        return store(P.lane_options(self.requirements(), self.lanes, self.terms()), "options")
+
     def plan(self, scenarios: list[tuple] | None = None) -> DataFrame:
-        options = P.lane_options(self.requirements(), self.lanes, self.terms())
-        return P.allocate_lanes(options, scenarios)
+        return P.allocate_lanes(self.stored_options, scenarios)
 
     @cached_property
     def stored_plan(self) -> DataFrame:

@@ -43,7 +43,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     blocks together with their executor.
     """
     context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")

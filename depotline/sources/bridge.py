@@ -212,13 +212,13 @@ def raw_starting_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = table(spark, sf_dir, "supplier").join(
         nations, F.col("s_nationkey") == F.col("n_nationkey")
     ).select("s_suppkey", site.alias("warehouse_id"))
-    # Collapsing the lines first keeps a supplier with very many of them from
-    # becoming one oversized join partition.
-    supplied = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.sum("l_quantity").alias("units"))
+    # Supplier and part pairs hardly repeat, so collapsing them before the join
+    # would only add a shuffle; AQE splits a supplier that owns very many lines.
     return (
-        supplied.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_quantity")
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("warehouse_id", "l_partkey")
-        .agg((F.sum("units") * 10).alias("starting_inventory_units"))
+        .agg((F.sum("l_quantity") * 10).alias("starting_inventory_units"))
         .select("warehouse_id", _sku("l_partkey").alias("sku_id"), "starting_inventory_units")
     )
 

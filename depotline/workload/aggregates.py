@@ -162,7 +162,7 @@ def warehouse_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "a14_category_value",
-    "category total_value:1 total_holding_cost:2 total_units:2",
+    "category total_value:2 total_holding_cost:2 total_units:2",
     """SELECT category, sum(inventory_value_usd) AS total_value, sum(daily_holding_cost_usd) AS total_holding_cost,
               sum(starting_inventory_units) AS total_units FROM master GROUP BY 1""",
 )
@@ -172,7 +172,7 @@ def category_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "a15_cover_summary",
-    "min_cover:1 max_cover:1 mean_cover:1 at_risk:l watch:l healthy:l",
+    "min_cover:1 max_cover:1 mean_cover:4 at_risk:l watch:l healthy:l",
     """SELECT min(days_of_cover) AS min_cover, max(days_of_cover) AS max_cover, avg(days_of_cover) AS mean_cover,
               count(*) FILTER (WHERE days_of_cover < 14) AS at_risk,
               count(*) FILTER (WHERE days_of_cover >= 14 AND days_of_cover < 30) AS watch,
@@ -215,7 +215,7 @@ def lane_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "a18_portfolio",
-    "stock_rows:l skus:l total_units:2 total_value:0 total_holding_cost:2 mean_row_value:2",
+    "stock_rows:l skus:l total_units:2 total_value:2 total_holding_cost:2 mean_row_value:4",
     """SELECT count(*) AS stock_rows, count(DISTINCT sku_id) AS skus, sum(starting_inventory_units) AS total_units,
               sum(inventory_value_usd) AS total_value, sum(daily_holding_cost_usd) AS total_holding_cost,
               avg(inventory_value_usd) AS mean_row_value FROM master""",
@@ -290,7 +290,7 @@ def category_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "a23_warehouse_utilisation",
-    "warehouse_id region capacity_units:l inventory_units:2 utilization_pct:2 available_units:2 status inventory_value_usd:1 "
+    "warehouse_id region capacity_units:l inventory_units:2 utilization_pct:2 available_units:2 status inventory_value_usd:2 "
     "daily_holding_cost_usd:4 fixed_daily_cost_usd:2 sku_count:l",
     """SELECT *, pct AS utilization_pct, CASE WHEN pct >= 100 THEN 'CRITICAL' WHEN pct >= 85 THEN 'HIGH' ELSE 'NORMAL' END AS status
        FROM util""",

@@ -11,7 +11,7 @@ from depotline.sources import bridge
 from depotline.workload.registry import query
 
 # Boosting rounds of the registered queries; the library default is 300.
-ROUNDS = 20
+ROUNDS = 10
 
 
 def network(spark: SparkSession, sf_dir: str) -> Network:
@@ -306,7 +306,7 @@ def variance_inflation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "m19_weather_response",
-    "region pearson_r:3 trend_slope:3 trend_intercept:3",
+    "region pearson_r:3 trend_slope:4 trend_intercept:4",
     """SELECT region, corr(total_units, weather_disruption) AS pearson_r, regr_slope(total_units, weather_disruption) AS trend_slope,
               regr_intercept(total_units, weather_disruption) AS trend_intercept FROM weekly GROUP BY region""",
 )
@@ -318,7 +318,7 @@ def weather_response(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "m20_distribution_shift",
-    "train_mean:4 test_mean:4 shift_pct:3",
+    "train_mean:4 test_mean:4 shift_pct:4",
     """SELECT avg(total_units) FILTER (WHERE is_train) AS train_mean, avg(total_units) FILTER (WHERE NOT is_train) AS test_mean,
               (avg(total_units) FILTER (WHERE NOT is_train) / avg(total_units) FILTER (WHERE is_train) - 1) * 100 AS shift_pct FROM holdout""",
 )
@@ -340,7 +340,7 @@ def anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "m22_mape",
-    "category mape_pct:3 undefined_rows:l",
+    "category mape_pct:4 undefined_rows:l",
     """SELECT category, avg(abs(total_units - predicted_units) / nullif(abs(total_units), 0)) * 100 AS mape_pct,
               count(*) FILTER (WHERE total_units = 0) AS undefined_rows FROM naive GROUP BY category""",
 )

@@ -212,7 +212,7 @@ _CHANGE = """CASE WHEN scenario = 'Baseline' THEN 0.0
 
 @query(
     "j16_cost_mart",
-    "scenario scenario_label w_cost:1 w_carbon:1 ship_cost_usd:1 holding_cost_usd:1 total_cost_usd:1 vs_baseline_pct:2 cost_per_unit_served:4",
+    "scenario scenario_label w_cost:1 w_carbon:1 ship_cost_usd:2 holding_cost_usd:2 total_cost_usd:2 vs_baseline_pct:2 cost_per_unit_served:4",
     f"""SELECT b.scenario, scenario_label, w_cost, w_carbon, ship_cost_usd, holding_cost_usd, total_cost_usd,
                {_CHANGE.format(c="total_cost_usd").replace("scenario =", "b.scenario =")} AS vs_baseline_pct,
                total_cost_usd / units AS cost_per_unit_served
@@ -226,7 +226,7 @@ def cost_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "j16_carbon_mart",
-    "scenario warehouse_id region category carbon_kg:4 units_allocated:2 carbon_per_unit_served:6 vs_baseline_pct:2 lead_time_days:i",
+    "scenario warehouse_id region category carbon_kg:6 units_allocated:2 carbon_per_unit_served:6 vs_baseline_pct:2 lead_time_days:i",
     f"""SELECT p.scenario, warehouse_id, region, category, p.carbon_kg, units_allocated,
                p.carbon_kg / nullif(units_allocated, 0) AS carbon_per_unit_served, vs_baseline_pct, lead_time_days
         FROM (SELECT scenario, warehouse_id, region, category, lead_time_days, carbon_kg, units_allocated FROM plan

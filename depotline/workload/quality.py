@@ -193,7 +193,7 @@ def _rule_check(name: str, source: str, bad: str, shown: str, status: str) -> st
         FROM {source}"""
 
 
-_RULE_SPEC = "rule rows_checked:l bad_rows:l bad_pct:3 status low_sample high_sample"
+_RULE_SPEC = "rule rows_checked:l bad_rows:l bad_pct:4 status low_sample high_sample"
 _FLAG_BAD = "holiday_peak_flag NOT IN (0, 1)"
 
 

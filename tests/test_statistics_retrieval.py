@@ -149,7 +149,8 @@ def test_top_k_against_brute_force(spark, monkeypatch):
         [(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")).repartition(5)
     queries = R.build_index(spark.createDataFrame(
         [(q, [float(x) for x in vectors[q]]) for q in (3, 40, 77)], "query_id int, embedding array<float>"))
-    monkeypatch.setattr(R, "QUERY_BATCH", 2)
+    monkeypatch.setattr(R, "BATCH_NUMBERS", 16)
+    monkeypatch.setattr(R, "_SCORED_TOGETHER", 1)
     got = rows(R.top_k(index, queries, k=4).select("query_id", "rank", "vec_id"), "query_id", "rank")
     unit = vectors.astype(np.float32).astype(float)
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
