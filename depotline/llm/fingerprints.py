@@ -105,10 +105,10 @@ def with_next(docs: DataFrame) -> DataFrame:
     asks = successors(docs).select(
         *[F.col(c).alias(f"asker_{c}") for c in _KEY], F.floor(F.col("n_chars") / 4).cast("int").alias("wanted"), *[F.col(f"next_{c}").alias(c) for c in _KEY]
     )
-    # Every key is asked by one other, so repeats of the key are repeats of the row.
-    given = rows.join(asks, _KEY).dropDuplicates(_KEY).select(
+    # Repeats of a row give the same to the same asker.
+    given = rows.join(asks, _KEY).select(
         *[F.col(f"asker_{c}").alias(c) for c in _KEY], "wanted", F.expr("left(text, wanted)").alias("given"), F.col("fingerprint").alias("next_fingerprint")
-    )
+    ).dropDuplicates(_KEY)
     both = rows.join(given, _KEY)
     edited = F.concat(F.expr("left(text, length(text) - wanted)"), "given")
     return both.select(F.when(F.col("present"), F.col("id")).alias("doc_id"), "text", "fingerprint", edited.alias("edited"), "next_fingerprint")
