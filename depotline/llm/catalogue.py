@@ -1,6 +1,6 @@
 """Importing this module registers every query of the subpackage."""
 
-from depotline.llm import byte_bpe, fingerprints, jaccard, neighbours, packing, quality, secrets, sharding  # noqa: F401
+from depotline.llm import byte_bpe, fingerprints, jaccard, language_model, neighbours, packing, quality, secrets, sharding  # noqa: F401
 from depotline.llm.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
