@@ -39,12 +39,12 @@ from depotline.llm.batches import emit, records
 from depotline.llm.registry import documents, query
 from depotline.session import store
 
-CLASSES, MEMBERS = 32, 32
+CLASSES, MEMBERS = 24, 24
 UNITS = CLASSES * MEMBERS
 #: Units that words without one of their own share, by their last SUFFIX bytes.
-SHARED, SUFFIX = 192, 3
+SHARED, SUFFIX = 144, 3
 HIDDEN = 16
-WINDOW, LANES = 16, 128
+WINDOW, LANES = 20, 128
 #: Shares of the training documents in the rounds, in 1/16; the copies drift least apart while the rounds are short.
 ROUNDS = (1, 3, 12)
 RATE = 0.01
@@ -198,89 +198,102 @@ class Lanes:
             yield slice(start, min(start + steps, len(self.target))), int((self.ends > start).sum())
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
-
-
 def run_states(net: dict, before: np.ndarray, keep: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, tuple]:
     """States after each step of a window, and what going back takes."""
     steps, lanes = before.shape
     gates_in = net["input"][before]
-    out = np.empty((steps, lanes, HIDDEN), np.float32)
-    old, gates, inner = np.empty_like(out), np.empty((steps, lanes, 3 * HIDDEN), np.float32), np.empty_like(out)
+    out = np.empty((steps, lanes, HIDDEN), gates_in.dtype)
+    old, gates, inner = np.empty_like(out), np.empty_like(gates_in), np.empty_like(out)
     recurrent, h = net["state"], HIDDEN
+    resets = (keep == 0).any(axis=1)
     for t in range(steps):
-        state = state * keep[t, :, None]
-        old[t] = state
+        state = np.multiply(state, keep[t, :, None], out=old[t]) if resets[t] else state
+        if not resets[t]:
+            old[t] = state
         from_state = state @ recurrent
-        gate = _sigmoid(gates_in[t, :, : 2 * h] + from_state[:, : 2 * h])
         inner[t] = from_state[:, 2 * h :]
-        fresh = np.tanh(gates_in[t, :, 2 * h :] + gate[:, h:] * inner[t])
-        gates[t, :, : 2 * h], gates[t, :, 2 * h :] = gate, fresh
-        state = fresh + gate[:, :h] * (state - fresh)
-        out[t] = state
+        gate, fresh = gates[t, :, : 2 * h], gates[t, :, 2 * h :]
+        np.add(gates_in[t, :, : 2 * h], from_state[:, : 2 * h], out=gate)
+        gate *= 0.5  # the logistic function through tanh
+        np.tanh(gate, out=gate)
+        gate += 1
+        gate *= 0.5
+        np.multiply(gate[:, h:], inner[t], out=fresh)
+        fresh += gates_in[t, :, 2 * h :]
+        np.tanh(fresh, out=fresh)
+        moved = np.subtract(state, fresh, out=out[t])
+        moved *= gate[:, :h]
+        moved += fresh
+        state = moved
     return out, (old, gates, inner)
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    return logits
 
 
 def unit_log_probability(net: dict, states: np.ndarray, target: np.ndarray, slopes: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural log-probability of each target; with ``slopes``, also adds those of the mean loss and gives the states'."""
-    kind, member = np.divmod(target, MEMBERS)
-    order = np.argsort(kind, kind="stable")
-    kind, member, states = kind[order], member[order], states[order]
-    rows = np.arange(len(order))
-    classes = _log_softmax(states @ net["class_w"] + net["class_b"])
-    found = classes[rows, kind]
-    back = None
+    order = np.argsort(target, kind="stable")
+    kind, member = np.divmod(target[order], MEMBERS)
+    states = states[order]
+    rows, n = np.arange(len(order)), len(order)
+    classes = _softmax(states @ net["class_w"] + net["class_b"])
+    found, back = classes[rows, kind], None
     if slopes is not None:
-        error = np.exp(classes)
-        error[rows, kind] -= 1
-        error /= len(order)
-        slopes["class_w"] += states.T @ error
-        slopes["class_b"] += error.sum(axis=0)
-        back = error @ net["class_w"].T
-    borders = np.searchsorted(kind, np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        a, b = borders[c], borders[c + 1]
+        classes[rows, kind] -= 1
+        classes /= n
+        slopes["class_w"] += states.T @ classes
+        slopes["class_b"] += classes.sum(axis=0)
+        back = classes @ net["class_w"].T
+    borders = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
+    for c, (a, b) in enumerate(zip(borders, borders[1:], strict=False)):
         if a == b:
             continue
         part, own = states[a:b], member[a:b]
-        members = _log_softmax(part @ net["member_w"][c] + net["member_b"][c])
-        found[a:b] += members[rows[: b - a], own]
+        members = _softmax(part @ net["member_w"][c] + net["member_b"][c])
+        found[a:b] *= members[rows[: b - a], own]
         if slopes is not None:
-            error = np.exp(members)
-            error[rows[: b - a], own] -= 1
-            error /= len(order)
-            slopes["member_w"][c] += part.T @ error
-            slopes["member_b"][c] += error.sum(axis=0)
-            back[a:b] += error @ net["member_w"][c].T
-    undo = np.empty_like(order)
-    undo[order] = rows
-    return found[undo], None if back is None else back[undo]
+            members[rows[: b - a], own] -= 1
+            members /= n
+            slopes["member_w"][c] = part.T @ members
+            slopes["member_b"][c] = members.sum(axis=0)
+            back[a:b] += members @ net["member_w"][c].T
+    out = np.empty(n)
+    out[order] = np.log(np.maximum(found, 1e-37))
+    if back is not None:
+        undone = np.empty_like(back)
+        undone[order] = back
+        back = undone
+    return out, back
 
 
 def back_through(net: dict, before: np.ndarray, keep: np.ndarray, kept: tuple, slope_out: np.ndarray, slopes: dict) -> None:
     """Slopes of the recurrent part, back through the steps of one window."""
     old, gates, inner = kept
-    steps, lanes, h = old.shape
-    into, from_state = np.empty((steps, lanes, 3 * h), np.float32), np.empty((steps, lanes, 3 * h), np.float32)
-    later = np.zeros((lanes, h), np.float32)
+    steps, _, h = old.shape
+    update, reset, fresh = gates[:, :, :h], gates[:, :, h : 2 * h], gates[:, :, 2 * h :]
+    stay = 1 - update
+    to_fresh = stay * (1 - fresh * fresh)
+    # What a slope of the state is multiplied by on its way into each gate, and by way of the state before.
+    into = np.concatenate([(old - fresh) * update * stay, to_fresh * inner * reset * (1 - reset), to_fresh], axis=2)
     recurrent = np.ascontiguousarray(net["state"].T)
+    carried = into.copy()
+    carried[:, :, 2 * h :] *= reset
+    slope = np.empty_like(old)
+    later = np.zeros_like(old[0])
     for t in range(steps - 1, -1, -1):
-        slope = slope_out[t] + later
-        update, reset, fresh = gates[t, :, :h], gates[t, :, h : 2 * h], gates[t, :, 2 * h :]
-        to_fresh = slope * (1 - update) * (1 - fresh * fresh)
-        into[t, :, :h] = slope * (old[t] - fresh) * update * (1 - update)
-        into[t, :, h : 2 * h] = to_fresh * inner[t] * reset * (1 - reset)
-        into[t, :, 2 * h :] = to_fresh
-        from_state[t, :, : 2 * h] = into[t, :, : 2 * h]
-        from_state[t, :, 2 * h :] = to_fresh * reset
-        later = (slope * update + from_state[t] @ recurrent) * keep[t, :, None]
-    slopes["state"] += old.reshape(-1, h).T @ from_state.reshape(-1, 3 * h)
+        now = np.add(slope_out[t], later, out=slope[t])
+        by_gate = carried[t]
+        by_gate.reshape(-1, 3, h)[:] *= now[:, None, :]
+        later = by_gate @ recurrent
+        later += now * update[t]
+        later *= keep[t, :, None]
+    into.reshape(steps, -1, 3, h)[:] *= slope[:, :, None, :]
+    slopes["state"] += old.reshape(-1, h).T @ carried.reshape(-1, 3 * h)
     flat = before.ravel()
     order = np.argsort(flat, kind="stable")
     first = np.flatnonzero(np.diff(flat[order], prepend=-1))
