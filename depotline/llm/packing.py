@@ -24,6 +24,9 @@ are ignored; a document longer than a window goes on in the next ones.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -32,6 +35,7 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
@@ -42,8 +46,9 @@ from depotline.session import store
 
 WINDOW = 2048
 END_ID = 1
-#: Words whose ids each Python worker holds.
-WORDS = 400_000
+#: Words whose ids each Python worker holds (and half as many pieces of words), none of them longer than LONGEST bytes.
+WORDS = 600_000
+LONGEST = 64
 #: Sources with a smaller share of the tokens than one in so many share a queue.
 QUEUES = 256
 #: Windows whose totals are computed and held together.
@@ -52,26 +57,79 @@ CHUNK = 1024
 BROADCAST_BYTES = 8 << 20
 
 
+def byte_names() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it prints, else the next free one from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    free = iter(range(256, 512))
+    return [chr(b) if b in prints else chr(next(free)) for b in range(256)]
+
+
 class WordEncoder:
-    """Ids of a tokenizer that never merges across white space, word by word, remembered."""
+    """Ids of a byte-level BPE with word ends that never merges across white space, word by word.
+
+    The tokenizer's file gives vocabulary and merges. Words of plain Latin-1 characters are
+    lower-cased, split and merged here, which spares the bookkeeping that a whole encoding
+    carries; any other word goes to the tokenizer itself. Words and pieces are remembered.
+
+    The merges run in a library without word ends, so the last byte of a piece is marked by
+    a byte that no text has, and mark and byte are merged before all else.
+    """
+
+    MARK = b"\xff"
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.known: dict[bytes, bytes] = {}
+        model = json.loads(self.tokenizer.to_str())["model"]
+        end, names = model["end_of_word_suffix"], byte_names()
+        byte_of = {name: bytes([b]) for b, name in enumerate(names)}
+
+        def marked(token: str) -> bytes:
+            body = b"".join(byte_of[c] for c in token.removesuffix(end))
+            return body[:-1] + self.MARK + body[-1:] if token.endswith(end) else body
+
+        tokens = [*names, *[name + end for name in names], *[left + right for left, right in model["merges"]]]
+        ranks = {marked(token): rank for rank, token in enumerate(tokens)}
+        self.merge = tiktoken.Encoding("words", pat_str=".", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+        self.id_of = [np.array(model["vocab"][token], "<u2").tobytes() for token in tokens]
+        self.plain = re.compile(r"[!-~\xa1-\xff]+").fullmatch
+        # Fixed value: the pattern of the tokenizer for lower-case Latin-1.
+        self.split = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^\sa-z0-9\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xdf-\xf6\xf8-\xff]+").findall
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 16-bit integers."""
-        words, known = text.encode().split(), self.known
-        fresh = list({w for w in words if w not in known})
-        if fresh:
-            if len(known) + len(fresh) > WORDS:
-                known.clear()
-                fresh = list(set(words))
-            # A long document's own words are held while it is encoded.
-            encoded = self.tokenizer.encode_batch([w.decode() for w in fresh], add_special_tokens=False)
-            known.update((w, np.array(e.ids, "<u2").tobytes()) for w, e in zip(fresh, encoded, strict=True))
-        return b"".join([known[w] for w in words])
+        words = text.encode().split()
+        ids = list(map(self.words.get, words))
+        if None in ids:
+            ids = [self._word(word) if known is None else known for word, known in zip(words, ids, strict=True)]
+        return b"".join(ids)
+
+    def _word(self, word: bytes) -> bytes:
+        known = self.words.get(word)
+        if known is None:
+            known = self._fresh(word.decode())
+            if len(word) <= LONGEST:
+                if len(self.words) >= WORDS:
+                    self.words.clear()
+                self.words[word] = known
+        return known
+
+    def _fresh(self, word: str) -> bytes:
+        if not self.plain(word):
+            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u2").tobytes()
+        return b"".join([self.pieces.get(piece) or self._piece(piece) for piece in self.split(word.lower())])
+
+    def _piece(self, piece: str) -> bytes:
+        body = piece.encode()
+        ids = b"".join([self.id_of[rank] for rank in self.merge(body[:-1] + self.MARK + body[-1:])])
+        if len(body) <= LONGEST:
+            if len(self.pieces) >= WORDS // 2:
+                self.pieces.clear()
+            self.pieces[piece] = ids
+        return ids
 
 
 @lru_cache(maxsize=2)
