@@ -32,8 +32,11 @@ def average_daily_demand(demand: DataFrame) -> DataFrame:
     return totals.select("region", ratio(F.col("units"), days).alias("avg_daily_demand"))
 
 
-def units_by_site(master: DataFrame) -> DataFrame:
-    return master.groupBy("canonical_warehouse_id", "region").agg(F.sum("starting_inventory_units").alias("inv_units"))
+def units_by_site(stock: DataFrame, warehouses: DataFrame) -> DataFrame:
+    """Units held at each site, with its region; stock is summed before the sites are joined."""
+    held = stock.groupBy("canonical_warehouse_id").agg(F.sum("starting_inventory_units").alias("inv_units"))
+    sites = warehouses.select(F.col("warehouse_id").alias("canonical_warehouse_id"), "region")
+    return held.join(sites, "canonical_warehouse_id", "left").select("canonical_warehouse_id", "region", "inv_units")
 
 
 def spread_hub(sites: DataFrame, regions: DataFrame, hub_region: str = S.HUB_REGION) -> DataFrame:
@@ -54,10 +57,10 @@ def spread_hub(sites: DataFrame, regions: DataFrame, hub_region: str = S.HUB_REG
     )
 
 
-def days_of_cover(master: DataFrame, demand: DataFrame, hub_region: str = S.HUB_REGION) -> DataFrame:
-    """Stock divided by average daily demand, per warehouse and region served."""
+def days_of_cover(by_site: DataFrame, demand: DataFrame, hub_region: str = S.HUB_REGION) -> DataFrame:
+    """Units by site (``units_by_site``) divided by average daily demand, per warehouse and region served."""
     daily = average_daily_demand(demand)
-    sites = spread_hub(units_by_site(master), daily, hub_region)
+    sites = spread_hub(by_site, daily, hub_region)
     cover = F.when(F.col("avg_daily_demand") > 0, ratio(F.col("inv_units"), F.col("avg_daily_demand")))
     return sites.join(daily, "region", "left").select(
         "warehouse_id", "region", "inv_units", "avg_daily_demand", F.bround(cover, 1).alias("days_of_cover")

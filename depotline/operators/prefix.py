@@ -1,13 +1,14 @@
 """Running totals and exact percentiles without a global sort task.
 
 An ``over (order by ...)`` window without a partition key pulls its whole input
-into one task. Here the ordered value is first mapped onto logarithmic cells
-whose order agrees with the order of the values. Cell totals (a bounded table:
-256 cells per power of two) give each cell its starting offset; the exact
-running total is then computed inside the cells, in parallel.
-
-Callers aggregate to one row per value first, so that ties cannot fill a cell,
-and store that table: the steps below read it more than once.
+into one task. Here the rows are dealt into ranges of the order, ties included,
+whose bounds Spark draws by sampling, so ranges hold about as many rows each for
+any distribution. The dealt rows are stored, since another draw would give other
+bounds. Totals per range (one row each) give every range its offset; the exact
+running total is then computed inside the ranges, in parallel.
+
+Callers aggregate to one row per value first, or give a ``tie_break``, so that
+ties can be dealt out too.
 """
 
 from __future__ import annotations
@@ -16,16 +17,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from depotline.session import store
 
-_CELLS_PER_OCTAVE = 256
-# Larger than any |floor(256 * log2(x))| of a double, so cells keep their sign.
-_ORIGIN = 300_000
-
-
-def _cell(value: Column) -> Column:
-    """Cell number, non-decreasing in the value; 0 only for 0."""
-    magnitude = F.floor(F.log2(F.abs(value)) * _CELLS_PER_OCTAVE) + _ORIGIN
-    return F.when(value == 0, F.lit(0)).otherwise(F.signum(value) * magnitude).cast("int")
-
 
 def running_totals(
     df: DataFrame,
@@ -36,38 +27,38 @@ def running_totals(
 ) -> DataFrame:
     """Add inclusive running sums of ``totals`` (output name -> input column).
 
-    ``order_by`` is a non-null, finite numeric column; rows that share a value
+    ``order_by`` is a non-null numeric column; rows that share a value
     are ordered by ``tie_break``.
     """
     key = -F.col(order_by).cast("double") if descending else F.col(order_by).cast("double")
-    celled = df.withColumn("_key", key).withColumn("_cell", _cell(F.col("_key")))
+    order = ["_key", *(tie_break or [])]
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn("_key", key).repartitionByRange(ranges, *order)
+    ranged = store(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
 
-    before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = celled.groupBy("_cell").agg(*[F.sum(c).alias(f"_t_{out}") for out, c in totals.items()])
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("_range").agg(*[F.sum(c).alias(f"_t_{out}") for out, c in totals.items()])
     offsets = offsets.select(
-        F.col("_cell"), *[F.coalesce(F.sum(f"_t_{out}").over(before), F.lit(0)).alias(f"_o_{out}") for out in totals]
-    )
-    within = (
-        Window.partitionBy("_cell").orderBy("_key", *(tie_break or []))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        F.col("_range"), *[F.coalesce(F.sum(f"_t_{out}").over(before), F.lit(0)).alias(f"_o_{out}") for out in totals]
     )
+    within = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = {out: F.sum(c).over(within) + F.col(f"_o_{out}") for out, c in totals.items()}
-    helpers = ["_key", "_cell", *[f"_o_{out}" for out in totals]]
-    return celled.join(offsets, "_cell").withColumns(running).drop(*helpers)
+    helpers = ["_key", "_range", *[f"_o_{out}" for out in totals]]
+    return ranged.join(offsets, "_range").withColumns(running).drop(*helpers)
 
 
 def value_counts_running(df: DataFrame, column: str) -> DataFrame:
     """One row per distinct non-null value: ``value, n, upto`` (rows at or below it).
 
-    Counts and running counts are stored: the input is read exactly once, and
-    callers may use the result several times.
+    Running counts are stored: the input is read twice at most (once for the bounds
+    of the ranges), and callers may use the result several times.
     """
     counts = (
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("double").alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return store(running_totals(store(counts, "value_counts"), "value", {"upto": "n"}), "running_counts")
+    return store(running_totals(counts, "value", {"upto": "n"}), "running_counts")
 
 
 def pick_percentiles(shares: list[float], rows: Column, upto: str = "upto") -> list[Column]:

@@ -135,9 +135,9 @@ def unknown_ids(df: DataFrame, column: str, canonical: DataFrame, canonical_colu
 
 
 def assert_known_ids(df: DataFrame, column: str, canonical: DataFrame) -> DataFrame:
-    bad = [row[0] for row in unknown_ids(df, column, canonical).limit(5).collect()]
-    if bad:
-        raise QualityError(f"unknown {column}: {bad}")
+    found = unknown_ids(df, column, canonical).agg(F.count(F.lit(1)).alias("n"), F.min(column).alias("low"), F.max(column).alias("high")).first()
+    if found.n:
+        raise QualityError(f"{found.n} unknown {column}: {found.low} to {found.high}")
     return df
 
 

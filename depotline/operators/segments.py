@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from depotline import settings as S
 from depotline.functions.numeric import ratio
 from depotline.functions.text import remap
 from depotline.operators.prefix import running_totals
+from depotline.session import store
 
 
 def category_base(demand: DataFrame, units: str, revenue: str | None = None, key: str = "category") -> DataFrame:
@@ -27,21 +28,15 @@ def banded(value: Column, cuts: tuple[float, float], labels: str) -> Column:
     return F.when(value <= low, labels[0]).when(value <= high, labels[1]).otherwise(labels[2])
 
 
-def add_revenue_shares(base: DataFrame, key: str = "category", many_keys: bool = False) -> DataFrame:
+def add_revenue_shares(base: DataFrame, key: str = "category") -> DataFrame:
     """Share and running share of revenue, largest first, ties by key.
 
-    ``base`` has one row per key. For a dimension such as category that is a
-    handful of rows and one ordered window does. ``many_keys`` (SKU-level
-    classes) spreads the running total over the cluster; store ``base`` first,
-    since it is then read more than once.
+    ``base`` has one row per key, a handful of categories or all SKUs; it is stored,
+    since total and running total both read it.
     """
-    if many_keys:
-        total = base.agg(F.sum("revenue")).scalar()
-        shared = running_totals(base, "revenue", {"_running": "revenue"}, descending=True, tie_break=[key])
-    else:
-        total = F.sum("revenue").over(Window.partitionBy())
-        largest_first = Window.orderBy(F.col("revenue").desc(), key).rowsBetween(Window.unboundedPreceding, 0)
-        shared = base.withColumn("_running", F.sum("revenue").over(largest_first))
+    base = store(base, "shares")
+    total = base.agg(F.sum("revenue")).scalar()
+    shared = running_totals(base, "revenue", {"_running": "revenue"}, descending=True, tie_break=[key])
     return shared.withColumns(
         {
             "revenue_share_pct": ratio(F.col("revenue") * 100, total),
@@ -58,10 +53,9 @@ def classify_abc_xyz(
     abc_cuts: tuple[float, float] = S.ABC_CUTS,
     xyz_cuts: tuple[float, float] = S.XYZ_CUTS,
     separator: str = "|",
-    many_keys: bool = False,
 ) -> DataFrame:
     """Value class from the running revenue share, stability class from the raw CV."""
-    base = add_revenue_shares(category_base(demand, units, revenue, key), key, many_keys)
+    base = add_revenue_shares(category_base(demand, units, revenue, key), key)
     cv = F.when(F.col("demand_mean") > 0, ratio(F.col("demand_std") * 100, F.col("demand_mean"))).otherwise(0.0)
     return (
         base.withColumn("cv", cv)

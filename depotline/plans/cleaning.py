@@ -28,8 +28,8 @@ def _run(df: DataFrame, audit: StepAudit | None, steps: list[tuple]) -> DataFram
     return df
 
 
-def _note(issue: str = "", action: str = "", assumption: str = "", status: str = "PASS") -> dict:
-    return {"issue": issue, "action": action, "assumption": assumption, "status": status}
+def _note(issue: str = "", action: str = "", assumption: str = "", on_loss: str = "PASS", rule: Q.Rule | None = None) -> dict:
+    return {"issue": issue, "action": action, "assumption": assumption, "on_loss": on_loss, "rule": rule}
 
 
 def clean_daily_demand(raw: DataFrame, audit: StepAudit | None = None, percentile: float = S.OUTLIER_PERCENTILE) -> DataFrame:
@@ -37,7 +37,7 @@ def clean_daily_demand(raw: DataFrame, audit: StepAudit | None = None, percentil
     measures = ["units_ordered", "price_usd", "weather_disruption_index"]
     steps = [
         ("load_raw", None, _note("raw text load")),
-        ("parse_date", C.parse_date_column, _note("dates are text", "parsed; unreadable rows dropped", "ISO dates")),
+        ("parse_date", C.parse_date_column, _note("dates are text", "parsed; unreadable rows dropped", "ISO dates", on_loss="WARN")),
         ("drop_weekend_flag", lambda d: C.drop_if_present(d, "weekend_flag"),
          _note("weekend_flag holds epoch dates", "dropped", "is_weekend is derived from the date")),
         ("drop_day", lambda d: C.drop_if_present(d, "day"), _note("day repeats the date", "dropped")),
@@ -45,12 +45,13 @@ def clean_daily_demand(raw: DataFrame, audit: StepAudit | None = None, percentil
          _note("numbers are text", "parsed; unreadable becomes null, missing flags 0")),
         ("standardise_region", lambda d: C.standardise_text(d, "region", "title"),
          _note("region case and blanks differ", "trimmed, title case")),
-        ("standardise_sku", lambda d: C.standardise_text(d, "sku_id", "strip"), _note("blanks around ids", "trimmed")),
+        ("standardise_sku", lambda d: C.standardise_text(d, "sku_id", "strip"),
+         _note("blanks around ids", "trimmed", rule=Q.sku_rule())),
         ("remove_non_positive_units", lambda d: C.remove_negative(d, "units_ordered"),
-         _note("units at or below zero", "rows dropped", "entry errors, not returns")),
+         _note("units at or below zero", "rows dropped", "entry errors, not returns", on_loss="WARN")),
         ("cap_units", lambda d: C.cap_outliers(d, "units_ordered", percentile),
          _note("extreme orders inflate buffers", f"capped at the {percentile}th percentile")),
-        ("assert_price", lambda d: Q.assert_positive(d, "price_usd"), _note("price must be positive", "checked in the plan")),
+        ("assert_price", None, _note("price must be positive", "bad rows counted, the run goes on", rule=Q.positive_rule("price_usd"))),
         ("coerce_flags", lambda d: C.coerce_flags(d, S.EVENT_FLAGS), _note("flags outside 0/1", "set to 0")),
         ("add_date_parts", C.add_date_parts, _note("no calendar columns", "derived, ISO weeks")),
     ]
@@ -63,13 +64,13 @@ def clean_event_calendar(raw: DataFrame, audit: StepAudit | None = None) -> Data
     weather = ["weather_disruption_index"]
     steps = [
         ("load_raw", None, _note("raw text load")),
-        ("parse_date", C.parse_date_column, _note("dates are text", "parsed; unreadable rows dropped", "ISO dates")),
+        ("parse_date", C.parse_date_column, _note("dates are text", "parsed; unreadable rows dropped", "ISO dates", on_loss="WARN")),
         ("drop_weekend_flag", lambda d: C.drop_if_present(d, "weekend_flag"),
          _note("weekend_flag holds epoch dates", "dropped", "is_weekend is derived from the date")),
         ("coerce_numeric", lambda d: C.coerce_numeric(d, weather, S.EVENT_FLAGS),
          _note("numbers are text", "parsed; unreadable becomes null, missing flags 0")),
         ("collapse_dates", C.collapse_dates,
-         _note("dates repeat", "one row per date: any flag, mean weather", "a date is an event if any row says so", "WARN")),
+         _note("dates repeat", "one row per date: any flag, mean weather", "a date is an event if any row says so", on_loss="WARN")),
         ("coerce_flags", lambda d: C.coerce_flags(d, S.EVENT_FLAGS), _note("flags outside 0/1", "set to 0")),
         ("add_date_parts", C.add_date_parts, _note("no calendar columns", "derived, ISO weeks")),
     ]
@@ -108,7 +109,7 @@ def clean_warehouses(raw: DataFrame, audit: StepAudit | None = None, network: li
     The result does not read the feed, so its rows are counted separately.
     """
     if audit is not None:
-        audit.record("load_raw", raw.count(), **_note("raw text load"))
+        audit.record("load_raw", raw.count(), "raw text load")
     steps = [
         ("canonical_network", lambda d: C.canonical_warehouses(d.sparkSession, network),
          _note("sites repeat", "replaced by the network definition", "the definition is the truth")),
@@ -124,9 +125,10 @@ def clean_lanes(raw: DataFrame, audit: StepAudit | None = None) -> DataFrame:
         ("standardise_warehouse", lambda d: C.standardise_text(d, "warehouse_id", "upper"), _note("case differs", "upper case")),
         ("coerce_numeric", lambda d: C.coerce_numeric(d, ["ship_cost_per_unit", "lead_time_days"]), _note("numbers are text", "parsed")),
         ("one_row_per_lane", lambda d: d.groupBy("warehouse_id", "demand_region").agg(
-            F.min("ship_cost_per_unit").alias("ship_cost_per_unit"),
-            F.min("lead_time_days").cast("int").alias("lead_time_days"),
-        ), _note("lanes repeat", "one row per lane")),
+            F.min(F.struct("ship_cost_per_unit", "lead_time_days")).alias("lane"),
+        ).select(
+            "warehouse_id", "demand_region", "lane.ship_cost_per_unit", F.col("lane.lead_time_days").cast("int").alias("lead_time_days"),
+        ), _note("lanes repeat", "the cheapest row of each lane, as delivered", on_loss="WARN")),
         ("add_distance", lambda d: d.withColumns({
             "distance_km_proxy": F.col("lead_time_days") * S.KM_PER_LEAD_DAY, "carbon_kg_per_unit": F.lit(0.0),
         }), _note("no distance", "500 km per lead day")),

@@ -22,9 +22,9 @@ class Network:
     share a single pass.
     """
 
-    def __init__(self, load: Callable[[str], DataFrame]) -> None:
-        """``load`` maps a catalog name to its cleaned table."""
-        self._load = load
+    def __init__(self, load: Callable[[str], DataFrame], unpriced: bool = False) -> None:
+        """``load`` maps a catalog name to its cleaned table; with ``unpriced`` also ``held_inventory``, stock without values."""
+        self._load, self._unpriced = load, unpriced
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, root: str, fmt: str = "parquet") -> Network:
@@ -39,8 +39,9 @@ class Network:
             "warehouses": bridge.warehouses,
             "warehouse_region_costs": bridge.lanes,
             "starting_inventory": bridge.starting_inventory,
+            "held_inventory": bridge.held_inventory,
         }
-        return cls(lambda name: views[name](spark, sf_dir))
+        return cls(lambda name: views[name](spark, sf_dir), unpriced=True)
 
     @cached_property
     def demand(self) -> DataFrame:
@@ -66,6 +67,11 @@ class Network:
     def stock(self) -> DataFrame:
         return self._load("starting_inventory")
 
+    @cached_property
+    def _held(self) -> DataFrame:
+        """Stock rows before they are priced, where the inputs come that way."""
+        return self._load("held_inventory") if self._unpriced else self.stock
+
     # --- demand ---------------------------------------------------------------
     def demand_with_category(self) -> DataFrame:
         return W.with_category(self.demand, self.skus)
@@ -101,6 +107,10 @@ class Network:
     def inventory_master(self) -> DataFrame:
         return I.inventory_master(self.stock, self.skus, self.warehouses)
 
+    def units_by_site(self) -> DataFrame:
+        """Sums stock as held: units need neither prices nor categories."""
+        return I.units_by_site(self._held, self.warehouses)
+
     def utilisation(self) -> DataFrame:
         return I.warehouse_utilisation(self.stock, self.warehouses)
 

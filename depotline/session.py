@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +18,10 @@ RUNTIME_SETTINGS = {
 }
 
 
+# Stages written by this process, for ``drop_stages``.
+_STORED: list[str] = []
+
+
 def apply_runtime_settings(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
@@ -38,16 +41,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for stored stages and checkpoints.
 
     The cluster's own ``spark.checkpoint.dir`` wins. Only a session without one
-    (local runs, tests) falls back to a scratch folder; a non-local master
-    without the setting is refused because a machine-local folder would lose
-    blocks together with their executor.
+    (local runs, tests) falls back to a folder below its warehouse; a non-local
+    master without the setting is refused because a machine-local folder would
+    lose blocks together with their executor.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        configured = tempfile.mkdtemp(prefix="depotline-checkpoint-")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/depotline-stages"
     if not context.getCheckpointDir():
         context.setCheckpointDir(configured)
     return configured
@@ -60,5 +63,16 @@ def store(df: DataFrame, label: str) -> DataFrame:
     without it each branch would repeat the scan and the joins behind them.
     """
     path = f"{checkpoint_dir(df.sparkSession)}/stages/{label}-{uuid4().hex}"
+    _STORED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the stages this process has written; for the end of a job, when nothing reads them any more."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    dropped = 0
+    while _STORED:
+        path = hadoop.Path(_STORED.pop())
+        dropped += bool(path.getFileSystem(conf).delete(path, True))
+    return dropped

@@ -12,6 +12,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
+from depotline.operators.quality import Rule, is_true
+
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("dataset", T.StringType()),
@@ -34,13 +36,20 @@ class _Step:
     issue: str
     action: str
     assumption: str
-    status: str
+    on_loss: str
+    rule: Rule | None
     counted: Observation | int
 
     @property
     def rows(self) -> int:
         return self.counted if isinstance(self.counted, int) else int(self.counted.get["rows"])
 
+    def status(self, before: int) -> str:
+        """The rule's severity if too many rows break it, else ``on_loss`` if the step changed the number of rows."""
+        if self.rule is not None and int(self.counted.get["bad"]) > self.rows * self.rule.tolerate:
+            return self.rule.severity
+        return self.on_loss if before not in (0, self.rows) else "PASS"
+
 
 @dataclass
 class StepAudit:
@@ -61,23 +70,19 @@ class StepAudit:
         issue: str = "",
         action: str = "",
         assumption: str = "",
-        status: str = "PASS",
+        on_loss: str = "PASS",
+        rule: Rule | None = None,
     ) -> DataFrame:
-        """Apply ``change`` and count the rows that come out."""
+        """Apply ``change`` and count the rows that come out, and those of them that break ``rule``."""
         result = change(df) if change else df
         observation = Observation(f"{self.dataset}_{len(self.steps)}_{name}")
-        self.steps.append(_Step(name, issue, action, assumption, status, observation))
-        return result.observe(observation, F.count(F.lit(1)).alias("rows"))
+        self.steps.append(_Step(name, issue, action, assumption, on_loss, rule, observation))
+        bad = [F.count_if(is_true(rule.bad)).alias("bad")] if rule else []
+        return result.observe(observation, F.count(F.lit(1)).alias("rows"), *bad)
 
-    def record(self, name: str, rows: int, issue: str = "", action: str = "", assumption: str = "", status: str = "PASS") -> None:
+    def record(self, name: str, rows: int, issue: str = "", action: str = "", assumption: str = "") -> None:
         """Enter a count taken elsewhere, for an input that the final plan does not read."""
-        self.steps.append(_Step(name, issue, action, assumption, status, rows))
-
-    def warn(self, df: DataFrame, name: str, **notes: str) -> DataFrame:
-        return self.step(df, name, status="WARN", **notes)
-
-    def fail(self, df: DataFrame, name: str, **notes: str) -> DataFrame:
-        return self.step(df, name, status="FAIL", **notes)
+        self.steps.append(_Step(name, issue, action, assumption, "PASS", None, rows))
 
     def log(self, spark: SparkSession) -> DataFrame:
         """The audit table: one row per step, as many rows as steps were declared."""
@@ -87,7 +92,7 @@ class StepAudit:
             after = entry.rows
             rows.append(
                 (self.dataset, entry.name, before, after, before - after,
-                 entry.issue, entry.action, entry.assumption, entry.status, now)
+                 entry.issue, entry.action, entry.assumption, entry.status(before), now)
             )
             before = after
         return spark.createDataFrame(rows, LOG_SCHEMA)

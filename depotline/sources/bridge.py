@@ -183,8 +183,9 @@ def warehouses(spark: SparkSession, sf_dir: str, with_hub: bool = True) -> DataF
 
 def lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every regional warehouse to every demand region; the home lane is cheapest."""
-    numbered = F.array(*[F.struct(F.lit(i).alias("key"), F.lit(r).alias("name")) for i, r in enumerate(REGIONS)])
-    pairs = regions(spark, sf_dir).withColumn("target", F.explode(numbered))
+    # The regions are a dimension of a few rows, carried as one array.
+    targets = regions(spark, sf_dir).agg(F.collect_list(F.struct(F.col("r_regionkey").alias("key"), F.col("region").alias("name")))).scalar()
+    pairs = regions(spark, sf_dir).withColumn("target", F.explode(targets))
     gap = F.abs(F.col("r_regionkey") - F.col("target.key"))
     base = pairs.select(
         _warehouse("region").alias("warehouse_id"),
@@ -223,7 +224,11 @@ def raw_starting_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stock with network ids, not priced."""
+    return map_values(raw_starting_inventory(spark, sf_dir), "warehouse_id", SHORT_IDS, "canonical_warehouse_id")
+
+
 def starting_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     skus = sku_master(spark, sf_dir).select("sku_id", "unit_cost_usd")
-    stock = map_values(raw_starting_inventory(spark, sf_dir), "warehouse_id", SHORT_IDS, "canonical_warehouse_id")
-    return add_inventory_value(stock.join(skus, "sku_id", "left")).drop("unit_cost_usd")
+    return add_inventory_value(held_inventory(spark, sf_dir).join(skus, "sku_id", "left")).drop("unit_cost_usd")

@@ -132,7 +132,7 @@ def average_daily_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT canonical_warehouse_id, region, sum(starting_inventory_units) AS inv_units FROM master GROUP BY 1, 2",
 )
 def units_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.units_by_site(network(spark, sf_dir).inventory_master())
+    return network(spark, sf_dir).units_by_site()
 
 
 _CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -180,7 +180,7 @@ def category_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def cover_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = network(spark, sf_dir)
-    return I.cover_summary(I.days_of_cover(n.inventory_master(), n.demand))
+    return I.cover_summary(I.days_of_cover(n.units_by_site(), n.demand))
 
 
 @query(

@@ -354,4 +354,4 @@ def rule_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def risk_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = Network.from_benchmark(spark, sf_dir)
-    return I.cover_report(I.days_of_cover(n.inventory_master(), n.demand))
+    return I.cover_report(I.days_of_cover(n.units_by_site(), n.demand))

@@ -81,7 +81,7 @@ def lane_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
 def days_of_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cover per site and region with the hub split evenly (zones: D7)."""
     n = network(spark, sf_dir)
-    return I.days_of_cover(n.inventory_master(), n.demand)
+    return I.days_of_cover(n.units_by_site(), n.demand)
 
 
 @query(

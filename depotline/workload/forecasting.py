@@ -262,17 +262,17 @@ def autocorrelation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WITH c AS (SELECT region, category, (week_start - (SELECT min(week_start) FROM weekly)) // 7 AS t,
                          total_units - avg(total_units) OVER (PARTITION BY region, category) AS d FROM weekly)
        SELECT a.region, a.category, lag, sum(a.d * b.d) / any_value(v) AS acf
-       FROM (SELECT unnest(range(0, 14)) AS lag) CROSS JOIN c a
+       FROM (SELECT unnest(range(0, 28)) AS lag) CROSS JOIN c a
        JOIN c b ON b.t = a.t + lag AND a.region = b.region AND a.category = b.category
        JOIN (SELECT region, category, sum(d * d) AS v FROM c GROUP BY 1, 2) s ON a.region = s.region AND a.category = s.category
        GROUP BY 1, 2, 3""",
 )
 def segment_autocorrelation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One ACF per segment, lags 0 to 13 in calendar weeks."""
+    """One ACF per segment, lags 0 to 27 in calendar weeks."""
     weekly = network(spark, sf_dir).stored_weekly
     first = weekly.agg(F.min("week_start")).scalar()
     indexed = weekly.withColumn("t", F.floor(F.datediff("week_start", first) / 7).cast("int"))
-    return T.autocorrelation(indexed, ["region", "category"], "t", "total_units", max_lag=13)
+    return T.autocorrelation(indexed, ["region", "category"], "t", "total_units")
 
 
 @query("m16_partial_autocorrelation", "lag:i pacf:5")

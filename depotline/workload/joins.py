@@ -94,7 +94,7 @@ def capacity_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def demand_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = network(spark, sf_dir)
-    return I.days_of_cover(n.inventory_master(), n.demand)
+    return I.days_of_cover(n.units_by_site(), n.demand)
 
 
 @query(
@@ -105,7 +105,7 @@ def demand_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hub_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hub stock spread over the demand regions."""
     n = network(spark, sf_dir)
-    return I.spread_hub(I.units_by_site(n.inventory_master()), bridge.regions(spark, sf_dir))
+    return I.spread_hub(n.units_by_site(), bridge.regions(spark, sf_dir))
 
 
 @query(

@@ -464,13 +464,12 @@ def split_check(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"""SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls,
             round((count(*) - count({c})) * 100.0 / count(*), 1) AS null_pct,
             count(DISTINCT {c}) + CASE WHEN count(*) > count({c}) THEN 1 ELSE 0 END AS distinct_values FROM raw_demand"""
-        for c in ("date", "day", "weekend_flag", "sku_id", "region", "units_ordered", "holiday_peak_flag",
-                  "prime_event_flag", "marketing_push_flag")
+        for c in ("date", "day", "weekend_flag", "sku_id", "region", "units_ordered", "price_usd", "holiday_peak_flag",
+                  "prime_event_flag", "marketing_push_flag", "weather_disruption_index")
     ),
 )
 def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = bridge.raw_daily_demand(spark, sf_dir).drop("price_usd", "weather_disruption_index")
-    return Q.profile(raw)
+    return Q.profile(bridge.raw_daily_demand(spark, sf_dir))
 
 
 @query(

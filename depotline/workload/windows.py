@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from depotline.operators import enrich, evaluation as E, inventory as I, planning as P, reports, segments as G, statistics as T, weekly as W
 from depotline.plans.network import Network
+from depotline.session import store
 from depotline.sources import bridge
 from depotline.workload.registry import query
 
@@ -109,10 +110,7 @@ def running_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def running_share_many_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SKU-level running share without a single-task window."""
-    from depotline.session import store
-
-    base = G.category_base(bridge.daily_demand(spark, sf_dir), "units_ordered", key="sku_id")
-    return G.add_revenue_shares(store(base, "sku_base"), key="sku_id", many_keys=True)
+    return G.add_revenue_shares(G.category_base(bridge.daily_demand(spark, sf_dir), "units_ordered", key="sku_id"), key="sku_id")
 
 
 @query(
@@ -192,15 +190,22 @@ def dense_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "o01_multi_key_sort",
     "position:l region category year_week",
-    "SELECT row_number() OVER (ORDER BY region, sum(units_ordered) DESC, year_week, category) AS position, region, category, year_week FROM demand_cat GROUP BY 2, 3, 4 ORDER BY position LIMIT 1000",
+    "SELECT row_number() OVER (ORDER BY region, sum(units_ordered) DESC, year_week, category) AS position, region, category, year_week FROM demand_cat GROUP BY 2, 3, 4",
 )
 def multi_key_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First thousand rows of the ranked report in its output order (a report page)."""
+    """The ranked report in its output order, every row with its position.
+
+    Positions count within the leading key; its few values give the offsets.
+    """
     n = network(spark, sf_dir)
-    weekly = reports.weekly_units(spark, reports.demand_view(n.demand, n.skus))
-    ordered = weekly.orderBy("region", F.col("weekly_units").desc(), "year_week", "category").limit(1000)
-    position = F.expr("row_number() OVER (ORDER BY region, weekly_units DESC, year_week, category)")
-    return ordered.withColumn("position", position)
+    weekly = store(reports.weekly_units(spark, reports.demand_view(n.demand, n.skus)), "ranked")
+    before = Window.orderBy("of_region").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = weekly.groupBy(F.col("region").alias("of_region")).count()
+    starts = sizes.select("of_region", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    within = Window.partitionBy("region").orderBy(F.col("weekly_units").desc(), "year_week", "category")
+    numbered = weekly.withColumn("place", F.row_number().over(within))
+    placed = numbered.join(starts, F.col("region").eqNullSafe(F.col("of_region"))).withColumn("position", F.col("start") + F.col("place"))
+    return placed.orderBy("region", F.col("weekly_units").desc(), "year_week", "category")
 
 
 @query(
@@ -234,7 +239,7 @@ def hottest_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sorted_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = network(spark, sf_dir)
-    return I.cover_report(I.days_of_cover(n.inventory_master(), n.demand))
+    return I.cover_report(I.days_of_cover(n.units_by_site(), n.demand))
 
 
 @query(
