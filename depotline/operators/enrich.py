@@ -16,8 +16,8 @@ def prefixed(df: DataFrame, prefix: str, keep: list[str]) -> DataFrame:
 
 
 def join_calendar(demand: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Left join on date; the calendar must already hold one row per date."""
-    return demand.join(prefixed(calendar, "cal_", ["date"]), "date", "left")
+    """Left join on date. The calendar must already hold one row per date, 366 a year at most, and is sent to the demand rows."""
+    return demand.join(F.broadcast(prefixed(calendar, "cal_", ["date"])), "date", "left")
 
 
 def home_sites(warehouses: DataFrame, lanes: DataFrame) -> DataFrame:

@@ -142,15 +142,21 @@ def feature_group(name: Column) -> Column:
 
 
 def _recent_state(table: DataFrame) -> DataFrame:
-    """One row per segment: its last weeks of demand (oldest first) and fixed attributes."""
+    """One row per segment: its last weeks of demand (oldest first) and fixed attributes.
+
+    A younger segment's first known week stands for the weeks before it; ``history_weeks`` says how many are known.
+    """
     newest = Window.partitionBy(*SEGMENT).orderBy(F.col("week_start").desc())
     last = table.withColumn("_r", F.row_number().over(newest)).where(F.col("_r") <= _MEMORY)
     recent = F.array_sort(F.collect_list(F.struct("week_start", F.col(TARGET).cast("double").alias("units"))))
-    return last.groupBy(*SEGMENT).agg(
+    state = last.groupBy(*SEGMENT).agg(
         F.transform(recent, lambda x: x["units"]).alias("recent"),
         F.max("category_velocity").alias("category_velocity"),
         F.max("region_demand_rank").alias("region_demand_rank"),
-    ).where(F.size("recent") == _MEMORY)
+    )
+    known = F.size("recent")
+    padded = F.concat(F.array_repeat(F.element_at("recent", 1), F.lit(_MEMORY) - known), F.col("recent"))
+    return state.withColumns({"history_weeks": known, "recent": padded})
 
 
 def _step_features(state: DataFrame, week: Column, first_week: Column) -> DataFrame:
@@ -186,7 +192,7 @@ def forward_forecast(fitted: FittedForecast, table: DataFrame, horizon: int = S.
     state = _recent_state(table).withColumn("_span", span).withColumn(
         "path", F.array().cast("array<struct<week_start:date,predicted_units:double>>")
     )
-    carried = [*SEGMENT, "recent", "category_velocity", "region_demand_rank", "_span", "path"]
+    carried = [*SEGMENT, "recent", "category_velocity", "region_demand_rank", "history_weeks", "_span", "path"]
     for step in range(1, horizon + 1):
         ready = _step_features(state, F.date_add(F.col("_span.last"), step * 7), F.col("_span.first"))
         predicted = fitted.predict(ready).withColumn("predicted_units", F.greatest("predicted_units", F.lit(0.0)))
@@ -196,4 +202,4 @@ def forward_forecast(fitted: FittedForecast, table: DataFrame, horizon: int = S.
                 "path": F.concat("path", F.array(F.struct("week_start", "predicted_units"))),
             }
         ).select(*carried)
-    return state.select(*SEGMENT, F.inline("path"))
+    return state.select(*SEGMENT, "history_weeks", F.inline("path"))

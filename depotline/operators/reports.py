@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from depotline import settings as S
 from depotline.operators.weekly import with_category
 
 
@@ -104,10 +105,14 @@ def weekly_demand_ranking(spark: SparkSession, daily_demand: DataFrame) -> DataF
 
 
 def event_type_summary(spark: SparkSession, daily_demand: DataFrame, event_calendar: DataFrame) -> DataFrame:
-    """Average and total units on holiday, marketing and ordinary days."""
+    """Average and total units on holiday, marketing and ordinary days.
+
+    The calendar has one row per date and is sent to the demand rows.
+    """
     return spark.sql(
         """
-        SELECT CASE WHEN COALESCE(c.is_holiday, 0) = 1 THEN 'Holiday'
+        SELECT /*+ BROADCAST(c) */
+               CASE WHEN COALESCE(c.is_holiday, 0) = 1 THEN 'Holiday'
                     WHEN COALESCE(c.is_marketing_campaign, 0) = 1 THEN 'Marketing'
                     ELSE 'Non-event' END AS event_type,
                ROUND(AVG(d.units_sold), 2) AS avg_units,
@@ -153,10 +158,11 @@ def abc_revenue(spark: SparkSession, daily_demand: DataFrame, sku_master: DataFr
                ROUND(revenue, 2) AS revenue,
                ROUND(share, 2) AS revenue_share_pct,
                ROUND(running, 2) AS cumulative_share_pct,
-               CASE WHEN running <= 80 THEN 'A' WHEN running <= 95 THEN 'B' ELSE 'C' END AS abc_class
+               CASE WHEN running <= :cut_a THEN 'A' WHEN running <= :cut_b THEN 'B' ELSE 'C' END AS abc_class
         FROM shares
         ORDER BY revenue DESC, category
         """,
+        args={"cut_a": S.ABC_CUTS[0], "cut_b": S.ABC_CUTS[1]},
         revenue=category_revenue(spark, daily_demand, sku_master),
     )
 

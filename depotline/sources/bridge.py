@@ -107,18 +107,21 @@ def event_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.withColumns(date_parts(F.col("date")))
 
 
+def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by date. Grouped by date, so 366 rows a year at most, however many orders: sent to the lines instead of dealing the lines by date."""
+    return F.broadcast(collapse_dates(raw_event_calendar(spark, sf_dir)))
+
+
 def daily_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean daily demand with event flags; a date without events has flags 0."""
-    events = collapse_dates(raw_event_calendar(spark, sf_dir))
-    joined = demand_lines(spark, sf_dir).drop("l_orderkey").join(events, "date", "left")
+    joined = demand_lines(spark, sf_dir).drop("l_orderkey").join(_days(spark, sf_dir), "date", "left")
     flags = {flag: F.coalesce(F.col(flag), F.lit(0)) for flag in S.EVENT_FLAGS}
     return joined.withColumns({**flags, **date_parts(F.col("date"))})
 
 
 def raw_daily_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows as delivered text, with repeatable damage keyed on the order."""
-    events = collapse_dates(raw_event_calendar(spark, sf_dir))
-    rows = demand_lines(spark, sf_dir).join(events, "date", "left")
+    rows = demand_lines(spark, sf_dir).join(_days(spark, sf_dir), "date", "left")
 
     def hit(modulus: int, remainder: int):
         return F.pmod("l_orderkey", F.lit(modulus)) == remainder

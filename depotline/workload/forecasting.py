@@ -141,7 +141,7 @@ def holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.holdout_split(network(spark, sf_dir).stored_weekly)
 
 
-@query("m08_forward_forecast", "week_start:d region category predicted_units:2")
+@query("m08_forward_forecast", "week_start:d region category history_weeks:i predicted_units:2")
 def forward_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twelve recursive steps of the boosted model, one row per week and segment."""
     table = feature_table(spark, sf_dir)

@@ -118,6 +118,16 @@ def test_models_beat_a_flat_forecast(table):
     assert importance.agg(F.sum("importance_pct")).first()[0] == pytest.approx(100.0)
 
 
+def test_young_segments_are_forecast_too(table):
+    fitted = M.fit(table, M.linear_model(M.FORWARD_FEATURES), M.FORWARD_FEATURES)
+    newest = table.agg(F.max("week_start")).first()[0]
+    one = table.select("region").first().region
+    young = table.where((F.col("region") == one) & (F.col("week_start") > newest - dt.timedelta(weeks=2))).withColumn("region", F.lit("Young"))
+    got = M.forward_forecast(fitted, table.unionByName(young), horizon=2).where("region = 'Young'").collect()
+    assert len(got) == 2 * young.select("category").distinct().count() and {r.history_weeks for r in got} == {2}
+    assert all(r.predicted_units is not None for r in got)
+
+
 def test_forward_forecast_feeds_back(table):
     fitted = M.fit(table, M.linear_model(M.FORWARD_FEATURES), M.FORWARD_FEATURES)
     forward = M.forward_forecast(fitted, table, horizon=3)
