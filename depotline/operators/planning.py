@@ -8,6 +8,7 @@ from depotline import settings as S
 from depotline.functions.normal import normal_quantile
 from depotline.functions.numeric import ratio
 from depotline.operators.weekly import SEGMENT
+from depotline.session import store
 
 
 def category_terms(skus: DataFrame) -> DataFrame:
@@ -118,15 +119,56 @@ def allocate_lanes(options: DataFrame, scenarios: list[tuple] | None = None) ->
     # Scores that agree to twelve digits are ties; the warehouse id decides.
     choice = Window.partitionBy("scenario", *SEGMENT).orderBy(F.round("score", 12), "warehouse_id")
     units = F.when(F.row_number().over(choice) == 1, F.col("required_units")).otherwise(F.lit(0.0))
+    return _with_costs(scored.withColumn("units_allocated", units))
+
+
+def _with_costs(plan: DataFrame) -> DataFrame:
     return (
-        scored.withColumn("units_allocated", units)
-        .withColumn("ship_cost_usd", F.col("units_allocated") * F.col("ship_cost_per_unit"))
+        plan.withColumn("ship_cost_usd", F.col("units_allocated") * F.col("ship_cost_per_unit"))
         .withColumn("holding_cost_usd", F.col("units_allocated") * F.col("unit_holding"))
         .withColumn("total_cost_usd", F.col("ship_cost_usd") + F.col("holding_cost_usd"))
         .withColumn("carbon_kg", F.col("units_allocated") * F.col("unit_carbon"))
     )
 
 
+def allocate_within_capacity(plan: DataFrame, warehouses: DataFrame, lanes_per_region: int) -> DataFrame:
+    """``plan`` with no warehouse above its capacity: what does not fit spills to the next best lane.
+
+    In pass k every segment asks its k-th best lane for what it still lacks, and a warehouse
+    serves those first that would lose most by going on to their next lane (regret). What
+    no lane can take stays unserved. ``spilled`` marks rows served after the first
+    pass, ``optimal`` the scenarios without spill or shortage. The loop is over the lanes
+    of a region, a handful; tables between passes hold a row per segment or warehouse.
+    """
+    choice = Window.partitionBy("scenario", *SEGMENT).orderBy(F.round("score", 12), "warehouse_id")
+    regret = F.round(F.lead("score").over(choice) - F.col("score"), 12)
+    keys = ["scenario", *SEGMENT]
+    ranked = store(plan.withColumns({"place": F.row_number().over(choice), "regret": regret}), "ranked-lanes")
+    lacking = ranked.where("place = 1").select(*keys, F.col("required_units").alias("lack"))
+    room = ranked.select("scenario", "warehouse_id").distinct().join(
+        warehouses.select("warehouse_id", F.col("capacity_units").cast("double").alias("room")), "warehouse_id"
+    )
+    by_regret = Window.partitionBy("scenario", "warehouse_id").orderBy(F.col("regret").desc_nulls_first(), *SEGMENT)
+    served = None
+    for place in range(1, lanes_per_region + 1):
+        asked = ranked.where(F.col("place") == place).select(*keys, "warehouse_id", "regret").join(lacking, keys).join(room, ["scenario", "warehouse_id"])
+        before = F.coalesce(F.sum("lack").over(by_regret.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+        given = F.greatest(F.lit(0.0), F.least(F.col("lack"), F.col("room") - before))
+        taken = store(asked.select(*keys, "warehouse_id", given.alias("taken"), F.lit(place > 1).alias("late")), "taken")
+        served = taken if served is None else served.unionByName(taken)
+        lacking = lacking.join(taken.select(*keys, "taken"), keys, "left").select(*keys, (F.col("lack") - F.coalesce("taken", F.lit(0.0))).alias("lack"))
+        used = taken.groupBy("scenario", "warehouse_id").agg(F.sum("taken").alias("used"))
+        room = room.join(used, ["scenario", "warehouse_id"], "left").select("scenario", "warehouse_id", (F.col("room") - F.coalesce("used", F.lit(0.0))).alias("room"))
+    final = ranked.drop("units_allocated", "place", "regret").join(served, [*keys, "warehouse_id"], "left").withColumns(
+        {"units_allocated": F.coalesce("taken", F.lit(0.0)), "spilled": F.coalesce(F.col("late") & (F.col("taken") > 0), F.lit(False))}
+    ).drop("taken", "late")
+    first = F.sum(F.when(~F.col("spilled"), F.col("units_allocated"))).over(Window.partitionBy("scenario"))
+    # Required units repeat on every lane of a segment.
+    part = final.withColumn("_needed", F.col("required_units") / F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    needed = F.sum("_needed").over(Window.partitionBy("scenario"))
+    return _with_costs(part.withColumn("optimal", first >= needed - 1e-6).drop("_needed"))
+
+
 def capacity_check(plan: DataFrame, warehouses: DataFrame) -> DataFrame:
     """Load per scenario and warehouse; a positive overflow voids the plan's optimality."""
     load = plan.groupBy("scenario", "warehouse_id").agg(F.sum("units_allocated").alias("allocated_units"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from depotline.operators import evaluation as E, inventory as I, lanes as L, planning as P, reports, segments as G, valuation as V
 from depotline.plans.network import Network
+from depotline.session import store
 from depotline.sources import bridge
 from depotline.workload.registry import query
 
@@ -128,6 +129,72 @@ def capacity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.capacity_check(n.plan(), n.warehouses)
 
 
+# Capacities that a plan does not fit into: each warehouse holds a sixth of what a scenario needs.
+_LANES = 5
+
+
+def _capacity_sql(select: str) -> str:
+    """The passes of the allocation within tight capacities, one statement per pass."""
+    keys = "scenario, region, category"
+    order = f"PARTITION BY {keys} ORDER BY round(score, 12), warehouse_id"
+    steps = [
+        f"ranked AS (SELECT *, row_number() OVER ({order}) AS place, round(lead(score) OVER ({order}) - score, 12) AS regret FROM plan)",
+        f"lack1 AS (SELECT {keys}, required_units AS lack FROM ranked WHERE place = 1)",
+        "tight AS (SELECT scenario, sum(lack) / 6 AS room FROM lack1 GROUP BY 1)",
+        "room1 AS (SELECT DISTINCT r.scenario, r.warehouse_id, t.room FROM ranked r JOIN tight t ON r.scenario = t.scenario)",
+    ]
+    for k in range(1, _LANES + 1):
+        steps += [
+            f"""taken{k} AS (SELECT scenario, region, category, warehouse_id, {k} > 1 AS late, greatest(0, least(lack, room - coalesce(
+                  sum(lack) OVER (PARTITION BY scenario, warehouse_id ORDER BY regret DESC NULLS FIRST, region, category ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS taken
+                FROM ranked JOIN lack{k} USING ({keys}) JOIN room{k} USING (scenario, warehouse_id) WHERE place = {k})""",
+            f"lack{k + 1} AS (SELECT {keys}, lack - coalesce(taken, 0) AS lack FROM lack{k} LEFT JOIN taken{k} USING ({keys}))",
+            f"""room{k + 1} AS (SELECT scenario, warehouse_id, room - coalesce(used, 0) AS room FROM room{k}
+                LEFT JOIN (SELECT scenario, warehouse_id, sum(taken) AS used FROM taken{k} GROUP BY 1, 2) USING (scenario, warehouse_id))""",
+        ]
+    served = " UNION ALL ".join(f"SELECT * FROM taken{k}" for k in range(1, _LANES + 1))
+    steps.append(f"""tight_plan AS (SELECT r.* EXCLUDE (units_allocated), coalesce(taken, 0) AS units_allocated, coalesce(late AND taken > 0, false) AS spilled
+        FROM ranked r LEFT JOIN ({served}) USING ({keys}, warehouse_id))""")
+    return f"WITH {', '.join(steps)} {select}"
+
+
+def _tight_plan(spark: SparkSession, sf_dir: str) -> tuple[Network, DataFrame]:
+    n = network(spark, sf_dir)
+    plan = store(n.plan(), "plan")
+    needed = plan.groupBy("scenario").agg((F.sum("units_allocated") / 6).alias("room")).agg(F.max("room")).scalar()
+    sites = n.warehouses.withColumn("capacity_units", needed)
+    return n, P.allocate_within_capacity(plan, sites, _LANES)
+
+
+@query(
+    "d09_capacity_allocation",
+    "scenario warehouse_id region category units_allocated:4 spilled:b optimal:b",
+    _capacity_sql("""SELECT t.scenario, warehouse_id, region, category, units_allocated, spilled,
+        sum(CASE WHEN NOT spilled THEN units_allocated ELSE 0 END) OVER (PARTITION BY t.scenario) >= 6 * room - 0.000001 AS optimal
+        FROM tight_plan t JOIN tight USING (scenario)"""),
+)
+def capacity_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spill to the next best lanes where each warehouse can hold a sixth of all units."""
+    return _tight_plan(spark, sf_dir)[1]
+
+
+@query(
+    "d17_tight_service_levels",
+    "region category total_required_units:4 units_allocated:4 fill_rate:4 target_sl_pct:2 breach_flag:b gap_units:4 gap_pct:4 home_wh_units:4 status",
+    _capacity_sql("""SELECT region, category, need AS total_required_units, units AS units_allocated, least(1, units / need) AS fill_rate,
+        target * 100 AS target_sl_pct, least(1, units / need) < target AS breach_flag, greatest(0, need - units) AS gap_units,
+        greatest(0, need - units) * 100 / need AS gap_pct, home_wh_units, CASE WHEN least(1, units / need) < target THEN 'BREACH' ELSE 'OK' END AS status
+        FROM (SELECT p.region, p.category, max(required_units) AS need, sum(units_allocated) AS units, max(target_service_level) AS target,
+                     sum(CASE WHEN warehouse_id = home_warehouse THEN units_allocated ELSE 0 END) AS home_wh_units
+              FROM tight_plan p JOIN home h ON p.region = h.region JOIN terms t ON p.category = t.category
+              WHERE scenario = 'B' GROUP BY p.region, p.category)"""),
+)
+def tight_service_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill rates, gaps and breaches of a plan that capacity cuts short."""
+    n, plan = _tight_plan(spark, sf_dir)
+    return P.service_levels(plan, n.warehouses, n.terms())
+
+
 @query(
     "d10_lane_costs",
     "scenario warehouse_id region category ship_cost_usd:4 holding_cost_usd:4 total_cost_usd:4 carbon_kg:4",
@@ -235,10 +302,14 @@ def safety_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     "region category mean_demand_units:4 safety_stock_units:l total_required_units:4 units_allocated:4 fill_rate:4 target_sl_pct:2 breach_flag:b "
     "gap_units:4 gap_pct:4 home_warehouse home_wh_units:4 home_wh_pct:4 status",
     """SELECT p.region, p.category, max(mean_demand_units) AS mean_demand_units, max(safety_stock_units) AS safety_stock_units,
-              max(required_units) AS total_required_units, sum(units_allocated) AS units_allocated, 1.0 AS fill_rate,
-              max(target_service_level) * 100 AS target_sl_pct, false AS breach_flag, 0.0 AS gap_units, 0.0 AS gap_pct, home_warehouse,
+              max(required_units) AS total_required_units, sum(units_allocated) AS units_allocated,
+              least(1, sum(units_allocated) / max(required_units)) AS fill_rate, max(target_service_level) * 100 AS target_sl_pct,
+              least(1, sum(units_allocated) / max(required_units)) < max(target_service_level) AS breach_flag,
+              greatest(0, max(required_units) - sum(units_allocated)) AS gap_units,
+              greatest(0, max(required_units) - sum(units_allocated)) * 100 / max(required_units) AS gap_pct, home_warehouse,
               sum(CASE WHEN warehouse_id = home_warehouse THEN units_allocated ELSE 0 END) AS home_wh_units,
-              sum(CASE WHEN warehouse_id = home_warehouse THEN units_allocated ELSE 0 END) * 100 / sum(units_allocated) AS home_wh_pct, 'OK' AS status
+              sum(CASE WHEN warehouse_id = home_warehouse THEN units_allocated ELSE 0 END) * 100 / sum(units_allocated) AS home_wh_pct,
+              CASE WHEN least(1, sum(units_allocated) / max(required_units)) < max(target_service_level) THEN 'BREACH' ELSE 'OK' END AS status
        FROM plan p JOIN home h ON p.region = h.region JOIN terms t ON p.category = t.category
        WHERE scenario = 'B' GROUP BY p.region, p.category, home_warehouse""",
 )
