@@ -6,7 +6,8 @@ word's probability is its unit's times its share of the unit in the training cou
 output is factored: a softmax over classes of units and one over the members of the
 class. The recurrent part is a gated recurrent unit, trained by back-propagation through
 windows of ``WINDOW`` steps, with the state carried from window to window within a
-document and reset between documents.
+document and reset between documents
+(and, in training, between the segments of a very long one).
 
 Every training document is learned from, in rounds: each task trains a copy on its share
 of the round's documents, Spark averages the copies weighted by tokens, and the next
@@ -29,6 +30,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,14 +46,16 @@ UNITS = CLASSES * MEMBERS
 #: Units that words without one of their own share, by their last SUFFIX bytes.
 SHARED, SUFFIX = 144, 3
 HIDDEN = 16
-WINDOW, LANES = 20, 128
+WINDOW, LANES = 20, 256
+#: Longest stretch of a document that is trained on with one state.
+SEGMENT = 2048
 #: Shares of the training documents in the rounds, in 1/16; the copies drift least apart while the rounds are short.
 ROUNDS = (1, 3, 12)
 RATE = 0.01
 #: Words whose counts every task holds, at most.
 FREQUENT = 200_000
 #: Distinct words a task counts before it hands them on, and tokens it trains on or scores together.
-COUNTED, STRETCH = 500_000, 400_000
+COUNTED, STRETCH, SCORED = 500_000, 1_000_000, 3_000_000
 END = b""
 
 
@@ -122,18 +126,21 @@ class Lexicon:
         self.own = {word: SHARED + i for i, (word, _) in enumerate(own)}
         self.suffixes: dict[bytes, int] = {}
 
-    def units(self, words: list[bytes]) -> list[int]:
-        found = list(map(self.own.get, words))
-        return [self.shared(w) if u is None else u for w, u in zip(words, found, strict=True)]
+    def units(self, words: list[bytes]) -> np.ndarray:
+        found = np.fromiter(map(self.own.get, words, repeat(-1)), np.int32, len(words))
+        others = np.flatnonzero(found < 0)
+        found[others] = self.shared([words[i] for i in others.tolist()])
+        return found
 
-    def shared(self, word: bytes) -> int:
-        tail = word[-SUFFIX:]
-        unit = self.suffixes.get(tail)
-        if unit is None:
+    def shared(self, words: list[bytes]) -> list[int]:
+        tails = [w[-SUFFIX:] for w in words]
+        units = list(map(self.suffixes.get, tails))
+        if None in units:
             if len(self.suffixes) > 200_000:
                 self.suffixes.clear()
-            unit = self.suffixes[tail] = shared_unit(word)
-        return unit
+            self.suffixes.update((t, shared_unit(t)) for t in set(tails))
+            units = [self.suffixes[t] for t in tails]
+        return units
 
 
 # ---- the network
@@ -169,7 +176,8 @@ def initial(seed: int = 3) -> np.ndarray:
 class Lanes:
     """Whole documents laid end to end in parallel lanes, the longest lane first."""
 
-    def __init__(self, units: list[list[int]], n_lanes: int = LANES):
+    def __init__(self, units: list, n_lanes: int, firsts: np.ndarray | int = UNITS):
+        """``firsts``: the unit before each document."""
         lengths = [len(u) for u in units]
         heap = [(0, i) for i in range(min(n_lanes, len(units)))]
         held: list[list[int]] = [[] for _ in heap]
@@ -178,48 +186,54 @@ class Lanes:
             held[lane].append(doc)
             heapq.heappush(heap, (filled + lengths[doc], lane))
         held.sort(key=lambda docs: -sum(lengths[d] for d in docs))
+        order = [d for docs in held for d in docs]
         self.ends = np.array([sum(lengths[d] for d in docs) for docs in held])
-        shape = (int(self.ends[0]), len(held))
-        self.target, self.before = np.zeros(shape, np.int32), np.zeros(shape, np.int32)
-        self.doc, self.keep = np.full(shape, -1, np.int32), np.ones(shape, np.float32)
-        for lane, docs in enumerate(held):
-            own = np.concatenate([units[d] for d in docs]).astype(np.int32)
-            starts = np.cumsum([0, *[lengths[d] for d in docs]])[:-1]
-            n = len(own)
-            self.target[:n, lane] = own
-            self.before[1:n, lane] = own[:-1]
-            self.before[starts, lane] = UNITS
-            self.keep[starts, lane] = 0
-            self.doc[:n, lane] = np.repeat(docs, [lengths[d] for d in docs])
-
-    def windows(self, steps: int) -> Iterator[tuple[slice, int]]:
-        """Windows of steps with the number of lanes that are still going."""
-        for start in range(0, len(self.target), steps):
-            yield slice(start, min(start + steps, len(self.target))), int((self.ends > start).sum())
-
-
-def run_states(net: dict, before: np.ndarray, keep: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, tuple]:
-    """States after each step of a window, and what going back takes."""
+        self.offsets = np.cumsum(self.ends) - self.ends
+        self.target = np.concatenate([np.asarray(units[d], np.int32) for d in order])
+        self.doc = np.repeat(np.array(order, np.int32), [lengths[d] for d in order])
+        starts = np.flatnonzero(np.diff(self.doc, prepend=-1))
+        self.before = np.roll(self.target, 1)
+        self.before[starts] = firsts if np.isscalar(firsts) else firsts[order]
+        self.keep = np.ones(len(self.doc), np.float32)
+        self.keep[starts] = 0
+
+    def windows(self, steps: int, places: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places (steps x lanes still going) of each window, and which of them lie within their lane.
+
+        Windows grow where few lanes are left, up to so many ``places``.
+        """
+        start, last = 0, int(self.ends[0]) if len(self.ends) else 0
+        while start < last:
+            going = int((self.ends > start).sum())
+            at = np.arange(start, min(start + max(steps, places // going), last))[:, None]
+            yield self.offsets[:going] + np.minimum(at, self.ends[:going] - 1), at < self.ends[:going]
+            start += len(at)
+
+
+def run_states(net: dict, before: np.ndarray, keep: np.ndarray, state: np.ndarray, record: bool = False) -> tuple[np.ndarray, tuple]:
+    """States after each step of a window and, if asked to ``record``, what going back takes."""
     steps, lanes = before.shape
-    gates_in = net["input"][before]
-    out = np.empty((steps, lanes, HIDDEN), gates_in.dtype)
-    old, gates, inner = np.empty_like(out), np.empty_like(gates_in), np.empty_like(out)
-    recurrent, h = net["state"], HIDDEN
+    table, recurrent, h = net["input"], net["state"], HIDDEN
+    out = np.empty((steps, lanes, h), table.dtype)
+    kept = steps if record else 1  # without a record one step's place is used over and over
+    old, gates, inner = np.empty((kept, lanes, h), table.dtype), np.empty((kept, lanes, 3 * h), table.dtype), np.empty((kept, lanes, h), table.dtype)
     resets = (keep == 0).any(axis=1)
     for t in range(steps):
-        state = np.multiply(state, keep[t, :, None], out=old[t]) if resets[t] else state
-        if not resets[t]:
-            old[t] = state
-        from_state = state @ recurrent
-        inner[t] = from_state[:, 2 * h :]
-        gate, fresh = gates[t, :, : 2 * h], gates[t, :, 2 * h :]
-        np.add(gates_in[t, :, : 2 * h], from_state[:, : 2 * h], out=gate)
+        at = t if record else 0
+        if resets[t]:
+            state = np.multiply(state, keep[t, :, None], out=old[at])
+        elif record:
+            old[at] = state
+        into, from_state = table[before[t]], state @ recurrent
+        inner[at] = from_state[:, 2 * h :]
+        gate, fresh = gates[at, :, : 2 * h], gates[at, :, 2 * h :]
+        np.add(into[:, : 2 * h], from_state[:, : 2 * h], out=gate)
         gate *= 0.5  # the logistic function through tanh
         np.tanh(gate, out=gate)
         gate += 1
         gate *= 0.5
-        np.multiply(gate[:, h:], inner[t], out=fresh)
-        fresh += gates_in[t, :, 2 * h :]
+        np.multiply(gate[:, h:], inner[at], out=fresh)
+        fresh += into[:, 2 * h :]
         np.tanh(fresh, out=fresh)
         moved = np.subtract(state, fresh, out=out[t])
         moved *= gate[:, :h]
@@ -228,45 +242,47 @@ def run_states(net: dict, before: np.ndarray, keep: np.ndarray, state: np.ndarra
     return out, (old, gates, inner)
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
+def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials by column, and their sums; scaled so that the largest is one."""
+    logits -= logits.max(axis=0)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
-    return logits
+    return logits, logits.sum(axis=0)
 
 
 def unit_log_probability(net: dict, states: np.ndarray, target: np.ndarray, slopes: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural log-probability of each target; with ``slopes``, also adds those of the mean loss and gives the states'."""
-    order = np.argsort(target, kind="stable")
+    order = np.argsort(target.astype(np.int16), kind="stable")
     kind, member = np.divmod(target[order], MEMBERS)
-    states = states[order]
+    columns = np.ascontiguousarray(states[order].T)
     rows, n = np.arange(len(order)), len(order)
-    classes = _softmax(states @ net["class_w"] + net["class_b"])
-    found, back = classes[rows, kind], None
+    classes, total = _exponentials(net["class_w"].T @ columns + net["class_b"][:, None])
+    found, back = classes[kind, rows] / total, None
     if slopes is not None:
-        classes[rows, kind] -= 1
+        classes /= total
+        classes[kind, rows] -= 1
         classes /= n
-        slopes["class_w"] += states.T @ classes
-        slopes["class_b"] += classes.sum(axis=0)
-        back = classes @ net["class_w"].T
+        slopes["class_w"] += columns @ classes.T
+        slopes["class_b"] += classes.sum(axis=1)
+        back = net["class_w"] @ classes
     borders = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
     for c, (a, b) in enumerate(zip(borders, borders[1:], strict=False)):
         if a == b:
             continue
-        part, own = states[a:b], member[a:b]
-        members = _softmax(part @ net["member_w"][c] + net["member_b"][c])
-        found[a:b] *= members[rows[: b - a], own]
+        part, own = columns[:, a:b], member[a:b]
+        members, total = _exponentials(net["member_w"][c].T @ part + net["member_b"][c][:, None])
+        found[a:b] *= members[own, rows[: b - a]] / total
         if slopes is not None:
-            members[rows[: b - a], own] -= 1
+            members /= total
+            members[own, rows[: b - a]] -= 1
             members /= n
-            slopes["member_w"][c] = part.T @ members
-            slopes["member_b"][c] = members.sum(axis=0)
-            back[a:b] += members @ net["member_w"][c].T
+            slopes["member_w"][c] = part @ members.T
+            slopes["member_b"][c] = members.sum(axis=1)
+            back[:, a:b] += net["member_w"][c] @ members
     out = np.empty(n)
     out[order] = np.log(np.maximum(found, 1e-37))
     if back is not None:
-        undone = np.empty_like(back)
-        undone[order] = back
+        undone = np.empty((n, HIDDEN), back.dtype)
+        undone[order] = back.T
         back = undone
     return out, back
 
@@ -278,22 +294,23 @@ def back_through(net: dict, before: np.ndarray, keep: np.ndarray, kept: tuple, s
     update, reset, fresh = gates[:, :, :h], gates[:, :, h : 2 * h], gates[:, :, 2 * h :]
     stay = 1 - update
     to_fresh = stay * (1 - fresh * fresh)
-    # What a slope of the state is multiplied by on its way into each gate, and by way of the state before.
-    into = np.concatenate([(old - fresh) * update * stay, to_fresh * inner * reset * (1 - reset), to_fresh], axis=2)
+    # What a slope of the state is multiplied by on its way into each gate; the steps turn it into the gates' slopes.
+    into = np.empty_like(gates)
+    np.multiply(old - fresh, update * stay, out=into[:, :, :h])
+    np.multiply(to_fresh * inner, reset * (1 - reset), out=into[:, :, h : 2 * h])
+    into[:, :, 2 * h :] = to_fresh
     recurrent = np.ascontiguousarray(net["state"].T)
-    carried = into.copy()
-    carried[:, :, 2 * h :] *= reset
-    slope = np.empty_like(old)
-    later = np.zeros_like(old[0])
+    by_state, later = np.empty_like(into[0]), np.zeros_like(old[0])
     for t in range(steps - 1, -1, -1):
-        now = np.add(slope_out[t], later, out=slope[t])
-        by_gate = carried[t]
-        by_gate.reshape(-1, 3, h)[:] *= now[:, None, :]
-        later = by_gate @ recurrent
-        later += now * update[t]
+        later += slope_out[t]
+        by_gate = into[t]
+        by_gate.reshape(-1, 3, h)[:] *= later[:, None, :]
+        by_state[:] = by_gate
+        by_state[:, 2 * h :] *= reset[t]
+        slopes["state"] += old[t].T @ by_state
+        later *= update[t]
+        later += by_state @ recurrent
         later *= keep[t, :, None]
-    into.reshape(steps, -1, 3, h)[:] *= slope[:, :, None, :]
-    slopes["state"] += old.reshape(-1, h).T @ carried.reshape(-1, 3 * h)
     flat = before.ravel()
     order = np.argsort(flat, kind="stable")
     first = np.flatnonzero(np.diff(flat[order], prepend=-1))
@@ -308,17 +325,21 @@ class Trainer:
         self.net, self.slope = views(self.flat), np.zeros_like(flat)
         self.slopes, self.first, self.second, self.step, self.tokens = views(self.slope), np.zeros_like(flat), np.zeros_like(flat), 0, 0
 
-    def learn(self, units: list[list[int]]) -> None:
-        lanes = Lanes(units)
+    def learn(self, units: list) -> None:
+        """One pass over documents, as many in parallel as leave some hundred steps.
+
+        Long documents are cut into segments, so that no lane is left alone; the state starts anew there.
+        """
+        cuts = [(u, n) for u in units for n in range(0, len(u), SEGMENT)]
+        firsts = np.array([u[n - 1] if n else UNITS for u, n in cuts], np.int32)
+        lanes = Lanes([u[n : n + SEGMENT] for u, n in cuts], min(max(sum(map(len, units)) // 4000, 32), LANES), firsts)
         state = np.zeros((len(lanes.ends), HIDDEN), np.float32)
-        for at, going in lanes.windows(WINDOW):
-            before, keep = lanes.before[at, :going], lanes.keep[at, :going]
-            out, kept = run_states(self.net, before, keep, state[:going])
-            real = lanes.doc[at, :going] >= 0
+        for at, real in lanes.windows(WINDOW):
+            before, keep = lanes.before[at], lanes.keep[at]
+            out, kept = run_states(self.net, before, keep, state[: at.shape[1]], record=True)
             self.slope[:] = 0
-            _, back = unit_log_probability(self.net, out[real], lanes.target[at, :going][real], self.slopes)
             slope_out = np.zeros_like(out)
-            slope_out[real] = back
+            _, slope_out[real] = unit_log_probability(self.net, out[real], lanes.target[at[real]], self.slopes)
             back_through(self.net, before, keep, kept, slope_out, self.slopes)
             self._adam()
             state = out[-1]
@@ -335,16 +356,14 @@ class Trainer:
         self.flat -= scale * self.first / (np.sqrt(self.second) + 1e-8)
 
 
-def log_probabilities(net: dict, units: list[list[int]]) -> np.ndarray:
+def log_probabilities(net: dict, units: list) -> np.ndarray:
     """Natural log-probability of every document's units, the state carried through each whole document."""
     lanes, total = Lanes(units, 2 * LANES), np.zeros(len(units))
     state = np.zeros((len(lanes.ends), HIDDEN), np.float32)
-    for at, going in lanes.windows(2 * WINDOW):
-        out, _ = run_states(net, lanes.before[at, :going], lanes.keep[at, :going], state[:going])
-        docs = lanes.doc[at, :going]
-        real = docs >= 0
-        found, _ = unit_log_probability(net, out[real], lanes.target[at, :going][real])
-        total += np.bincount(docs[real], found, len(units))
+    for at, real in lanes.windows(WINDOW, 8192):
+        out, _ = run_states(net, lanes.before[at], lanes.keep[at], state[: at.shape[1]])
+        found, _ = unit_log_probability(net, out[real], lanes.target[at[real]])
+        total += np.bincount(lanes.doc[at[real]], found, len(units))
         state = out[-1]
     return total
 
@@ -426,19 +445,16 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
             held, tokens = [], 0
             for doc_id, is_training, text in records(batches, "doc_id", "training", "text"):
                 words = words_of(text)
-                ranks = list(map(lexicon.rank.get, words))
-                rare = [w for w, r in zip(words, ranks, strict=True) if r is None]
-                known = np.array([r for r in ranks if r is not None] if rare else ranks, np.int64)
-                units = np.empty(len(words), np.int32)
-                is_rare = np.array([r is None for r in ranks]) if rare else np.zeros(len(words), bool)
-                units[~is_rare] = lexicon.unit[known]
-                rare_units = [lexicon.shared(w) for w in rare]
-                units[is_rare] = rare_units
+                ranks = np.fromiter(map(lexicon.rank.get, words, repeat(-1)), np.int64, len(words))
+                is_rare = ranks < 0
+                rare, known = [words[i] for i in np.flatnonzero(is_rare).tolist()], ranks[~is_rare]
+                units, rare_units = np.empty(len(words), np.int32), np.array(lexicon.shared(rare), np.int64)
+                units[~is_rare], units[is_rare] = lexicon.unit[known], rare_units
                 base = float(lexicon.log_count[known].sum()) - len(words) * log_all
                 within = float(lexicon.share[known].sum()) - float(lexicon.log_total[rare_units].sum())
                 held.append((doc_id, is_training, len(words), base, within, rare, units))
                 tokens += len(words)
-                if tokens >= STRETCH:
+                if tokens >= SCORED:
                     yield from finished(held)
                     held, tokens = [], 0
             if held:

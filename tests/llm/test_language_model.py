@@ -114,20 +114,19 @@ def test_slopes_equal_differences():
     rng = np.random.default_rng(4)
     docs = [rng.integers(0, lm.UNITS, n).tolist() for n in (9, 4, 6)]
     lanes = Lanes(docs, 2)
-    steps = len(lanes.target)
+    ((at, real),) = lanes.windows(20)
+    before, keep, target = lanes.before[at], lanes.keep[at].astype(float), lanes.target[at[real]]
     start = rng.normal(size=(2, lm.HIDDEN))
-    real = lanes.doc >= 0
 
     def loss(parameters):
-        out, _ = lm.run_states(views(parameters), lanes.before, lanes.keep.astype(float), start)
-        return -unit_log_probability(views(parameters), out[real].astype(float), lanes.target[real])[0].mean()
+        out, _ = lm.run_states(views(parameters), before, keep, start)
+        return -unit_log_probability(views(parameters), out[real], target)[0].mean()
 
     slope = np.zeros_like(flat)
-    out, kept = lm.run_states(net, lanes.before, lanes.keep, start)
-    _, back = unit_log_probability(net, out[real], lanes.target[real], views(slope))
-    slope_out = np.zeros((steps, 2, lm.HIDDEN))
-    slope_out[real] = back
-    lm.back_through(net, lanes.before, lanes.keep, kept, slope_out, views(slope))
+    out, kept = lm.run_states(net, before, keep, start, record=True)
+    slope_out = np.zeros_like(out)
+    _, slope_out[real] = unit_log_probability(net, out[real], target, views(slope))
+    lm.back_through(net, before, keep, kept, slope_out, views(slope))
     big = np.argsort(-np.abs(slope))[:400]
     for i in rng.choice(big, 40, replace=False):
         up, down = flat.copy(), flat.copy()
