@@ -15,9 +15,10 @@ pairs is made:
 
 1. Each class is verified against one hub, the member of its words that shares the most
    words. Verified links merge classes into components.
-2. In words that still hold more than one component, sketches are compared in blocks of
-   bounded size and a spanning forest of the pairs within the bound is verified.
-   This repeats while it merges anything.
+2. Words that still hold more than one component go to the largest of them, the host. What
+   shares such words with a host is compared by sketches, in blocks of bounded size, and a
+   spanning forest of the pairs within the bound is verified. This repeats while it
+   merges anything.
 3. What pairs within the bound still lie in different components are verified all.
 
 After that every pair that could link is verified or lies within one component, so the
@@ -45,9 +46,13 @@ from depotline.session import store
 WORDS = 3
 #: Similarity of 9 / 10: a pair links if RATIO * D <= a + b.
 RATIO = 19
-#: Members of a shared word, or of a hub, that meet in one group.
+#: Members of a hub that are verified in one group.
 GROUP = 1024
+#: Bytes of sketches in a part; two parts are held for comparison with each other.
+SKETCHES = 8 << 20
 MAX_SIZE = 1 << 40
+#: Pairs per member up to which a group gives all its pairs at once; the last pass gives ALL.
+FEW, ALL = 8, 1 << 40
 #: Classes whose texts are wanted (64 bytes each) are broadcast up to this size and joined by shuffle beyond it.
 BROADCAST_BYTES = 8 << 20
 
@@ -191,64 +196,85 @@ def merged(components: DataFrame, links: DataFrame) -> DataFrame:
     between = links.join(side("a"), "a").join(side("b"), "b").where("a_comp != b_comp").select(F.col("a_comp").alias("x"), F.col("b_comp").alias("y"))
     edges = store(between.unionByName(between.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "jaccard-edges")
     labels = store(edges.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("label")), "jaccard-labels")
+    small = edges.count() * 64 <= BROADCAST_BYTES  # labels are no more than edges
+
+    def lookup(of: str, label: str) -> DataFrame:
+        found = labels.select(F.col("x").alias(of), F.col("label").alias(label))
+        return F.broadcast(found) if small else found
+
     while True:
-        # The smallest label among the neighbours, then the label of that label.
-        near = edges.join(labels.select(F.col("x").alias("y"), "label"), "y").groupBy("x").agg(F.min("label").alias("near"))
-        lower = labels.join(near, "x").select("x", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("x").alias("label"), F.col("label").alias("next"))
-        after = store(lower.join(jump, "label", "left").select("x", "old", F.least("label", F.coalesce("next", "label")).alias("label")), "jaccard-labels")
+        # The smallest label among the neighbours and its own, then the label of that label.
+        spread = edges.join(lookup("y", "label"), "y").select("x", "label", F.lit(None).cast("bigint").alias("own"))
+        lower = spread.unionByName(labels.withColumn("own", F.col("label"))).groupBy("x").agg(F.min("label").alias("label"), F.max("own").alias("old"))
+        after = store(lower.join(lookup("label", "next"), "label", "left").select("x", "old", F.least("label", F.coalesce("next", "label")).alias("label")), "jaccard-labels")
         labels = after.select("x", "label")
-        if not after.where("label != old").limit(1).count():
+        if after.where("label != old").isEmpty():
             break
     renamed = labels.select(F.col("x").alias("comp"), F.col("label").alias("new"))
     return store(components.join(renamed, "comp", "left").select("id", F.coalesce("new", "comp").alias("comp")), "jaccard-components")
 
 
-def sketch_pairs(shared: DataFrame, components: DataFrame, stored: DataFrame, forest: bool) -> DataFrame:
-    """``a``, ``b``: pairs of different components that share a word and whose sketches are within the bound.
+def open_words(shared: DataFrame, components: DataFrame) -> DataFrame:
+    """Rows of ``shared`` in words that hold more than one component, with the word's ``host``, its largest component."""
+    own = Window.partitionBy("key")
+    sizes = components.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
+    rows = shared.join(components, "id").join(sizes, "comp")
+    marked = rows.select("*", F.min("comp").over(own).alias("low"), F.max(F.struct("size", "comp")).over(own).alias("largest"), F.max("comp").over(own).alias("high"))
+    return marked.where("low < high").select("key", "band", "id", "comp", F.col("largest.comp").alias("host"))
+
+
+def sketch_pairs(words: DataFrame, stored: DataFrame, few: int) -> DataFrame:
+    """``host``, ``band``, ``a``, ``b``, ``whole``: pairs of different components whose sketches are within the bound.
 
-    With ``forest``, only as many of them as connect what they connect within a group.
+    Everything that shares open words with one host meets in one group, so a sketch is sent
+    there once, however many words it shares. A group of more than ``few`` pairs per
+    member gives only as many as connect what all would, and is not ``whole``.
     """
-    own = Window.partitionBy("key")
-    open_words = shared.join(components, "id").select("*", F.min("comp").over(own).alias("low"), F.max("comp").over(own).alias("high"), F.count(F.lit(1)).over(own).alias("n"))
-    open_words = open_words.where("low < high").select("key", "band", "id", "comp", F.ceil(F.col("n") / GROUP).alias("parts"))
-    # A word with many members is dealt into parts, and every two parts meet in one group.
-    dealt = open_words.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    # A group with many members is dealt into parts, and every two parts meet.
+    members = words.select("host", "band", "id", "comp").distinct()
+    sketch_bytes = F.element_at(F.array(*[F.lit(8 * band_difference(band) + 8) for band in range(len(BANDS) - 1)]), F.col("band") + 1)
+    sized = members.join(members.groupBy("host", "band").agg(F.ceil(F.count(F.lit(1)) * sketch_bytes / SKETCHES).alias("parts")), ["host", "band"])
+    dealt = sized.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
     sketches = stored.where("id is not null").groupBy("id").agg(F.max(F.struct("n_shingles", "band", "own", "up")).alias("set"))
     met = dealt.join(sketches, "id").select(
-        "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "comp", F.col("set.n_shingles").alias("size"),
+        "host", "band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "comp", F.col("set.n_shingles").alias("size"),
         F.when(F.col("set.band") == F.col("band"), F.col("set.own")).otherwise(F.col("set.up")).alias("sketch"),
     )
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    schema = pa.schema([("host", pa.int64()), ("band", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("whole", pa.bool_())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def groups():
             held, name = [], None
-            for key, i, j, *row in records(batches, "key", "i", "j", "part", "id", "comp", "size", "sketch"):
-                if (key, i, j) != name:
-                    if held:
-                        yield held
-                    held, name = [], (key, i, j)
-                held.append((i == j, *row))
+            for batch in batches:
+                sketches = batch.column(batch.schema.get_field_index("sketch"))
+                for n, (host, band, i, j, *row) in enumerate(records([batch], "host", "band", "i", "j", "part", "id", "comp", "size")):
+                    if (host, band, i, j) != name:
+                        if held:
+                            yield name, held
+                        held, name = [], (host, band, i, j)
+                    held.append((i == j, *row, sketches[n].values.to_numpy()))
             if held:
-                yield held
+                yield name, held
 
         def rows():
-            for held in groups():
-                for pair in close_pairs(held, forest):
-                    yield pair, 16
+            for (host, band, _, _), held in groups():
+                for pair in close_pairs(held, few):
+                    yield (host, band, *pair), 32
 
         return emit(rows(), schema)
 
-    return met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id").mapInArrow(run, "a bigint, b bigint").distinct()
+    group = ["host", "band", "i", "j"]
+    return met.repartition(*group).sortWithinPartitions(*group, "id").mapInArrow(run, "host bigint, band int, a bigint, b bigint, whole boolean")
 
 
-def close_pairs(held: list[tuple], forest: bool) -> Iterator[tuple[int, int]]:
-    """Pairs of a group whose components differ and whose sketches allow a link."""
+def close_pairs(held: list[tuple], few: int) -> Iterator[tuple[int, int, bool]]:
+    """Pairs of a group whose components differ and whose sketches allow a link, all of them or a spanning forest."""
     alone = held[0][0]
     part, ids, comps, sizes = (np.array([row[k] for row in held], np.int64) for k in range(1, 5))
-    words = np.array([row[5] for row in held], np.int64).view(np.uint64)
+    words = np.stack([row[5] for row in held]).view(np.uint64)
     root: dict[int, int] = {}
+    found: list[tuple[int, int]] = []
+    forest: list[tuple[int, int]] = []
 
     def find(x: int) -> int:
         while root.get(x, x) != x:
@@ -256,21 +282,24 @@ def close_pairs(held: list[tuple], forest: bool) -> Iterator[tuple[int, int]]:
         return x
 
     for n in range(len(ids)):
-        later = slice(n + 1, None)
-        may = comps[later] != comps[n]
+        may = comps[n + 1 :] != comps[n]
         if not alone:
-            may &= part[later] != part[n]
+            may &= part[n + 1 :] != part[n]
         at = np.flatnonzero(may) + n + 1
         if not len(at):
             continue
         distance = np.bitwise_count(words[at] ^ words[n]).sum(axis=1, dtype=np.int64)
         for m in at[RATIO * distance <= sizes[at] + sizes[n]].tolist():
-            if forest:
-                x, y = find(int(comps[n])), find(int(comps[m]))
-                if x == y:
-                    continue
+            pair = int(ids[n]), int(ids[m])
+            if len(found) <= few * len(ids):
+                found.append(pair)
+            x, y = find(int(comps[n])), find(int(comps[m]))
+            if x != y:
                 root[max(x, y)] = min(x, y)
-            yield int(ids[n]), int(ids[m])
+                forest.append(pair)
+    whole = len(found) <= few * len(ids)
+    for a, b in found if whole else forest:
+        yield a, b, whole
 
 
 def components(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -285,17 +314,22 @@ def components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     shared = store(shared_words(stored), "jaccard-words")
     united = store(shared.select("id", F.col("id").alias("comp")).distinct(), "jaccard-components")
     united = merged(united, store(verified(docs, classes, store(hub_pairs(shared), "jaccard-pairs"), words), "jaccard-links"))
-    forest = True
+    rows, few = shared, FEW
     while True:
-        pairs = store(sketch_pairs(shared, united, stored, forest), "jaccard-pairs")
-        links = store(verified(docs, classes, pairs, words), "jaccard-links") if pairs.limit(1).count() else None
-        if links is not None and links.limit(1).count():
+        words_open = store(open_words(rows, united), "jaccard-open")
+        pairs = store(sketch_pairs(words_open, stored, few), "jaccard-pairs")
+        if pairs.isEmpty():
+            break
+        links = store(verified(docs, classes, pairs.select("a", "b").distinct(), words), "jaccard-links")
+        # A group is done if all its pairs were given, or if those given connect what all would.
+        failed = pairs.where("NOT whole").join(links, ["a", "b"], "left_anti").select("host", "band").distinct()
+        rows = store(words_open.join(failed, ["host", "band"], "left_semi").select("key", "band", "id"), "jaccard-words")
+        some = not links.isEmpty()
+        if some:
             united = merged(united, links)
-        elif forest:
-            forest = False
-            continue
-        if not forest:
+        if rows.isEmpty():
             break
+        few = few if some else ALL
     named = classes.join(united, "id", "left").select("id", "least", F.coalesce("comp", "id").alias("group"))
     smallest = named.groupBy("group").agg(F.min("least").alias("component_id"))
     of_class = named.join(smallest, "group").select(F.col("id").alias("class_id"), "group", "component_id")

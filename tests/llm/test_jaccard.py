@@ -80,9 +80,11 @@ def test_documents(spark, sf_dir):
     assert result(op6_jaccard_join(spark, sf_dir)) == brute(rows)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_near_copies(frame, monkeypatch, seed):
+@pytest.mark.parametrize(("seed", "few"), [(1, 8), (2, 0)])
+def test_near_copies(frame, monkeypatch, seed, few):
     monkeypatch.setattr(jaccard, "GROUP", 4)
+    monkeypatch.setattr(jaccard, "SKETCHES", 100)
+    monkeypatch.setattr(jaccard, "FEW", few)
     rows = near_copies(seed)
     want = brute(rows)
     assert len({c for _, _, c in want}) < len(rows)
