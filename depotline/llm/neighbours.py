@@ -106,6 +106,14 @@ def build_index(vectors: DataFrame, centres: np.ndarray, turn: np.ndarray) -> Da
     return vectors.mapInArrow(run, f"vec_id bigint, vector {kind}, list int, code binary, length double, match double")
 
 
+def inner_products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """In double precision, component after component, so that equal vectors score alike wherever they lie."""
+    out = np.zeros(len(vectors))
+    for column, x in zip(vectors.T, query, strict=True):
+        out += column * x
+    return out
+
+
 class Block:
     """Codes and vectors of one block, ready for queries."""
 
@@ -134,7 +142,7 @@ class Block:
         hopeful = others & (estimate + slack >= floor[:, None])
         for i, query_id in enumerate(query_ids):
             at = np.flatnonzero(hopeful[i])
-            scores = (self.vectors[at] * queries[i]).sum(axis=1)  # row by row alike, so equal vectors score alike
+            scores = inner_products(self.vectors[at], queries[i])
             best = np.lexsort((self.ids[at], -scores))[:k]
             yield int(query_id), self.ids[at][best], scores[best]
 
@@ -196,7 +204,18 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int = PR
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-@query("op10_nearest_neighbours")
+# Brute force over all pairs; the search has to find the same rows on tables of this size.
+_SQL = """WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.e, c.e) DESC, c.vec_id) AS rank
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0) WHERE rank <= 20"""
+
+
+@query("op10_nearest_neighbours", _SQL)
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = valid_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return search(vectors, vectors.where(F.col("vec_id") % 20 == 0))

@@ -160,7 +160,28 @@ def listed(spans: Column) -> Column:
 
 
 
-@query("op9_secret_scans")
+def _check_sql() -> str:
+    """The same spans from pieces and matches of each rule, over every text and without a ledger."""
+    found = " UNION ALL ".join(
+        f"""SELECT doc_id, '{r.kind}' AS kind, {i} AS place, start, start + length(match) AS stop FROM (
+              SELECT doc_id, unnest(matches) AS match, unnest(vals) AS val, unnest(list_transform(range(1, len(matches) + 1),
+                       lambda i: coalesce(list_sum(list_transform(pieces[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(matches[1:i - 1], lambda x: length(x))), 0))) AS start
+              FROM (SELECT doc_id, regexp_split_to_array(t, {p}) AS pieces, regexp_extract_all(t, {p}, 0) AS matches, regexp_extract_all(t, {p}, {r.value_group}) AS vals FROM d))
+            WHERE length(val) >= {r.least}"""
+        for i, r in enumerate(RULES)
+        for p in ["'" + r.pattern.replace("'", "''") + "'"]
+    )
+    base = ", ".join(f"'{kind}'" for kind in BASE_KINDS)
+    counts = ", ".join(f"count(kind) FILTER (WHERE kind = '{kind}') AS n_{kind}" for kind in BASE_KINDS)
+    order = "',' ORDER BY start, place"
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+      s AS (SELECT *, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM ({found}))
+      SELECT d.doc_id, {counts}, sha256(coalesce(string_agg(span, {order}) FILTER (WHERE kind IN ({base})), '')) AS base_sha256,
+             coalesce(string_agg(span, {order}), '') AS spans
+      FROM d LEFT JOIN s ON d.doc_id = s.doc_id GROUP BY d.doc_id"""
+
+
+@query("op9_secret_scans", _check_sql())
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = documents(spark, sf_dir).select(F.col("doc_id").alias("path"), "text")
     found, _ = scan(versions)
