@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import Pipeline
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from depotline.functions.calendar import iso_year_week
-from depotline.operators import enrich, evaluation as E, inventory as I, marts, planning as P, weekly as W
+from depotline.operators import enrich, evaluation as E, forecasting as M, inventory as I, marts, planning as P, weekly as W
 from depotline.operators.lanes import add_carbon
 from depotline.session import store
 from depotline.sources import bridge, catalog, readers
@@ -159,3 +160,32 @@ class Network:
             "cost_summary": marts.cost_summary(self.stored_plan, base),
             "carbon_summary": marts.carbon_summary(self.stored_plan, base),
         }
+
+
+class ModelNetwork(Network):
+    """The same plan from a fitted model instead of persistence.
+
+    Forecast, interval and residual spread come from the model, and with them safety
+    stock, requirements, allocation and marts. The spread is that of the model's own history.
+    """
+
+    #: What to fit; boosted trees with the default rounds unless set.
+    pipeline: Pipeline | None = None
+
+    @cached_property
+    def stored_features(self) -> DataFrame:
+        """Weekly rows with the features a future week can have."""
+        last = self.stored_weekly.agg(F.max("week_start")).scalar()
+        return store(enrich.add_velocity(enrich.add_short_features(enrich.add_epoch_features(self.stored_weekly)), last), "features")
+
+    @cached_property
+    def fitted(self) -> M.FittedForecast:
+        return M.fit(self.stored_features, self.pipeline or M.boosted_trees(M.FORWARD_FEATURES), M.FORWARD_FEATURES)
+
+    def residuals(self) -> DataFrame:
+        known = self.fitted.predict(M.complete_rows(self.stored_features, M.FORWARD_FEATURES))
+        return E.with_residual(known).select("week_start", *W.SEGMENT, E.TARGET, "predicted_units", "residual")
+
+    def forecast(self) -> DataFrame:
+        forward = E.add_interval(M.forward_forecast(self.fitted, self.stored_features), self.residual_stats())
+        return forward.withColumn("year_week", iso_year_week(forward["week_start"]))

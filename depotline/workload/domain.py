@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from depotline.operators import evaluation as E, inventory as I, lanes as L, planning as P, reports, segments as G, valuation as V
-from depotline.plans.network import Network
+from depotline.operators import evaluation as E, forecasting as M, inventory as I, lanes as L, planning as P, reports, segments as G, valuation as V
+from depotline.plans.network import ModelNetwork, Network
 from depotline.session import store
 from depotline.sources import bridge
 from depotline.workload.registry import query
@@ -195,6 +195,25 @@ def tight_service_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.service_levels(plan, n.warehouses, n.terms())
 
 
+def _model_network(spark: SparkSession, sf_dir: str) -> ModelNetwork:
+    n = ModelNetwork.from_benchmark(spark, sf_dir)
+    n.pipeline = M.linear_model(M.FORWARD_FEATURES)
+    return n
+
+
+@query("d21_model_interval", "week_start:d region category predicted_units:2 predicted_units_lower:2 predicted_units_upper:2")
+def model_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forward forecast of a fitted model with the interval of its own residuals; the persistence variant is checked."""
+    return _model_network(spark, sf_dir).forecast()
+
+
+@query("d11_model_scenarios", "scenario total_units:2 total_cost_usd:2 total_carbon_kg:2 segments_meeting_sl:l service_level_pct:2")
+def model_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scenarios of a plan whose requirements come from a fitted model."""
+    n = _model_network(spark, sf_dir)
+    return P.scenario_summary(n.plan(), n.terms())
+
+
 @query(
     "d10_lane_costs",
     "scenario warehouse_id region category ship_cost_usd:4 holding_cost_usd:4 total_cost_usd:4 carbon_kg:4",

@@ -11,6 +11,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from depotline.operators import enrich, evaluation as E, forecasting as M, retrieval as R, statistics as T
+from depotline.plans.network import ModelNetwork, Network
 
 MONDAY = dt.date(2023, 1, 2)
 
@@ -118,6 +119,16 @@ def test_models_beat_a_flat_forecast(table):
     assert importance.agg(F.sum("importance_pct")).first()[0] == pytest.approx(100.0)
 
 
+def test_a_model_reaches_the_plan(spark, sf_dir):
+    n = ModelNetwork.from_benchmark(spark, sf_dir)
+    n.pipeline = M.linear_model(M.FORWARD_FEATURES)
+    by_model = {(r.region, r.category): r.required_units for r in n.requirements().collect()}
+    plain = {(r.region, r.category): r.required_units for r in Network.from_benchmark(spark, sf_dir).requirements().collect()}
+    assert by_model.keys() == plain.keys() and all(v > 0 for v in by_model.values()) and by_model != plain
+    served = n.plan().groupBy("scenario").agg(F.sum("units_allocated").alias("u")).collect()
+    assert len(served) == 3 and all(r.u == pytest.approx(sum(by_model.values())) for r in served)
+
+
 def test_young_segments_are_forecast_too(table):
     fitted = M.fit(table, M.linear_model(M.FORWARD_FEATURES), M.FORWARD_FEATURES)
     newest = table.agg(F.max("week_start")).first()[0]
