@@ -37,9 +37,9 @@ SAMPLE = 20_000
 HIDDEN, EPOCHS, DECAY = 32, 60, 1e-4
 THRESHOLD = 0.7
 #: Words whose terms each Python worker remembers.
-KNOWN = 500_000
+KNOWN = 250_000
 #: Tokens that are counted at a time.
-STRETCH = 1 << 20
+STRETCH = 1 << 18
 
 _CLASSES = bytes(
     ord("X") if 65 <= c <= 90 else ord("x") if 97 <= c <= 122 or c >= 128 else ord("9") if 48 <= c <= 57 else c for c in range(256)
