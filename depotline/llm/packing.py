@@ -46,8 +46,8 @@ from depotline.session import store
 
 WINDOW = 2048
 END_ID = 1
-#: Words whose ids each Python worker holds (and half as many pieces of words), none of them longer than LONGEST bytes.
-WORDS = 600_000
+#: Words whose ids each Python worker holds in each of two generations (and pieces of words), none of them longer than LONGEST bytes.
+WORDS = 250_000
 LONGEST = 64
 #: Sources with a smaller share of the tokens than one in so many share a queue.
 QUEUES = 256
@@ -97,6 +97,7 @@ class WordEncoder:
         # Fixed value: the pattern of the tokenizer for lower-case Latin-1.
         self.split = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^\sa-z0-9\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xdf-\xf6\xf8-\xff]+").findall
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
@@ -110,10 +111,10 @@ class WordEncoder:
     def _word(self, word: bytes) -> bytes:
         known = self.words.get(word)
         if known is None:
-            known = self._fresh(word.decode())
+            known = self.older.get(word) or self._fresh(word.decode())
             if len(word) <= LONGEST:
                 if len(self.words) >= WORDS:
-                    self.words.clear()
+                    self.older, self.words = self.words, {}
                 self.words[word] = known
         return known
 
@@ -126,7 +127,7 @@ class WordEncoder:
         body = piece.encode()
         ids = b"".join([self.id_of[rank] for rank in self.merge(body[:-1] + self.MARK + body[-1:])])
         if len(body) <= LONGEST:
-            if len(self.pieces) >= WORDS // 2:
+            if len(self.pieces) >= WORDS:
                 self.pieces.clear()
             self.pieces[piece] = ids
         return ids
@@ -237,8 +238,10 @@ def queue_table(stored: DataFrame, targets: dict[str | None, float] | None) -> t
     return offsets.select("block", "source", "queue", (F.col("begin") + F.col("inside")).alias("offset")), sizes, weights
 
 
-def pack(docs: DataFrame, path: str, targets: dict[str | None, float] | None = None, window: int = WINDOW) -> DataFrame:
-    """Pieces of all documents: where each lies in its document and in which sequence at which offset, with its ids.
+def pack(docs: DataFrame, path: str, targets: dict[str | None, float] | None = None, window: int = WINDOW, with_ids: bool = True) -> DataFrame:
+    """Pieces of all documents: where each lies in its document and in which sequence at which offset.
+
+    With the checksum of its ids and, unless only the layout is wanted, the ids (little-endian unsigned 32-bit integers).
 
     ``path`` names a tokenizer file that every executor can open, with ids below 65,536.
     ``targets`` gives weights by source; sources of equal weight are served at equal rates
@@ -265,7 +268,7 @@ def pack(docs: DataFrame, path: str, targets: dict[str | None, float] | None = N
                 n = len(ids) // 4
                 for start, length, sequence, offset in mixture.pieces(queue, begin, n):
                     piece = ids[4 * start : 4 * (start + length)]
-                    yield (doc_id, start, length, n, sequence, offset, zlib.crc32(piece), piece), 64 + 4 * length
+                    yield (doc_id, start, length, n, sequence, offset, zlib.crc32(piece), piece if with_ids else None), 64 + 4 * length * with_ids
 
         return emit(rows(), schema)
 
@@ -275,7 +278,7 @@ def pack(docs: DataFrame, path: str, targets: dict[str | None, float] | None = N
 
 def packed(docs: DataFrame) -> DataFrame:
     """One row per piece, as the contract of the query names its columns."""
-    pieces = pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    pieces = pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
