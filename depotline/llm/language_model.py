@@ -45,7 +45,7 @@ CLASSES, MEMBERS = 24, 24
 UNITS = CLASSES * MEMBERS
 #: Units that words without one of their own share, by their last SUFFIX bytes.
 SHARED, SUFFIX = 144, 3
-HIDDEN = 16
+HIDDEN = 14
 WINDOW, LANES = 20, 256
 #: Longest stretch of a document that is trained on with one state.
 SEGMENT = 2048
@@ -55,7 +55,7 @@ RATE = 0.01
 #: Words whose counts every task holds, at most.
 FREQUENT = 200_000
 #: Distinct words a task counts before it hands them on, and tokens it trains on or scores together.
-COUNTED, STRETCH, SCORED = 500_000, 1_000_000, 3_000_000
+COUNTED, STRETCH, SCORED = 900_000, 1_000_000, 3_000_000
 END = b""
 
 
@@ -376,7 +376,7 @@ def train(docs: DataFrame, lexicon: Lexicon, seed: int = 3) -> np.ndarray:
     width = 64
     columns = [f"p{i}" for i in range(width)]
     flat = initial(seed)
-    fold, low = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(sum(ROUNDS))), 0
+    fold, low = F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.length("text")), F.lit(sum(ROUNDS))), 0
     for share in ROUNDS:
         start = flat
 
