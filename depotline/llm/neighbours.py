@@ -9,11 +9,14 @@ precision from the originals; the rest can't be among the k best unless the boun
 which ``EPSILON`` standard deviations make rare.
 
 Lists are the cells of a coarse k-means, fitted on a bounded sample; every row is
-indexed. A query visits the ``probes`` lists that promise most, all of them while there
-are no more than that. A list is split into blocks of bounded size, so that a vector
-that a third of all rows hold only makes more blocks. Blocks and the queries that visit
-them meet in one shuffle; within a task the codes of one block are held and queries
-stream past. What a block gives a query is k rows, and the k best of those are kept.
+indexed. A query first visits the ``probes`` lists that promise most. The k-th best score
+found there is its floor, and it then visits every other list that can hold as much: by
+Cauchy-Schwarz no vector of a list scores more than the query's product with the centre
+plus its length times the largest residual of the list. So no list is left out by
+count, whatever the table's size. A list is split into blocks of bounded size, so that a
+vector that a third of all rows hold only makes more blocks. Blocks and the queries that
+visit them meet in one shuffle; within a task the codes of one block are held and queries
+stream past. What a block gives a query is the k best rows that reach its floor.
 
 Vectors take no part if they are null, all zero, hold null or non-finite components, or
 have a dimension other than the most common one, or a null id. Rows with the query's
@@ -31,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from depotline.llm.registry import query
+from depotline.session import store
 
 EPSILON = 2.5
 #: Rows that the coarse cells are fitted on.
@@ -38,8 +42,10 @@ SAMPLE = 16_384
 #: Rows to a list, and the largest number of lists.
 LIST_ROWS = 16_384
 MAX_LISTS = 2048
-#: Lists a query visits.
+#: Lists a query visits before its floor is known.
 PROBES = 32
+#: Numbers of blocks in a batch of queries.
+VISITS = 1 << 20
 #: Rows whose codes and vectors a task holds.
 BLOCK_ROWS = 4096
 QUERY_ROWS = 256
@@ -132,14 +138,14 @@ class Block:
         self.centre = centres[rows.column("list")[0].as_py()]
         self.turn = turn
 
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """For each query its id, and ids and scores of its k best here."""
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each query its id, and ids and scores of its k best here that score ``least`` or more."""
         estimate = (self.signs @ (queries @ self.turn).astype(np.float32).T).T * self.scale + (queries @ self.centre)[:, None]
         slack = np.sqrt((queries**2).sum(1))[:, None] * (self.slack + 1e-6 * (self.length + 1.0))  # and the rounding of single precision
         others = query_ids[:, None] != self.ids
         lower = np.where(others, estimate - slack, -np.inf)
         floor = np.partition(lower, -k, axis=1)[:, -k] if lower.shape[1] > k else np.full(len(queries), -np.inf)
-        hopeful = others & (estimate + slack >= floor[:, None])
+        hopeful = others & (estimate + slack >= np.maximum(floor, least)[:, None])
         for i, query_id in enumerate(query_ids):
             at = np.flatnonzero(hopeful[i])
             scores = inner_products(self.vectors[at], queries[i])
@@ -156,26 +162,44 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int = PR
     turn = rotation(first.d, seed)
     centres = fit_cells(vectors, min(MAX_LISTS, -(-n // LIST_ROWS)), seed)
     index = build_index(vectors, centres, turn)
-    counts = {r["list"]: r["count"] for r in index.groupBy("list").count().collect()}  # MAX_LISTS rows at most
-    blocks = [max(1, -(-counts.get(i, 0) // BLOCK_ROWS)) for i in range(len(centres))]
+    sized = {r["list"]: r for r in index.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("radius")).collect()}  # MAX_LISTS rows at most
+    blocks = [-(-sized[i].n // BLOCK_ROWS) if i in sized else 0 for i in range(len(centres))]
     firsts = [sum(blocks[:i]) for i in range(len(blocks))]
+    radius = np.array([sized[i].radius if i in sized else 0.0 for i in range(len(centres))])
     size_of = F.element_at(F.array(*map(F.lit, blocks)), F.col("list") + 1)
     first_of = F.element_at(F.array(*map(F.lit, firsts)), F.col("list") + 1)
     kind = dict(vectors.dtypes)["vector"]
-    stored = index.select((first_of + F.pmod(F.xxhash64(F.lit(seed), "vec_id", "vector"), size_of)).cast("int").alias("block"), F.lit(0).alias("part"), "vec_id", "vector", "list", "code", "length", "match")
+    stored = index.select((first_of + F.pmod(F.xxhash64(F.lit(seed), "vec_id", "vector"), size_of)).cast("int").alias("block"), F.lit(0).alias("part"), "vec_id", "vector", "list", "code", "length", "match", F.lit(None).cast("double").alias("least"))
     dimension = first.d
 
-    def visits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def chosen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             promise = _matrix(batch.column(1), dimension) @ centres.T
-            chosen = np.argsort(-promise, axis=1, kind="stable")[:, :probes]
-            visited = [[b for c in row for b in range(firsts[c], firsts[c] + blocks[c])] for row in chosen.tolist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(visited, pa.list_(pa.int32()))], names=["vec_id", "vector", "blocks"])
+            lists = np.argsort(-promise, axis=1, kind="stable")[:, :probes].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lists.tolist(), pa.list_(pa.int32()))], names=["vec_id", "vector", "lists"])
+
+    def visits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Without a floor the chosen lists, with one all others that can reach it."""
+        rows = max(1, VISITS // max(1, sum(blocks)))
+        for batch in (whole.slice(start, rows) for whole in batches for start in range(0, whole.num_rows, rows)):
+            points = _matrix(batch.column(1), dimension)
+            promise, lengths = points @ centres.T, np.sqrt((points**2).sum(1))[:, None]
+            bound = promise + lengths * (radius + 1e-9 * (radius + np.sqrt((centres**2).sum(1))))  # and the rounding
+            visited = []
+            for i, (seen, least) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                lists = seen if least is None else sorted(set(np.flatnonzero(bound[i] >= least).tolist()).difference(seen))
+                visited.append([b for c in lists for b in range(firsts[c], firsts[c] + blocks[c])])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(visited, pa.list_(pa.int32())), batch.column(3)], names=["vec_id", "vector", "blocks", "least"])
 
-    asked = queries.groupBy("vec_id").agg(F.min("vector").alias("vector")).mapInArrow(visits, f"vec_id bigint, vector {kind}, blocks array<int>")
     none = F.lit(None)
-    asked = asked.select(F.explode("blocks").alias("block"), F.lit(1).alias("part"), "vec_id", "vector", none.cast("int").alias("list"), none.cast("binary").alias("code"), none.cast("double").alias("length"), none.cast("double").alias("match"))
-    met = stored.unionByName(asked).repartition("block").sortWithinPartitions("block", "part", "vec_id")
+
+    def meeting(asked: DataFrame) -> DataFrame:
+        """Scores of the queries ``asked`` (vec_id, vector, lists, least) in the blocks they visit."""
+        visiting = asked.select("vec_id", "vector", "lists", "least").mapInArrow(visits, f"vec_id bigint, vector {kind}, blocks array<int>, least double")
+        askers = visiting.select(F.explode("blocks").alias("block"), F.lit(1).alias("part"), "vec_id", "vector", none.cast("int").alias("list"), none.cast("binary").alias("code"), none.cast("double").alias("length"), none.cast("double").alias("match"), "least")
+        met = stored.unionByName(askers).repartition("block").sortWithinPartitions("block", "part", "vec_id")
+        return met.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
+
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,13 +219,25 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int = PR
                     block, held = Block(held, centres, turn), []
                 for start in range(low, high, QUERY_ROWS) if block else ():
                     part_rows = batch.slice(start, min(QUERY_ROWS, high - start))
-                    found = list(block.search(part_rows.column(2).to_numpy(), _matrix(part_rows.column(3), dimension), k))
+                    least = part_rows.column(8).fill_null(-np.inf).to_numpy()
+                    found = list(block.search(part_rows.column(2).to_numpy(), _matrix(part_rows.column(3), dimension), least, k))
                     ids = np.concatenate([np.full(len(f[1]), f[0], np.int64) for f in found])
                     yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate([f[1] for f in found]), pa.int64()), pa.array(np.concatenate([f[2] for f in found]))], schema=schema)
 
-    found = met.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    asked = queries.groupBy("vec_id").agg(F.min("vector").alias("vector")).mapInArrow(chosen, f"vec_id bigint, vector {kind}, lists array<int>")
+    if len(centres) <= probes:
+        return ranked(meeting(asked.withColumn("least", none.cast("double"))))
+    asked = store(asked, "neighbours-queries")
+    near = store(ranked(meeting(asked.withColumn("least", none.cast("double")))), "neighbours-near")
+    # A query with fewer than k rows so far has no floor yet: everything reaches it.
+    floors = near.where(F.col("rank") == k).select(F.col("query_id").alias("of"), "score")
+    others = asked.join(floors, asked["vec_id"] == floors["of"], "left").withColumn("least", F.coalesce("score", F.lit(float("-inf"))))
+    return ranked(near.drop("rank").unionByName(meeting(others)))
 
 
 # Brute force over all pairs; the search has to find the same rows on tables of this size.

@@ -52,6 +52,23 @@ def test_several_lists_and_blocks(spark, monkeypatch):
     assert recall(found(search(vectors, vectors.where("vec_id % 20 = 0"), probes=3)), brute(rows)) > 0.9
 
 
+def test_more_lists_than_probes(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LIST_ROWS", 20)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(np.float32(x)) for x in rng.standard_normal(24)]) for i in range(2000)]
+    vectors = valid_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(3))
+    got = found(search(vectors, vectors.where("vec_id % 20 = 0"), probes=4))
+    assert recall(got, brute(rows)) > 0.99 and all(len(near) == 20 for near in got.values())
+
+
+def test_fewer_rows_in_the_first_lists_than_wanted(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LIST_ROWS", 4)
+    rows = [(i, [float(i % 7), 1.0, float(i % 3)]) for i in range(60)]
+    vectors = valid_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"))
+    got = found(search(vectors, vectors.where("vec_id % 20 = 0"), probes=1))
+    assert got == brute(rows)
+
+
 def test_a_common_vector_ties_and_unsound_rows(spark, table):
     same = [0.5, -1.0, 2.0]
     rows = [(i, same) for i in range(100)] + [(100, [1.0, 0.0, 0.0]), (101, [3.0, 3.0, 3.0])]
