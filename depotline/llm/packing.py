@@ -2,12 +2,13 @@
 
 Every source is a queue of its documents' tokens, end to end. Serving the queues by
 weighted deficit round-robin gives a queue, after any number of windows, its share of
-all tokens served so far; what a window gives too much or too little (under one token) is
-the deficit carried into the next. That running total has a closed form: with weight g
-and N tokens in a queue it is ``min(N, g * u)`` at the level ``u`` where the totals add up
-to the tokens of all windows so far, rounded by largest remainder. When a queue runs dry,
-the others go on in proportion. So a window's pieces follow from the totals of the
-queues and the place of a document in its queue, without a pass over earlier windows:
+all tokens served so far; what a window gives too much or too little is the deficit
+carried into the next. In closed form: token j of a queue of weight g is due at the level
+``(j + 0.5) / g``, and a window takes the next tokens in the order of (level, queue). Its
+border is found by bisection; as the order is one for all windows, no total ever falls.
+When a queue runs dry, the others go on in proportion. So a window's pieces follow from
+the totals of the queues and the place of a document in its queue, without a pass over
+earlier windows:
 deficits are carried across partitions by one running sum over (block, source) totals.
 
 Every window but the last is full, and every window holds all queues in proportion. The
@@ -168,19 +169,31 @@ class Mixture:
         self.served_at = np.minimum(self.sizes, np.outer(self.levels, self.weights)).sum(axis=1)
         self.chunk = lru_cache(maxsize=16)(self._chunk)
 
+    def due(self, level: np.ndarray) -> np.ndarray:
+        """Tokens (queue by level) that are due at a level or before it."""
+        sizes, weights = self.sizes[:, None], self.weights[:, None]
+        count = np.clip(np.floor(weights * level + 0.5), 0, sizes).astype(np.int64)
+        # The product is rounded: what counts is the level of each token.
+        count += (count < sizes) & ((count + 0.5) / weights <= level)
+        count -= (count > 0) & ((count - 0.5) / weights > level)
+        return count
+
     def served(self, windows: np.ndarray) -> np.ndarray:
         """Tokens (queue by window) taken from each queue by the end of so many windows."""
-        due = np.minimum(windows * self.window, self.total)
-        level = np.interp(due, self.served_at, self.levels)
-        exact = np.minimum(self.sizes[:, None], self.weights[:, None] * level)
-        whole = np.floor(exact).astype(np.int64)
-        missing = due - whole.sum(axis=0)
-        # One more for the largest remainders; a queue that is used up has none.
-        remainder = np.where(whole < self.sizes[:, None], exact - whole, -1.0)
-        rank = np.argsort(np.argsort(-remainder, axis=0, kind="stable"), axis=0, kind="stable")
-        whole += rank < missing
-        whole[:, due == self.total] = self.sizes[:, None]
-        return whole
+        wanted = np.minimum(windows * self.window, self.total)
+        # A queue's total is within half a token of its level times its weight, so the border lies between these levels.
+        low, high = (np.interp(wanted + n, self.served_at, self.levels) for n in (-len(self.sizes), len(self.sizes)))
+        below, above = self.due(low), self.due(high)
+        while len(at := np.flatnonzero((above - below > 1).any(axis=0))):
+            middle = (low[at] + high[at]) / 2
+            count = self.due(middle)
+            few = count.sum(axis=0) <= wanted[at]
+            low[at[few]], high[at[~few]] = middle[few], middle[~few]
+            below[:, at[few]], above[:, at[~few]] = count[:, few], count[:, ~few]
+        # One token of a queue at most lies between: the next in order fill the window.
+        level = np.where(above > below, (below + 0.5) / self.weights[:, None], np.inf)
+        rank = np.argsort(np.argsort(level, axis=0, kind="stable"), axis=0, kind="stable")
+        return below + (rank < wanted - below.sum(axis=0))
 
     def _chunk(self, number: int) -> tuple[np.ndarray, np.ndarray]:
         """Totals at the borders of CHUNK windows, and where each queue's share begins in each of them."""
@@ -191,7 +204,7 @@ class Mixture:
     def find(self, queue: int, place: int) -> int:
         """A window at or shortly before the one that holds this token of the queue."""
         level = min(place, int(self.sizes[queue])) / self.weights[queue]
-        return max(0, int(np.interp(level, self.levels, self.served_at)) // self.window - 2)
+        return max(0, int(np.interp(level, self.levels, self.served_at) - len(self.sizes)) // self.window - 2)
 
     def pieces(self, queue: int, begin: int, length: int) -> Iterator[tuple[int, int, int, int]]:
         """(start, length, window, offset) of the pieces that a stretch of a queue falls into."""

@@ -79,6 +79,21 @@ def test_targets_hold_until_a_queue_is_empty():
     assert served[:, 20].tolist() == [500, 500, 1000] and served[:, 300].tolist()[2] == 3000
 
 
+def test_totals_never_fall_for_a_queue_of_a_few_tokens():
+    np = __import__("numpy")
+    for few in (1, 12, 60, 300):
+        sizes = [200_000 + 6000 * i for i in range(20)] + [few]
+        mixture = Mixture(sizes, [float(s) for s in sizes])
+        served = mixture.served(np.arange(mixture.windows + 1))
+        shares = np.diff(served, axis=1)
+        assert (shares >= 0).all() and (shares.sum(axis=0)[:-1] == 2048).all() and served[:, -1].tolist() == sizes
+        # By the order itself.
+        order = np.lexsort((np.repeat(np.arange(21), sizes), np.concatenate([(np.arange(s) + 0.5) / s for s in sizes])))
+        queues = np.repeat(np.arange(21), sizes)[order]
+        for window in (1, 2, 1000, mixture.windows - 1):
+            assert np.bincount(queues[: 2048 * window], minlength=21).tolist() == served[:, window].tolist()
+
+
 def test_many_small_sources_share_a_queue(spark, table):
     rows = [(i, f"text number {i}", f"s{i}") for i in range(600)]
     check(op8_packing(spark, table(rows, parts=3)).collect(), rows)
