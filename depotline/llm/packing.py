@@ -12,11 +12,18 @@ earlier windows:
 deficits are carried across partitions by one running sum over (block, source) totals.
 
 Every window but the last is full, and every window holds all queues in proportion. The
-default weights are the queues' sizes, so that all run dry together. Sources below
-1/256 of all tokens share one queue, which bounds the table of totals.
+default weights are the sources' sizes, so that all run dry together.
+
+Sources with less than 1/256 of all tokens and of all weight share queues, which bounds
+the table of totals. Those that run dry at about the same level share one; inside it
+they take turns by the same rule, in stretches of at most ``STRETCH`` tokens instead of
+single ones: a stretch is due at the level of its middle, and a running total over that
+order gives its place in the queue. However many sources there are, each is a stretch away
+from its share at most, and a queue has their weights together.
 
 Two passes over the data: documents are tokenised once and stored; the second pass cuts
-the stored ids. Only sums per (block, source) are shuffled, no text and no ids.
+the stored ids. Only sums per (block, source) are shuffled, no text and no ids, but for
+the documents of sources that share a queue.
 
 Defined cases: null text is empty and packs as the end id alone; null source is a source;
 repeated rows are packed separately; an empty table gives an empty result; other columns
@@ -43,6 +50,7 @@ from tokenizers import Tokenizer
 
 from depotline.llm.batches import emit, records
 from depotline.llm.registry import documents, query
+from depotline.operators.prefix import running_totals
 from depotline.session import store
 
 WINDOW = 2048
@@ -50,8 +58,10 @@ END_ID = 1
 #: Words whose ids each Python worker holds in each of two generations (and pieces of words), none of them longer than LONGEST bytes.
 WORDS = 250_000
 LONGEST = 64
-#: Sources with a smaller share of the tokens than one in so many share a queue.
+#: Sources with a smaller share of tokens and weight than one in so many share queues.
 QUEUES = 256
+#: Tokens that a source in a shared queue gives at a time.
+STRETCH = 256
 #: Windows whose totals are computed and held together.
 CHUNK = 1024
 #: Offsets of (block, source), 64 bytes each, are broadcast up to this size and joined by shuffle beyond it.
@@ -222,33 +232,48 @@ class Mixture:
             window = base + CHUNK
 
 
-def queue_table(stored: DataFrame, targets: dict[str | None, float] | None) -> tuple[DataFrame, list[int], list[float]]:
-    """Queue and offset of each (block, source), and the sizes and weights of the queues."""
+def weighted(per_source: DataFrame, targets: dict[str | None, float] | None) -> DataFrame:
+    """``per_source`` with ``weight``: the target, by default the tokens. Sources without a target are served last."""
+    if targets is None:
+        return per_source.withColumn("weight", F.col("tokens").cast("double"))
+    wanted = per_source.sparkSession.createDataFrame([(s, float(w)) for s, w in targets.items() if w > 0], "name string, target double")
+    joined = per_source.join(wanted, per_source["source"].eqNullSafe(wanted["name"]), "left").select("source", "tokens", "target")
+    known = joined.agg(F.sum("tokens").alias("total"), F.min("target").alias("least")).first()
+    # Half a token of so light a source is due when all others have run dry.
+    last = (known.least or 1.0) / ((known.total or 0) + 1) if known.least else 1.0
+    return joined.select("source", "tokens", F.coalesce("target", F.lit(last)).alias("weight"))
+
+
+def queue_table(stored: DataFrame, targets: dict[str | None, float] | None) -> tuple[DataFrame, DataFrame | None, list[int], list[float]]:
+    """Offsets of each (block, source) with a queue of its own, the stretches of all others, and the sizes and weights of the queues."""
     spark = stored.sparkSession
-    per_block = stored.groupBy("block", "source").agg(F.sum("tokens").alias("tokens"))
-    per_source = per_block.groupBy("source").agg(F.sum("tokens").alias("tokens"))
-    total = per_source.agg(F.sum("tokens")).first()[0] or 0
-    own = per_source.where(F.col("tokens") * QUEUES >= total).orderBy("source").collect()  # QUEUES rows at most
-    sizes = [r.tokens for r in own]
+    per_block = store(stored.groupBy("block", "source").agg(F.sum("tokens").alias("tokens")), "packing-blocks")
+    sources = weighted(per_block.groupBy("source").agg(F.sum("tokens").alias("tokens")), targets)
+    total, weight = sources.agg(F.sum("tokens"), F.sum("weight")).first()
+    alone = (F.col("tokens") * QUEUES >= (total or 0)) | (F.col("weight") * QUEUES >= (weight or 0.0))
+    own = sources.where(alone).orderBy("source").collect()  # 2 * QUEUES rows at most
+    # Sources that run dry within a fifth of the same level; a few hundred steps at most.
+    step = F.floor(4 * F.log2(F.col("tokens") / F.col("weight"))).cast("int")
+    shared = sources.where(~alone).withColumn("step", step)
+    steps = shared.groupBy("step").agg(F.sum("tokens").alias("tokens"), F.sum("weight").alias("weight")).orderBy("step").collect()
+    sizes, weights = [r.tokens for r in (*own, *steps)], [r.weight for r in (*own, *steps)]
+    # Blocks of a source are one running sum over as many rows as there are blocks.
+    before = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    begins = per_block.select("block", "source", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("offset"))
     names = spark.createDataFrame([(r.source, i) for i, r in enumerate(own)], "name string, queue int")
-    rest = total - sum(sizes)
-    weights = [float(s) for s in sizes] if targets is None else [float(targets.get(r.source, 0.0)) for r in own]
-    if rest:
-        sizes.append(rest)
-        weights.append(float(rest) if targets is None else float(sum(w for s, w in targets.items() if s not in {r.source for r in own})))
-    if targets is not None:
-        # A queue without a target is served last, as slowly as the rounding allows.
-        weights = [max(w, max(weights) / QUEUES) for w in weights]
-    keyed = per_block.join(F.broadcast(names), per_block["source"].eqNullSafe(names["name"]), "left").select(
-        "block", "source", "tokens", F.coalesce("queue", F.lit(len(own))).alias("queue")
-    )
-    # Blocks of a queue are one running sum over as many rows as there are blocks; sources that share a queue follow each other inside a block.
-    blocks = keyed.groupBy("queue", "block").agg(F.sum("tokens").alias("tokens"))
-    before = Window.partitionBy("queue").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    begins = blocks.select("queue", "block", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("begin"))
-    within = Window.partitionBy("queue", "block").orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = keyed.withColumn("inside", F.coalesce(F.sum("tokens").over(within), F.lit(0))).join(begins, ["queue", "block"])
-    return offsets.select("block", "source", "queue", (F.col("begin") + F.col("inside")).alias("offset")), sizes, weights
+    offsets = begins.join(F.broadcast(names), begins["source"].eqNullSafe(names["name"])).select("block", "source", "queue", "offset")
+    if not steps:
+        return offsets, None, sizes, weights
+    numbers = F.broadcast(spark.createDataFrame([(r.step, len(own) + i, sum(sizes[len(own) : len(own) + i])) for i, r in enumerate(steps)], "step int, queue int, earlier bigint"))
+    named = shared.join(numbers, "step").select(F.col("source").alias("name"), "weight", "queue", "earlier")
+    of_block = begins.join(named, begins["source"].eqNullSafe(named["name"])).select(F.col("block").alias("of_block"), "name", "offset", "weight", "queue", "earlier")
+    rows = stored.select("block", "source", "start", "tokens")
+    rows = rows.join(of_block, (rows["block"] == of_block["of_block"]) & rows["source"].eqNullSafe(of_block["name"]))
+    cut = rows.withColumn("at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tokens") - 1, F.lit(STRETCH).cast("bigint"))))
+    cut = cut.withColumn("length", F.least(F.lit(STRETCH).cast("bigint"), F.col("tokens") - F.col("at")))
+    level = (F.col("offset") + F.col("start") + F.col("at") + F.col("length") / 2) / F.col("weight")
+    dealt = running_totals(cut.withColumn("level", level), "queue", {"upto": "length"}, tie_break=["level", "source", "block", "start", "at"])
+    return offsets, dealt.select("block", "source", "start", "at", "length", "queue", (F.col("upto") - F.col("length") - F.col("earlier")).alias("begin")), sizes, weights
 
 
 def pack(docs: DataFrame, path: str, targets: dict[str | None, float] | None = None, window: int = WINDOW, with_ids: bool = True) -> DataFrame:
@@ -258,15 +283,21 @@ def pack(docs: DataFrame, path: str, targets: dict[str | None, float] | None = N
 
     ``path`` names a tokenizer file that every executor can open, with ids below 65,536.
     ``targets`` gives weights by source; sources of equal weight are served at equal rates
-    while they last. The default is each source's own share.
+    while they last, and sources without one after all others. The default is each source's own share.
     """
     stored = store(tokenise(docs, path), "packing-ids")
-    offsets, sizes, weights = queue_table(stored, targets)
+    offsets, stretches, sizes, weights = queue_table(stored, targets)
     offsets = store(offsets, "packing-offsets")
     if offsets.count() * 64 <= BROADCAST_BYTES:
         offsets = F.broadcast(offsets)
     offsets = offsets.select(F.col("block").alias("of_block"), F.col("source").alias("of_source"), "queue", "offset")
     placed = stored.join(offsets, (stored["block"] == offsets["of_block"]) & stored["source"].eqNullSafe(offsets["of_source"]))
+    placed = placed.select("doc_id", "queue", (F.col("offset") + F.col("start")).alias("begin"), F.lit(0).cast("bigint").alias("at"), "tokens", "ids")
+    if stretches is not None:
+        cut = stretches.select(F.col("block").alias("of_block"), F.col("source").alias("of_source"), F.col("start").alias("of_start"), "at", "length", "queue", "begin")
+        met = stored.join(cut, (stored["block"] == cut["of_block"]) & stored["source"].eqNullSafe(cut["of_source"]) & (stored["start"] == cut["of_start"]))
+        part = F.substring("ids", (2 * F.col("at") + 1).cast("int"), (2 * F.col("length")).cast("int"))
+        placed = placed.unionByName(met.select("doc_id", "queue", "begin", "at", "tokens", part.alias("ids")))
     schema = pa.schema([
         ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
         ("ids_crc32", pa.int64()), ("ids", pa.binary()),
@@ -276,17 +307,17 @@ def pack(docs: DataFrame, path: str, targets: dict[str | None, float] | None = N
         mixture = Mixture(sizes, weights, window)
 
         def rows():
-            for doc_id, queue, begin, stored_ids in records(batches, "doc_id", "queue", "begin", "ids"):
+            for doc_id, queue, begin, at, tokens, stored_ids in records(batches, "doc_id", "queue", "begin", "at", "tokens", "ids"):
                 ids = np.frombuffer(stored_ids, "<u2").astype("<u4").tobytes()
                 n = len(ids) // 4
                 for start, length, sequence, offset in mixture.pieces(queue, begin, n):
                     piece = ids[4 * start : 4 * (start + length)]
-                    yield (doc_id, start, length, n, sequence, offset, zlib.crc32(piece), piece if with_ids else None), 64 + 4 * length * with_ids
+                    yield (doc_id, at + start, length, tokens, sequence, offset, zlib.crc32(piece), piece if with_ids else None), 64 + 4 * length * with_ids
 
         return emit(rows(), schema)
 
     columns = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids_crc32 bigint, ids binary"
-    return placed.select("doc_id", "queue", (F.col("offset") + F.col("start")).alias("begin"), "ids").mapInArrow(run, columns)
+    return placed.mapInArrow(run, columns)
 
 
 def packed(docs: DataFrame) -> DataFrame:

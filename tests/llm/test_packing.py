@@ -97,3 +97,40 @@ def test_totals_never_fall_for_a_queue_of_a_few_tokens():
 def test_many_small_sources_share_a_queue(spark, table):
     rows = [(i, f"text number {i}", f"s{i}") for i in range(600)]
     check(op8_packing(spark, table(rows, parts=3)).collect(), rows)
+
+
+def shares_over_runs(pieces, rows, windows):
+    """Tokens by source in each run of so many windows."""
+    source = {i: s for i, _, s in rows}
+    runs = defaultdict(lambda: defaultdict(int))
+    for r in pieces:
+        runs[r.sequence_id // windows][source[r.doc_id]] += r.length
+    return runs
+
+
+def check_fast(got, rows, monkeypatch):
+    """``check`` with each text encoded once."""
+    known = {text: ids_of(text) for text in {text for _, text, _ in rows}}
+    monkeypatch.setitem(globals(), "ids_of", known.get)
+    check(got, rows)
+
+
+def test_many_equal_sources_hold_their_shares(spark, table, monkeypatch):
+    rows = [(i, "one two three four " * 5, f"s{i % 600}") for i in range(24_000)]
+    rows += [(24_000 + i, "five six seven eight " * 200, f"s{i}") for i in range(600)]
+    got = pack(spark.read.parquet(table(rows, parts=3) + "/documents.parquet"), PATH).collect()
+    check_fast(got, rows, monkeypatch)
+    runs = shares_over_runs(got, rows, 150)
+    for number in range(max(runs) - 1):
+        assert all(abs(runs[number][f"s{i}"] - 150 * 2048 / 600) < 300 for i in range(600))
+
+
+def test_a_small_source_has_its_own_target(spark, table, monkeypatch):
+    rows = [(i, "one two three four " * 5, f"s{i % 600}") for i in range(24_000)]
+    wanted = {f"s{i}": 1.0 for i in range(599)} | {"s0": 2.0}
+    got = pack(spark.read.parquet(table(rows, parts=3) + "/documents.parquet"), PATH, targets=wanted).collect()
+    check_fast(got, rows, monkeypatch)
+    runs = shares_over_runs(got, rows, 100)
+    fair = 100 * 2048 / 600
+    assert abs(runs[0]["s0"] - 2 * fair) < 64 and all(abs(runs[0][f"s{i}"] - fair) < 64 for i in range(1, 599)) and runs[0]["s599"] == 0
+    assert runs[max(runs)]["s599"] > 0
