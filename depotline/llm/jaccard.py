@@ -1,7 +1,7 @@
 """Similarity join on shingle sets through parity sketches.
 
-A set of sizes a, b and symmetric difference D has Jaccard similarity of 0.9 or more
-exactly if ``19 * D <= a + b``. A parity sketch of m bits flips one bit per element, so
+A pair of sets of sizes a, b and symmetric difference D has Jaccard similarity of
+``(ratio - 1) / (ratio + 1)`` or more exactly if ``ratio * D <= a + b``: 19 for 0.9, 9 for 0.8. A parity sketch of m bits flips one bit per element, so
 two sketches differ in at most D bits: the Hamming distance bounds D from below.
 
 Sizes fall into bands so narrow that partners lie in the same or in adjacent bands. A
@@ -33,6 +33,7 @@ result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ from depotline.llm.registry import documents, query
 from depotline.session import store
 
 WORDS = 3
-#: Similarity of 9 / 10: a pair links if RATIO * D <= a + b.
+#: Similarity of 9 / 10 by default: a pair links if ratio * D <= a + b.
 RATIO = 19
 #: Members of a hub that are verified in one group.
 GROUP = 1024
@@ -57,20 +58,21 @@ FEW, ALL = 8, 1 << 40
 BROADCAST_BYTES = 8 << 20
 
 
-def _bands() -> list[int]:
+@lru_cache(maxsize=8)
+def bands(ratio: int = RATIO) -> np.ndarray:
     """First size of every band: a partner of a size in one band lies in it or in the band before."""
     first = [1]
     while first[-1] < MAX_SIZE:
-        first.append(max(first[-1] + 1, -(-first[-1] * 10 // 9)))
-    return first
+        first.append(max(first[-1] + 1, -(-first[-1] * (ratio + 1) // (ratio - 1))))
+    return np.array(first)
 
 
-BANDS = np.array(_bands())
+BANDS = bands()
 
 
-def band_difference(band: int) -> int:
+def band_difference(band: int, ratio: int = RATIO) -> int:
     """Largest symmetric difference of a linked pair whose larger set lies in the band."""
-    return 2 * (int(BANDS[band + 1]) - 1) // RATIO
+    return 2 * (int(bands(ratio)[band + 1]) - 1) // ratio
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -98,16 +100,16 @@ def set_id(hashes: np.ndarray) -> int | None:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes())))) if len(hashes) else None
 
 
-def sketch(hashes: np.ndarray, band: int) -> np.ndarray:
+def sketch(hashes: np.ndarray, band: int, ratio: int = RATIO) -> np.ndarray:
     """Parity sketch for a band as 64-bit words, none where only equal sets link."""
-    words = band_difference(band) + 1
+    words = band_difference(band, ratio) + 1
     if words == 1:
         return np.zeros(0, np.int64)
     bits = np.bincount((hashes % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-def profiles(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def profiles(docs: DataFrame, words: int = WORDS, ratio: int = RATIO) -> DataFrame:
     """Per document: size and id of its set, its band, and its sketches for that band and the next."""
     schema = pa.schema([
         ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("id", pa.int64()), ("band", pa.int32()), ("own", pa.list_(pa.int64())), ("up", pa.list_(pa.int64())),
@@ -120,8 +122,8 @@ def profiles(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 if not len(hashes):
                     yield (doc_id, text_hash, 0, None, None, None, None), 64
                     continue
-                band = int(np.searchsorted(BANDS, len(hashes), "right")) - 1
-                own, up = sketch(hashes, band), sketch(hashes, band + 1)
+                band = int(np.searchsorted(bands(ratio), len(hashes), "right")) - 1
+                own, up = sketch(hashes, band, ratio), sketch(hashes, band + 1, ratio)
                 yield (doc_id, text_hash, len(hashes), set_id(hashes), band, own, up), 64 + 8 * (len(own) + len(up))
 
         return emit(rows(), schema)
@@ -153,7 +155,7 @@ def hub_pairs(shared: DataFrame) -> DataFrame:
     return best.select(F.col("id").alias("a"), F.col("hub").alias("b"))
 
 
-def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int = WORDS) -> DataFrame:
+def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int = WORDS, ratio: int = RATIO) -> DataFrame:
     """The pairs (a, b) of classes that link, by their whole sets.
 
     The text of each class is fetched once per hub it belongs to. The members of a hub
@@ -180,7 +182,7 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int =
                 elif group == (b, part):
                     common = len(np.intersect1d(hub, hashes, assume_unique=True))
                     total = len(hub) + len(hashes)
-                    if RATIO * (total - 2 * common) <= total:
+                    if ratio * (total - 2 * common) <= total:
                         yield (name, b), 16
 
         return emit(rows(), schema)
@@ -223,7 +225,7 @@ def open_words(shared: DataFrame, components: DataFrame) -> DataFrame:
     return marked.where("low < high").select("key", "band", "id", "comp", F.col("largest.comp").alias("host"))
 
 
-def sketch_pairs(words: DataFrame, stored: DataFrame, few: int) -> DataFrame:
+def sketch_pairs(words: DataFrame, stored: DataFrame, few: int, ratio: int = RATIO) -> DataFrame:
     """``host``, ``band``, ``a``, ``b``, ``whole``: pairs of different components whose sketches are within the bound.
 
     Everything that shares open words with one host meets in one group, so a sketch is sent
@@ -232,7 +234,7 @@ def sketch_pairs(words: DataFrame, stored: DataFrame, few: int) -> DataFrame:
     """
     # A group with many members is dealt into parts, and every two parts meet.
     members = words.select("host", "band", "id", "comp").distinct()
-    sketch_bytes = F.element_at(F.array(*[F.lit(8 * band_difference(band) + 8) for band in range(len(BANDS) - 1)]), F.col("band") + 1)
+    sketch_bytes = F.element_at(F.array(*[F.lit(8 * band_difference(band, ratio) + 8) for band in range(len(bands(ratio)) - 1)]), F.col("band") + 1)
     sized = members.join(members.groupBy("host", "band").agg(F.ceil(F.count(F.lit(1)) * sketch_bytes / SKETCHES).alias("parts")), ["host", "band"])
     dealt = sized.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
     sketches = stored.where("id is not null").groupBy("id").agg(F.max(F.struct("n_shingles", "band", "own", "up")).alias("set"))
@@ -258,7 +260,7 @@ def sketch_pairs(words: DataFrame, stored: DataFrame, few: int) -> DataFrame:
 
         def rows():
             for (host, band, _, _), held in groups():
-                for pair in close_pairs(held, few):
+                for pair in close_pairs(held, few, ratio):
                     yield (host, band, *pair), 32
 
         return emit(rows(), schema)
@@ -267,7 +269,7 @@ def sketch_pairs(words: DataFrame, stored: DataFrame, few: int) -> DataFrame:
     return met.repartition(*group).sortWithinPartitions(*group, "id").mapInArrow(run, "host bigint, band int, a bigint, b bigint, whole boolean")
 
 
-def close_pairs(held: list[tuple], few: int) -> Iterator[tuple[int, int, bool]]:
+def close_pairs(held: list[tuple], few: int, ratio: int = RATIO) -> Iterator[tuple[int, int, bool]]:
     """Pairs of a group whose components differ and whose sketches allow a link, all of them or a spanning forest."""
     alone = held[0][0]
     part, ids, comps, sizes = (np.array([row[k] for row in held], np.int64) for k in range(1, 5))
@@ -289,7 +291,7 @@ def close_pairs(held: list[tuple], few: int) -> Iterator[tuple[int, int, bool]]:
         if not len(at):
             continue
         distance = np.bitwise_count(words[at] ^ words[n]).sum(axis=1, dtype=np.int64)
-        for m in at[RATIO * distance <= sizes[at] + sizes[n]].tolist():
+        for m in at[ratio * distance <= sizes[at] + sizes[n]].tolist():
             pair = int(ids[n]), int(ids[m])
             if len(found) <= few * len(ids):
                 found.append(pair)
@@ -302,25 +304,25 @@ def close_pairs(held: list[tuple], few: int) -> Iterator[tuple[int, int, bool]]:
         yield a, b, whole
 
 
-def components(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``n_shingles``, ``group`` and ``component_id`` of every row.
+def components(docs: DataFrame, words: int = WORDS, ratio: int = RATIO) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``n_shingles``, ``group`` and ``component_id`` of every row, by shingles of so many words.
 
     ``group`` names the component (null without shingles), ``component_id`` is the smallest doc_id in it.
     """
-    stored = store(profiles(docs, words), "jaccard-profiles")
+    stored = store(profiles(docs, words, ratio), "jaccard-profiles")
     classes = store(
         stored.where("id is not null").groupBy("id").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.min("doc_id").alias("least")), "jaccard-classes"
     )
     shared = store(shared_words(stored), "jaccard-words")
     united = store(shared.select("id", F.col("id").alias("comp")).distinct(), "jaccard-components")
-    united = merged(united, store(verified(docs, classes, store(hub_pairs(shared), "jaccard-pairs"), words), "jaccard-links"))
+    united = merged(united, store(verified(docs, classes, store(hub_pairs(shared), "jaccard-pairs"), words, ratio), "jaccard-links"))
     rows, few = shared, FEW
     while True:
         words_open = store(open_words(rows, united), "jaccard-open")
-        pairs = store(sketch_pairs(words_open, stored, few), "jaccard-pairs")
+        pairs = store(sketch_pairs(words_open, stored, few, ratio), "jaccard-pairs")
         if pairs.isEmpty():
             break
-        links = store(verified(docs, classes, pairs.select("a", "b").distinct(), words), "jaccard-links")
+        links = store(verified(docs, classes, pairs.select("a", "b").distinct(), words, ratio), "jaccard-links")
         # A group is done if all its pairs were given, or if those given connect what all would.
         failed = pairs.where("NOT whole").join(links, ["a", "b"], "left_anti").select("host", "band").distinct()
         rows = store(words_open.join(failed, ["host", "band"], "left_semi").select("key", "band", "id"), "jaccard-words")
@@ -339,12 +341,12 @@ def components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     )
 
 
-def one_of_each_group(docs: DataFrame) -> DataFrame:
+def one_of_each_group(docs: DataFrame, words: int = WORDS, ratio: int = RATIO) -> DataFrame:
     """``docs`` with one row of each group: the one with the smallest id, and of those the smallest text hash.
 
     A null id counts as the largest. Rows without shingles belong to no group and stay.
     """
-    found = components(docs).where("n_shingles > 0")
+    found = components(docs, words, ratio).where("n_shingles > 0")
     # Rows of one component have one class at least, so its class id names it also where all ids are null.
     first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("k0"), F.coalesce("doc_id", F.lit(0)).alias("k1"), F.col("text_hash").alias("k2"))).alias("key"))
     keep, keys = first.select("key.*"), ["k0", "k1", "k2"]

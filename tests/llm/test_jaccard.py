@@ -123,3 +123,26 @@ def test_one_row_of_each_group_stays(frame):
         (1, ""), (2, ""), (3, " \n\t"), (4, "One two"), (6, "one\x1ctwo"), (7, "a b c"), (7, "x y z w"), (None, ""), (None, "only null ids"), (8, "É b c"), (9, "é b c"),
         (10, "w " * 7),
     ], key=repr)
+
+
+def test_bands_of_another_similarity():
+    for b in range(1, 600):
+        band = int(np.searchsorted(jaccard.bands(9), b, "right")) - 1
+        for a in range(-(-8 * b // 10), b + 1):
+            assert a >= jaccard.bands(9)[max(band - 1, 0)] and (a + b) // 9 <= band_difference(band, 9)
+
+
+def test_one_of_each_group_by_five_words_and_four_fifths(frame):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(0, 30, 3):
+        words = [f"w{n}" for n in rng.integers(0, 10**6, 1000)]
+        rows.append((i, " ".join(words)))
+        for n, edits in ((1, 21), (2, 26)):  # similarity 0.81 and 0.77
+            copy = list(words)
+            for k in range(edits):
+                copy[20 + k * 37] = f"x{i}y{n}z{k}"
+            rows.append((i + n, " ".join(copy)))
+    kept = one_of_each_group(frame(rows), words=5, ratio=9)
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, _ in rows if i % 3 != 1]
+    assert one_of_each_group(frame(rows)).count() == len(rows)
