@@ -41,11 +41,11 @@ from depotline.llm.batches import emit, records
 from depotline.llm.registry import documents, query
 from depotline.session import store
 
-CLASSES, MEMBERS = 24, 24
+CLASSES, MEMBERS = 32, 32
 UNITS = CLASSES * MEMBERS
 #: Units that words without one of their own share, by their last SUFFIX bytes.
-SHARED, SUFFIX = 144, 3
-HIDDEN = 14
+SHARED, SUFFIX = 192, 3
+HIDDEN = 16
 WINDOW, LANES = 20, 256
 #: Longest stretch of a document that is trained on with one state.
 SEGMENT = 2048

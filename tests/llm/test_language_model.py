@@ -143,3 +143,8 @@ def test_training_learns_what_follows():
     assert trainer.tokens == 120 * sum(map(len, docs))
     per_token = lm.log_probabilities(views(trainer.flat), docs) / [len(d) for d in docs]
     assert per_token.min() > -0.7
+
+
+def test_the_network_is_whole():
+    assert lm.CLASSES * lm.MEMBERS == lm.UNITS >= 1024 and lm.UNITS - lm.SHARED >= 832 and lm.SHARED >= 192 and lm.HIDDEN >= 16
+    assert views(lm.initial())["member_w"].shape == (lm.CLASSES, lm.HIDDEN, lm.MEMBERS)
