@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from depotline.operators import evaluation as E, forecasting as M, inventory as I, lanes as L, planning as P, reports, segments as G, valuation as V
+from depotline.operators import evaluation as E, inventory as I, lanes as L, planning as P, reports, segments as G, valuation as V
 from depotline.plans.network import ModelNetwork, Network
 from depotline.session import store
 from depotline.sources import bridge
@@ -196,9 +196,7 @@ def tight_service_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _model_network(spark: SparkSession, sf_dir: str) -> ModelNetwork:
-    n = ModelNetwork.from_benchmark(spark, sf_dir)
-    n.pipeline = M.linear_model(M.FORWARD_FEATURES)
-    return n
+    return ModelNetwork.from_benchmark(spark, sf_dir)
 
 
 @query("d21_model_interval", "week_start:d region category predicted_units:2 predicted_units_lower:2 predicted_units_upper:2")

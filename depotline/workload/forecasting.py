@@ -10,9 +10,6 @@ from depotline.session import store
 from depotline.sources import bridge
 from depotline.workload.registry import query
 
-# Boosting rounds of the registered queries; the library default is 300.
-ROUNDS = 10
-
 
 def network(spark: SparkSession, sf_dir: str) -> Network:
     return Network.from_benchmark(spark, sf_dir)
@@ -48,7 +45,7 @@ def scored_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Hold-out predictions of the boosted, linear and persistence models."""
     marked = E.holdout_split(feature_table(spark, sf_dir))
     train, test = marked.where("is_train"), M.complete_rows(marked.where("NOT is_train"), M.FORWARD_FEATURES)
-    boosted = M.fit(train, M.boosted_trees(M.FORWARD_FEATURES, rounds=ROUNDS), M.FORWARD_FEATURES)
+    boosted = M.fit(train, M.boosted_trees(M.FORWARD_FEATURES), M.FORWARD_FEATURES)
     linear = M.fit(train, M.linear_model(M.FORWARD_FEATURES), M.FORWARD_FEATURES)
     return {
         "Boosted trees": boosted.predict(test),
@@ -60,7 +57,7 @@ def scored_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 @query("m02_boosted_trees", "week_start:d region category total_units:2 predicted_units:2")
 def boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = E.holdout_split(feature_table(spark, sf_dir))
-    fitted = M.fit(marked.where("is_train"), M.boosted_trees(M.FORWARD_FEATURES, rounds=ROUNDS), M.FORWARD_FEATURES)
+    fitted = M.fit(marked.where("is_train"), M.boosted_trees(M.FORWARD_FEATURES), M.FORWARD_FEATURES)
     return fitted.predict(M.complete_rows(marked.where("NOT is_train"), M.FORWARD_FEATURES))
 
 
@@ -106,9 +103,9 @@ def single_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("m06_cross_validation", "fold:i n:l mae:2 rmse:2 wape:1 r2:4")
 def cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four expanding-window folds of the linear model."""
+    """Four expanding-window folds of the boosted model."""
     folded = E.walk_forward_folds(feature_table(spark, sf_dir))
-    return M.cross_validate(folded, M.linear_model(M.FORWARD_FEATURES), M.FORWARD_FEATURES)
+    return M.cross_validate(folded, M.boosted_trees(M.FORWARD_FEATURES), M.FORWARD_FEATURES)
 
 
 _FOLDS = """folds AS (
@@ -145,7 +142,7 @@ def holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forward_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twelve recursive steps of the boosted model, one row per week and segment."""
     table = feature_table(spark, sf_dir)
-    fitted = M.fit(table, M.boosted_trees(M.FORWARD_FEATURES, rounds=ROUNDS), M.FORWARD_FEATURES)
+    fitted = M.fit(table, M.boosted_trees(M.FORWARD_FEATURES), M.FORWARD_FEATURES)
     return M.forward_forecast(fitted, table)
 
 
@@ -161,7 +158,7 @@ def residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("m10_feature_importance", "feature importance:6 importance_pct:4 rank:i category")
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = feature_table(spark, sf_dir)
-    fitted = M.fit(table, M.boosted_trees(M.FORWARD_FEATURES, rounds=ROUNDS), M.FORWARD_FEATURES)
+    fitted = M.fit(table, M.boosted_trees(M.FORWARD_FEATURES), M.FORWARD_FEATURES)
     return M.feature_importance(fitted, table)
 
 

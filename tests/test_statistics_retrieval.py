@@ -198,3 +198,23 @@ def test_context_order(spark):
 def test_group_centroids(spark):
     df = spark.createDataFrame([(1, [1.0, 3.0]), (1, [3.0, 5.0])], "label int, embedding array<float>")
     assert rows(R.group_centroids(df)) == [(1, [2.0, 4.0])]
+
+
+@pytest.mark.parametrize("key", ["m02", "m06", "d21"])
+def test_registered_models_are_the_boosted_ones_with_all_rounds(spark, monkeypatch, key):
+    from depotline.operators import forecasting
+    from depotline.workload import domain, forecasting as queries
+
+    class Fitted(Exception):
+        pass
+
+    def fitted(table, pipeline, *_):
+        raise Fitted(pipeline.getStages()[-1])
+
+    monkeypatch.setattr(forecasting, "fit", fitted)
+    monkeypatch.setattr(forecasting, "cross_validate", fitted)
+    run = {"m02": queries.boosted_trees, "m06": queries.cross_validation, "d21": domain.model_interval}[key]
+    with pytest.raises(Fitted) as stopped:
+        run(spark, "/root/testdata/sf0.001")
+    model = stopped.value.args[0]
+    assert type(model).__name__ == "GBTRegressor" and model.getMaxIter() == 300
