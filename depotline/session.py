@@ -5,6 +5,7 @@ from __future__ import annotations
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Runtime SQL settings the operators rely on. They are ordinary session
 # settings: a caller's cluster defaults for memory, cores and shuffle width
@@ -56,23 +57,41 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def write_stage(df: DataFrame, label: str) -> str:
+    """Write ``df`` below the shared folder; gives the path."""
+    path = f"{checkpoint_dir(df.sparkSession)}/stages/{label}-{uuid4().hex}"
+    _STORED.append(path)
+    df.write.parquet(path)
+    return path
+
+
+def read_stage(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once below the shared folder and continue from the files.
 
     Used for small tables that several branches read with different columns:
     without it each branch would repeat the scan and the joins behind them.
     """
-    path = f"{checkpoint_dir(df.sparkSession)}/stages/{label}-{uuid4().hex}"
-    _STORED.append(path)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return read_stage(df.sparkSession, write_stage(df, label), df.schema)
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def drop_stage(spark: SparkSession, path: str) -> None:
+    """Delete one stage of this process, once what follows from it is complete."""
+    _STORED.remove(path)
+    _delete(spark, path)
 
 
 def drop_stages(spark: SparkSession) -> int:
     """Delete the stages this process has written; for the end of a job, when nothing reads them any more."""
-    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
     dropped = 0
     while _STORED:
-        path = hadoop.Path(_STORED.pop())
-        dropped += bool(path.getFileSystem(conf).delete(path, True))
+        dropped += _delete(spark, _STORED.pop())
     return dropped
