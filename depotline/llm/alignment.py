@@ -38,8 +38,6 @@ from depotline.llm.batches import emit, records
 from depotline.llm.registry import documents, query
 from depotline.session import store
 
-#: Entries of a worker's table of pieces between spaces.
-PIECES = 200_000
 #: Most pairs of ids that are broadcast together; one A id with more is still one slice.
 SLICE = 2_000_000
 #: Distinct pairs a task counts before it hands them on.
@@ -74,37 +72,15 @@ class ByteLevel:
 
 
 class Pieces:
-    """Tokenizer B from its model file.
-
-    No piece has a space behind another character, so merges never cross the border from a
-    character to a space, and a text's pieces are those of its stretches between such borders.
-    """
+    """Tokenizer B from its model file; it adds the space itself."""
 
     def __init__(self, path: str):
         self.engine = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [self.engine.id_to_piece(i) for i in range(self.engine.get_piece_size())]
-        if any(re.search("[^▁]▁", name) for name in names):
-            raise ValueError(f"{path}: pieces cross spaces")
         self.bytes_of = [bytes([int(n[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", n) else n.replace("▁", " ").encode() for n in names]
-        self.stretches = re.compile(" *[^ ]+| +").findall
-        self.known: dict[str, bytes] = {}
-
-    def _stretch(self, stretch: str) -> bytes:
-        """Ids of a stretch that begins with a space; the engine adds that space itself."""
-        if stretch.strip(" "):
-            ids = self.engine.encode(stretch[1:], num_threads=1)
-        else:
-            ids = self.engine.encode("x" + stretch, num_threads=1)[len(self.engine.encode("x", num_threads=1)) :]
-        held = np.array(ids, WORD).tobytes()
-        if len(stretch) <= 32:
-            if len(self.known) >= PIECES:
-                self.known.clear()
-            self.known[stretch] = held
-        return held
 
     def encode(self, text: str) -> np.ndarray:
-        known = self.known.get
-        return np.frombuffer(b"".join([known(s) or self._stretch(s) for s in self.stretches(" " + text)]), WORD)
+        return np.array(self.engine.encode(text, num_threads=1), WORD)
 
 
 def byte_of_character() -> dict[str, int]:
@@ -129,7 +105,7 @@ class Side:
         self.lengths = np.array([len(b) for b in self.bytes_of], np.int64)
 
     def covers(self, ids: np.ndarray, raw: bytes) -> bool:
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist())) == raw
+        return int(self.lengths[ids].sum()) == len(raw) and b"".join(map(self.bytes_of.__getitem__, ids.tolist())) == raw
 
 
 @lru_cache(maxsize=4)
@@ -140,31 +116,32 @@ def sides(path_a: str, path_b: str) -> tuple[Side, Side]:
 def borders(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of A and of B tokens up to the end of each group."""
     index_a, index_b = dict(zip(ends_a.tolist(), count(1))), dict(zip(ends_b.tolist(), count(1)))
-    common = sorted(index_a.keys() & index_b.keys())
-    return np.array([index_a[e] for e in common], WORD), np.array([index_b[e] for e in common], WORD)
+    common = list(filter(index_b.__contains__, index_a))  # in ascending order, as the ends of A were entered
+    return np.fromiter(map(index_a.__getitem__, common), WORD, len(common)), np.fromiter(map(index_b.__getitem__, common), WORD, len(common))
+
+
+Aligned = Iterator[tuple[int | None, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+
+
+def aligned_rows(batches: Iterable[pa.RecordBatch], path_a: str, path_b: str) -> Aligned:
+    side_a, side_b = sides(path_a, path_b)
+    for doc_id, text in records(batches, "doc_id", "text"):
+        raw = b" " + (text or "").encode()
+        a, b = (side_a.encode(text), side_b.encode(text)) if text else (NONE, NONE)
+        if side_a.covers(a, raw) and side_b.covers(b, raw):
+            yield doc_id, a, b, *borders(np.cumsum(side_a.lengths[a]), np.cumsum(side_b.lengths[b]))
+        else:
+            yield doc_id, NONE, NONE, NONE, NONE
 
 
 def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """``doc_id``, ids ``a_ids`` and ``b_ids`` of every whole ``text``, and where its groups end in either
     (``a_ends``, ``b_ends``: tokens up to there), all as little-endian unsigned 32-bit integers."""
-    names = ("a_ids", "b_ids", "a_ends", "b_ends")
-    schema = pa.schema([("doc_id", pa.int64()), *[(n, pa.binary()) for n in names]])
+    schema = pa.schema([("doc_id", pa.int64()), *[(n, pa.binary()) for n in ("a_ids", "b_ids", "a_ends", "b_ends")]])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        side_a, side_b = sides(path_a, path_b)
-
-        def rows():
-            for doc_id, text in records(batches, "doc_id", "text"):
-                raw = b" " + (text or "").encode()
-                a, b = (side_a.encode(text), side_b.encode(text)) if text else (NONE, NONE)
-                if side_a.covers(a, raw) and side_b.covers(b, raw):
-                    ends = borders(np.cumsum(side_a.lengths[a]), np.cumsum(side_b.lengths[b]))
-                else:
-                    a, b, ends = NONE, NONE, (NONE, NONE)
-                held = [x.tobytes() for x in (a, b, *ends)]
-                yield (doc_id, *held), sum(map(len, held))
-
-        return emit(rows(), schema)
+        held = ((doc_id, *[x.tobytes() for x in arrays]) for doc_id, *arrays in aligned_rows(batches, path_a, path_b))
+        return emit(((row, sum(map(len, row[1:]))) for row in held), schema)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, a_ids binary, b_ids binary, a_ends binary, b_ends binary")
 
@@ -219,7 +196,7 @@ def writer(path_a: str, path_b: str) -> Writer:
     return Writer(*(len(side.bytes_of) for side in sides(path_a, path_b)))
 
 
-def link(aligned: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def link(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """Per document its numbers of tokens, groups and links, ``groups`` (as text), and its linked ``pairs`` (64 bits
     each, see linked_pairs) with ``times`` (how often; 64 bits each)."""
     schema = pa.schema([("doc_id", pa.int64()), *[(n, pa.int64()) for n in ("n_a", "n_b", "n_groups", "n_links")], *[(n, pa.binary()) for n in ("groups", "pairs", "times")]])
@@ -228,15 +205,14 @@ def link(aligned: DataFrame, path_a: str, path_b: str) -> DataFrame:
         write = writer(path_a, path_b).write
 
         def rows():
-            for doc_id, *held in records(batches, "doc_id", "a_ids", "b_ids", "a_ends", "b_ends"):
-                parts = [np.frombuffer(x, WORD) for x in held]
-                pairs, times = linked_pairs(*parts) if len(parts[0]) else (np.empty(0, np.uint64), np.empty(0, np.int64))
-                groups = write(*parts)
-                yield (doc_id, len(parts[0]), len(parts[1]), len(parts[2]), int(times.sum()), groups, pairs.tobytes(), times.astype("<i8").tobytes()), len(groups) + 16 * len(pairs)
+            for doc_id, *own in aligned_rows(batches, path_a, path_b):
+                pairs, times = linked_pairs(*own) if len(own[0]) else (np.empty(0, np.uint64), np.empty(0, np.int64))
+                groups = write(*own)
+                yield (doc_id, len(own[0]), len(own[1]), len(own[2]), int(times.sum()), groups, pairs.tobytes(), times.astype("<i8").tobytes()), len(groups) + 16 * len(pairs)
 
         return emit(rows(), schema)
 
-    return aligned.mapInArrow(run, "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups binary, pairs binary, times binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups binary, pairs binary, times binary")
 
 
 def document_counts(linked: DataFrame) -> DataFrame:
@@ -320,7 +296,7 @@ def with_counts(linked: DataFrame, counts: DataFrame, most: int = SLICE) -> Data
 @query("op12_alignment")
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
-    linked = link(align(documents(spark, sf_dir), *paths), *paths)
+    linked = link(documents(spark, sf_dir), *paths)
     digested = linked.select("doc_id", "n_a", "n_b", "n_groups", "n_links", F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256"), "pairs", "times")
     linked = store(digested, "alignment-links")
     counts = store(document_counts(linked), "alignment-counts")

@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import hashlib
-import random
 import re
 from collections import Counter
 
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from depotline.llm import alignment
-from depotline.llm.alignment import PIECES, Pieces, align, byte_of_character, document_counts, link, op12_alignment, sides, with_counts
+from depotline.llm.alignment import align, byte_of_character, document_counts, link, op12_alignment, sides, with_counts
 
 A, B = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
 COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
@@ -89,13 +88,25 @@ def test_empty_table(spark, table):
 
 def test_other_columns(spark, frame):
     docs = frame(EDGES).select("doc_id", "text", *[F.lit("z").alias(c) for c in ("a_ids", "pairs", "groups", "n_best", "n_a", "pair")])
-    plain = link(align(frame(EDGES), A, B), A, B)
-    same = link(align(docs, A, B), A, B)
+    plain = link(frame(EDGES), A, B)
+    same = link(docs, A, B)
     assert sorted(map(str, with_counts(same, document_counts(same)).collect())) == sorted(map(str, with_counts(plain, document_counts(plain)).collect()))
 
 
+def test_ids_and_borders(spark, frame):
+    """The operator's own output: ids of both sides and the ends of the groups in either."""
+    one, two = sides(A, B)
+    for row in align(frame(EDGES), A, B).collect():
+        a, b, a_ends, b_ends = (np.frombuffer(x, "<u4").tolist() for x in row[1:])
+        text = dict(EDGES)[row.doc_id]
+        joined = b"".join(one.bytes_of[t] for t in a)
+        assert joined == b"".join(two.bytes_of[t] for t in b) and joined in (b"", b" " + (text or "").encode())
+        assert [sum(one.lengths[a[:n]]) for n in a_ends] == [sum(two.lengths[b[:n]]) for n in b_ends]
+        assert (a_ends[-1:], b_ends[-1:]) == (([len(a)], [len(b)]) if a else ([], []))
+
+
 def test_slices_give_the_same(spark, frame):
-    linked = link(align(frame(EDGES), A, B), A, B)
+    linked = link(frame(EDGES), A, B)
     counts = document_counts(linked)
     sizes = alignment._slices(counts, 10)
     assert len(sizes) > 3 and all(x[1] < y[0] for x, y in zip(sizes, sizes[1:]))
@@ -122,11 +133,3 @@ def test_long_group_without_common_end():
     pairs, times = alignment.linked_pairs(a, b, *ends)
     sizes = np.diff(ends[0], prepend=np.uint32(0)).astype(int) * np.diff(ends[1], prepend=np.uint32(0)).astype(int)
     assert times.sum() == sizes.sum() and len(pairs) < 100
-
-
-def test_stretches_equal_whole_encoding():
-    pieces, rnd = Pieces(B), random.Random(5)
-    for _ in range(5000):
-        text = "".join(rnd.choice("ab \u00e9\n\t  .<s>/\u65e5\u672c=1\x00\x1f\u3000") for _ in range(rnd.randint(1, 24)))
-        assert pieces.encode(text).tolist() == pieces.engine.encode(text)
-    assert len(pieces.known) <= PIECES
