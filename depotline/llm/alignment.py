@@ -24,8 +24,9 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import public_tokenizers
@@ -42,9 +43,14 @@ from depotline.session import store
 SLICE = 2_000_000
 #: Distinct pairs a task counts before it hands them on.
 COUNTED = 1_000_000
+#: Characters of the documents that a worker aligns together.
+BLOCK = 4_000_000
 #: Product of a group's token numbers from which it is expanded by distinct ids.
 WIDE = 4096
 
+#: A space between two characters that are none: no token of either tokenizer crosses it, and neither looks beyond it.
+CLEAN = re.compile(r"(?<=\S) (?=\S)")
+
 WORD = np.dtype("<u4")
 NONE = np.empty(0, WORD)
 
@@ -80,7 +86,8 @@ class Pieces:
         self.bytes_of = [bytes([int(n[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", n) else n.replace("▁", " ").encode() for n in names]
 
     def encode(self, text: str) -> np.ndarray:
-        return np.array(self.engine.encode(text, num_threads=1), WORD)
+        # In stretches, as one long text costs the engine more than its parts.
+        return np.fromiter(chain.from_iterable(self.engine.encode(CLEAN.split(text), num_threads=1)), WORD)
 
 
 def byte_of_character() -> dict[str, int]:
@@ -120,18 +127,91 @@ def borders(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.fromiter(map(index_a.__getitem__, common), WORD, len(common)), np.fromiter(map(index_b.__getitem__, common), WORD, len(common))
 
 
-Aligned = Iterator[tuple[int | None, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
-
-
-def aligned_rows(batches: Iterable[pa.RecordBatch], path_a: str, path_b: str) -> Aligned:
-    side_a, side_b = sides(path_a, path_b)
+@dataclass
+class Stretches:
+    """Tokens of many stretches one after another, the sizes of their groups, and where each stretch starts in either."""
+
+    a: np.ndarray
+    b: np.ndarray
+    a_sizes: np.ndarray
+    b_sizes: np.ndarray
+    a_starts: np.ndarray
+    b_starts: np.ndarray
+    group_starts: np.ndarray
+    whole: np.ndarray
+
+    @classmethod
+    def of(cls, text: str, lengths: np.ndarray, side_a: Side, side_b: Side) -> Stretches | None:
+        """Stretches of ``lengths`` bytes that make up a space and ``text``; None if a tokenizer changes the text."""
+        raw = b" " + text.encode()
+        a, b = side_a.encode(text), side_b.encode(text)
+        if not (side_a.covers(a, raw) and side_b.covers(b, raw)):
+            return None
+        ends = np.cumsum(lengths)
+        ends_a, ends_b = np.cumsum(side_a.lengths[a]), np.cumsum(side_b.lengths[b])
+        a_ends, b_ends = borders(ends_a, ends_b)
+        group_ends = ends_a[a_ends.astype(np.int64) - 1]
+        starts = [np.append(0, np.searchsorted(found, ends, "right")) for found in (ends_a, ends_b, group_ends)]
+        return cls(a, b, np.diff(a_ends, prepend=WORD.type(0)), np.diff(b_ends, prepend=WORD.type(0)), *starts, np.ones(len(lengths), bool))
+
+    @classmethod
+    def joined(cls, parts: list[Stretches | None]) -> Stretches:
+        """Single stretches one after another; those without tokens are not whole."""
+        own = [p or cls(NONE, NONE, NONE, NONE, *[np.zeros(2, np.int64)] * 3, np.zeros(1, bool)) for p in parts]
+        arrays = [np.concatenate([NONE, *[getattr(p, name) for p in own]]) for name in ("a", "b", "a_sizes", "b_sizes")]
+        starts = [np.cumsum([0, *[len(getattr(p, name)) for p in own]]) for name in ("a", "b", "a_sizes")]
+        return cls(*arrays, *starts, np.array([bool(p.whole[0]) for p in own], bool))
+
+
+def gathered(values: np.ndarray, starts: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the stretches ``picked``, one after another, and where each of them ends."""
+    sizes = starts[picked + 1] - starts[picked]
+    ends = np.cumsum(sizes)
+    return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[picked] - ends + sizes, sizes)], ends
+
+
+Aligned = tuple[int | None, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def align_block(rows: list[tuple[int | None, str]], side_a: Side, side_b: Side) -> Iterator[Aligned]:
+    """Ids and borders of some documents. A stretch between clean spaces has the same tokens wherever it stands, so each
+    distinct one is encoded and aligned once, all of them as one text, and documents are put together from theirs."""
+    cuts = [CLEAN.split(text) for _, text in rows]
+    # Stretches at the ends of a text may border on its white space; they are aligned alone.
+    edges = sorted({c[i] for c in cuts for i in (0, -1) if c[i] != c[i].strip()})
+    within = set(chain.from_iterable(cuts)).difference(edges, [""])
+    index = {s: i for i, s in enumerate(chain(within, edges))}
+    order = list(within)
+    lengths = np.array([len(s.encode()) + 1 for s in order], np.int64)
+    plain = Stretches.of(" ".join(order), lengths, side_a, side_b) if order else None
+    singles = edges if plain else [*order, *edges]
+    alone = [Stretches.of(s, np.array([len(s.encode()) + 1]), side_a, side_b) for s in singles]
+    parts = Stretches.joined(alone)
+    if plain:
+        parts = Stretches(
+            *[np.concatenate([getattr(plain, n), getattr(parts, n)]) for n in ("a", "b", "a_sizes", "b_sizes")],
+            *[np.concatenate([getattr(plain, n), getattr(parts, n)[1:] + getattr(plain, n)[-1]]) for n in ("a_starts", "b_starts", "group_starts")],
+            np.concatenate([plain.whole, parts.whole]),
+        )
+    for (doc_id, text), cut in zip(rows, cuts, strict=True):
+        picked = np.fromiter(map(index.__getitem__, cut), np.int64, len(cut)) if text else np.empty(0, np.int64)
+        if not parts.whole[picked].all():
+            picked = picked[:0]
+        a, b = gathered(parts.a, parts.a_starts, picked)[0], gathered(parts.b, parts.b_starts, picked)[0]
+        sizes = gathered(parts.a_sizes, parts.group_starts, picked)[0], gathered(parts.b_sizes, parts.group_starts, picked)[0]
+        yield doc_id, a, b, np.cumsum(sizes[0], dtype=WORD), np.cumsum(sizes[1], dtype=WORD)
+
+
+def aligned_rows(batches: Iterable[pa.RecordBatch], path_a: str, path_b: str) -> Iterator[Aligned]:
+    both = sides(path_a, path_b)
+    held, size = [], 0
     for doc_id, text in records(batches, "doc_id", "text"):
-        raw = b" " + (text or "").encode()
-        a, b = (side_a.encode(text), side_b.encode(text)) if text else (NONE, NONE)
-        if side_a.covers(a, raw) and side_b.covers(b, raw):
-            yield doc_id, a, b, *borders(np.cumsum(side_a.lengths[a]), np.cumsum(side_b.lengths[b]))
-        else:
-            yield doc_id, NONE, NONE, NONE, NONE
+        held.append((doc_id, text or ""))
+        size += len(held[-1][1])
+        if size >= BLOCK:
+            yield from align_block(held, *both)
+            held, size = [], 0
+    yield from align_block(held, *both)
 
 
 def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
