@@ -29,9 +29,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir() -> str:
     return SF_DIR
-
-
-def rows(df, *order):
-    """Rows as tuples, in a fixed order."""
-    frame = df.orderBy(*order) if order else df
-    return [tuple(r) for r in frame.collect()]

@@ -7,7 +7,7 @@ import math
 from statistics import NormalDist
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from depotline.functions import calendar as cal, numeric as num, text, vectors

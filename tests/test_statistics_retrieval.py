@@ -7,7 +7,7 @@ import math
 
 import numpy as np
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from depotline.operators import enrich, evaluation as E, forecasting as M, retrieval as R, statistics as T
