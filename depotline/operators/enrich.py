@@ -141,7 +141,9 @@ def modelling_table(
 ) -> DataFrame:
     """Everything the forecast models see, one row per week and segment."""
     chained = weekly_chain(weekly, calendar, skus, warehouses, lanes)
-    return add_velocity(add_short_features(add_epoch_features(chained)), train_until)
+    table = add_velocity(add_short_features(add_epoch_features(chained)), train_until)
+    # A week without a calendar entry has no disruption.
+    return table.withColumn("weather_disruption", F.coalesce("weather_disruption", F.lit(0.0)))
 
 
 def daily_modelling_table(demand: DataFrame, calendar: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from depotline.functions.calendar import iso_year_week
@@ -86,8 +85,8 @@ class Network:
         """Weekly grain on disk: one pass over demand for everything built on it."""
         return store(self.weekly(), "weekly")
 
-    def modelling_table(self) -> DataFrame:
-        return enrich.modelling_table(self.stored_weekly, self.calendar, self.skus, self.warehouses, self.lanes)
+    def modelling_table(self, train_until=None) -> DataFrame:
+        return enrich.modelling_table(self.stored_weekly, self.calendar, self.skus, self.warehouses, self.lanes, train_until)
 
     # --- forecast -------------------------------------------------------------
     def residuals(self) -> DataFrame:
@@ -169,23 +168,26 @@ class ModelNetwork(Network):
     stock, requirements, allocation and marts. The spread is that of the model's own history.
     """
 
-    #: What to fit; boosted trees with the default rounds unless set.
-    pipeline: Pipeline | None = None
+    #: What to fit; boosted trees on every feature, with the default rounds, unless set.
+    pipeline: M.Estimator | None = None
+
+    @property
+    def estimator(self) -> M.Estimator:
+        return self.pipeline or M.boosted_trees(M.MODEL_FEATURES)
 
     @cached_property
     def stored_features(self) -> DataFrame:
-        """Weekly rows with the features a future week can have."""
-        last = self.stored_weekly.agg(F.max("week_start")).scalar()
-        return store(enrich.add_velocity(enrich.add_short_features(enrich.add_epoch_features(self.stored_weekly)), last), "features")
+        """The joined table on disk; velocity and rank see all its weeks."""
+        return store(self.modelling_table(), "features")
 
     @cached_property
     def fitted(self) -> M.FittedForecast:
-        return M.fit(self.stored_features, self.pipeline or M.boosted_trees(M.FORWARD_FEATURES), M.FORWARD_FEATURES)
+        return M.fit(self.stored_features, self.estimator, M.features_of(self.estimator))
 
     def residuals(self) -> DataFrame:
-        known = self.fitted.predict(M.complete_rows(self.stored_features, M.FORWARD_FEATURES))
+        known = self.fitted.predict(self.fitted.usable(self.stored_features))
         return E.with_residual(known).select("week_start", *W.SEGMENT, E.TARGET, "predicted_units", "residual")
 
     def forecast(self) -> DataFrame:
-        forward = E.add_interval(M.forward_forecast(self.fitted, self.stored_features), self.residual_stats())
+        forward = E.add_interval(M.forward_forecast(self.fitted, self.stored_features, calendar=self.calendar), self.residual_stats())
         return forward.withColumn("year_week", iso_year_week(forward["week_start"]))

@@ -93,5 +93,7 @@ RETRIEVAL_TOP_K = 5
 # Boosted-tree defaults.
 BOOSTING_ROUNDS = 300
 BOOSTING_RATE = 0.05
+BOOSTING_LEAVES = 31
+BOOSTING_LEAF_ROWS = 20
 BOOSTING_SEED = 42
 # --- End of fixed values ----------------------------------------------------

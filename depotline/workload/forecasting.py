@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from depotline.operators import enrich, evaluation as E, forecasting as M, retrieval as R, statistics as T
 from depotline.plans.network import Network
@@ -16,14 +16,17 @@ def network(spark: SparkSession, sf_dir: str) -> Network:
 
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekly rows with the features a future week can have, stored once.
+    """The joined table, one row per week and segment with every feature, stored once.
 
     Velocity and rank see the training weeks only.
     """
-    weekly = network(spark, sf_dir).stored_weekly
-    last_training_week = F.date_sub(weekly.agg(F.max("week_start")).scalar(), 56)
-    table = enrich.add_velocity(enrich.add_short_features(enrich.add_epoch_features(weekly)), last_training_week)
-    return store(table, "features")
+    n = network(spark, sf_dir)
+    last_training_week = F.date_sub(n.stored_weekly.agg(F.max("week_start")).scalar(), 56)
+    return store(n.modelling_table(last_training_week), "features")
+
+
+def boosted(train: DataFrame) -> M.FittedForecast:
+    return M.fit(train, M.boosted_trees(M.MODEL_FEATURES), M.MODEL_FEATURES)
 
 
 @query(
@@ -44,12 +47,11 @@ def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Hold-out predictions of the boosted, linear and persistence models."""
     marked = E.holdout_split(feature_table(spark, sf_dir))
-    train, test = marked.where("is_train"), M.complete_rows(marked.where("NOT is_train"), M.FORWARD_FEATURES)
-    boosted = M.fit(train, M.boosted_trees(M.FORWARD_FEATURES), M.FORWARD_FEATURES)
-    linear = M.fit(train, M.linear_model(M.FORWARD_FEATURES), M.FORWARD_FEATURES)
+    train, test = marked.where("is_train"), marked.where("NOT is_train")
+    linear = M.fit(train, M.linear_model(M.MODEL_FEATURES), M.MODEL_FEATURES)
     return {
-        "Boosted trees": boosted.predict(test),
-        "Linear regression": linear.predict(test),
+        "Boosted trees": boosted(train).predict(test),
+        "Linear regression": linear.predict(linear.usable(test)),
         "Naive": E.last_value_forecast(marked),
     }
 
@@ -57,8 +59,21 @@ def scored_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 @query("m02_boosted_trees", "week_start:d region category total_units:2 predicted_units:2")
 def boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = E.holdout_split(feature_table(spark, sf_dir))
-    fitted = M.fit(marked.where("is_train"), M.boosted_trees(M.FORWARD_FEATURES), M.FORWARD_FEATURES)
-    return fitted.predict(M.complete_rows(marked.where("NOT is_train"), M.FORWARD_FEATURES))
+    return boosted(marked.where("is_train")).predict(marked.where("NOT is_train"))
+
+
+def sane(predictions: DataFrame, weekly: DataFrame) -> DataFrame:
+    """Whether each prediction is one that the data allow: known, and within twice the largest weekly demand."""
+    most = weekly.agg(F.max(F.abs("total_units"))).scalar()
+    return predictions.withColumn("sane", F.col("predicted_units").isNotNull() & (F.abs("predicted_units") <= 2 * most))
+
+
+@query("m02_row_set", "week_start:d region category total_units:2 sane:b", "SELECT week_start, region, category, total_units, true AS sane FROM holdout WHERE NOT is_train")
+def boosted_row_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The boosted model predicts every hold-out row, within bounds; the trees themselves are held against brute force in the tests."""
+    table = feature_table(spark, sf_dir)
+    marked = E.holdout_split(table)
+    return sane(boosted(marked.where("is_train")).predict(marked.where("NOT is_train")), table)
 
 
 _METRICS = """round(avg(abs(total_units - predicted_units)), 2) AS mae, round(sqrt(avg(power(total_units - predicted_units, 2))), 2) AS rmse,
@@ -84,8 +99,8 @@ def naive_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("m05_linear_regression", "week_start:d region category total_units:2 predicted_units:2")
 def linear_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = E.holdout_split(feature_table(spark, sf_dir))
-    fitted = M.fit(marked.where("is_train"), M.linear_model(M.FORWARD_FEATURES), M.FORWARD_FEATURES)
-    return fitted.predict(M.complete_rows(marked.where("NOT is_train"), M.FORWARD_FEATURES))
+    fitted = M.fit(marked.where("is_train"), M.linear_model(M.MODEL_FEATURES), M.MODEL_FEATURES)
+    return fitted.predict(fitted.usable(marked.where("NOT is_train")))
 
 
 @query(
@@ -105,7 +120,7 @@ def single_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four expanding-window folds of the boosted model."""
     folded = E.walk_forward_folds(feature_table(spark, sf_dir))
-    return M.cross_validate(folded, M.boosted_trees(M.FORWARD_FEATURES), M.FORWARD_FEATURES)
+    return M.cross_validate(folded, M.boosted_trees(M.MODEL_FEATURES), M.MODEL_FEATURES)
 
 
 _FOLDS = """folds AS (
@@ -114,6 +129,17 @@ _FOLDS = """folds AS (
   CROSS JOIN (SELECT unnest(range(1, 5)) AS fold) f WHERE i < n - (n // 5) * (5 - f.fold) + n // 5)"""
 
 
+@query(
+    "m06_row_set",
+    "fold:l week_start:d region category total_units:2 sane:b",
+    f"WITH {_FOLDS} SELECT fold, week_start, region, category, total_units, true AS sane FROM folds WHERE NOT is_train",
+)
+def fold_row_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every validation row of every fold is predicted by the boosted model of its fold, within bounds."""
+    table = feature_table(spark, sf_dir)
+    return sane(M.fold_predictions(E.walk_forward_folds(table), M.boosted_trees(M.MODEL_FEATURES), M.MODEL_FEATURES), table)
+
+
 @query(
     "m06_fold_baseline",
     "fold:l mae:2 rmse:2 wape:1 r2:4 n:l",
@@ -142,8 +168,19 @@ def holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forward_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twelve recursive steps of the boosted model, one row per week and segment."""
     table = feature_table(spark, sf_dir)
-    fitted = M.fit(table, M.boosted_trees(M.FORWARD_FEATURES), M.FORWARD_FEATURES)
-    return M.forward_forecast(fitted, table)
+    return M.forward_forecast(boosted(table), table, calendar=network(spark, sf_dir).calendar)
+
+
+@query(
+    "m08_row_set",
+    "week_start:d region category history_weeks:i sane:b",
+    """SELECT CAST((SELECT max(week_start) FROM weekly) + 7 * step AS DATE) AS week_start, region, category, least(n, 4) AS history_weeks, true AS sane
+       FROM (SELECT region, category, count(*) AS n FROM weekly GROUP BY 1, 2) s CROSS JOIN (SELECT CAST(unnest(range(1, 13)) AS INTEGER) AS step) h""",
+)
+def forward_row_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve weeks of every segment, within bounds."""
+    table = feature_table(spark, sf_dir)
+    return sane(M.forward_forecast(boosted(table), table, calendar=network(spark, sf_dir).calendar), table)
 
 
 @query(
@@ -158,8 +195,22 @@ def residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("m10_feature_importance", "feature importance:6 importance_pct:4 rank:i category")
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = feature_table(spark, sf_dir)
-    fitted = M.fit(table, M.boosted_trees(M.FORWARD_FEATURES), M.FORWARD_FEATURES)
-    return M.feature_importance(fitted, table)
+    return M.feature_importance(boosted(table), table)
+
+
+@query(
+    "m10_feature_set",
+    "feature total_pct:2 ranks_are_ordered:b",
+    "SELECT unnest(["
+    + ", ".join(f"'{f}'" for f in M.MODEL_FEATURES)
+    + "]) AS feature, 100.0 AS total_pct, true AS ranks_are_ordered",
+)
+def feature_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every feature of the joined table is ranked, by falling importance, and the shares are a whole."""
+    ranked = M.feature_importance(boosted(table := feature_table(spark, sf_dir)), table)
+    above = F.lag("importance").over(Window.orderBy("rank"))
+    checked = ranked.withColumn("ranks_are_ordered", F.coalesce(above >= F.col("importance"), F.lit(True)))
+    return checked.withColumn("total_pct", F.sum("importance_pct").over(Window.partitionBy()))
 
 
 @query("m11_model_comparison", "model n:l mae:2 rmse:2 wape:1 r2:4 mae_improvement_pct:1 wape_improvement_pct:1")
