@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 from depotline import settings as S
 from depotline.functions.normal import normal_upper_tail
-from depotline.functions.numeric import guarded_corr, ratio
+from depotline.functions.numeric import ratio
 from depotline.operators.prefix import pick_percentiles, running_totals, value_counts_running
 from depotline.operators.weekly import SEGMENT
 from depotline.session import store
@@ -133,44 +131,78 @@ def autocorrelation(series: DataFrame, keys: list[str], index: str, value: str,
 
 
 def partial_autocorrelation(acf: DataFrame, keys: list[str]) -> DataFrame:
-    """PACF from ACF rows by the Durbin-Levinson recursion.
+    """PACF from ACF rows by the Durbin-Levinson recursion, as a fold over each series' array of max_lag + 1 values."""
+    packed = acf.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("lag", "acf"))), lambda x: x["acf"]).alias("_rho"))
+    rho = F.col("_rho")
+
+    def step(state: Column, k: Column) -> Column:
+        weights, error = state["weights"], state["error"]
+        # The weight at position j applies to lag j + 1; it meets rho at k - 1 - j.
+        earlier = F.zip_with(weights, F.reverse(F.slice(rho, F.lit(2), k - 1)), lambda w, r: w * r)
+        found = (F.get(rho, k) - F.aggregate(earlier, F.lit(0.0), lambda total, x: total + x)) / error
+
+        def with_step(x: Column) -> Column:
+            moved = F.zip_with(weights, F.reverse(weights), lambda w, r: w - x * r)
+            return F.struct(F.concat(moved, F.array(x)).alias("weights"), (error * (1 - x * x)).alias("error"), F.concat(state["out"], F.array(x)).alias("out"))
+
+        done = F.struct(weights.alias("weights"), error.alias("error"), F.concat(state["out"], F.array(F.lit(None).cast("double"))).alias("out"))
+        # In a one-element array, so that the step is computed once and used three times.
+        return F.when(error <= 1e-12, done).otherwise(F.get(F.transform(F.array(found), with_step), F.lit(0)))
+
+    none = F.array().cast("array<double>")
+    start = F.struct(none.alias("weights"), F.lit(1.0).alias("error"), F.array(F.lit(1.0)).alias("out"))
+    lags = F.filter(F.sequence(F.lit(0), F.size(rho) - 1), lambda k: k > 0)
+    folded = packed.withColumn("_out", F.aggregate(lags, start, step)["out"])
+    return folded.select(*keys, F.posexplode("_out").alias("lag", "pacf"))
 
-    One small group (max_lag + 1 rows) per series. The function sent to the
-    workers is self-contained, so they need no copy of this package.
+
+#: Deviation, as a share of the mean, up to which a column counts as constant.
+CONSTANT = 1e-10
+
+
+def moments(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Numbers, sums and cross-products of every column pair (``i`` <= ``j``) over rows that have both, about ``origin``.
+
+    Each task adds up small matrices over its rows, and Spark adds those of all tasks: one pass, and p (p + 1) / 2
+    rows a task to shuffle. Sums are about some row of the table, so large offsets cancel and constants vary by nothing.
     """
-    group = keys or ["_all"]
-    rows = acf if keys else acf.withColumn("_all", F.lit(0))
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*group).schema])
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        ordered = pdf.sort_values("lag")
-        rho = ordered["acf"].to_numpy(dtype=float)
-        partial = np.full(len(rho), np.nan)
-        partial[0] = 1.0
-        weights, error = np.zeros(0), 1.0
-        for k in range(1, len(rho)):
-            if error <= 1e-12:
-                break
-            # weights[j] applies to lag j + 1; pair it with rho at k - 1 - j.
-            step = (rho[k] - weights @ rho[1:k][::-1]) / error
-            weights = np.append(weights - step * weights[::-1], step)
-            error *= 1.0 - step * step
-            partial[k] = step
-        return ordered[[*group, "lag"]].assign(pacf=partial)
-
-    result = rows.select(*group, "lag", "acf").groupBy(*group).applyInPandas(solve, f"{schema}, lag int, pacf double")
-    return result if keys else result.drop("_all")
+    values = [F.col(c).cast("double") for c in columns]
+    finite = [F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x) for x in values]
+    rows = df.select(F.array(*finite).alias("x"))
+    first = df.select(*[F.first(x, ignorenulls=True).alias(c) for x, c in zip(finite, columns)]).first() if columns else []
+    origin = np.array([0.0 if v is None else v for v in first])
+    p = len(columns)
+    upper = np.triu_indices(p)
+    names = ["i", "j", "n", "sum_i", "sum_j", "square_i", "square_j", "cross"]
+
+    def run(batches):
+        total = np.zeros((6, p, p))
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, p) - origin
+            known = (~np.isnan(x)).astype(float)
+            x = np.where(known > 0, x, 0.0)
+            total += [known.T @ known, x.T @ known, known.T @ x, (x * x).T @ known, known.T @ (x * x), x.T @ x]
+        yield pa.RecordBatch.from_arrays([pa.array(upper[0], pa.int32()), pa.array(upper[1], pa.int32()), *[pa.array(m[upper]) for m in total]], names=names)
+
+    kinds = ", ".join(f"{name} {'int' if name in 'ij' else 'double'}" for name in names)
+    summed = rows.mapInArrow(run, kinds).groupBy("i", "j").agg(*[F.sum(name).alias(name) for name in names[2:]])
+    place = F.array(*[F.lit(float(v)) for v in origin])
+    return summed.withColumns({"origin_i": F.get(place, F.col("i")), "origin_j": F.get(place, F.col("j"))})
 
 
 def correlation_pairs(df: DataFrame, columns: list[str], threshold: float | None = None) -> DataFrame:
-    """Pearson r of every column pair from one aggregation pass."""
-    entries = [
-        F.struct(
-            F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), guarded_corr(F.col(a), F.col(b)).alias("pearson_r")
-        )
-        for a, b in combinations(columns, 2)
-    ]
-    pairs = df.agg(F.array(*entries).alias("e")).select(F.inline("e"))
+    """Pearson r of every column pair from one matrix of moments; constant input gives null."""
+    name = F.array(*[F.lit(c) for c in columns])
+    n = F.col("n")
+    spread_i = F.col("square_i") - ratio(F.col("sum_i") * F.col("sum_i"), n)
+    spread_j = F.col("square_j") - ratio(F.col("sum_j") * F.col("sum_j"), n)
+    mean_i, mean_j = F.col("origin_i") + ratio(F.col("sum_i"), n), F.col("origin_j") + ratio(F.col("sum_j"), n)
+    # A constant that was computed differs from itself by rounding; that is no variation.
+    varies = (spread_i > n * CONSTANT * CONSTANT * mean_i * mean_i) & (spread_j > n * CONSTANT * CONSTANT * mean_j * mean_j)
+    r = F.when(varies, (F.col("cross") - F.col("sum_i") * F.col("sum_j") / n) / F.sqrt(spread_i) / F.sqrt(spread_j))
+    pairs = moments(df, columns).where("i < j").select(
+        F.get(name, F.col("i")).alias("feature_a"), F.get(name, F.col("j")).alias("feature_b"), F.when(r > 1, 1.0).when(r < -1, -1.0).otherwise(r).alias("pearson_r")
+    )
     return pairs if threshold is None else pairs.where(F.abs("pearson_r") > threshold)
 
 

@@ -323,33 +323,70 @@ def segment_autocorrelation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.autocorrelation(indexed, ["region", "category"], "t", "total_units")
 
 
-@query("m16_partial_autocorrelation", "lag:i pacf:5")
+@query(
+    "m16_partial_autocorrelation",
+    "lag:i pacf:5",
+    """WITH RECURSIVE centred AS (SELECT t, units - avg(units) OVER () AS d FROM network_weeks),
+         rho AS (SELECT list(r ORDER BY lag) AS r FROM (
+           SELECT lag, sum(a.d * b.d) / (SELECT sum(d * d) FROM centred) AS r
+           FROM (SELECT unnest(range(0, 28)) AS lag) CROSS JOIN centred a JOIN centred b ON b.t = a.t + lag GROUP BY lag)),
+         steps AS (
+           SELECT 0 AS lag, CAST([] AS DOUBLE[]) AS w, CAST(1.0 AS DOUBLE) AS e, CAST(1.0 AS DOUBLE) AS pacf
+           UNION ALL
+           SELECT lag, list_concat(list_transform(w, lambda x, i: x - p * w[len(w) + 1 - i]), [p]), e * (1 - p * p), p
+           FROM (SELECT lag + 1 AS lag, w, e,
+                        (r[lag + 2] - coalesce(list_sum(list_transform(w, lambda x, i: x * r[lag + 2 - i])), 0.0)) / e AS p
+                 FROM steps CROSS JOIN rho WHERE lag + 1 < len(r)))
+       SELECT lag, pacf FROM steps""",
+)
 def partial_autocorrelation(spark: SparkSession, sf_dir: str) -> DataFrame:
     acf = T.autocorrelation(network_weeks(spark, sf_dir), [], "week_index", "units")
     return T.partial_autocorrelation(acf, [])
 
 
-_CORRELATED = ["month", "quarter", "week_number", "lag_1_week_demand", "lag_4_week_demand", "rolling_4wk_mean", "demand_trend"]
+def _correlations(features: list[str], source: str) -> str:
+    """All pairs; a constant has no correlation."""
+    pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1 :]]
+    varying = "CASE WHEN stddev_pop({0}) > 1e-10 * abs(avg({0})) AND stddev_pop({1}) > 1e-10 * abs(avg({1})) THEN corr({0}::DOUBLE, {1}::DOUBLE) END"
+    rows = ", ".join(f"{{'feature_a': '{a}', 'feature_b': '{b}', 'pearson_r': {varying.format(a, b)}}}" for a, b in pairs)
+    return f"SELECT unnest(rows, recursive := true) FROM (SELECT [{rows}] AS rows FROM {source})"
 
 
-@query(
-    "m17_correlation_pairs",
-    "feature_a feature_b pearson_r:4",
-    " UNION ALL ".join(
-        f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}::DOUBLE, {b}::DOUBLE) AS pearson_r FROM short_features"
-        for i, a in enumerate(_CORRELATED) for b in _CORRELATED[i + 1:]
-    ),
-)
+@query("m17_correlation_pairs", "feature_a feature_b pearson_r:4", _correlations(M.MODEL_FEATURES, "modelling"))
 def correlation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = enrich.add_short_features(network(spark, sf_dir).weekly())
-    return T.correlation_pairs(table, _CORRELATED)
-
-
-@query("m18_variance_inflation", "feature vif:3 flag")
+    """Every pair of the features that the models see."""
+    return T.correlation_pairs(network(spark, sf_dir).modelling_table(), M.MODEL_FEATURES)
+
+
+def _inflation(features: list[str]) -> str:
+    """Gauss-Jordan elimination of the correlation matrix, a step per feature; a feature whose pivot is gone depends on those
+    before it, and so do those that it needs."""
+    complete = " AND ".join(f"{f} IS NOT NULL" for f in features)
+    names = ", ".join(f"'{f}'" for f in features)
+    steps = [
+        f"""g0 AS MATERIALIZED (SELECT list_position([{names}], feature_a) AS i, list_position([{names}], feature_b) AS j, coalesce(pearson_r, 0.0) AS v FROM pairs
+            UNION ALL SELECT list_position([{names}], feature_b), list_position([{names}], feature_a), coalesce(pearson_r, 0.0) FROM pairs
+            UNION ALL SELECT CAST(k AS INTEGER), CAST(k AS INTEGER), 1.0 FROM (SELECT unnest(range(1, {len(features) + 1})) AS k))"""
+    ]
+    for k in range(1, len(features) + 1):
+        steps.append(
+            f"""g{k} AS MATERIALIZED (SELECT a.i, a.j, CASE WHEN p.v < 1e-9 THEN a.v WHEN a.i = {k} AND a.j = {k} THEN 1 / p.v WHEN a.i = {k} THEN a.v / p.v
+                WHEN a.j = {k} THEN -a.v / p.v ELSE a.v - c.v * r.v / p.v END AS v
+              FROM g{k - 1} a JOIN g{k - 1} c ON c.i = a.i AND c.j = {k} JOIN g{k - 1} r ON r.i = {k} AND r.j = a.j CROSS JOIN (SELECT v FROM g{k - 1} WHERE i = {k} AND j = {k}) p)"""
+        )
+    skipped = " UNION ALL ".join(f"SELECT {k} AS k FROM g{k - 1} WHERE i = {k} AND j = {k} AND v < 1e-9" for k in range(1, len(features) + 1))
+    last = f"g{len(features)}"
+    return f"""WITH complete AS (SELECT * FROM modelling WHERE {complete}), pairs AS MATERIALIZED ({_correlations(features, "complete")}), {", ".join(steps)},
+      skipped AS ({skipped}),
+      singular AS (SELECT k FROM skipped UNION SELECT g.i FROM {last} g JOIN skipped s ON g.j = s.k WHERE abs(g.v) > 1e-6)
+      SELECT [{names}][i] AS feature, vif, CASE WHEN isinf(vif) THEN 'INF' WHEN vif > 10 THEN 'SEVERE' WHEN vif > 5 THEN 'MODERATE' ELSE 'OK' END AS flag
+      FROM (SELECT i, CASE WHEN i IN (SELECT k FROM singular) THEN CAST('inf' AS DOUBLE) ELSE v END AS vif FROM {last} WHERE i = j)"""
+
+
+@query("m18_variance_inflation", "feature vif:3 flag", _inflation(M.MODEL_FEATURES))
 def variance_inflation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lag 1, lag 4 and their difference are exactly collinear."""
-    table = enrich.add_short_features(network(spark, sf_dir).weekly())
-    return T.variance_inflation(table, [*_CORRELATED, "weather_disruption", "avg_price_usd"])
+    """All features; lag 1, lag 4 and their difference are exactly collinear, and so are many prices and distances."""
+    return T.variance_inflation(network(spark, sf_dir).modelling_table(), M.MODEL_FEATURES)
 
 
 @query(

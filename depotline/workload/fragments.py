@@ -267,6 +267,20 @@ FRAGMENTS: dict[str, str] = {
         FROM weekly
         WINDOW w AS (PARTITION BY region, category ORDER BY week_start),
                f AS (PARTITION BY region, category ORDER BY week_start ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)""",
+    "modelling": """
+        SELECT s.*, floor((s.week_start - (SELECT min(week_start) FROM weekly)) / 7) AS weeks_since_epoch, CAST(s.quarter = 4 AS INTEGER) AS is_q4,
+               v.category_velocity, v.region_demand_rank, c.*, home_wh_capacity, home_wh_fixed_cost, home_ship_cost, home_lead_time,
+               home_distance_km, home_lane_efficiency, home_lead_time * 500.0 AS carbon_distance_km, c.avg_volume_m3 * 200 / 1000 AS carbon_weight_tonnes,
+               home_lead_time * 500.0 * (c.avg_volume_m3 * 200 / 1000) * 0.062 AS carbon_kg_per_unit
+        FROM (SELECT * REPLACE (coalesce(weather_disruption, 0.0) AS weather_disruption) FROM short_features) s
+        JOIN (SELECT region, category, u AS category_velocity, rank() OVER (PARTITION BY region ORDER BY u DESC) AS region_demand_rank
+              FROM (SELECT region, category, avg(total_units) AS u FROM weekly GROUP BY 1, 2)) v
+          ON s.region = v.region AND s.category = v.category
+        LEFT JOIN (SELECT category AS of_category, avg(unit_cost_usd) AS avg_unit_cost_usd, avg(selling_price_usd) AS avg_selling_price_usd,
+                          avg(gross_margin_usd) AS avg_gross_margin_usd, avg(margin_pct) AS avg_margin_pct, avg(cube_ft) AS avg_cube_ft,
+                          avg(volume_m3) AS avg_volume_m3, avg(holding_cost_daily_usd) AS avg_holding_cost_daily, avg(stockout_penalty_usd) AS avg_stockout_penalty
+                   FROM skus GROUP BY category) c ON s.category = c.of_category
+        LEFT JOIN home h ON s.region = h.region""",
     "holdout": """
         SELECT *, week_start <= (SELECT max(week_start) FROM weekly) - 56 AS is_train FROM weekly""",
     "naive": """

@@ -218,3 +218,20 @@ def test_registered_models_are_the_boosted_ones_with_all_rounds(spark, monkeypat
         run(spark, "/root/testdata/sf0.001")
     model = stopped.value.args[0]
     assert type(model).__name__ == "BoostedTrees" and model.plan.rounds == 300 and len(model.features) == 36
+
+
+def test_moments_by_brute_force(spark):
+    """Pairs where both are present, far from zero, over many partitions; constants up to rounding have no correlation."""
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.normal(1e6, 1, 300), rng.normal(-5, 2, 300), np.full(300, 0.1) * 3, rng.normal(size=300)])
+    x[:, 3] += x[:, 1]
+    x[150:, 2] = 0.1 + 0.2
+    x[::7, 0] = np.nan
+    x[::5, 1] = np.nan
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x], "a double, b double, k double, c double").repartition(9)
+    got = {(r.feature_a, r.feature_b): r.pearson_r for r in T.correlation_pairs(df, ["a", "b", "k", "c"]).collect()}
+    for (i, one), (j, two) in [((0, "a"), (1, "b")), ((0, "a"), (3, "c")), ((1, "b"), (3, "c"))]:
+        both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+        assert got[one, two] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1])
+    assert [got[p] for p in (("a", "k"), ("b", "k"), ("k", "c"))] == [None] * 3
+    assert len(got) == 6 and {r.pearson_r for r in T.correlation_pairs(df.limit(0), ["a", "b"]).collect()} == {None}
