@@ -131,7 +131,7 @@ def _with_costs(plan: DataFrame) -> DataFrame:
     )
 
 
-def allocate_within_capacity(plan: DataFrame, warehouses: DataFrame, lanes_per_region: int) -> DataFrame:
+def allocate_within_capacity(plan: DataFrame, warehouses: DataFrame, prices: DataFrame | None = None) -> DataFrame:
     """``plan`` with no warehouse above its capacity: what does not fit spills to the next best lane.
 
     In pass k every segment asks its k-th best lane for what it still lacks, and a warehouse
@@ -139,23 +139,29 @@ def allocate_within_capacity(plan: DataFrame, warehouses: DataFrame, lanes_per_r
     no lane can take stays unserved. ``spilled`` marks rows served after the first
     pass, ``optimal`` the scenarios without spill or shortage. The loop is over the lanes
     of a region, a handful; tables between passes hold a row per segment or warehouse.
+    With ``prices`` (see ``capacity_prices``) lanes are ranked by score and price together.
     """
-    choice = Window.partitionBy("scenario", *SEGMENT).orderBy(F.round("score", 12), "warehouse_id")
-    regret = F.round(F.lead("score").over(choice) - F.col("score"), 12)
     keys = ["scenario", *SEGMENT]
-    ranked = store(plan.withColumns({"place": F.row_number().over(choice), "regret": regret}), "ranked-lanes")
+    asked_score = F.col("score")
+    if prices is not None:
+        plan = plan.join(prices.select("scenario", "warehouse_id", F.col("price").alias("_price")), ["scenario", "warehouse_id"], "left")
+        asked_score = F.col("score") + F.coalesce("_price", F.lit(0.0))
+    choice = Window.partitionBy(*keys).orderBy(F.round(asked_score, 12), "warehouse_id")
+    regret = F.round(F.lead(asked_score).over(choice) - asked_score, 12)
+    ranked = store(plan.withColumns({"place": F.row_number().over(choice), "regret": regret}).drop("_price"), "ranked-lanes")
+    lanes_per_region = ranked.agg(F.max("place")).first()[0] or 0
     lacking = ranked.where("place = 1").select(*keys, F.col("required_units").alias("lack"))
     room = ranked.select("scenario", "warehouse_id").distinct().join(
         warehouses.select("warehouse_id", F.col("capacity_units").cast("double").alias("room")), "warehouse_id"
     )
     by_regret = Window.partitionBy("scenario", "warehouse_id").orderBy(F.col("regret").desc_nulls_first(), *SEGMENT)
-    served = None
+    served = ranked.where("false").select(*keys, "warehouse_id", F.lit(0.0).alias("taken"), F.lit(False).alias("late"))
     for place in range(1, lanes_per_region + 1):
         asked = ranked.where(F.col("place") == place).select(*keys, "warehouse_id", "regret").join(lacking, keys).join(room, ["scenario", "warehouse_id"])
         before = F.coalesce(F.sum("lack").over(by_regret.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
         given = F.greatest(F.lit(0.0), F.least(F.col("lack"), F.col("room") - before))
         taken = store(asked.select(*keys, "warehouse_id", given.alias("taken"), F.lit(place > 1).alias("late")), "taken")
-        served = taken if served is None else served.unionByName(taken)
+        served = served.unionByName(taken)
         lacking = lacking.join(taken.select(*keys, "taken"), keys, "left").select(*keys, (F.col("lack") - F.coalesce("taken", F.lit(0.0))).alias("lack"))
         used = taken.groupBy("scenario", "warehouse_id").agg(F.sum("taken").alias("used"))
         room = room.join(used, ["scenario", "warehouse_id"], "left").select("scenario", "warehouse_id", (F.col("room") - F.coalesce("used", F.lit(0.0))).alias("room"))
@@ -169,6 +175,99 @@ def allocate_within_capacity(plan: DataFrame, warehouses: DataFrame, lanes_per_r
     return _with_costs(part.withColumn("optimal", first >= needed - 1e-6).drop("_needed"))
 
 
+#: Score at which a unit is rather left unserved, in multiples of the dearest lane's score.
+SHORTAGE = 2.0
+
+
+def _shortage(plan: DataFrame) -> DataFrame:
+    return plan.groupBy("scenario").agg((F.max("score") * SHORTAGE).alias("shortage"))
+
+
+def capacity_prices(plan: DataFrame, warehouses: DataFrame, rounds: int = 2) -> DataFrame:
+    """A price per unit of capacity, by scenario and warehouse, at which the demand for each warehouse about fits.
+
+    Starting from nothing, each warehouse in turn gets the lowest price at which no more is asked of it than it holds,
+    given the prices of the others: segments are taken in the order of what they would lose by going elsewhere, and the
+    first that does not fit sets the price. That is coordinate ascent on the dual of the transport problem, so any prices
+    it stops at give a lower bound (``capacity_bound``). A step ranks one row per segment; prices are a row per warehouse.
+    """
+    keys = ["scenario", *SEGMENT]
+    lanes = store(plan.select(*keys, "warehouse_id", "score", "required_units").join(_shortage(plan), "scenario"), "priced-lanes")
+    sites = [r.warehouse_id for r in lanes.select("warehouse_id").distinct().orderBy("warehouse_id").collect()]  # a dimension
+    room = {r.warehouse_id: float(r.capacity_units) for r in warehouses.where(F.col("warehouse_id").isin(sites)).collect()}
+    price: dict[tuple[str, str], float] = {}
+    spark = plan.sparkSession
+    by_loss = Window.partitionBy("scenario").orderBy(F.desc("loss"), *SEGMENT).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for _ in range(rounds):
+        for site in sites:
+            now = _price_table(spark, price)
+            asked = lanes.join(now, ["scenario", "warehouse_id"], "left").withColumn("priced", F.col("score") + F.coalesce("price", F.lit(0.0)))
+            here = F.col("warehouse_id") == site
+            choices = asked.groupBy(*keys).agg(
+                F.max("required_units").alias("units"),
+                F.least(F.min(F.when(~here, F.col("priced"))), F.max("shortage")).alias("elsewhere"),
+                F.min(F.when(here, F.col("score"))).alias("own"),
+            )
+            losing = choices.withColumn("loss", F.round(F.col("elsewhere") - F.col("own"), 12)).where("loss > 0")
+            loaded = losing.withColumn("load", F.sum("units").over(by_loss))
+            found = loaded.where(F.col("load") > room.get(site, 0.0)).groupBy("scenario").agg(F.max("loss").alias("price"))
+            price = {k: v for k, v in price.items() if k[1] != site} | {(r.scenario, site): r.price for r in found.collect()}  # a row per scenario
+    return _price_table(spark, price)
+
+
+def _price_table(spark, price: dict[tuple[str, str], float]) -> DataFrame:
+    return spark.createDataFrame([(s, w, p) for (s, w), p in sorted(price.items())], "scenario string, warehouse_id string, price double")
+
+
+def capacity_bound(plan: DataFrame, warehouses: DataFrame, prices: DataFrame) -> DataFrame:
+    """Per scenario a weighted score that no plan within capacity can undercut, shortage included."""
+    keys = ["scenario", *SEGMENT]
+    priced = plan.join(prices, ["scenario", "warehouse_id"], "left").withColumn("priced", F.col("score") + F.coalesce("price", F.lit(0.0)))
+    best = priced.join(_shortage(plan), "scenario").groupBy(*keys).agg(
+        (F.max("required_units") * F.least(F.min("priced"), F.max("shortage"))).alias("least")
+    )
+    rent = prices.join(warehouses.select("warehouse_id", "capacity_units"), "warehouse_id").groupBy("scenario").agg(F.sum(F.col("price") * F.col("capacity_units")).alias("rent"))
+    total = best.groupBy("scenario").agg(F.sum("least").alias("least"))
+    return total.join(rent, "scenario", "left").select("scenario", (F.col("least") - F.coalesce("rent", F.lit(0.0))).alias("lower_bound"))
+
+
+def weighted_score(plan: DataFrame) -> DataFrame:
+    """Per scenario the units served and left, and the score of the plan with its shortage."""
+    keys = ["scenario", *SEGMENT]
+    per_segment = plan.groupBy(*keys).agg(
+        F.sum("units_allocated").alias("units"), F.max("required_units").alias("needed"), F.sum(F.col("units_allocated") * F.col("score")).alias("score")
+    )
+    left = F.col("needed") - F.col("units")
+    return per_segment.join(_shortage(plan), "scenario").groupBy("scenario").agg(
+        F.sum("units").alias("served_units"), F.sum(left).alias("unserved_units"), F.sum(F.col("score") + left * F.col("shortage")).alias("weighted_score")
+    )
+
+
+def plan_within_capacity(plan: DataFrame, warehouses: DataFrame, rounds: int = 2) -> tuple[DataFrame, DataFrame]:
+    """The better, per scenario, of the spilling plan with and without capacity prices, and how far it can be from the best.
+
+    ``optimal`` is now proven: the plan's score meets the lower bound. The second table has a row per scenario with bound,
+    score and ``gap_pct``.
+    """
+    prices = store(capacity_prices(plan, warehouses, rounds), "capacity-prices")
+    variants = {"regret": store(allocate_within_capacity(plan, warehouses), "regret-plan"), "priced": store(allocate_within_capacity(plan, warehouses, prices), "priced-plan")}
+    scored = variants["regret"].transform(weighted_score).withColumn("method", F.lit("regret")).unionByName(
+        variants["priced"].transform(weighted_score).withColumn("method", F.lit("priced"))
+    )
+    better = F.struct(F.round("weighted_score", 9).alias("rounded"), (F.col("method") == "priced").alias("late"), "method", "weighted_score", "served_units", "unserved_units")
+    best = scored.groupBy("scenario").agg(F.min(better).alias("best"), F.max(F.when(F.col("method") == "regret", F.col("weighted_score"))).alias("regret_score"))
+    gap = (F.col("best.weighted_score") - F.col("lower_bound")) * 100
+    report = store(
+        best.join(capacity_bound(plan, warehouses, prices), "scenario").select(
+            "scenario", "best.method", "best.served_units", "best.unserved_units", "lower_bound", "best.weighted_score", "regret_score",
+            F.greatest(F.lit(0.0), ratio(gap, F.col("best.weighted_score"))).alias("gap_pct"),
+        ),
+        "capacity-report",
+    )
+    chosen = [rows.drop("optimal").join(report.where(F.col("method") == name).select("scenario", (F.col("gap_pct") < 1e-6).alias("optimal")), "scenario") for name, rows in variants.items()]
+    return chosen[0].unionByName(chosen[1]), report
+
+
 def capacity_check(plan: DataFrame, warehouses: DataFrame) -> DataFrame:
     """Load per scenario and warehouse; a positive overflow voids the plan's optimality."""
     load = plan.groupBy("scenario", "warehouse_id").agg(F.sum("units_allocated").alias("allocated_units"))

@@ -185,7 +185,9 @@ def moments(df: DataFrame, columns: list[str]) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(upper[0], pa.int32()), pa.array(upper[1], pa.int32()), *[pa.array(m[upper]) for m in total]], names=names)
 
     kinds = ", ".join(f"{name} {'int' if name in 'ij' else 'double'}" for name in names)
-    summed = rows.mapInArrow(run, kinds).groupBy("i", "j").agg(*[F.sum(name).alias(name) for name in names[2:]])
+    # A row of zeros for each pair stands for a table without rows.
+    zeros = df.sparkSession.createDataFrame([(int(i), int(j), *[0.0] * 6) for i, j in zip(*upper, strict=True)], kinds)
+    summed = rows.mapInArrow(run, kinds).union(zeros).groupBy("i", "j").agg(*[F.sum(name).alias(name) for name in names[2:]])
     place = F.array(*[F.lit(float(v)) for v in origin])
     return summed.withColumns({"origin_i": F.get(place, F.col("i")), "origin_j": F.get(place, F.col("j"))})
 

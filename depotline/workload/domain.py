@@ -130,40 +130,90 @@ def capacity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Capacities that a plan does not fit into: each warehouse holds a sixth of what a scenario needs.
-_LANES = 5
+#: Passes that the statements below spell out; the benchmark has as many lanes a region.
+_PASSES = 5
+_KEYS = "scenario, region, category"
+_TIGHT = f"""tight AS (SELECT scenario, sum(lack) / 6 AS room FROM (SELECT {_KEYS}, max(required_units) AS lack FROM plan GROUP BY ALL) GROUP BY 1)"""
 
 
-def _capacity_sql(select: str) -> str:
-    """The passes of the allocation within tight capacities, one statement per pass."""
-    keys = "scenario, region, category"
-    order = f"PARTITION BY {keys} ORDER BY round(score, 12), warehouse_id"
+def _passes(source: str, score: str, name: str) -> list[str]:
+    """The passes of the allocation within tight capacities, one statement per pass; lanes ranked by ``score``."""
+    order = f"PARTITION BY {_KEYS} ORDER BY round({score}, 12), warehouse_id"
     steps = [
-        f"ranked AS (SELECT *, row_number() OVER ({order}) AS place, round(lead(score) OVER ({order}) - score, 12) AS regret FROM plan)",
-        f"lack1 AS (SELECT {keys}, required_units AS lack FROM ranked WHERE place = 1)",
-        "tight AS (SELECT scenario, sum(lack) / 6 AS room FROM lack1 GROUP BY 1)",
-        "room1 AS (SELECT DISTINCT r.scenario, r.warehouse_id, t.room FROM ranked r JOIN tight t ON r.scenario = t.scenario)",
+        f"ranked{name} AS (SELECT *, row_number() OVER ({order}) AS place, round(lead({score}) OVER ({order}) - {score}, 12) AS regret FROM {source})",
+        f"lack{name}1 AS (SELECT {_KEYS}, required_units AS lack FROM ranked{name} WHERE place = 1)",
+        f"room{name}1 AS (SELECT DISTINCT r.scenario, r.warehouse_id, t.room FROM ranked{name} r JOIN tight t ON r.scenario = t.scenario)",
     ]
-    for k in range(1, _LANES + 1):
+    for k in range(1, _PASSES + 1):
         steps += [
-            f"""taken{k} AS (SELECT scenario, region, category, warehouse_id, {k} > 1 AS late, greatest(0, least(lack, room - coalesce(
+            f"""taken{name}{k} AS (SELECT scenario, region, category, warehouse_id, {k} > 1 AS late, greatest(0, least(lack, room - coalesce(
                   sum(lack) OVER (PARTITION BY scenario, warehouse_id ORDER BY regret DESC NULLS FIRST, region, category ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS taken
-                FROM ranked JOIN lack{k} USING ({keys}) JOIN room{k} USING (scenario, warehouse_id) WHERE place = {k})""",
-            f"lack{k + 1} AS (SELECT {keys}, lack - coalesce(taken, 0) AS lack FROM lack{k} LEFT JOIN taken{k} USING ({keys}))",
-            f"""room{k + 1} AS (SELECT scenario, warehouse_id, room - coalesce(used, 0) AS room FROM room{k}
-                LEFT JOIN (SELECT scenario, warehouse_id, sum(taken) AS used FROM taken{k} GROUP BY 1, 2) USING (scenario, warehouse_id))""",
+                FROM ranked{name} JOIN lack{name}{k} USING ({_KEYS}) JOIN room{name}{k} USING (scenario, warehouse_id) WHERE place = {k})""",
+            f"lack{name}{k + 1} AS (SELECT {_KEYS}, lack - coalesce(taken, 0) AS lack FROM lack{name}{k} LEFT JOIN taken{name}{k} USING ({_KEYS}))",
+            f"""room{name}{k + 1} AS (SELECT scenario, warehouse_id, room - coalesce(used, 0) AS room FROM room{name}{k}
+                LEFT JOIN (SELECT scenario, warehouse_id, sum(taken) AS used FROM taken{name}{k} GROUP BY 1, 2) USING (scenario, warehouse_id))""",
         ]
-    served = " UNION ALL ".join(f"SELECT * FROM taken{k}" for k in range(1, _LANES + 1))
-    steps.append(f"""tight_plan AS (SELECT r.* EXCLUDE (units_allocated), coalesce(taken, 0) AS units_allocated, coalesce(late AND taken > 0, false) AS spilled
-        FROM ranked r LEFT JOIN ({served}) USING ({keys}, warehouse_id))""")
-    return f"WITH {', '.join(steps)} {select}"
+    served = " UNION ALL ".join(f"SELECT * FROM taken{name}{k}" for k in range(1, _PASSES + 1))
+    steps.append(f"""tight_plan{name} AS (SELECT r.* EXCLUDE (units_allocated), coalesce(taken, 0) AS units_allocated, coalesce(late AND taken > 0, false) AS spilled
+        FROM ranked{name} r LEFT JOIN ({served}) USING ({_KEYS}, warehouse_id))""")
+    return steps
 
 
-def _tight_plan(spark: SparkSession, sf_dir: str) -> tuple[Network, DataFrame]:
+def _capacity_sql(select: str) -> str:
+    return f"WITH {_TIGHT}, {', '.join(_passes('plan', 'score', ''))} {select}"
+
+
+def _bound_sql(sites: list[str], rounds: int = 2) -> str:
+    """Prices of one warehouse after the other, the bound they give, and both plans' scores."""
+    steps = [
+        _TIGHT,
+        "short AS (SELECT scenario, 2.0 * max(score) AS shortage FROM plan GROUP BY 1)",
+        "lanes0 AS MATERIALIZED (SELECT scenario, region, category, warehouse_id, score, required_units, shortage FROM plan JOIN short USING (scenario))",
+        "p0 AS MATERIALIZED (SELECT DISTINCT scenario, warehouse_id, 0.0::DOUBLE AS price FROM lanes0)",
+    ]
+    for n, site in enumerate(sites * rounds):
+        steps.append(
+            f"""p{n + 1} AS MATERIALIZED (SELECT p.scenario, p.warehouse_id, CASE WHEN p.warehouse_id = '{site}' THEN coalesce(f.price, 0.0) ELSE p.price END AS price
+              FROM p{n} p LEFT JOIN (
+                SELECT scenario, max(loss) AS price FROM (
+                  SELECT scenario, loss, sum(units) OVER (PARTITION BY scenario ORDER BY loss DESC, region, category ROWS UNBOUNDED PRECEDING) AS load
+                  FROM (SELECT l.scenario, region, category, max(required_units) AS units,
+                               round(least(min(CASE WHEN l.warehouse_id <> '{site}' THEN score + price END), max(shortage)) - min(CASE WHEN l.warehouse_id = '{site}' THEN score END), 12) AS loss
+                        FROM lanes0 l JOIN p{n} q ON l.scenario = q.scenario AND l.warehouse_id = q.warehouse_id GROUP BY 1, 2, 3) WHERE loss > 0)
+                JOIN tight USING (scenario) WHERE load > room GROUP BY scenario) f ON p.scenario = f.scenario)"""
+        )
+    last = f"p{len(sites) * rounds}"
+    steps.append(f"priced AS MATERIALIZED (SELECT p.*, q.price FROM plan p JOIN {last} q USING (scenario, warehouse_id))")
+    steps += _passes("plan", "score", "_r") + _passes("priced", "(score + price)", "_p")
+    steps.append(
+        f"""bound AS (SELECT scenario, least_score - rent AS lower_bound FROM (
+              SELECT scenario, sum(u * least(m, shortage)) AS least_score FROM (
+                SELECT {_KEYS}, max(required_units) AS u, min(score + price) AS m FROM priced GROUP BY ALL) JOIN short USING (scenario) GROUP BY 1)
+            JOIN (SELECT scenario, sum(price * room) AS rent FROM {last} JOIN tight USING (scenario) GROUP BY 1) USING (scenario))"""
+    )
+    for name in ("_r", "_p"):
+        steps.append(
+            f"""score{name} AS (SELECT scenario, sum(units) AS served, sum(need - units) AS unserved, sum(s + (need - units) * shortage) AS total FROM (
+                  SELECT {_KEYS}, sum(units_allocated) AS units, max(required_units) AS need, sum(units_allocated * score) AS s FROM tight_plan{name} GROUP BY ALL)
+                JOIN short USING (scenario) GROUP BY 1)"""
+        )
+    return f"""WITH {', '.join(steps)}
+        SELECT scenario, CASE WHEN better THEN p.served ELSE r.served END AS served_units, CASE WHEN better THEN p.unserved ELSE r.unserved END AS unserved_units,
+               CASE WHEN better THEN 'priced' ELSE 'regret' END AS method, lower_bound, w AS weighted_score, r.total AS regret_score, greatest(0.0, (w - lower_bound) * 100 / w) AS gap_pct
+        FROM (SELECT scenario, round(p.total, 9) < round(r.total, 9) AS better, least(p.total, r.total) AS w FROM score_p p JOIN score_r r USING (scenario))
+        JOIN score_p p USING (scenario) JOIN score_r r USING (scenario) JOIN bound USING (scenario)"""
+
+
+def _tight_inputs(spark: SparkSession, sf_dir: str) -> tuple[Network, DataFrame, DataFrame]:
     n = network(spark, sf_dir)
     plan = store(n.plan(), "plan")
     needed = plan.groupBy("scenario").agg((F.sum("units_allocated") / 6).alias("room")).agg(F.max("room")).scalar()
-    sites = n.warehouses.withColumn("capacity_units", needed)
-    return n, P.allocate_within_capacity(plan, sites, _LANES)
+    return n, plan, n.warehouses.withColumn("capacity_units", needed)
+
+
+def _tight_plan(spark: SparkSession, sf_dir: str) -> tuple[Network, DataFrame]:
+    n, plan, sites = _tight_inputs(spark, sf_dir)
+    return n, P.allocate_within_capacity(plan, sites)
 
 
 @query(
@@ -178,6 +228,31 @@ def capacity_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tight_plan(spark, sf_dir)[1]
 
 
+_LANE_SITES = ["WH-AFRICA", "WH-AMERICA", "WH-ASIA", "WH-EUROPE", "WH-MIDDLE-EAST"]
+
+
+@query(
+    "d09_capacity_bound",
+    "scenario method served_units:4 unserved_units:4 lower_bound:6 weighted_score:6 regret_score:6 gap_pct:4",
+    _bound_sql(_LANE_SITES),
+)
+def capacity_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the plan within tight capacities can be from the best one, by prices on capacity."""
+    _, plan, sites = _tight_inputs(spark, sf_dir)
+    return P.plan_within_capacity(plan, sites)[1]
+
+
+@query(
+    "d09_capacity_proof",
+    "scenario lower_bound:6 weighted_score:6 gap_pct:4",
+    """SELECT scenario, sum(units_allocated * score) AS lower_bound, sum(units_allocated * score) AS weighted_score, 0.0 AS gap_pct FROM plan GROUP BY scenario""",
+)
+def capacity_proof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where all fits, the bound meets the plan of best lanes: it is proven optimal."""
+    n = network(spark, sf_dir)
+    return P.plan_within_capacity(store(n.plan(), "plan"), n.warehouses)[1]
+
+
 @query(
     "d17_tight_service_levels",
     "region category total_required_units:4 units_allocated:4 fill_rate:4 target_sl_pct:2 breach_flag:b gap_units:4 gap_pct:4 home_wh_units:4 status",

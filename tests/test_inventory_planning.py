@@ -191,3 +191,58 @@ def test_single_row_category_has_no_spread(spark):
 def test_strategy_only_for_published_pairs(spark):
     df = spark.createDataFrame([("AX",), ("AZ",)], "c string")
     assert rows(df.select(G.strategy(F.col("c")))) == [("Lean replenishment - high value, predictable",), (None,)]
+
+
+def _priced_plan(spark, segments, lanes):
+    """A plan of one scenario from (region, units) and (region, warehouse, score)."""
+    needed = dict(segments)
+    rows_ = [("A", "x", 1.0, 0.0, r, "c", w, float(needed[r]), float(s), 1.0, 0.0, 0.0, 0.0) for r, w, s in lanes]
+    columns = "scenario string, scenario_label string, w_cost double, w_carbon double, region string, category string, warehouse_id string, required_units double, score double, ship_cost_per_unit double, unit_holding double, unit_carbon double, units_allocated double"
+    return spark.createDataFrame(rows_, columns)
+
+
+def test_capacity_prices_prove_the_best_plan(spark):
+    """One tight warehouse: who loses least by leaving leaves; the plan that does so meets the bound."""
+    segments = [("r1", 10), ("r2", 10), ("r3", 10)]
+    lanes = [("r1", "N", 1), ("r1", "S", 9), ("r2", "N", 1), ("r2", "S", 2), ("r3", "N", 1), ("r3", "S", 5)]
+    sites = spark.createDataFrame([("N", 15.0), ("S", 100.0)], "warehouse_id string, capacity_units double")
+    chosen, report = P.plan_within_capacity(_priced_plan(spark, segments, lanes), sites)
+    row = report.first()
+    # r1 stays, half of r3 stays, r2 goes.
+    best = 10 * 1 + 5 * 1 + 5 * 5 + 10 * 2
+    assert (row.lower_bound, row.weighted_score, row.unserved_units) == (pytest.approx(best), pytest.approx(best), 0.0)
+    assert row.gap_pct == pytest.approx(0.0) and {r.optimal for r in chosen.collect()} == {True}
+    served = {(r.region, r.warehouse_id): r.units_allocated for r in chosen.collect() if r.units_allocated}
+    assert served == {("r1", "N"): 10.0, ("r3", "N"): 5.0, ("r3", "S"): 5.0, ("r2", "S"): 10.0}
+
+
+def test_bound_holds_below_every_plan(spark):
+    """Against all whole assignments of small instances, shortage included."""
+    import itertools
+    import random
+
+    rnd = random.Random(3)
+    for _ in range(3):
+        segments = [(f"r{i}", rnd.randint(3, 9)) for i in range(4)]
+        lanes = [(r, w, rnd.randint(1, 9)) for r, _ in segments for w in "NSE"]
+        room = {w: float(rnd.randint(6, 12)) for w in "NSE"}
+        sites = spark.createDataFrame(list(room.items()), "warehouse_id string, capacity_units double")
+        _, report = P.plan_within_capacity(_priced_plan(spark, segments, lanes), sites)
+        row = report.first()
+        score = {(r, w): s for r, w, s in lanes}
+        shortage = P.SHORTAGE * max(score.values())
+        best = min(
+            sum(u * (score[r, w] if w else shortage) for (r, u), w in zip(segments, chosen))
+            for chosen in itertools.product(["N", "S", "E", None], repeat=4)
+            if all(sum(u for (_, u), w in zip(segments, chosen) if w == site) <= room[site] for site in room)
+        )
+        assert row.lower_bound <= best + 1e-9 and row.lower_bound <= row.weighted_score + 1e-9
+        assert row.weighted_score <= row.regret_score + 1e-9
+        assert row.gap_pct == pytest.approx(max(0.0, (row.weighted_score - row.lower_bound) / row.weighted_score * 100))
+
+
+def test_prices_where_all_fits(spark):
+    plan = _priced_plan(spark, [("r1", 10)], [("r1", "N", 1), ("r1", "S", 9)])
+    sites = spark.createDataFrame([("N", 15.0), ("S", 100.0)], "warehouse_id string, capacity_units double")
+    assert P.capacity_prices(plan, sites).collect() == []
+    assert P.plan_within_capacity(plan, sites)[1].first().gap_pct == 0.0
