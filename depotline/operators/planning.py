@@ -186,8 +186,8 @@ def _shortage(plan: DataFrame) -> DataFrame:
 def capacity_prices(plan: DataFrame, warehouses: DataFrame, rounds: int = 2) -> DataFrame:
     """A price per unit of capacity, by scenario and warehouse, at which the demand for each warehouse about fits.
 
-    Starting from nothing, each warehouse in turn gets the lowest price at which no more is asked of it than it holds,
-    given the prices of the others: segments are taken in the order of what they would lose by going elsewhere, and the
+    Starting from prices at which nobody asks, each warehouse in turn gets the lowest price at which no more is asked of it
+    than it holds, given the prices of the others: segments are taken in the order of what they would lose by going elsewhere, and the
     first that does not fit sets the price. That is coordinate ascent on the dual of the transport problem, so any prices
     it stops at give a lower bound (``capacity_bound``). A step ranks one row per segment; prices are a row per warehouse.
     """
@@ -195,7 +195,7 @@ def capacity_prices(plan: DataFrame, warehouses: DataFrame, rounds: int = 2) ->
     lanes = store(plan.select(*keys, "warehouse_id", "score", "required_units").join(_shortage(plan), "scenario"), "priced-lanes")
     sites = [r.warehouse_id for r in lanes.select("warehouse_id").distinct().orderBy("warehouse_id").collect()]  # a dimension
     room = {r.warehouse_id: float(r.capacity_units) for r in warehouses.where(F.col("warehouse_id").isin(sites)).collect()}
-    price: dict[tuple[str, str], float] = {}
+    price = {(r.scenario, site): r.shortage for r in _shortage(plan).collect() for site in sites}  # a row per scenario
     spark = plan.sparkSession
     by_loss = Window.partitionBy("scenario").orderBy(F.desc("loss"), *SEGMENT).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for _ in range(rounds):
@@ -211,7 +211,7 @@ def capacity_prices(plan: DataFrame, warehouses: DataFrame, rounds: int = 2) ->
             losing = choices.withColumn("loss", F.round(F.col("elsewhere") - F.col("own"), 12)).where("loss > 0")
             loaded = losing.withColumn("load", F.sum("units").over(by_loss))
             found = loaded.where(F.col("load") > room.get(site, 0.0)).groupBy("scenario").agg(F.max("loss").alias("price"))
-            price = {k: v for k, v in price.items() if k[1] != site} | {(r.scenario, site): r.price for r in found.collect()}  # a row per scenario
+            price = {k: v for k, v in price.items() if k[1] != site} | {(r.scenario, site): r.price for r in found.collect()}
     return _price_table(spark, price)
 
 

@@ -169,7 +169,7 @@ def _bound_sql(sites: list[str], rounds: int = 2) -> str:
         _TIGHT,
         "short AS (SELECT scenario, 2.0 * max(score) AS shortage FROM plan GROUP BY 1)",
         "lanes0 AS MATERIALIZED (SELECT scenario, region, category, warehouse_id, score, required_units, shortage FROM plan JOIN short USING (scenario))",
-        "p0 AS MATERIALIZED (SELECT DISTINCT scenario, warehouse_id, 0.0::DOUBLE AS price FROM lanes0)",
+        "p0 AS MATERIALIZED (SELECT DISTINCT scenario, warehouse_id, shortage AS price FROM lanes0)",
     ]
     for n, site in enumerate(sites * rounds):
         steps.append(
