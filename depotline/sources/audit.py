@@ -37,19 +37,37 @@ class _Step:
     action: str
     assumption: str
     on_loss: str
-    rule: Rule | None
+    rules: list[Rule]
     counted: Observation | int
+    #: What the rules were judged on, where that is not what came out of the step.
+    judged: Observation | None = None
+    #: Status of a step that was judged elsewhere.
+    verdict: str | None = None
 
     @property
     def rows(self) -> int:
         return self.counted if isinstance(self.counted, int) else int(self.counted.get["rows"])
 
+    def broken(self) -> list[tuple[Rule, int, int]]:
+        """Rules with rows that break them: the rule, those rows, all rows."""
+        if not self.rules:
+            return []
+        seen = (self.judged or self.counted).get
+        return [(rule, int(seen[f"bad{i}"]), int(seen["rows"])) for i, rule in enumerate(self.rules) if int(seen[f"bad{i}"])]
+
     def status(self, before: int) -> str:
-        """The rule's severity if too many rows break it, else ``on_loss`` if the step changed the number of rows."""
-        if self.rule is not None and int(self.counted.get["bad"]) > self.rows * self.rule.tolerate:
-            return self.rule.severity
+        """The severity of a rule that too many rows break, else ``on_loss`` if the step changed the number of rows."""
+        if self.verdict is not None:
+            return self.verdict
+        severities = {rule.severity for rule, bad, rows in self.broken() if bad > rows * rule.tolerate}
+        if severities:
+            return "FAIL" if "FAIL" in severities else "WARN"
         return self.on_loss if before not in (0, self.rows) else "PASS"
 
+    def found(self) -> str:
+        """The issue with the number of rows that show it."""
+        return "; ".join([self.issue, *[f"{rule.name}: {bad} of {rows} rows" for rule, bad, rows in self.broken()]])
+
 
 @dataclass
 class StepAudit:
@@ -71,18 +89,33 @@ class StepAudit:
         action: str = "",
         assumption: str = "",
         on_loss: str = "PASS",
-        rule: Rule | None = None,
+        rules: list[Rule] | None = None,
+        before: bool = False,
     ) -> DataFrame:
-        """Apply ``change`` and count the rows that come out, and those of them that break ``rule``."""
+        """Apply ``change`` and count the rows that come out, and those of them that break ``rules``.
+
+        With ``before`` the rules are judged on the rows that go in, for a step that mends what they find.
+        """
+        rules = rules or []
+        rows = F.count(F.lit(1)).alias("rows")
+        bad = [F.count_if(is_true(rule.bad)).alias(f"bad{i}") for i, rule in enumerate(rules)]
+        judged = None
+        if before and rules:
+            judged = Observation(f"{self.dataset}_{len(self.steps)}_{name}_before")
+            df = df.observe(judged, rows, *bad)
         result = change(df) if change else df
         observation = Observation(f"{self.dataset}_{len(self.steps)}_{name}")
-        self.steps.append(_Step(name, issue, action, assumption, on_loss, rule, observation))
-        bad = [F.count_if(is_true(rule.bad)).alias("bad")] if rule else []
-        return result.observe(observation, F.count(F.lit(1)).alias("rows"), *bad)
+        self.steps.append(_Step(name, issue, action, assumption, on_loss, rules, observation, judged))
+        return result.observe(observation, rows, *([] if judged else bad))
 
     def record(self, name: str, rows: int, issue: str = "", action: str = "", assumption: str = "") -> None:
         """Enter a count taken elsewhere, for an input that the final plan does not read."""
-        self.steps.append(_Step(name, issue, action, assumption, "PASS", None, rows))
+        self.steps.append(_Step(name, issue, action, assumption, "PASS", [], rows))
+
+    def judge(self, name: str, rows: int | None, status: str, issue: str = "", action: str = "", assumption: str = "") -> None:
+        """Enter a check of the whole table; without ``rows`` it is on those of the last step."""
+        counted = self.steps[-1].counted if rows is None else rows
+        self.steps.append(_Step(name, issue, action, assumption, "PASS", [], counted, verdict=status))
 
     def log(self, spark: SparkSession) -> DataFrame:
         """The audit table: one row per step, as many rows as steps were declared."""
@@ -92,7 +125,7 @@ class StepAudit:
             after = entry.rows
             rows.append(
                 (self.dataset, entry.name, before, after, before - after,
-                 entry.issue, entry.action, entry.assumption, entry.status(before), now)
+                 entry.found(), entry.action, entry.assumption, entry.status(before), now)
             )
             before = after
         return spark.createDataFrame(rows, LOG_SCHEMA)

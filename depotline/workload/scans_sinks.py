@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from depotline.operators import cleaning as C, reports
 
-from depotline.plans.cleaning import clean_daily_demand
+from depotline.plans.cleaning import audit_occurrence, clean_daily_demand, clean_event_calendar
 from depotline.plans.network import Network
 from depotline.session import checkpoint_dir
 from depotline.sources import bridge, catalog, readers, sinks
@@ -170,8 +170,9 @@ def audited_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean the damaged demand, store it, and return the step log of that one pass."""
     audit = StepAudit("daily_demand")
     root = scratch(spark, "audit")
-    clean = clean_daily_demand(bridge.raw_daily_demand(spark, sf_dir), audit)
+    clean = clean_daily_demand(bridge.raw_daily_demand(spark, sf_dir), audit, regions=bridge.REGIONS)
     sinks.write_processed(clean, "daily_demand", root)
+    audit_occurrence(audit, readers.read_processed(spark, "daily_demand", root))
     log = audit.log(spark)
     sinks.append_log(log, "daily_demand", root)
     return log
@@ -181,17 +182,22 @@ _AUDIT = """(
        WITH n AS (SELECT (SELECT count(*) FROM raw_demand) AS raw, (SELECT count(*) FROM typed_demand) AS dated,
                          (SELECT count(*) FROM positive_demand) AS kept,
                          (SELECT count(*) FROM typed_demand WHERE NOT regexp_full_match(sku_id, 'SKU-[0-9]{6}')) AS bad_skus,
-                         (SELECT count(*) FROM positive_demand WHERE price_usd < 0.01) AS bad_prices)
+                         (SELECT count(*) FROM positive_demand WHERE price_usd < 0.01) AS bad_prices,
+                         (SELECT count(*) FROM typed_demand WHERE region NOT IN ('Africa', 'America', 'Asia', 'Europe', 'Middle East')) AS bad_regions,
+                         (SELECT greatest(count(*) FILTER (WHERE holiday_peak_flag NOT IN (0, 1)), count(*) FILTER (WHERE prime_event_flag NOT IN (0, 1)),
+                                          count(*) FILTER (WHERE marketing_push_flag NOT IN (0, 1))) > 0.05 * count(*) FROM positive_demand) AS bad_flags,
+                         (SELECT max(n) FROM (SELECT count(*) AS n FROM positive_demand GROUP BY sku_id)) AS most)
        SELECT step, b AS rows_before, a AS rows_after, b - a AS rows_affected,
               CASE WHEN step = 'assert_price' AND bad_prices > 0 THEN 'FAIL'
-                   WHEN step = 'standardise_sku' AND bad_skus > 0 THEN 'WARN'
+                   WHEN (step = 'standardise_sku' AND bad_skus > 0) OR (step = 'standardise_region' AND bad_regions > 0) OR (step = 'coerce_flags' AND bad_flags)
+                        OR (step = 'audit_sku_occurrence' AND most = 1) THEN 'WARN'
                    WHEN step IN ('parse_date', 'remove_non_positive_units') AND b <> 0 AND a <> b THEN 'WARN' ELSE 'PASS' END AS status FROM (
          SELECT unnest(['load_raw', 'parse_date', 'drop_weekend_flag', 'drop_day', 'coerce_numeric',
                         'standardise_region', 'standardise_sku', 'remove_non_positive_units', 'cap_units',
-                        'assert_price', 'coerce_flags', 'add_date_parts']) AS step,
-                unnest([0, raw, dated, dated, dated, dated, dated, dated, kept, kept, kept, kept]) AS b,
-                unnest([raw, dated, dated, dated, dated, dated, dated, kept, kept, kept, kept, kept]) AS a,
-                bad_skus, bad_prices FROM n))"""
+                        'assert_price', 'coerce_flags', 'add_date_parts', 'audit_schema', 'audit_sku_occurrence']) AS step,
+                unnest([0, raw, dated, dated, dated, dated, dated, dated, kept, kept, kept, kept, kept, kept]) AS b,
+                unnest([raw, dated, dated, dated, dated, dated, dated, kept, kept, kept, kept, kept, kept, kept]) AS a,
+                bad_skus, bad_prices, bad_regions, bad_flags, most FROM n))"""
 _VERDICT = """count(*) AS steps_run, count(*) FILTER (WHERE status = 'PASS') AS pass_count, count(*) FILTER (WHERE status = 'WARN') AS warn_count,
               count(*) FILTER (WHERE status = 'FAIL') AS fail_count, sum(abs(rows_affected)) AS rows_affected,
               CASE WHEN bool_or(status = 'FAIL') THEN 'FAIL' WHEN bool_or(status = 'WARN') THEN 'WARN' ELSE 'PASS' END AS overall_status"""
@@ -206,6 +212,24 @@ def step_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audited_log(spark, sf_dir)
 
 
+@query(
+    "s10_calendar_audit",
+    "step rows_before:l rows_after:l status",
+    """SELECT step, b AS rows_before, a AS rows_after, CASE WHEN step = 'collapse_dates' AND a <> b THEN 'WARN' WHEN step = 'validate_weather' AND beyond > 0 THEN 'WARN' ELSE 'PASS' END AS status
+       FROM (SELECT unnest(['load_raw', 'parse_date', 'drop_weekend_flag', 'coerce_numeric', 'collapse_dates', 'coerce_flags', 'validate_weather', 'add_date_parts', 'audit_schema']) AS step,
+                    unnest([0, raw, raw, raw, raw, days, days, days, days]) AS b, unnest([raw, raw, raw, raw, days, days, days, days, days]) AS a, beyond
+             FROM (SELECT (SELECT count(*) FROM raw_events) AS raw, count(*) AS days,
+                          count(*) FILTER (WHERE weather_disruption_index < 0 OR weather_disruption_index > 1) AS beyond FROM events_by_date))""",
+)
+def calendar_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar as delivered text through its whole chain: repeated dates and weather beyond its range are findings."""
+    raw = bridge.raw_event_calendar(spark, sf_dir)
+    text = raw.select(F.date_format("date", "yyyy-MM-dd").alias("date"), F.lit("01/01/1970").alias("weekend_flag"), *[F.col(c).cast("string") for c in raw.columns if c != "date"])
+    audit, root = StepAudit("event_calendar"), scratch(spark, "calendar-audit")
+    sinks.write_processed(clean_event_calendar(text, audit), "event_calendar", root)
+    return audit.log(spark)
+
+
 @query(
     "v21_run_summary",
     "dataset rows_raw:l rows_clean:l row_delta:l columns_raw:l columns_clean:l steps_run:l pass_count:l warn_count:l fail_count:l overall_status",
