@@ -18,6 +18,7 @@ the input are ignored or kept by the caller.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -55,23 +56,58 @@ BASE_KINDS = ["assign", "access", "hex"]
 SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
+#: Elements of a block, in folds over long arrays.
+BLOCK = 256
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def prefixes(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """What ``combine`` makes of zero and all elements before each element of an array of longs.
+
+    A fold that appends copies its array at every step, so it runs over blocks, and once more over their results;
+    what is copied grows with the length and a 256th of its square.
+    """
+    zero = F.array(F.lit(0).cast("bigint"))
+
+    def fold(part: Column) -> Column:
+        return F.aggregate(part, zero, lambda done, x: F.array_append(done, combine(F.element_at(done, -1), x)))
+
+    def shifted(blocks: Column, before: Column) -> Column:
+        return F.flatten(F.transform(blocks, lambda own, i: F.transform(F.slice(own, F.lit(1), F.size(own) - 1), lambda x: combine(F.get(before, i), x))))
+
+    def blockwise(all_values: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(all_values) - 1) / BLOCK).cast("int"))
+        blocks = F.transform(numbers, lambda n: fold(F.slice(all_values, n * BLOCK + 1, F.lit(BLOCK))))
+        return let(blocks, lambda own: let(fold(F.transform(own, lambda x: F.element_at(x, -1))), lambda before: shifted(own, before)))
+
+    return F.when(F.size(values) == 0, F.array().cast("array<bigint>")).otherwise(let(values, blockwise))
+
+
 def rule_spans(text: Column, rule: Rule) -> Column:
     """Spans of the rule's matches in ``text`` whose value is long enough."""
     pattern = F.lit(rule.pattern)
     pieces, matches = F.split(text, rule.pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
     values = F.regexp_extract_all(text, pattern, F.lit(rule.value_group))
-    parts = F.arrays_zip(pieces.alias("piece"), matches.alias("match"), values.alias("value"))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPANS).alias("spans"))
+    lengths = F.transform(
+        F.arrays_zip(pieces.alias("piece"), matches.alias("match"), values.alias("value")),
+        # The last piece has no match behind it.
+        lambda p: F.struct(
+            F.length(p["piece"]).cast("bigint").alias("piece"), F.coalesce(F.length(p["match"]), F.lit(0)).cast("bigint").alias("match"), (F.length(p["value"]) >= rule.least).alias("kept")
+        ),
+    )
 
-    def advance(state: Column, part: Column) -> Column:
-        begin = state["at"] + F.length(part["piece"])
-        end = begin + F.coalesce(F.length(part["match"]), F.lit(0))  # the last piece has no match behind it
-        span = F.struct(begin.alias("start"), end.alias("end"))
-        kept = F.length(part["value"]) >= rule.least
-        return F.struct(end.alias("at"), F.when(kept, F.array_append(state["spans"], span)).otherwise(state["spans"]).alias("spans"))
+    def located(parts: Column) -> Column:
+        before = prefixes(F.transform(parts, lambda p: p["piece"] + p["match"]), lambda x, y: x + y)
+        placed = let(before, lambda at: F.transform(parts, lambda p, i: F.struct(
+            (F.get(at, i) + p["piece"]).alias("start"), (F.get(at, i) + p["piece"] + p["match"]).alias("end"), p["kept"].alias("kept")
+        )))
+        return F.transform(F.filter(placed, lambda p: p["kept"]), lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end")))
 
-    found = F.aggregate(parts, start, advance, lambda state: state["spans"])
-    return F.when(text.rlike(rule.probe), found).otherwise(F.array().cast(SPANS))
+    return F.when(text.rlike(rule.probe), let(lengths, located)).otherwise(F.array().cast(SPANS))
 
 
 def address(text: Column) -> Column:
@@ -129,30 +165,58 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: list[Rule]
     return found, added
 
 
+#: Largest size of findings that are sent to all texts instead of dealing texts and findings by blob.
+BROADCAST_BYTES = 64 << 20
+
+
+def masked(text: Column, spans: Column, mask: str) -> Column:
+    """``text`` with every span replaced; spans (start, ..., end) are in order and may overlap.
+
+    What stays before a span begins where all earlier ones end. A substring counts code points from the start of its
+    text, so pieces are cut from the part of the text that a block of spans covers.
+    """
+
+    def cut(own: Column, ends: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(own) - 1) / BLOCK).cast("int"))
+
+        def block(n: Column) -> Column:
+            first = n * BLOCK
+            base = F.get(ends, first)
+            last = F.least(first + BLOCK, F.size(own)) - 1
+            return let(F.substring(text, (base + 1).cast("int"), F.greatest(F.get(own, last)["start"] - base, F.lit(0)).cast("int")), lambda part: F.array_join(F.transform(
+                F.slice(own, first + 1, F.lit(BLOCK)),
+                lambda s, i: F.concat(
+                    F.substring(part, (F.get(ends, first + i) - base + 1).cast("int"), F.greatest(s["start"] - F.get(ends, first + i), F.lit(0)).cast("int")),
+                    F.when(s["start"] >= F.get(ends, first + i), F.lit(mask)).otherwise(F.lit("")),
+                ),
+            ), ""))
+
+        tail = F.substring(text, (F.array_max(F.transform(own, lambda s: s["end"])) + 1).cast("int"), 2**31 - 1)
+        return F.concat(F.array_join(F.transform(numbers, block), ""), tail)
+
+    reached = prefixes(F.transform(spans, lambda s: s["end"].cast("bigint")), F.greatest)
+    return F.when(F.size(spans) == 0, text).otherwise(let(reached, lambda ends: cut(spans, ends)))
+
+
 def redact(docs: DataFrame, ledger: DataFrame | None = None, mask: str = "[REDACTED]") -> DataFrame:
     """``docs`` with every span of ``text`` replaced and ``n_chars`` following; clean rows as they were.
 
-    Overlapping spans of different kinds are masked once.
+    Overlapping spans of different kinds are masked once. Rows travel as one column, so their names can't clash.
     """
     versions = docs.select(F.col("doc_id").alias("path"), "text")
     _, added = scan(versions, ledger)
     whole = added if ledger is None else ledger.select(added.columns).unionByName(added)
-    found = findings(whole).withColumnRenamed("blob", "found_blob").withColumnRenamed("spans", "found_spans")
-    joined = docs.join(found, address(docs["text"]) == F.col("found_blob"), "left")
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-
-    def advance(state: Column, span: Column) -> Column:
-        keep = F.substring(F.col("text"), (state["at"] + 1).cast("int"), F.greatest(span["start"] - state["at"], F.lit(0)).cast("int"))
-        fresh = span["start"] >= state["at"]
-        out = F.concat(state["out"], keep, F.when(fresh, F.lit(mask)).otherwise(F.lit("")))
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
-
-    masked = F.aggregate("found_spans", start, advance, lambda s: F.concat(s["out"], F.substring(F.col("text"), (s["at"] + 1).cast("int"), 2**31 - 1)))
-    text = F.when(F.col("found_spans").isNull(), F.col("text")).otherwise(masked)
-    changed = joined.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.when(F.col("found_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return changed.select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = store(findings(whole), "secret-findings")
+    size = found.agg(F.sum(64 + 48 * F.size("spans"))).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        found = F.broadcast(found)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"), address(F.col("text")).alias("blob"))
+    joined = rows.join(found, "blob", "left").withColumn("clean", F.col("spans").isNull())
+    text = F.when(F.col("clean"), F.col("record.text")).otherwise(masked(F.col("record.text"), F.col("spans"), mask))
+    changed = joined.withColumn("masked", text)
+    count = F.when(F.col("clean"), F.col("record.n_chars")).otherwise(F.length("masked").cast("long")) if "n_chars" in docs.columns else None
+    new = {"text": F.col("masked"), "n_chars": count}
+    return changed.select(*[(new[c] if c in new else F.col(f"record.`{c}`")).alias(c) for c in docs.columns])
 
 
 def listed(spans: Column) -> Column:

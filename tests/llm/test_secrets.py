@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
-from depotline.llm.secrets import RULES, op9_secret_scans, redact, scan
+from depotline.llm import secrets
+from depotline.llm.secrets import RULES, masked, op9_secret_scans, prefixes, redact, scan
 from depotline.session import store
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -71,3 +74,59 @@ def test_redaction_masks_spans_only(frame):
         if r.doc_id in (3, 4):
             assert not r.text
         assert not brute(r.text)
+
+
+def test_many_spans_take_linear_time(spark):
+    """Twice the secrets in one text, about twice the time, scanned and masked."""
+    def seconds(n):
+        text = "".join(f"key {i} token=abc{i:07d} and {i:032x}\n" for i in range(n))
+        docs = spark.createDataFrame([(1, text, len(text))], "doc_id long, text string, n_chars long")
+        started = time.perf_counter()
+        row = redact(docs).first()
+        spent = time.perf_counter() - started
+        assert row.text == "".join(f"key {i} [REDACTED] and [REDACTED]\n" for i in range(n)) and row.n_chars == len(row.text)
+        return spent
+
+    seconds(1000)
+    assert seconds(80_000) < 2.2 * seconds(40_000) + 2
+
+
+def test_masking_by_brute_force(spark):
+    """Random spans, overlapping, touching, nested, in many blocks."""
+    rnd, rows = random.Random(4), []
+    for n in (0, 1, 2, 5, 255, 256, 257, 600):
+        text = "".join(rnd.choice("ab\u00e9\U0001f600 ") for _ in range(4 * n + 9))
+        spans = sorted((a, 0, "k", a + rnd.randint(0, 6)) for a in (rnd.randint(0, 4 * n) for _ in range(n)))
+        out, at = "", 0
+        for start, _, _, end in spans:
+            out += text[at:start] if start > at else ""
+            out += "#" if start >= at else ""
+            at = max(at, end)
+        rows.append((text, spans, out + text[at:]))
+    df = spark.createDataFrame(rows, "text string, spans array<struct<start:bigint,place:int,kind:string,end:bigint>>, expected string")
+    for r in df.select(masked(F.col("text"), F.col("spans"), "#").alias("got"), "expected").collect():
+        assert r.got == r.expected
+
+
+def test_prefixes(spark):
+    rnd = random.Random(5)
+    rows = [([rnd.randint(0, 99) for _ in range(n)],) for n in (0, 1, 255, 256, 257, 1000)]
+    df = spark.createDataFrame(rows, "v array<bigint>").select("v", prefixes(F.col("v"), lambda x, y: x + y).alias("s"), prefixes(F.col("v"), F.greatest).alias("m"))
+    for r in df.collect():
+        assert r.s == [sum(r.v[:i]) for i in range(len(r.v))] and r.m == [max([0, *r.v[:i]]) for i in range(len(r.v))]
+
+
+def test_names_of_the_table_do_not_clash(frame):
+    names = ["found_spans", "found_blob", "spans", "blob", "path", "record", "clean", "masked", "rule", "version", "todo_blob", "unseen"]
+    docs = frame(EDGES).select("*", *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    got = redact(docs)
+    assert got.columns == docs.columns and got.count() == len(EDGES)
+    assert all(tuple(r)[-len(names) :] == tuple(range(len(names))) for r in got.collect())
+    plain = redact(frame(EDGES))
+    assert sorted(map(str, got.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
+
+
+def test_large_findings_are_dealt_by_blob(frame, monkeypatch):
+    small = sorted(map(str, redact(frame(EDGES)).collect()))
+    monkeypatch.setattr(secrets, "BROADCAST_BYTES", 0)
+    assert sorted(map(str, redact(frame(EDGES)).collect())) == small
