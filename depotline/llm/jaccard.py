@@ -51,6 +51,8 @@ RATIO = 19
 GROUP = 1024
 #: Bytes of sketches in a part; two parts are held for comparison with each other.
 SKETCHES = 8 << 20
+#: Rows of such a part, which bounds the comparisons of two parts.
+PART_ROWS = 16_384
 MAX_SIZE = 1 << 40
 #: Pairs per member up to which a group gives all its pairs at once; the last pass gives ALL.
 FEW, ALL = 8, 1 << 40
@@ -132,12 +134,12 @@ def profiles(docs: DataFrame, words: int = WORDS, ratio: int = RATIO) -> DataFra
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, columns)
 
 
-def shared_words(stored: DataFrame) -> DataFrame:
-    """``key``, ``band``, ``id``: words of sketches that more than one class has."""
+def shared_words(classes: DataFrame) -> DataFrame:
+    """``key``, ``band``, ``id``: words of sketches that more than one class has; a class counts once, however many copies."""
     both = F.explode(F.array(
         F.struct(F.col("band").alias("band"), F.col("own").alias("words")), F.struct((F.col("band") + 1).alias("band"), F.col("up").alias("words"))
     ))
-    at = stored.where("id is not null").select("id", both.alias("side")).select("id", "side.band", F.posexplode("side.words").alias("place", "word"))
+    at = classes.select("id", "set.*").select("id", both.alias("side")).select("id", "side.band", F.posexplode("side.words").alias("place", "word"))
     keys = at.select(F.xxhash64("band", "place", "word").alias("key"), "band", "id")
     same = Window.partitionBy("key")
     known = same.orderBy("id")
@@ -225,7 +227,7 @@ def open_words(shared: DataFrame, components: DataFrame) -> DataFrame:
     return marked.where("low < high").select("key", "band", "id", "comp", F.col("largest.comp").alias("host"))
 
 
-def sketch_pairs(words: DataFrame, stored: DataFrame, few: int, ratio: int = RATIO) -> DataFrame:
+def sketch_pairs(words: DataFrame, classes: DataFrame, few: int, ratio: int = RATIO) -> DataFrame:
     """``host``, ``band``, ``a``, ``b``, ``whole``: pairs of different components whose sketches are within the bound.
 
     Everything that shares open words with one host meets in one group, so a sketch is sent
@@ -235,10 +237,10 @@ def sketch_pairs(words: DataFrame, stored: DataFrame, few: int, ratio: int = RAT
     # A group with many members is dealt into parts, and every two parts meet.
     members = words.select("host", "band", "id", "comp").distinct()
     sketch_bytes = F.element_at(F.array(*[F.lit(8 * band_difference(band, ratio) + 8) for band in range(len(bands(ratio)) - 1)]), F.col("band") + 1)
-    sized = members.join(members.groupBy("host", "band").agg(F.ceil(F.count(F.lit(1)) * sketch_bytes / SKETCHES).alias("parts")), ["host", "band"])
+    needed = F.greatest(F.ceil(F.count(F.lit(1)) * sketch_bytes / SKETCHES), F.ceil(F.count(F.lit(1)) / PART_ROWS))
+    sized = members.join(members.groupBy("host", "band").agg(needed.alias("parts")), ["host", "band"])
     dealt = sized.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
-    sketches = stored.where("id is not null").groupBy("id").agg(F.max(F.struct("n_shingles", "band", "own", "up")).alias("set"))
-    met = dealt.join(sketches, "id").select(
+    met = dealt.join(classes.select("id", "set"), "id").select(
         "host", "band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "comp", F.col("set.n_shingles").alias("size"),
         F.when(F.col("set.band") == F.col("band"), F.col("set.own")).otherwise(F.col("set.up")).alias("sketch"),
     )
@@ -293,6 +295,9 @@ def close_pairs(held: list[tuple], few: int, ratio: int = RATIO) -> Iterator[tup
         distance = np.bitwise_count(words[at] ^ words[n]).sum(axis=1, dtype=np.int64)
         for m in at[ratio * distance <= sizes[at] + sizes[n]].tolist():
             pair = int(ids[n]), int(ids[m])
+            if few >= ALL:  # nothing is held back, so nothing is held
+                yield *pair, True
+                continue
             if len(found) <= few * len(ids):
                 found.append(pair)
             x, y = find(int(comps[n])), find(int(comps[m]))
@@ -311,15 +316,18 @@ def components(docs: DataFrame, words: int = WORDS, ratio: int = RATIO) -> DataF
     """
     stored = store(profiles(docs, words, ratio), "jaccard-profiles")
     classes = store(
-        stored.where("id is not null").groupBy("id").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.min("doc_id").alias("least")), "jaccard-classes"
+        stored.where("id is not null").groupBy("id").agg(
+            F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.min("doc_id").alias("least"), F.max(F.struct("n_shingles", "band", "own", "up")).alias("set")
+        ),
+        "jaccard-classes",
     )
-    shared = store(shared_words(stored), "jaccard-words")
+    shared = store(shared_words(classes), "jaccard-words")
     united = store(shared.select("id", F.col("id").alias("comp")).distinct(), "jaccard-components")
     united = merged(united, store(verified(docs, classes, store(hub_pairs(shared), "jaccard-pairs"), words, ratio), "jaccard-links"))
     rows, few = shared, FEW
     while True:
         words_open = store(open_words(rows, united), "jaccard-open")
-        pairs = store(sketch_pairs(words_open, stored, few, ratio), "jaccard-pairs")
+        pairs = store(sketch_pairs(words_open, classes, few, ratio), "jaccard-pairs")
         if pairs.isEmpty():
             break
         links = store(verified(docs, classes, pairs.select("a", "b").distinct(), words, ratio), "jaccard-links")

@@ -146,3 +146,15 @@ def test_one_of_each_group_by_five_words_and_four_fifths(frame):
     kept = one_of_each_group(frame(rows), words=5, ratio=9)
     assert sorted(r.doc_id for r in kept.collect()) == [i for i, _ in rows if i % 3 != 1]
     assert one_of_each_group(frame(rows)).count() == len(rows)
+
+
+def test_a_third_of_equal_rows_and_many_short_templates(spark, frame, monkeypatch):
+    """A class counts once in shared words, and groups are compared in parts."""
+    monkeypatch.setattr(jaccard, "PART_ROWS", 64)
+    rows = [(i, "the same text that very many rows hold without any change at all") for i in range(600)]
+    rows += [(1000 + i, f"dear customer {i} your order number {i * 7} has been sent on its way today") for i in range(600)]
+    rows += [(5000 + i, t) for i, (_, t) in enumerate(near_copies(9, groups=3, size=10))]
+    assert result(components(frame(rows).repartition(5))) == brute(rows)
+    stored = jaccard.profiles(frame(rows[:600]), 3, RATIO)
+    one = stored.groupBy("id").agg(F.max(F.struct("n_shingles", "band", "own", "up")).alias("set"))
+    assert one.count() == 1 and jaccard.shared_words(one).count() == 0
