@@ -27,18 +27,27 @@ _BLANKS = " \t\n\x0b\x0c\r"
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str, words: int = SHINGLE) -> DataFrame:
-    """``df`` with the fingerprint of column ``text`` as an array of longs."""
-    listed = df.withColumn("_words", F.split(F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(_BLANKS)), r"[\x20\x09-\x0D]+"))
-    shingles = F.transform(F.sequence(F.lit(1), F.size("_words") - (words - 1)), lambda at: F.xxhash64(F.slice("_words", at, words)))
+    """``df`` with the fingerprint of column ``text`` as an array of longs; no other column is touched."""
+    # Steps are columns, so that each is computed once; their names are none of the table's.
+    listed, hashed, low, lowest = (_free_name(df, c) for c in ("words", "hashes", "low", "lowest"))
+    split = df.withColumn(listed, F.split(F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(_BLANKS)), r"[\x20\x09-\x0D]+"))
+    shingles = F.transform(F.sequence(F.lit(1), F.size(listed) - (words - 1)), lambda at: F.xxhash64(F.slice(listed, at, words)))
     hashes = (
-        F.when(F.col("_words")[0] == "", F.array().cast("array<bigint>"))
-        .when(F.size("_words") < words, F.array(F.xxhash64("_words")))
+        F.when(F.col(listed)[0] == "", F.array().cast("array<bigint>"))
+        .when(F.size(listed) < words, F.array(F.xxhash64(listed)))
         .otherwise(shingles)
     )
-    hashed = listed.withColumn("_hashes", hashes).drop("_words")
-    low = hashed.withColumn("_low", F.filter("_hashes", lambda h: h < BOUND)).withColumn("_lowest", F.array_min("_hashes")).drop("_hashes")
-    kept = F.when(F.size("_low") > 0, F.sort_array(F.array_distinct("_low"))).when(F.col("_lowest").isNotNull(), F.array("_lowest")).otherwise(F.col("_low"))
-    return low.withColumn(name, kept).drop("_low", "_lowest")
+    every = split.withColumn(hashed, hashes).drop(listed)
+    few = every.withColumn(low, F.filter(hashed, lambda h: h < BOUND)).withColumn(lowest, F.array_min(hashed)).drop(hashed)
+    kept = F.when(F.size(low) > 0, F.sort_array(F.array_distinct(low))).when(F.col(lowest).isNotNull(), F.array(lowest)).otherwise(F.col(low))
+    return few.withColumn(name, kept).drop(low, lowest)
+
+
+def _free_name(df: DataFrame, name: str) -> str:
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
 
 
 def merged(one: Column, other: Column) -> Column:

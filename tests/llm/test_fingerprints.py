@@ -81,3 +81,11 @@ def test_every_low_hash_is_kept_and_merging_is_exact(frame, monkeypatch):
     r = pair.select(merged(F.col("x"), F.col("y")).alias("m"), containment(F.col("x"), merged(F.col("x"), F.col("y"))).alias("c"), likeness(F.col("x"), F.col("y")).alias("l")).first()
     assert set(r.m) <= set(got[3]) and r.c == 1.0 and r.l == 0.0
     assert fingerprints.SCALE == 8 and pytest.approx(sum(map(len, got.values())) / (496 + 26 + 526), abs=0.06) == 1 / 8
+
+
+def test_columns_of_the_table_survive(frame):
+    names = ["words", "hashes", "low", "lowest", "_words", "_hashes", "_low", "_lowest", "WORDS_"]
+    docs = frame([(1, "a b c d e f"), (2, None)]).select("*", *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    got = with_fingerprint(docs, "text", "print")
+    assert got.columns == [*docs.columns, "print"]
+    assert all(tuple(r)[-len(names) - 1 : -1] == tuple(range(len(names))) for r in got.collect())
