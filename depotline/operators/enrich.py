@@ -15,9 +15,18 @@ def prefixed(df: DataFrame, prefix: str, keep: list[str]) -> DataFrame:
     return df.select(*[F.col(c) if c in keep else F.col(c).alias(prefix + c) for c in df.columns])
 
 
+#: Calendar rows up to which the calendar is sent to the demand rows (some hundred years of dates).
+CALENDAR_ROWS = 50_000
+
+
 def join_calendar(demand: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Left join on date. The calendar must already hold one row per date, 366 a year at most, and is sent to the demand rows."""
-    return demand.join(F.broadcast(prefixed(calendar, "cal_", ["date"])), "date", "left")
+    """Left join on date. A calendar that repeats a date is refused, as it would multiply demand; one with few rows is sent to
+    the demand rows, any other is joined by date."""
+    size = calendar.where(F.col("date").isNotNull()).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("date").alias("dates")).first()
+    if size.rows != size.dates:
+        raise ValueError(f"calendar: {size.rows} rows for {size.dates} dates")
+    days = prefixed(calendar, "cal_", ["date"])
+    return demand.join(F.broadcast(days) if size.rows <= CALENDAR_ROWS else days, "date", "left")
 
 
 def home_sites(warehouses: DataFrame, lanes: DataFrame) -> DataFrame:

@@ -6,14 +6,16 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from depotline import settings as S
 from depotline.functions.vectors import unit_vector
 
-# Largest query matrix sent to the workers at once, in numbers (64 MB of doubles).
+# Largest query matrix that is sent to all workers, in numbers (64 MB of doubles); more queries meet the index in blocks.
 BATCH_NUMBERS = 8 << 20
+# Rows of an index block and of a query block, where both are dealt.
+BLOCK_ROWS = 1 << 16
 # Queries scored together inside a task; bounds the score block of one Arrow batch.
 _SCORED_TOGETHER = 256
 
@@ -23,17 +25,17 @@ def build_index(df: DataFrame, vector: str = "embedding") -> DataFrame:
     return df.withColumn(vector, unit_vector(F.col(vector)))
 
 
-def _batches(queries: DataFrame, query_id: str, vector: str) -> Iterator[tuple[list, np.ndarray]]:
-    """Query vectors in batches of bounded size, fetched one partition at a time."""
-    ids, vectors = [], []
-    for row in queries.select(query_id, vector).toLocalIterator():
-        ids.append(row[0])
-        vectors.append(row[1])
-        if len(ids) * len(row[1]) >= BATCH_NUMBERS:
-            yield ids, np.asarray(vectors, dtype=np.float64)
-            ids, vectors = [], []
-    if ids:
-        yield ids, np.asarray(vectors, dtype=np.float64)
+def _best(names: np.ndarray, scores: np.ndarray, items: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names, items and scores of the k best columns of each row, ties by item."""
+    picked = [np.lexsort((items, -row))[:k] for row in scores]
+    counts = [len(p) for p in picked]
+    at = np.concatenate(picked) if picked else np.zeros(0, int)
+    rows = np.repeat(np.arange(len(picked)), counts)
+    return names[rows], items[at], scores[rows, at]
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
 def top_k(
@@ -46,52 +48,94 @@ def top_k(
 ) -> DataFrame:
     """The ``k`` most similar items per query: exact, ties by item id.
 
-    Every task scores its share of the index against a batch of queries with
-    matrix products and keeps only its ``k`` best items per query, so what is
-    shuffled is at most k x queries rows per task and no pair table is formed.
-    Both sides must hold unit vectors. Queries beyond one batch (64 MB) run as
-    further passes over the index.
+    A query set of at most 64 MB is sent to the tasks, each of which scores its share of the index against it and
+    keeps its ``k`` best items per query. A larger one stays a table: query blocks and index blocks, both of bounded
+    size, meet once each by their block numbers, so neither the driver nor a task holds more than a block of either.
+    What is shuffled of results is at most k rows per query and task or block. Both sides must hold unit vectors.
     """
-    id_type = index.schema[item_id].dataType.simpleString()
-    query_type = queries.schema[query_id].dataType.simpleString()
-    schema = f"{query_id} {query_type}, {item_id} {id_type}, score double"
-    together = _SCORED_TOGETHER
+    items, asked = index.select(item_id, vector), queries.select(query_id, vector)
+    shape = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vector)).alias("width")).first()
+    schema = f"{query_id} {dict(asked.dtypes)[query_id]}, {item_id} {dict(items.dtypes)[item_id]}, score double"
+    if not shape.n:
+        return index.sparkSession.createDataFrame([], f"{schema}, rank int")
+    few = shape.n * (shape.width or 1) <= BATCH_NUMBERS
+    found = _scan(items, asked, k, schema) if few else _meet(items, asked, k, schema, shape.n)
+    order = Window.partitionBy(query_id).orderBy(F.col("score").desc(), item_id)
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _scored(matrix: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    # Twelve digits: summation order must not decide between equal vectors.
+    return np.round(matrix @ vectors.T, 12)
 
-    def search(ids: list, matrix: np.ndarray) -> DataFrame:
-        parts = [(ids[i : i + together], matrix[i : i + together]) for i in range(0, len(ids), together)]
 
-        def local_best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            best: list = [None] * len(parts)
-            for pdf in batches:
-                if pdf.empty:
+def _scan(items: DataFrame, asked: DataFrame, k: int, schema: str) -> DataFrame:
+    """The index in place against a query set of checked size."""
+    held = asked.toArrow().combine_chunks()
+    names, matrix = np.array(held.column(0).to_pylist(), object), _matrix(held.column(1).combine_chunks())
+    together = _SCORED_TOGETHER
+    fields = schema.split(", ")
+
+    def local_best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, tuple] = {}
+        kinds = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kinds = batch.schema.field(0).type
+            ids, vectors = batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1))
+            for start in range(0, len(names), together):
+                scores = _scored(matrix[start : start + together], vectors)
+                for n, row in enumerate(scores, start):
+                    have = best.get(n)
+                    own_ids, own = (ids, row) if have is None else (np.concatenate([have[0], ids]), np.concatenate([have[1], row]))
+                    at = np.lexsort((own_ids, -own))[:k]
+                    best[n] = own_ids[at], own[at]
+        for start in range(0, len(names) if best else 0, 4096):
+            part = [(n, *best[n]) for n in range(start, min(start + 4096, len(names)))]
+            rows = [(names[n], i, s) for n, own_ids, own in part for i, s in zip(own_ids.tolist(), own.tolist(), strict=True)]
+            columns = [pa.array([r[0] for r in rows], held.schema.field(0).type), pa.array([r[1] for r in rows], kinds), pa.array([r[2] for r in rows], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[f.split(" ")[0] for f in fields])
+
+    return items.mapInArrow(local_best, schema)
+
+
+def _meet(items: DataFrame, asked: DataFrame, k: int, schema: str, n_queries: int) -> DataFrame:
+    """Index blocks and query blocks, every two of them once."""
+    (item_id, vector), query_id = items.columns, asked.columns[0]
+    index_blocks, query_blocks = (max(1, -(-n // BLOCK_ROWS)) for n in (items.count(), n_queries))
+    none = F.lit(None)
+
+    def dealt(df: DataFrame, name: str, own: str, blocks: int, other: str, others: int, part: int) -> DataFrame:
+        number = F.pmod(F.xxhash64(name), F.lit(blocks)).cast("int")
+        return df.withColumn(own, number).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1)))).withColumn("part", F.lit(part))
+
+    left = dealt(items, item_id, "i", index_blocks, "j", query_blocks, 0).select("i", "j", "part", F.col(item_id).alias("item"), none.cast(dict(asked.dtypes)[query_id]).alias("query"), F.col(vector).cast("array<double>").alias("v"))
+    right = dealt(asked, query_id, "j", query_blocks, "i", index_blocks, 1).select("i", "j", "part", none.cast(dict(items.dtypes)[item_id]).alias("item"), F.col(query_id).alias("query"), F.col(vector).cast("array<double>").alias("v"))
+    names = [field.split(" ")[0] for field in schema.split(", ")]
+    together = _SCORED_TOGETHER
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held, block = None, [], None
+        for batch in batches:
+            keys = list(zip(*(batch.column(n).to_pylist() for n in range(3)), strict=True))
+            starts = [n for n in range(len(keys)) if not n or keys[n] != keys[n - 1]]
+            for low, high in zip(starts, [*starts[1:], len(keys)], strict=True):
+                i, j, part = keys[low]
+                if (i, j) != cell:
+                    cell, held, block = (i, j), [], None
+                rows = batch.slice(low, high - low)
+                if part == 0:
+                    held.append((rows.column(3).to_numpy(zero_copy_only=False), _matrix(rows.column(5))))
                     continue
-                items, vectors = pdf[item_id].to_numpy(), np.vstack(pdf[vector].to_numpy()).astype(np.float64)
-                for p, (names, rows) in enumerate(parts):
-                    # Twelve digits: summation order must not decide between equal vectors.
-                    scores = np.round(vectors @ rows.T, 12)
-                    block = pd.DataFrame(
-                        {
-                            query_id: np.repeat(np.asarray(names, dtype=object), len(items)),
-                            item_id: np.tile(items, len(names)),
-                            "score": scores.T.ravel(),
-                        }
-                    )
-                    merged = block if best[p] is None else pd.concat([best[p], block])
-                    ordered = merged.sort_values(["score", item_id], ascending=[False, True])
-                    best[p] = ordered.groupby(query_id).head(k)
-            yield from (found for found in best if found is not None)
-
-        return index.select(item_id, vector).mapInPandas(local_best, schema)
-
-    candidates = [search(ids, matrix) for ids, matrix in _batches(queries, query_id, vector)]
-    if not candidates:
-        return index.sparkSession.createDataFrame([], f"{schema}, rank int")
-    order = Window.partitionBy(query_id).orderBy(F.col("score").desc(), item_id)
-    return (
-        reduce(DataFrame.unionByName, candidates)
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-    )
+                if block is None and held:
+                    block, held = (np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])), []
+                for at in range(0, rows.num_rows if block else 0, together):
+                    own = rows.slice(at, together)
+                    numbers, found, scores = _best(np.arange(own.num_rows), _scored(_matrix(own.column(5)), block[1]), block[0], k)
+                    yield pa.RecordBatch.from_arrays([own.column(4).take(pa.array(numbers)), pa.array(found, batch.schema.field(3).type), pa.array(scores)], names=names)
+
+    return left.unionByName(right).repartition("i", "j").sortWithinPartitions("i", "j", "part").mapInArrow(run, schema)
 
 
 def group_centroids(df: DataFrame, group: str = "label", vector: str = "embedding") -> DataFrame:

@@ -21,41 +21,47 @@ def _median(count: str, upto: str, rows):
     return (low + high) / 2
 
 
-def mann_whitney(df: DataFrame, flag: str, target: str = "total_units") -> DataFrame:
-    """One-sided rank-sum test that flagged rows are larger, with tie correction.
+def mann_whitney(df: DataFrame, flags: str | list[str], target: str = "total_units") -> DataFrame:
+    """One-sided rank-sum test that flagged rows are larger, with tie correction, one row per flag.
 
-    Rows are first counted per distinct value, so ties (and a value held by a
+    Rows are first counted per distinct value, for all flags at once, so ties (and a value held by a
     third of all rows) cost one row; tie-averaged ranks then follow from running
-    counts over the distinct values.
+    counts over the distinct values, again for all flags in one pass.
     """
-    on = F.col(flag) == 1
-    counts = df.where(F.col(target).isNotNull() & F.col(flag).isin(0, 1)).groupBy(
-        F.col(target).cast("double").alias("value")
-    ).agg(F.count_if(on).alias("n1"), F.count_if(~on).alias("n0"))
-    counts = store(counts, "value_counts")
-    ranked = running_totals(counts, "value", {"upto1": "n1", "upto0": "n0"})
-    sizes = counts.agg(F.struct(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))).scalar()
-
-    ties = F.col("n1") + F.col("n0")
-    rank = F.col("upto1") + F.col("upto0") - (ties - 1) / 2
-    ties_cubed = ties.cast("double") * ties * ties - ties
-    sums = ranked.withColumn("_n", sizes).agg(
-        F.max("_n.n1").alias("n_on"),
-        F.max("_n.n0").alias("n_off"),
-        F.sum(rank * F.col("n1")).alias("rank_sum"),
-        F.sum(ties_cubed).alias("tie_sum"),
-        _median("n1", "upto1", F.col("_n.n1")).alias("median_on"),
-        _median("n0", "upto0", F.col("_n.n0")).alias("median_off"),
-        F.sum(F.col("value") * F.col("n1")).alias("sum_on"),
-        F.sum(F.col("value") * F.col("n0")).alias("sum_off"),
+    flags = [flags] if isinstance(flags, str) else flags
+    numbers = range(len(flags))
+    counts = df.where(F.col(target).isNotNull()).groupBy(F.col(target).cast("double").alias("value")).agg(
+        *[F.count_if(F.col(flag) == side).alias(f"n{side}_{i}") for i, flag in enumerate(flags) for side in (1, 0)]
     )
+    counts = store(counts, "value_counts")
+    ranked = running_totals(counts, "value", {f"upto{side}_{i}": f"n{side}_{i}" for i in numbers for side in (1, 0)})
+    sizes = counts.agg(F.struct(*[F.sum(f"n{side}_{i}").alias(f"n{side}_{i}") for i in numbers for side in (1, 0)])).scalar()
+
+    def sums(i: int) -> Column:
+        on, off = F.col(f"n1_{i}"), F.col(f"n0_{i}")
+        all_on, all_off = F.col(f"_n.n1_{i}"), F.col(f"_n.n0_{i}")
+        ties = on + off
+        rank = F.col(f"upto1_{i}") + F.col(f"upto0_{i}") - (ties - 1) / 2
+        return F.struct(
+            F.lit(flags[i]).alias("flag"),
+            F.max(all_on).alias("n_on"),
+            F.max(all_off).alias("n_off"),
+            F.sum(rank * on).alias("rank_sum"),
+            F.sum(ties.cast("double") * ties * ties - ties).alias("tie_sum"),
+            _median(f"n1_{i}", f"upto1_{i}", all_on).alias("median_on"),
+            _median(f"n0_{i}", f"upto0_{i}", all_off).alias("median_off"),
+            F.sum(F.col("value") * on).alias("sum_on"),
+            F.sum(F.col("value") * off).alias("sum_off"),
+        )
+
+    summed = ranked.withColumn("_n", sizes).agg(F.array(*[sums(i) for i in numbers]).alias("tests")).select(F.inline("tests"))
     n1, n0 = F.col("n_on").cast("double"), F.col("n_off").cast("double")
     n = n1 + n0
     u = F.col("rank_sum") - n1 * (n1 + 1) / 2
     variance = n1 * n0 / 12 * ((n + 1) - ratio(F.col("tie_sum"), n * (n - 1)))
     z = ratio(u - n1 * n0 / 2 - 0.5, F.sqrt(variance))
-    return sums.select(
-        F.lit(flag).alias("flag"),
+    return summed.select(
+        "flag",
         "n_on",
         "n_off",
         "median_on",

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from depotline.plans.cleaning import clean_dataset
 from depotline.plans.network import Network
-from depotline.session import build_session
+from depotline.session import build_session, drop_stages
 from depotline.sources import sinks
 from depotline.sources.audit import summarise_log
 
@@ -39,10 +39,13 @@ def main() -> None:
     parser.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     args = parser.parse_args()
     spark = build_session("depotline-" + args.stage)
-    if args.stage == "clean":
-        clean_all(spark, args.root, args.format)
-    else:
-        export_marts(spark, args.root, args.format)
+    try:
+        if args.stage == "clean":
+            clean_all(spark, args.root, args.format)
+        else:
+            export_marts(spark, args.root, args.format)
+    finally:
+        drop_stages(spark)
 
 
 if __name__ == "__main__":

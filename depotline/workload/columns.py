@@ -29,7 +29,12 @@ def alias_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.groupBy("region").agg(F.sum("units_sold").alias("units_sold"))
 
 
-@query("p03_drop_column_sample", "value remaining:l", "SELECT '01/01/1970' AS value, 10 AS remaining")
+@query(
+    "p03_drop_column_sample",
+    "value remaining:l",
+    """SELECT value, (SELECT count(*) - 1 FROM (DESCRIBE SELECT * FROM raw_demand)) AS remaining
+       FROM (SELECT DISTINCT weekend_flag AS value FROM raw_demand WHERE weekend_flag IS NOT NULL ORDER BY value LIMIT 5)""",
+)
 def drop_column_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evidence sample of a corrupted column, and the column count after dropping it."""
     raw = bridge.raw_daily_demand(spark, sf_dir)
@@ -303,8 +308,9 @@ def normal_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "x17_vector_functions",
     "vec_id norm:5 unit_norm:6 self_dot:5",
-    """SELECT vec_id, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS norm, 1.0 AS unit_norm,
-              list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) AS self_dot FROM embeddings""",
+    """SELECT vec_id, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS norm,
+              (SELECT sqrt(list_dot_product(v, v)) FROM unit_index u WHERE u.vec_id = e.vec_id) AS unit_norm,
+              list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) AS self_dot FROM embeddings e""",
 )
 def vector_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     vector = F.col("embedding")

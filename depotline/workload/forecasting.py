@@ -256,7 +256,7 @@ def baseline_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mann_whitney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Holiday and marketing lift tests."""
     weekly = network(spark, sf_dir).stored_weekly
-    return T.mann_whitney(weekly, "holiday_peak_flag").unionByName(T.mann_whitney(weekly, "marketing_push_flag"))
+    return T.mann_whitney(weekly, ["holiday_peak_flag", "marketing_push_flag"])
 
 
 @query(

@@ -131,7 +131,7 @@ def orphan_skus(spark: SparkSession, sf_dir: str) -> DataFrame:
     "home_warehouse category rows:l revenue_usd:2 carbon_kg:4 ship:2 missing:l",
     """SELECT home_warehouse, k.category, count(*) AS rows, sum(units_ordered * price_usd) AS revenue_usd,
               sum(units_ordered * (home_lead_time * 500.0 * (cube_ft * 0.028317 * 200 / 1000) * 0.062)) AS carbon_kg,
-              sum(units_ordered * home_ship_cost) AS ship, 0 AS missing
+              sum(units_ordered * home_ship_cost) AS ship, count(*) FILTER (WHERE unit_cost_usd IS NULL OR home_ship_cost IS NULL) AS missing
        FROM demand d LEFT JOIN skus k ON d.sku_id = k.sku_id LEFT JOIN home h ON d.region = h.region GROUP BY 1, 2""",
 )
 def enriched_demand(spark: SparkSession, sf_dir: str) -> DataFrame:

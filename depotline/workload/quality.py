@@ -267,9 +267,9 @@ def malformed_skus(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "v05_positive_columns",
     "rule rows_checked:l bad_rows:l status",
-    """SELECT 'positive:units_ordered' AS rule, count(*) AS rows_checked, count(*) FILTER (WHERE units_ordered < 0.01) AS bad_rows,
-              'FAIL' AS status FROM typed_demand
-       UNION ALL SELECT 'positive:price_usd', count(*), count(*) FILTER (WHERE price_usd < 0.01), 'PASS' FROM typed_demand""",
+    """SELECT rule, rows_checked, bad_rows, CASE WHEN bad_rows > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM (
+         SELECT 'positive:units_ordered' AS rule, count(*) AS rows_checked, count(*) FILTER (WHERE units_ordered < 0.01) AS bad_rows FROM typed_demand
+         UNION ALL SELECT 'positive:price_usd', count(*), count(*) FILTER (WHERE price_usd < 0.01) FROM typed_demand)""",
 )
 def positive_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard rules reported as FAIL; ``enforce`` would raise on this report."""
@@ -291,8 +291,9 @@ def in_plan_assert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "v06_service_level",
     "rule rows_checked:l bad_rows:l status",
-    """SELECT 'range:target_service_level' AS rule, count(*) AS rows_checked,
-              count(*) FILTER (WHERE target_service_level < 0.8 OR target_service_level > 1) AS bad_rows, 'PASS' AS status FROM skus""",
+    """SELECT *, CASE WHEN bad_rows > 0 THEN 'WARN' ELSE 'PASS' END AS status FROM (
+         SELECT 'range:target_service_level' AS rule, count(*) AS rows_checked,
+                count(*) FILTER (WHERE target_service_level < 0.8 OR target_service_level > 1) AS bad_rows FROM skus)""",
 )
 def service_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.check(bridge.sku_master(spark, sf_dir), [Q.service_level_rule()])
@@ -317,10 +318,12 @@ def warehouse_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "v08_schema_audit",
     "column_name status present:l",
-    """SELECT column_name, 'OK' AS status, n AS present FROM (SELECT count(*) AS n FROM positive_demand) CROSS JOIN (SELECT unnest([
-         'date', 'sku_id', 'region', 'units_ordered', 'price_usd', 'holiday_peak_flag', 'prime_event_flag', 'is_weekend',
-         'marketing_push_flag', 'weather_disruption_index', 'year', 'month', 'quarter', 'week_number', 'day_of_week',
-         'year_week']) AS column_name)""",
+    """SELECT w.column_name, CASE WHEN h.kind IS NULL THEN 'MISSING' WHEN h.kind <> w.kind THEN 'TYPE' ELSE 'OK' END AS status,
+              (SELECT count(*) FROM positive_demand) AS present
+       FROM (VALUES ('date', 'DATE'), ('sku_id', 'VARCHAR'), ('region', 'VARCHAR'), ('units_ordered', 'DOUBLE'), ('price_usd', 'DOUBLE'), ('holiday_peak_flag', 'INTEGER'),
+                    ('prime_event_flag', 'INTEGER'), ('is_weekend', 'INTEGER'), ('marketing_push_flag', 'INTEGER'), ('weather_disruption_index', 'DOUBLE'), ('year', 'INTEGER'),
+                    ('month', 'INTEGER'), ('quarter', 'INTEGER'), ('week_number', 'INTEGER'), ('day_of_week', 'INTEGER'), ('year_week', 'VARCHAR')) w(column_name, kind)
+       LEFT JOIN (SELECT column_name, replace(column_type, 'BIGINT', 'INTEGER') AS kind FROM (DESCRIBE SELECT * FROM demand)) h ON w.column_name = h.column_name""",
 )
 def schema_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract check of the cleaned table next to its row count."""
@@ -346,8 +349,11 @@ def referential_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "v10_lane_coverage",
     "lane_count:l expected_lanes:l missing_pairs:l extra_pairs:l all_lanes_ok:b",
-    """SELECT (SELECT count(*) FROM lanes) AS lane_count, 30 AS expected_lanes, 5 AS missing_pairs, 0 AS extra_pairs,
-              false AS all_lanes_ok""",
+    """WITH wanted AS (SELECT s.warehouse_id, r.region FROM sites s CROSS JOIN region_dim r)
+       SELECT *, lane_count = expected_lanes AND missing_pairs = 0 AS all_lanes_ok FROM (
+         SELECT (SELECT count(*) FROM lanes) AS lane_count, (SELECT count(*) FROM wanted) AS expected_lanes,
+                (SELECT count(*) FROM wanted w WHERE NOT EXISTS (SELECT 1 FROM lanes l WHERE l.warehouse_id = w.warehouse_id AND l.demand_region = w.region)) AS missing_pairs,
+                (SELECT count(*) FROM lanes l WHERE NOT EXISTS (SELECT 1 FROM wanted w WHERE l.warehouse_id = w.warehouse_id AND l.demand_region = w.region)) AS extra_pairs)""",
 )
 def lane_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hub has no lanes here, so its five pairs are missing."""
@@ -416,8 +422,9 @@ def weather_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "v15_unmatched_rows",
     "rule rows_checked:l bad_rows:l status",
-    """SELECT 'null:category' AS rule, count(*) AS rows_checked, count(*) - count(category) AS bad_rows, 'PASS' AS status FROM demand_cat
-       UNION ALL SELECT 'null:weather_disruption_index', count(*), count(*) - count(weather_disruption_index), 'FAIL' FROM demand_cat""",
+    """SELECT *, CASE WHEN bad_rows > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM (
+         SELECT 'null:category' AS rule, count(*) AS rows_checked, count(*) - count(category) AS bad_rows FROM demand_cat
+         UNION ALL SELECT 'null:weather_disruption_index', count(*), count(*) - count(weather_disruption_index) FROM demand_cat)""",
 )
 def unmatched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every demand row has a category; some dates have no calendar row."""
@@ -428,19 +435,21 @@ def unmatched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "v16_row_count",
     "rows:l expected_rows:l status",
-    "SELECT count(*) AS rows, 25 AS expected_rows, 'PASS' AS status FROM lanes",
+    """SELECT *, CASE WHEN rows = expected_rows THEN 'PASS' ELSE 'FAIL' END AS status
+       FROM (SELECT (SELECT count(*) FROM lanes) AS rows, (SELECT count(*) * count(*) FROM region_dim) AS expected_rows)""",
 )
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.row_count_report(bridge.lanes(spark, sf_dir), 25)
+    return Q.row_count_report(bridge.lanes(spark, sf_dir), len(bridge.REGIONS) ** 2)
 
 
 @query(
     "v17_value_checks",
     "rule rows_checked:l bad_rows:l status",
-    """SELECT unnest(['negative_margin:gross_margin_usd', 'zero_volume:volume_m3', 'null:unit_cost_usd']) AS rule,
-              n AS rows_checked, unnest([a, b, c]) AS bad_rows, 'PASS' AS status
+    """SELECT *, CASE WHEN bad_rows > 0 THEN 'WARN' ELSE 'PASS' END AS status FROM (
+         SELECT unnest(['negative_margin:gross_margin_usd', 'zero_volume:volume_m3', 'null:unit_cost_usd']) AS rule,
+              n AS rows_checked, unnest([a, b, c]) AS bad_rows
        FROM (SELECT count(*) AS n, count(*) FILTER (WHERE gross_margin_usd < 0) AS a, count(*) FILTER (WHERE volume_m3 = 0) AS b,
-                    count(*) - count(unit_cost_usd) AS c FROM skus)""",
+                    count(*) - count(unit_cost_usd) AS c FROM skus))""",
 )
 def value_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.check(
@@ -451,7 +460,8 @@ def value_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "v18_split_check",
     "train_rows:l test_rows:l status",
-    "SELECT count(*) FILTER (WHERE is_train) AS train_rows, count(*) FILTER (WHERE NOT is_train) AS test_rows, 'PASS' AS status FROM holdout",
+    """SELECT *, CASE WHEN train_rows > 0 AND test_rows > 0 THEN 'PASS' ELSE 'FAIL' END AS status
+       FROM (SELECT count(*) FILTER (WHERE is_train) AS train_rows, count(*) FILTER (WHERE NOT is_train) AS test_rows FROM holdout)""",
 )
 def split_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.split_counts(E.holdout_split(Network.from_benchmark(spark, sf_dir).stored_weekly))

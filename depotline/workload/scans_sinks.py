@@ -279,8 +279,8 @@ def seven_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     "s12_mart_sinks",
     "mart rows:l",
     """SELECT 'demand_summary' AS mart, count(*) AS rows FROM weekly UNION ALL SELECT 'forecast_summary', count(*) FROM forecast
-       UNION ALL SELECT 'inventory_summary', count(*) FROM util UNION ALL SELECT 'cost_summary', 4
-       UNION ALL SELECT 'carbon_summary', count(*) + 3 FROM plan""",
+       UNION ALL SELECT 'inventory_summary', count(*) FROM util UNION ALL SELECT 'cost_summary', count(DISTINCT scenario) + 1 FROM plan
+       UNION ALL SELECT 'carbon_summary', count(*) + count(DISTINCT scenario) FROM plan""",
 )
 def mart_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five marts from one stored weekly table, written and counted from the files."""

@@ -145,3 +145,13 @@ def test_year_over_year_null_without_match(spark):
 
 def test_placeholder_bounds(spark):
     assert rows(E.placeholder_forecast(series(spark, [10])).select("forecast_units", "lower_bound", "upper_bound")) == [(10.0, 8.0, 12.0)]
+
+
+def test_calendar_with_repeated_dates_is_refused(spark, monkeypatch):
+    demand = spark.createDataFrame([(week(0), 1)], "date date, units int")
+    twice = spark.createDataFrame([(week(0), 5), (week(0), 6)], "date date, year int")
+    with pytest.raises(ValueError, match="2 rows for 1 dates"):
+        enrich.join_calendar(demand, twice)
+    monkeypatch.setattr(enrich, "CALENDAR_ROWS", 0)
+    joined = enrich.join_calendar(demand, twice.limit(1))
+    assert joined.count() == 1 and "ResolvedHint" not in joined._jdf.queryExecution().analyzed().toString()

@@ -235,3 +235,25 @@ def test_moments_by_brute_force(spark):
         assert got[one, two] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1])
     assert [got[p] for p in (("a", "k"), ("b", "k"), ("k", "c"))] == [None] * 3
     assert len(got) == 6 and {r.pearson_r for r in T.correlation_pairs(df.limit(0), ["a", "b"]).collect()} == {None}
+
+
+def test_top_k_alike_in_place_and_in_blocks(spark, monkeypatch):
+    """Many query blocks against many index blocks give what the scan of the index gives, for text ids and ties too."""
+    rng = np.random.default_rng(11)
+    vectors = np.round(rng.normal(size=(150, 4)), 1)
+    index = R.build_index(spark.createDataFrame([(f"i{n:03d}", [float(x) for x in v]) for n, v in enumerate(vectors)], "vec_id string, embedding array<float>")).repartition(4)
+    queries = R.build_index(spark.createDataFrame([(n, [float(x) for x in v]) for n, v in enumerate(vectors[:40])], "query_id long, embedding array<float>")).repartition(3)
+    scanned = rows(R.top_k(index, queries, k=7), "query_id", "rank")
+    monkeypatch.setattr(R, "BATCH_NUMBERS", 0)
+    monkeypatch.setattr(R, "BLOCK_ROWS", 17)
+    monkeypatch.setattr(R, "_SCORED_TOGETHER", 3)
+    assert rows(R.top_k(index, queries, k=7), "query_id", "rank") == scanned and len(scanned) == 280
+    assert R.top_k(index.limit(0), queries, k=7).count() == 0
+
+
+def test_rank_sums_of_several_flags_at_once(spark):
+    rng = np.random.default_rng(12)
+    data = [(float(rng.integers(0, 9)), *[None if rng.random() < 0.1 else int(rng.random() < p) for p in (0.3, 0.6)]) for _ in range(200)]
+    df = spark.createDataFrame(data, "total_units double, f int, g int")
+    together = T.mann_whitney(df, ["f", "g"]).orderBy("flag").collect()
+    assert together == [T.mann_whitney(df, flag).first() for flag in ("f", "g")]
