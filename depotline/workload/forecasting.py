@@ -32,7 +32,8 @@ def boosted(train: DataFrame) -> M.FittedForecast:
 @query(
     "m01_training_frame",
     "rows:l first_week:d features:l",
-    "SELECT count(*) AS rows, min(week_start) AS first_week, 16 AS features FROM short_features "
+    "SELECT count(*) AS rows, min(week_start) AS first_week, (SELECT count(*) FROM (DESCRIBE SELECT * EXCLUDE (year, total_units), 1 AS weeks_since_epoch, 1 AS is_q4 "
+    "FROM short_features) WHERE column_type IN ('INTEGER', 'BIGINT', 'DOUBLE')) AS features FROM short_features "
     "WHERE rolling_4wk_std IS NOT NULL AND lag_4_week_demand IS NOT NULL AND avg_price_usd IS NOT NULL AND weather_disruption IS NOT NULL",
 )
 def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
