@@ -8,7 +8,8 @@ from depotline import settings as S
 from depotline.functions.calendar import date_parts, parse_date
 from depotline.functions.numeric import cap_above, is_true, to_number
 from depotline.functions.text import remap, standard_text
-from depotline.operators.prefix import exact_percentiles
+from depotline.operators.brackets import exact_percentiles
+from depotline.session import store
 from depotline.sources.catalog import network_dimension
 
 
@@ -81,14 +82,15 @@ def cap_outliers(
 ) -> DataFrame:
     """Clip the upper tail at a percentile of the column.
 
-    The cap is a scalar subquery over a stored histogram of values, so the table
-    itself is not shuffled. ``approximate`` swaps in a bounded-size sketch.
+    The table is stored before its cap is sought, so whatever lies behind it is read
+    once; it is not shuffled. ``approximate`` takes one sketch in place of the exact search.
     """
+    kept = store(df, "cap-interim")
     if approximate:
-        cap = df.agg(F.percentile_approx(F.col(column).cast("double"), percentile / 100, 100000))
+        cap = kept.agg(F.percentile_approx(F.col(column).cast("double"), percentile / 100, 100000)).first()[0]
     else:
-        cap = exact_percentiles(df, column, {"cap": percentile / 100})
-    return df.withColumn("_cap", cap.scalar()).withColumn(column, cap_above(F.col(column), F.col("_cap"))).drop("_cap")
+        cap = exact_percentiles(kept, column, {"cap": percentile / 100}).first()[0]
+    return kept if cap is None else kept.withColumn(column, cap_above(F.col(column), F.lit(cap)))
 
 
 def coerce_flags(df: DataFrame, flags: list[str], valid: tuple[int, ...] = (0, 1)) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Running totals and exact percentiles without a global sort task.
+"""Running totals and value counts without a global sort task.
 
 An ``over (order by ...)`` window without a partition key pulls its whole input
 into one task. Here the rows are dealt into ranges of the order, ties included,
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from depotline.operators.brackets import exact_percentiles  # noqa: F401 - also known by this module's name
 from depotline.session import store
 
 
@@ -74,14 +75,3 @@ def pick_percentiles(shares: list[float], rows: Column, upto: str = "upto") -> l
         high = F.min(F.when(F.col(upto) > F.ceil(position), F.col("value")))
         picks.append(low + (high - low) * (F.max(position) - F.floor(F.max(position))))
     return picks
-
-
-def exact_percentiles(df: DataFrame, column: str, names: dict[str, float]) -> DataFrame:
-    """One row of exact, linearly interpolated percentiles.
-
-    The built-in ``percentile`` keeps every distinct value in one task's memory;
-    this spreads them over the cluster and returns the same number.
-    """
-    counted = value_counts_running(df, column)
-    picks = pick_percentiles(list(names.values()), counted.agg(F.max("upto")).scalar())
-    return counted.agg(*[pick.alias(name) for name, pick in zip(names, picks)])

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from depotline import settings as S
 from depotline.functions.normal import normal_upper_tail
 from depotline.functions.numeric import ratio
-from depotline.operators.prefix import pick_percentiles, running_totals, value_counts_running
+from depotline.operators.brackets import exact_percentiles
+from depotline.operators.prefix import running_totals
 from depotline.operators.weekly import SEGMENT
 from depotline.session import store
 
@@ -92,17 +93,17 @@ def normality(df: DataFrame, column: str = "residual") -> DataFrame:
 def interval_coverage(residuals: DataFrame, low: float = 0.1, high: float = 0.9, column: str = "residual") -> DataFrame:
     """Share of residuals between their own percentiles against the target share.
 
-    Limits and coverage come from the same table of counts per distinct value.
+    Residuals are stored as one column, on which both limits are sought and the coverage is counted.
     """
-    counted = value_counts_running(residuals, column)
-    p_low, p_high = pick_percentiles([low, high], counted.agg(F.max("upto")).scalar())
-    bounds = counted.agg(F.struct(p_low.alias("p_low"), p_high.alias("p_high"))).scalar()
-    inside = F.col("value").between(F.col("_b.p_low"), F.col("_b.p_high"))
-    return counted.withColumn("_b", bounds).agg(
-        F.max("_b.p_low").alias("p_low"),
-        F.max("_b.p_high").alias("p_high"),
-        F.sum("n").alias("n"),
-        ratio(F.sum(F.when(inside, F.col("n")).otherwise(0)), F.sum("n")).alias("coverage"),
+    kept = store(residuals.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("value")), "residual-values")
+    limits = exact_percentiles(kept, "value", {"p_low": low, "p_high": high}).first()
+    p_low, p_high = F.lit(limits.p_low).cast("double"), F.lit(limits.p_high).cast("double")
+    n, inside = F.count("value"), F.count_if(F.col("value").between(p_low, p_high))
+    return kept.agg(
+        p_low.alias("p_low"),
+        p_high.alias("p_high"),
+        n.alias("n"),
+        ratio(inside, n).alias("coverage"),
     ).withColumn("target", F.lit(round(high - low, 10)))
 
 

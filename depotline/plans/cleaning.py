@@ -14,7 +14,6 @@ from depotline import settings as S
 from depotline.operators import cleaning as C, quality as Q
 from depotline.operators.lanes import add_lane_efficiency
 from depotline.operators.valuation import add_financials, add_inventory_value
-from depotline.session import store
 from depotline.sources import catalog, readers, sinks
 from depotline.sources.audit import StepAudit
 
@@ -63,8 +62,8 @@ def clean_daily_demand(
 ) -> DataFrame:
     """Typed, standardised demand with calendar columns; bad dates and non-positive units go.
 
-    The cap needs all units before it can be applied, so what the steps before it leave is stored once; the raw feed
-    and the joins behind it are read in that pass alone.
+    The cap needs all units before it can be applied, so ``cap_outliers`` stores what the steps before it leave; the raw
+    feed and the joins behind it are read in that pass alone.
     """
     measures = ["units_ordered", "price_usd", "weather_disruption_index"]
     steps = [
@@ -81,7 +80,7 @@ def clean_daily_demand(
          _note("blanks around ids", "trimmed", rules=[Q.sku_rule()])),
         ("remove_non_positive_units", lambda d: C.remove_negative(d, "units_ordered"),
          _note("units at or below zero", "rows dropped", "entry errors, not returns", on_loss="WARN")),
-        ("cap_units", lambda d: C.cap_outliers(store(d, "demand-interim"), "units_ordered", percentile),
+        ("cap_units", lambda d: C.cap_outliers(d, "units_ordered", percentile),
          _note("extreme orders inflate buffers", f"capped at the {percentile}th percentile")),
         ("assert_price", None, _note("price must be positive", "bad rows counted, the run goes on", rules=[Q.positive_rule("price_usd")])),
         ("coerce_flags", lambda d: C.coerce_flags(d, S.EVENT_FLAGS), _note("flags outside 0/1", "set to 0", rules=[Q.flag_rule(f) for f in S.EVENT_FLAGS], before=True)),
