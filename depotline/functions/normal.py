@@ -19,9 +19,13 @@ _TAIL_NUM = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e
 _TAIL_DEN = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e00,
              3.754408661907416e00, 1.0]
 _TAIL_START = 0.02425
-# Chebyshev fit of log(erfc) (fractional error below 1.2e-7 everywhere).
-_ERFC = [0.17087277, -0.82215223, 1.48851587, -1.13520398, 0.27886807,
-         -0.18628806, 0.09678418, 0.37409196, 1.00002368, -1.26551223]
+# G. West, "Better approximations to cumulative normal functions" (2005), after
+# J. F. Hart's rational approximation of the upper tail up to _FAR, highest power first.
+_UPPER_NUM = [3.52624965998911e-02, 0.700383064443688, 6.37396220353165, 33.912866078383,
+              112.079291497871, 221.213596169931, 220.206867912376]
+_UPPER_DEN = [8.83883476483184e-02, 1.75566716318264, 16.064177579207, 86.7807322029461,
+              296.564248779674, 637.333633378831, 793.826512519948, 440.413735824752]
+_FAR = 7.07106781186547
 # --- End of fixed values ----------------------------------------------------
 
 
@@ -49,8 +53,12 @@ def normal_quantile(p: Column) -> Column:
 
 
 def normal_upper_tail(z: Column) -> Column:
-    """1 - Phi(z)."""
-    x = F.abs(z) / math.sqrt(2.0)
-    t = F.lit(1.0) / (F.lit(1.0) + x * 0.5)
-    half = t * F.exp(_polynomial(_ERFC, t) - x * x) * 0.5
-    return F.when(z >= 0, half).otherwise(F.lit(1.0) - half)
+    """1 - Phi(z), to about fourteen digits; beyond ``_FAR`` by a continued fraction."""
+    x = F.abs(z)
+    density = F.exp(-x * x / 2)
+    fraction = x + 0.65
+    for numerator in (4.0, 3.0, 2.0, 1.0):
+        fraction = x + F.lit(numerator) / fraction
+    near = density * _polynomial(_UPPER_NUM, x) / _polynomial(_UPPER_DEN, x)
+    upper = F.when(x < _FAR, near).otherwise(density / fraction / math.sqrt(2 * math.pi))
+    return F.when(z >= 0, upper).otherwise(F.lit(1.0) - upper)

@@ -11,6 +11,7 @@ from depotline.functions.vectors import dot, l2_norm, unit_vector
 from depotline.operators import cleaning as C, enrich, evaluation as E, inventory as I, lanes as L
 from depotline.plans.network import Network
 from depotline.sources import bridge, readers
+from depotline.workload.fragments import normal_cdf_sql
 from depotline.workload.registry import query
 
 
@@ -289,13 +290,9 @@ def service_level_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "x16_normal_tail",
     "region category week_start:d p_value:6",
-    """SELECT region, category, week_start, CASE WHEN z >= 0 THEN tail ELSE 1 - tail END AS p_value FROM (
-         SELECT *, 0.5 * t * exp(-x * x - 1.26551223 + t * (1.00002368 + t * (0.37409196 + t * (0.09678418
-                + t * (-0.18628806 + t * (0.27886807 + t * (-1.13520398 + t * (1.48851587 + t * (-0.82215223
-                + t * 0.17087277))))))))) AS tail FROM (
-           SELECT *, abs(z) / sqrt(2.0) AS x, 1 / (1 + 0.5 * abs(z) / sqrt(2.0)) AS t FROM (
-             SELECT region, category, week_start, (total_units - avg(total_units) OVER (PARTITION BY region, category))
-                    / stddev_samp(total_units) OVER (PARTITION BY region, category) AS z FROM weekly)))""",
+    f"""SELECT region, category, week_start, 1 - ({normal_cdf_sql('z')}) AS p_value FROM (
+         SELECT region, category, week_start, (total_units - avg(total_units) OVER (PARTITION BY region, category))
+                / stddev_samp(total_units) OVER (PARTITION BY region, category) AS z FROM weekly)""",
 )
 def normal_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upper-tail probability of each weekly z-score."""

@@ -8,6 +8,7 @@ from depotline.operators import enrich, evaluation as E, forecasting as M, retri
 from depotline.plans.network import Network
 from depotline.session import store
 from depotline.sources import bridge
+from depotline.workload.fragments import normal_cdf_sql
 from depotline.workload.registry import query
 
 
@@ -273,6 +274,31 @@ def normality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.normality(network(spark, sf_dir).residuals())
 
 
+@query(
+    "m13_shapiro_wilk",
+    "n:l w:6 p_value:6 normal:b fitted:b",
+    # Scores of the upper half by Newton's method on the series of the normal distribution, every weight from the sorted rows.
+    f"""WITH RECURSIVE x AS (SELECT residual AS v, row_number() OVER (ORDER BY residual) AS i, count(*) OVER () AS n FROM residuals),
+            q AS (SELECT i, n, (i - 0.375) / (n + 0.25) AS p, 0.0::DOUBLE AS z, 0 AS step FROM x WHERE 2 * i > n + 1
+                  UNION ALL SELECT i, n, p, z - ({normal_cdf_sql('z', 100)} - p) / (exp(-z * z / 2) / sqrt(2 * pi())), step + 1 FROM q WHERE step < 25),
+            half AS (SELECT i, n, z FROM q WHERE step = 25),
+            m AS (SELECT i, z FROM half UNION ALL SELECT n + 1 - i, -z FROM half),
+            k AS (SELECT sum(z * z) AS mm, max(z) AS top, (SELECT z FROM half WHERE i = n - 1) AS second, (SELECT max(n) FROM x)::DOUBLE AS n FROM m),
+            e AS (SELECT *, 1 / sqrt(n) AS u FROM k),
+            c AS (SELECT *, top / sqrt(mm) + 0.221157 * u - 0.147981 * u ** 2 - 2.07119 * u ** 3 + 4.434685 * u ** 4 - 2.706056 * u ** 5 AS a1,
+                         second / sqrt(mm) + 0.042981 * u - 0.293762 * u ** 2 - 1.752461 * u ** 3 + 5.682633 * u ** 4 - 3.582633 * u ** 5 AS a2 FROM e),
+            a AS (SELECT m.i, CASE WHEN m.i = n THEN a1 WHEN m.i = 1 THEN -a1 WHEN m.i = n - 1 THEN a2 WHEN m.i = 2 THEN -a2
+                         ELSE z / sqrt((mm - 2 * top * top - 2 * second * second) / (1 - 2 * a1 * a1 - 2 * a2 * a2)) END AS weight FROM m, c),
+            w AS (SELECT (SELECT sum(v * weight) FROM x JOIN a USING (i)) ** 2 / (SELECT var_pop(v) * count(*) FROM x) AS w, (SELECT max(n) FROM x) AS n),
+            s AS (SELECT *, (ln(1 - w) - (-1.5861 - 0.31082 * ln(n) - 0.083751 * ln(n) ** 2 + 0.0038915 * ln(n) ** 3))
+                            / exp(-0.4803 - 0.082676 * ln(n) + 0.0030302 * ln(n) ** 2) AS t FROM w)
+        SELECT n, w, 1 - ({normal_cdf_sql('t')}) AS p_value, 1 - ({normal_cdf_sql('t')}) > 0.05 AS normal, n <= 5000 AS fitted FROM s""",
+)
+def shapiro_wilk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order-statistic normality of the residuals."""
+    return T.shapiro_wilk(network(spark, sf_dir).residuals())
+
+
 @query(
     "m14_interval_coverage",
     "p_low:4 p_high:4 n:l coverage:6 target:2",

@@ -13,6 +13,16 @@ _Z = "CASE {level} " + " ".join(
     f"WHEN {p} THEN {NormalDist().inv_cdf(p)!r}" for p in (0.90, 0.92, 0.95, 0.98)
 ) + " END"
 
+
+
+def normal_cdf_sql(z: str, terms: int = 200) -> str:
+    """Phi(z) by its power series (sum of z^(2k+1) / (2k+1)!! times the density), |z| cut at 9."""
+    size = f"least(greatest(abs({z}), 1e-300), 9.0)"
+    term = f"exp((2 * k + 1) * ln({size}) + k * ln(2.0) + lgamma(k + 1) - lgamma(2 * k + 2))"
+    series = f"list_sum(list_transform(range(0, {terms}), lambda k: {term}))"
+    return f"0.5 + sign({z}) * exp(-{size} * {size} / 2) / sqrt(2 * pi()) * {series}"
+
+
 FRAGMENTS: dict[str, str] = {
     "region_dim": """
         SELECT r_regionkey, CASE r_name WHEN 'MIDDLE EAST' THEN 'Middle East'
