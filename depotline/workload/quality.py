@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from depotline import settings as S
 from depotline.functions.text import standard_text
-from depotline.operators import cleaning as C, evaluation as E, lanes as L, quality as Q, statistics as T, weekly as W
+from depotline.operators import cleaning as C, evaluation as E, lanes as L, quality as Q, sketches as K, statistics as T, weekly as W
 from depotline.operators.cleaning import outside_range
 from depotline.plans.cleaning import clean_daily_demand, clean_event_calendar
 from depotline.plans.network import Network
+from depotline.session import store
 from depotline.sources import bridge, catalog
 from depotline.workload.registry import query
 
@@ -496,6 +497,61 @@ def approximate_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.profile(bridge.raw_daily_demand(spark, sf_dir), approximate=True)
 
 
+_COLUMNS = (
+    "date", "day", "weekend_flag", "sku_id", "region", "units_ordered", "price_usd", "holiday_peak_flag", "prime_event_flag", "marketing_push_flag",
+    "weather_disruption_index",
+)
+
+
+def yearly_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of the raw demand, every year a load, as kept on disk."""
+    raw = bridge.raw_daily_demand(spark, sf_dir)
+    return store(K.load_sketches(raw.withColumn("load", F.substring("date", 1, 4)), "load"), "profile-sketches")
+
+
+@query("v19_sketch_profile", "column_name type loads:l rows:l nulls:l null_pct:1 distinct_values:l p50")
+def sketch_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile of all years from their stored sketches; the estimates themselves have no SQL."""
+    return K.sketched_profile(yearly_sketches(spark, sf_dir), {"p50": 0.5})
+
+
+@query(
+    "v19_sketch_error",
+    "column_name loads:l rows:l nulls:l distinct_values:l median_rows:l distinct_close:b median_close:b",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(DISTINCT substr(date, 1, 4)) AS loads, count(*) AS rows, count(*) - count({c}) AS nulls,
+            count(DISTINCT {c}) + CASE WHEN count(*) > count({c}) THEN 1 ELSE 0 END AS distinct_values,
+            count(try_cast({c} AS DOUBLE)) AS median_rows, TRUE AS distinct_close, TRUE AS median_close FROM raw_demand"""
+        for c in _COLUMNS
+    ),
+)
+def sketch_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether estimates from sketches lie within the stated errors of the exact profile."""
+    raw = bridge.raw_daily_demand(spark, sf_dir)
+    estimates = K.sketched_profile(yearly_sketches(spark, sf_dir), {"p50": 0.5}).withColumnRenamed("distinct_values", "_estimate")
+    exact = Q.profile(raw).select("column_name", "distinct_values")
+    # A row per column of the table.
+    medians = {r.column_name: r.p50 for r in estimates.select("column_name", "p50").collect()}
+    ranks = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.count_if(K.number(F.col(c)) < F.lit(medians[c]).cast("double")).alias("_below"),
+            F.count_if(K.number(F.col(c)) <= F.lit(medians[c]).cast("double")).alias("_upto"),
+            F.count(K.number(F.col(c))).alias("median_rows"),
+        )
+        for c in raw.columns
+    ]
+    ranked = raw.agg(F.array(*ranks).alias("_r")).select(F.inline("_r"))
+    slack = F.col("median_rows") * K.RANK_ERROR
+    half = F.col("median_rows") / 2
+    return estimates.join(exact, "column_name").join(ranked, "column_name").withColumns(
+        {
+            "distinct_close": F.abs(F.col("_estimate") - F.col("distinct_values")) <= F.col("distinct_values") * K.DISTINCT_ERROR,
+            "median_close": (F.col("_below") - slack <= half) & (half <= F.col("_upto") + slack),
+        }
+    )
+
+
 @query(
     "v20_value_counts",
     "value n:l share_pct:1",
