@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from depotline.functions.calendar import iso_year_week
 from depotline.operators import enrich, evaluation as E, forecasting as M, inventory as I, marts, planning as P, weekly as W
 from depotline.operators.lanes import add_carbon
-from depotline.session import store
 from depotline.sources import bridge, catalog, readers
+from depotline.stages import Job, stored
 
 
 class Network:
@@ -22,13 +22,16 @@ class Network:
     share a single pass.
     """
 
-    def __init__(self, load: Callable[[str], DataFrame], unpriced: bool = False) -> None:
-        """``load`` maps a catalog name to its cleaned table; with ``unpriced`` also ``held_inventory``, stock without values."""
-        self._load, self._unpriced = load, unpriced
+    def __init__(self, load: Callable[[str], DataFrame], unpriced: bool = False, job: Job | None = None) -> None:
+        """``load`` maps a catalog name to its cleaned table; with ``unpriced`` also ``held_inventory``, stock without values.
+
+        With a ``job``, what is written once is a stage of that job, which a restart reads again.
+        """
+        self._load, self._unpriced, self._job = load, unpriced, job
 
     @classmethod
-    def from_catalog(cls, spark: SparkSession, root: str, fmt: str = "parquet") -> Network:
-        return cls(lambda name: readers.load_tables(spark, root, {name: catalog.dataset(name).contract.names}, fmt)[name])
+    def from_catalog(cls, spark: SparkSession, root: str, fmt: str = "parquet", job: Job | None = None) -> Network:
+        return cls(lambda name: readers.load_tables(spark, root, {name: catalog.dataset(name).contract.names}, fmt)[name], job=job)
 
     @classmethod
     def from_benchmark(cls, spark: SparkSession, sf_dir: str) -> Network:
@@ -83,7 +86,7 @@ class Network:
     @cached_property
     def stored_weekly(self) -> DataFrame:
         """Weekly grain on disk: one pass over demand for everything built on it."""
-        return store(self.weekly(), "weekly")
+        return stored(self._job, "weekly", self.weekly)
 
     def modelling_table(self, train_until=None) -> DataFrame:
         return enrich.modelling_table(self.stored_weekly, self.calendar, self.skus, self.warehouses, self.lanes, train_until)
@@ -120,7 +123,7 @@ class Network:
     @cached_property
     def stored_stock(self) -> DataFrame:
         """Stock rows on disk, for plans that read them more than once."""
-        return store(self.stock, "stock")
+        return stored(self._job, "stock", lambda: self.stock)
 
     def safety_stock(self) -> DataFrame:
         return P.safety_stock(self.residual_stats(), self.lanes, self.terms())
@@ -131,7 +134,7 @@ class Network:
     @cached_property
     def stored_options(self) -> DataFrame:
         """Segments x lanes of their region on disk; allocation reads them twice."""
-        return store(P.lane_options(self.requirements(), self.lanes, self.terms()), "options")
+        return stored(self._job, "options", lambda: P.lane_options(self.requirements(), self.lanes, self.terms()))
 
     def plan(self, scenarios: list[tuple] | None = None) -> DataFrame:
         return P.allocate_lanes(self.stored_options, scenarios)
@@ -139,7 +142,7 @@ class Network:
     @cached_property
     def stored_plan(self) -> DataFrame:
         """The three-scenario plan on disk: segments x lanes x scenarios rows."""
-        return store(self.plan(), "plan")
+        return stored(self._job, "plan", self.plan)
 
     def baseline(self) -> DataFrame:
         return P.baseline(self.forecast(), self.lanes, self.stock, self.terms())
@@ -150,7 +153,7 @@ class Network:
     def marts(self) -> dict[str, DataFrame]:
         """The five exports, built on the stored weekly grain, stock and plan."""
         forecast = self.forecast()
-        base = store(P.baseline(forecast, self.lanes, self.stored_stock, self.terms()), "baseline")
+        base = stored(self._job, "baseline", lambda: P.baseline(forecast, self.lanes, self.stored_stock, self.terms()))
         load = I.warehouse_utilisation(self.stored_stock, self.warehouses)
         return {
             "demand_summary": marts.demand_summary(self.stored_weekly),
@@ -178,7 +181,7 @@ class ModelNetwork(Network):
     @cached_property
     def stored_features(self) -> DataFrame:
         """The joined table on disk; velocity and rank see all its weeks."""
-        return store(self.modelling_table(), "features")
+        return stored(self._job, "features", self.modelling_table)
 
     @cached_property
     def fitted(self) -> M.FittedForecast:
