@@ -8,10 +8,13 @@ found and keeps the document. The last gives one row per piece of a packed seque
 
 from __future__ import annotations
 
+import inspect
+import sys
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from depotline.llm import jaccard, packing, quality, secrets
-from depotline.session import store
+from depotline.stages import Job, stored
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +41,15 @@ STAGES = [("quality", keep_good), ("near_duplicates", keep_one_of_each_group), (
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def resumable(spark: SparkSession, sf_dir: str, name: str) -> Job:
+    """Stages of the pipeline that a restart under the same name reads again; its owner closes it in the end."""
+    inputs = [f"{sf_dir}/{table}.parquet" for table in ("documents", "labels")]
+    return Job(spark, name, inputs, inspect.getsource(sys.modules[__name__]))
+
+
+def run(spark: SparkSession, sf_dir: str, job: Job | None = None) -> DataFrame:
+    """All stages, one after another; without a ``job`` every run starts from the documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = stored(job, f"pipeline-{name}", lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

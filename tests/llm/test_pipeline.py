@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import Counter
 
 import corpus_pipeline
+import pytest
 from pyspark.sql import functions as F
 from depotline.llm import quality
 from depotline.session import store
@@ -70,3 +71,30 @@ def test_run_is_the_stages_and_takes_empty_tables(spark, table):
 def test_run_on_nothing(spark, table):
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert corpus_pipeline.run(spark, table([], labels=labels)).collect() == []
+
+
+def test_killed_run_resumes(spark, table, monkeypatch):
+    """The third stage fails; a restart under the same name builds neither of the first two again, one without a name all."""
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    sf_dir = table([(1, "a b c"), (2, "A b c"), (3, "token=abcdef1 d"), (4, None)], labels=labels)
+    plain = sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).collect()))
+    built = []
+
+    def noting(name, stage):
+        def run(spark, docs, sf_dir):
+            built.append(name)
+            if name == "secrets" and built.count(name) == 1:
+                raise RuntimeError("killed")
+            return stage(spark, docs, sf_dir)
+
+        return run
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(name, noting(name, stage)) for name, stage in corpus_pipeline.STAGES])
+    with pytest.raises(RuntimeError, match="killed"):
+        corpus_pipeline.run(spark, sf_dir, corpus_pipeline.resumable(spark, sf_dir, "pipeline-test"))
+    job = corpus_pipeline.resumable(spark, sf_dir, "pipeline-test")
+    assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir, job).collect())) == plain
+    assert built == ["quality", "near_duplicates", "secrets", "secrets", "packing"]
+    assert job.close()
+    corpus_pipeline.run(spark, sf_dir)
+    assert built[5:] == ["quality", "near_duplicates", "secrets", "packing"]
