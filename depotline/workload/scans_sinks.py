@@ -12,9 +12,10 @@ from depotline.operators import cleaning as C, reports
 
 from depotline.plans.cleaning import audit_occurrence, clean_daily_demand, clean_event_calendar
 from depotline.plans.network import Network
-from depotline.session import checkpoint_dir
+from depotline.session import checkpoint_dir, store
 from depotline.sources import bridge, catalog, readers, sinks
 from depotline.sources.audit import StepAudit, run_summary, summarise_log
+from depotline.stages import Job
 from depotline.workload.registry import query
 
 
@@ -166,6 +167,33 @@ def interim_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "s09_resumed_stage",
+    "region rows:l missing_units:l builds:i",
+    """SELECT region, count(*) AS rows, count(*) - count(units_ordered) AS missing_units, 1 AS builds
+       FROM typed_demand GROUP BY region""",
+)
+def resumed_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job asks for its stage twice, as before and after a lost driver: built once, read the second time."""
+    builds = []
+
+    def build() -> DataFrame:
+        builds.append("typed")
+        typed = C.coerce_numeric(C.parse_date_column(bridge.raw_daily_demand(spark, sf_dir)), ["units_ordered"])
+        return C.standardise_text(typed, "region")
+
+    tables = [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders", "customer", "nation", "region")]
+    name = f"s09-{uuid4().hex}"
+    Job(spark, name, tables).stage("typed", build)
+    again = Job(spark, name, tables)
+    stage = again.stage("typed", build)
+    counted = store(
+        stage.groupBy("region").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("units_ordered").isNull()).alias("missing_units")), "resumed"
+    )
+    again.close()
+    return counted.withColumn("builds", F.lit(len(builds)))
+
+
 def audited_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean the damaged demand, store it, and return the step log of that one pass."""
     audit = StepAudit("daily_demand")
