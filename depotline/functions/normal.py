@@ -53,7 +53,7 @@ def normal_quantile(p: Column) -> Column:
 
 
 def normal_upper_tail(z: Column) -> Column:
-    """1 - Phi(z), to about fourteen digits; beyond ``_FAR`` by a continued fraction."""
+    """1 - Phi(z), to twelve digits up to ``_FAR`` and to six beyond, where a continued fraction takes over."""
     x = F.abs(z)
     density = F.exp(-x * x / 2)
     fraction = x + 0.65

@@ -94,7 +94,7 @@ def values_at_ranks(df: DataFrame, column: str, ranks: list[int], rows: int, sma
     """Values at zero-based ``ranks`` of the ``rows`` non-null values of ``column``.
 
     ``df`` is read once or twice per pass and should be a stored table. A pass leaves
-    about 4 / ``accuracy`` of the rows in question, so two suffice for 10^12 rows.
+    about 4 / ``accuracy`` of the rows in question, so three suffice for 10^12 rows.
     """
     value = F.col(column)
     brackets = {rank: _Bracket(rank, 0, rows) for rank in ranks}
