@@ -22,10 +22,17 @@ RANK_ERROR = 0.005
 _KEPT = ["column_name", "type", "rows", "nulls", "distinct_sketch", "quantile_sketch"]
 
 
+#: Every text that a cast to double accepts, but not-a-number; of texts in hexadecimal only the beginning is tested.
+_NUMBER = r"^[\x00-\x20]*+[+-]?+(?:(?:[0-9]++\.?+[0-9]*+|\.[0-9]++)(?:[eE][+-]?+[0-9]++)?+[fFdD]?+[\x00-\x20]*+$|0[xX]|(?i:inf(?:inity)?)[\x00-\x20]*+$)"
+
+
 def number(column: Column) -> Column:
-    """Numbers, also those kept as text; anything else, and not-a-number, is null."""
-    value = column.cast("string").try_cast("double")
-    return F.when(~F.isnan(value), value)
+    """Numbers, also those kept as text; anything else, and not-a-number, is null.
+
+    The shape is tested first because a cast of text that is no number raises and catches an error for every row.
+    """
+    text = column.cast("string")
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def load_sketches(df: DataFrame, load: str) -> DataFrame:
