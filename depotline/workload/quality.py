@@ -503,16 +503,15 @@ _COLUMNS = (
 )
 
 
-def yearly_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def yearly_sketches(raw: DataFrame) -> DataFrame:
     """Sketches of the raw demand, every year a load, as kept on disk."""
-    raw = bridge.raw_daily_demand(spark, sf_dir)
     return store(K.load_sketches(raw.withColumn("load", F.substring("date", 1, 4)), "load"), "profile-sketches")
 
 
 @query("v19_sketch_profile", "column_name type loads:l rows:l nulls:l null_pct:1 distinct_values:l p50")
 def sketch_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profile of all years from their stored sketches; the estimates themselves have no SQL."""
-    return K.sketched_profile(yearly_sketches(spark, sf_dir), {"p50": 0.5})
+    return K.sketched_profile(yearly_sketches(bridge.raw_daily_demand(spark, sf_dir)), {"p50": 0.5})
 
 
 @query(
@@ -526,22 +525,26 @@ def sketch_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def sketch_error(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether estimates from sketches lie within the stated errors of the exact profile."""
-    raw = bridge.raw_daily_demand(spark, sf_dir)
-    estimates = K.sketched_profile(yearly_sketches(spark, sf_dir), {"p50": 0.5}).withColumnRenamed("distinct_values", "_estimate")
+    """Whether estimates from sketches lie within the stated errors of the exact profile.
+
+    Sketches, exact profile and ranks are a pass each over the raw rows, which are stored so that the joins behind them run once.
+    """
+    raw = store(bridge.raw_daily_demand(spark, sf_dir), "profile-rows")
+    estimates = K.sketched_profile(yearly_sketches(raw), {"p50": 0.5}).withColumnRenamed("distinct_values", "_estimate")
     exact = Q.profile(raw).select("column_name", "distinct_values")
     # A row per column of the table.
     medians = {r.column_name: r.p50 for r in estimates.select("column_name", "p50").collect()}
     ranks = [
         F.struct(
             F.lit(c).alias("column_name"),
-            F.count_if(K.number(F.col(c)) < F.lit(medians[c]).cast("double")).alias("_below"),
-            F.count_if(K.number(F.col(c)) <= F.lit(medians[c]).cast("double")).alias("_upto"),
-            F.count(K.number(F.col(c))).alias("median_rows"),
+            F.count_if(F.col(c) < F.lit(medians[c]).cast("double")).alias("_below"),
+            F.count_if(F.col(c) <= F.lit(medians[c]).cast("double")).alias("_upto"),
+            F.count(c).alias("median_rows"),
         )
         for c in raw.columns
     ]
-    ranked = raw.agg(F.array(*ranks).alias("_r")).select(F.inline("_r"))
+    numbers = raw.select(*[K.number(F.col(c)).alias(c) for c in raw.columns])
+    ranked = numbers.agg(F.array(*ranks).alias("_r")).select(F.inline("_r"))
     slack = F.col("median_rows") * K.RANK_ERROR
     half = F.col("median_rows") / 2
     return estimates.join(exact, "column_name").join(ranked, "column_name").withColumns(

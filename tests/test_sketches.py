@@ -64,3 +64,9 @@ def test_only_text_in_the_shape_of_a_number_is_cast(spark):
     assert [(r.t, r.n) for r in got.collect()] == [(r.t, r["cast"]) for r in got.collect()]
     # Nor does any text of other shape reach the cast.
     assert not spark.createDataFrame([(t,) for t in ("1996-01-02", "Monday", "SKU-000001", "01/01/1970", "n/a", "nan")], "t string").where(F.col("t").rlike(K._NUMBER)).count()
+
+
+def test_the_joins_behind_the_raw_rows_run_once(spark, sf_dir):
+    from depotline.workload.quality import sketch_error
+
+    assert "lineitem.parquet" not in sketch_error(spark, sf_dir)._jdf.queryExecution().toString()
