@@ -4,11 +4,14 @@ import struct
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from depotline.llm.packing import Mixture, op8_packing, pack
+from depotline.llm import packing
+from depotline.llm.packing import Mixture, WordEncoder, op8_packing, pack
 
 PATH = P.path("word_bpe_49k.json")
 
@@ -134,3 +137,33 @@ def test_a_small_source_has_its_own_target(spark, table, monkeypatch):
     fair = 100 * 2048 / 600
     assert abs(runs[0]["s0"] - 2 * fair) < 64 and all(abs(runs[0][f"s{i}"] - fair) < 64 for i in range(1, 599)) and runs[0]["s599"] == 0
     assert runs[max(runs)]["s599"] > 0
+
+
+def test_words_of_letters_and_marks_take_no_pattern(monkeypatch):
+    """Most words are met once; splitting them by a pattern cost a fifth of the time."""
+    encoder = WordEncoder(PATH)
+    text = "Thti,### réréelle TOORESIN!! osjaie. 'quoted' Straße; it's don't 64.245.247.29 a_b --- µm² x\x1cy ſs \xad"
+    assert np.frombuffer(encoder.encode(text), "<u2").tolist() == ids_of(text)[:-1]
+    fresh = WordEncoder(PATH)
+    monkeypatch.setattr(fresh, "split", None)
+    text = "Thti,### réréelle TOORESIN!! osjaie. Straße; thntingor"
+    assert np.frombuffer(fresh.encode(text), "<u2").tolist() == ids_of(text)[:-1]
+
+
+def test_words_come_back_from_the_older_generation(monkeypatch):
+    monkeypatch.setattr(packing, "WORDS", 3)
+    encoder, text = WordEncoder(PATH), "one two three four one two five one six seven eight one " + "long" * 40
+    for _ in range(2):
+        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == ids_of(text)[:-1]
+        assert len(encoder.words) <= 3 and len(encoder.words.older) <= 3
+
+
+def test_texts_reach_python_in_bounded_batches(spark):
+    """Ten thousand texts at a time, whatever their size, took the executors of the pipeline beyond their memory."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    texts = spark.range(4000).coalesce(1).select(F.repeat(F.lit("x"), 8000).alias("text"))
+    assert max(r.n for r in texts.mapInArrow(sizes, "n bigint").collect()) < 9 << 20
