@@ -7,7 +7,7 @@ from operator import add
 
 from pyspark.sql import Column, functions as F
 
-_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_NUMBER = r"^\s*+[+-]?+(?:\d++\.?+\d*+|\.\d++)(?:[eE][+-]?+\d++)?+\s*$"
 
 
 def to_number(text: Column) -> Column:

@@ -17,9 +17,19 @@ def title_case(text: Column) -> Column:
     return F.replace(F.initcap(spaced), F.lit(_MARK), F.lit(""))
 
 
+#: What ``\\s`` matches, and the ends of line before whose last one ``$`` matches too.
+_SPACE, _LINE_ENDS = " \t\n\x0b\f\r", ("\u0085", "\u2028", "\u2029")
+
+
+def trimmed_text(text: Column) -> Column:
+    """Without white space at either end; a pattern, ten times as slow, only where an end of line follows that is no white space."""
+    odd = text.endswith(_LINE_ENDS[0]) | text.endswith(_LINE_ENDS[1]) | text.endswith(_LINE_ENDS[2])
+    return F.when(odd, F.regexp_replace(text, r"^\s+|\s+$", "")).otherwise(F.trim(text, F.lit(_SPACE)))
+
+
 def standard_text(text: Column, case: str = "title") -> Column:
     """Trim all white space, then apply ``strip``, ``title``, ``upper`` or ``lower``."""
-    trimmed = F.regexp_replace(text, r"^\s+|\s+$", "")
+    trimmed = trimmed_text(text)
     if case == "strip":
         return trimmed
     if case == "title":

@@ -100,14 +100,22 @@ def values_at_ranks(df: DataFrame, column: str, ranks: list[int], rows: int, sma
     brackets = {rank: _Bracket(rank, 0, rows) for rank in ranks}
     while open_ := [b for b in brackets.values() if not b.found]:
         few, many = [b for b in open_ if b.inside <= small], [b for b in open_ if b.inside > small]
-        first = df.agg(*[_sorted_inside(value, b).alias(f"v{b.rank}") for b in few], *[_ends(value, b, accuracy).alias(f"e{b.rank}") for b in many]).first()
+        # A rank next to another in the same bracket goes by its ends: percentiles between two rows ask for both.
+        leader = {b.rank: b for b in many}
+        for b in sorted(many, key=lambda b: b.rank):
+            before = leader.get(b.rank - 1)
+            if before is not None and before.rank == b.rank - 1 and (before.low, before.high) == (b.low, b.high):
+                leader[b.rank] = before
+        sought = [b for b in many if leader[b.rank] is b]
+        first = df.agg(*[_sorted_inside(value, b).alias(f"v{b.rank}") for b in few], *[_ends(value, b, accuracy).alias(f"e{b.rank}") for b in sought]).first()
         for b in few:
             b.settle(first[f"v{b.rank}"])
         if many:
-            ends = {b.rank: (first[f"e{b.rank}"].low, first[f"e{b.rank}"].high) for b in many}
-            counted = df.agg(*[_counts(value, b, *ends[b.rank]).alias(f"c{b.rank}") for b in many]).first()
+            ends = {b.rank: (first[f"e{b.rank}"].low, first[f"e{b.rank}"].high) for b in sought}
+            counted = df.agg(*[_counts(value, b, *ends[b.rank]).alias(f"c{b.rank}") for b in sought]).first()
             for b in many:
-                _narrow(b, *ends[b.rank], counted[f"c{b.rank}"])
+                shared = leader[b.rank].rank
+                _narrow(b, *ends[shared], counted[f"c{shared}"])
     return [brackets[rank].value for rank in ranks]
 
 

@@ -49,3 +49,13 @@ def test_one_value_only_and_none(spark):
 def test_infinite_values(spark):
     df = spark.createDataFrame([(v,) for v in [float("-inf")] * 30 + [float("inf")] * 31 + [1.0] * 40], "u double")
     assert brackets.values_at_ranks(df, "u", [0, 29, 30, 69, 70, 100], 101, small=1, accuracy=10) == [float("-inf")] * 2 + [1.0] * 2 + [float("inf")] * 2
+
+
+def test_neighbouring_ranks_share_a_bracket(spark, monkeypatch):
+    """A percentile between two rows asks for both; each took a sketch and counts of its own in every pass."""
+    asked, ends = [], brackets._ends
+    monkeypatch.setattr(brackets, "_ends", lambda value, bracket, accuracy: asked.append(bracket.rank) or ends(value, bracket, accuracy))
+    values = [float((i * 7919) % 5003) for i in range(4000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert brackets.values_at_ranks(df, "v", [2999, 3000], 4000, small=500, accuracy=100) == sorted(values)[2999:3001]
+    assert asked and set(asked) == {2999}

@@ -98,3 +98,15 @@ def test_vectors(spark):
 
 def test_remap(spark):
     assert column(spark, ["WH-N", "WH-X", None], "string", lambda c: text.remap(c, {"WH-N": "WH-NORTH"})) == ["WH-NORTH", "WH-X", None]
+
+
+def test_trimming_is_that_of_the_pattern(spark):
+    from depotline.functions.text import standard_text
+
+    texts = ["", " ", "a", "  Middle East \t", "\r\na\x0b\x0c", " a  ", "a \u0085", "a ", "   a", "a \n", "\xa0a\xa0", "a b\x1c ", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(standard_text(F.col("t"), "strip").alias("a"), F.regexp_replace("t", r"^\s+|\s+$", "").alias("b"))
+    assert all(r.a == r.b for r in got.collect())
+    # Texts without such ends meet no pattern.
+    plan = df.where("t = 'a'").select(standard_text(F.col("t"), "strip").alias("a"))._jdf.queryExecution().analyzed().toString()
+    assert "CASE WHEN" in plan and "trim" in plan
