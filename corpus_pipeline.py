@@ -4,33 +4,51 @@ Each stage takes (spark, docs, sf_dir) and works on all that the stage before ke
 first three return the columns of ``documents``: quality drops what the classifier
 rejects, near_duplicates keeps one document of each group, secrets masks every span
 found and keeps the document. The last gives one row per piece of a packed sequence.
+A stage sets the session's runtime settings itself, so that it also holds to them when called alone.
 """
 
 from __future__ import annotations
 
 import inspect
 import sys
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from depotline.llm import jaccard, packing, quality, secrets
+from depotline.session import apply_runtime_settings
 from depotline.stages import Job, stored
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+
+def with_settings(stage: Stage) -> Stage:
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(apply_runtime_settings(spark), docs, sf_dir)
+
+    return run_stage
+
+
+@with_settings
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = quality.learnable(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = quality.score(docs, quality.fit(docs, labels))
     return scored.where(F.col("score") >= quality.THRESHOLD).select("record.*")
 
 
+@with_settings
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return jaccard.one_of_each_group(docs)
 
 
+@with_settings
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secrets.redact(docs)
 
 
+@with_settings
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed(docs)
 

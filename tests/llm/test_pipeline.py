@@ -6,7 +6,7 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 from depotline.llm import quality
-from depotline.session import store
+from depotline.session import RUNTIME_SETTINGS, store
 from test_jaccard import brute as brute_components
 from test_packing import check as check_packing
 from test_secrets import brute as brute_spans
@@ -98,3 +98,19 @@ def test_killed_run_resumes(spark, table, monkeypatch):
     assert job.close()
     corpus_pipeline.run(spark, sf_dir)
     assert built[5:] == ["quality", "near_duplicates", "secrets", "packing"]
+
+
+@pytest.mark.parametrize("place", range(4))
+def test_stages_called_alone_run_under_the_runtime_settings(spark, tmp_path, place):
+    words = "the depot keeps its stock in order and the night train brings more".split()
+    rows = [(i, " ".join(words[(i + j) % len(words)] for j in range(20 + i)), "depot") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    for key in ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize"):
+        spark.conf.unset(key)
+    try:
+        corpus_pipeline.STAGES[place][1](spark, docs, str(tmp_path)).collect()
+        assert {key: spark.conf.get(key) for key in RUNTIME_SETTINGS} == RUNTIME_SETTINGS
+    finally:
+        for key, value in RUNTIME_SETTINGS.items():
+            spark.conf.set(key, value)
