@@ -211,35 +211,40 @@ class Lanes:
 
 
 def run_states(net: dict, before: np.ndarray, keep: np.ndarray, state: np.ndarray, record: bool = False) -> tuple[np.ndarray, tuple]:
-    """States after each step of a window and, if asked to ``record``, what going back takes."""
+    """States after each step of a window and, if asked to ``record``, what going back takes.
+
+    Lanes are the last axis within (and of what is recorded), so that a gate is one piece of memory.
+    """
     steps, lanes = before.shape
-    table, recurrent, h = net["input"], net["state"], HIDDEN
-    out = np.empty((steps, lanes, h), table.dtype)
+    table, h = net["input"], HIDDEN
+    # The logistic function is taken through tanh of half its argument; halves are exact.
+    half = np.repeat(np.array([0.5, 1], table.dtype), [2 * h, h])
+    table, recurrent = table * half, np.ascontiguousarray((net["state"] * half).T)
+    out = np.empty((steps, h, lanes), table.dtype)
     kept = steps if record else 1  # without a record one step's place is used over and over
-    old, gates, inner = np.empty((kept, lanes, h), table.dtype), np.empty((kept, lanes, 3 * h), table.dtype), np.empty((kept, lanes, h), table.dtype)
+    old, gates, inner = np.empty((kept, h, lanes), table.dtype), np.empty((kept, 3 * h, lanes), table.dtype), np.empty((kept, 3 * h, lanes), table.dtype)
     resets = (keep == 0).any(axis=1)
+    state = np.ascontiguousarray(state.T)
     for t in range(steps):
         at = t if record else 0
         if resets[t]:
-            state = np.multiply(state, keep[t, :, None], out=old[at])
+            state = np.multiply(state, keep[t], out=old[at])
         elif record:
             old[at] = state
-        into, from_state = table[before[t]], state @ recurrent
-        inner[at] = from_state[:, 2 * h :]
-        gate, fresh = gates[at, :, : 2 * h], gates[at, :, 2 * h :]
-        np.add(into[:, : 2 * h], from_state[:, : 2 * h], out=gate)
-        gate *= 0.5  # the logistic function through tanh
+        from_state, gate, fresh = np.matmul(recurrent, state, out=inner[at]), gates[at, : 2 * h], gates[at, 2 * h :]
+        into = np.ascontiguousarray(table[before[t]].T)
+        np.add(into[: 2 * h], from_state[: 2 * h], out=gate)
         np.tanh(gate, out=gate)
         gate += 1
         gate *= 0.5
-        np.multiply(gate[:, h:], inner[at], out=fresh)
-        fresh += into[:, 2 * h :]
+        np.multiply(gate[h:], from_state[2 * h :], out=fresh)
+        fresh += into[2 * h :]
         np.tanh(fresh, out=fresh)
         moved = np.subtract(state, fresh, out=out[t])
-        moved *= gate[:, :h]
+        moved *= gate[:h]
         moved += fresh
         state = moved
-    return out, (old, gates, inner)
+    return out.transpose(0, 2, 1), (old, gates, inner[:, 2 * h :])
 
 
 def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -265,19 +270,21 @@ def unit_log_probability(net: dict, states: np.ndarray, target: np.ndarray, slop
         slopes["class_b"] += classes.sum(axis=1)
         back = net["class_w"] @ classes
     borders = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
-    for c, (a, b) in enumerate(zip(borders, borders[1:], strict=False)):
-        if a == b:
-            continue
-        part, own = columns[:, a:b], member[a:b]
-        members, total = _exponentials(net["member_w"][c].T @ part + net["member_b"][c][:, None])
-        found[a:b] *= members[own, rows[: b - a]] / total
-        if slopes is not None:
-            members /= total
-            members[own, rows[: b - a]] -= 1
-            members /= n
-            slopes["member_w"][c] = part @ members.T
-            slopes["member_b"][c] = members.sum(axis=1)
-            back[:, a:b] += net["member_w"][c] @ members
+    parts = [(c, a, b) for c, (a, b) in enumerate(zip(borders, borders[1:], strict=False)) if a < b]
+    logits = np.empty((MEMBERS, n), columns.dtype)
+    for c, a, b in parts:
+        np.matmul(net["member_w"][c].T, columns[:, a:b], out=logits[:, a:b])
+        logits[:, a:b] += net["member_b"][c][:, None]
+    members, total = _exponentials(logits)
+    found *= members[member, rows] / total
+    if slopes is not None:
+        members /= total
+        members[member, rows] -= 1
+        members /= n
+        for c, a, b in parts:
+            slopes["member_w"][c] = columns[:, a:b] @ members[:, a:b].T
+            slopes["member_b"][c] = members[:, a:b].sum(axis=1)
+            back[:, a:b] += net["member_w"][c] @ members[:, a:b]
     out = np.empty(n)
     out[order] = np.log(np.maximum(found, 1e-37))
     if back is not None:
@@ -290,31 +297,34 @@ def unit_log_probability(net: dict, states: np.ndarray, target: np.ndarray, slop
 def back_through(net: dict, before: np.ndarray, keep: np.ndarray, kept: tuple, slope_out: np.ndarray, slopes: dict) -> None:
     """Slopes of the recurrent part, back through the steps of one window."""
     old, gates, inner = kept
-    steps, _, h = old.shape
-    update, reset, fresh = gates[:, :, :h], gates[:, :, h : 2 * h], gates[:, :, 2 * h :]
+    steps, h, lanes = old.shape
+    update, reset, fresh = gates[:, :h], gates[:, h : 2 * h], gates[:, 2 * h :]
     stay = 1 - update
     to_fresh = stay * (1 - fresh * fresh)
     # What a slope of the state is multiplied by on its way into each gate; the steps turn it into the gates' slopes.
     into = np.empty_like(gates)
-    np.multiply(old - fresh, update * stay, out=into[:, :, :h])
-    np.multiply(to_fresh * inner, reset * (1 - reset), out=into[:, :, h : 2 * h])
-    into[:, :, 2 * h :] = to_fresh
-    recurrent = np.ascontiguousarray(net["state"].T)
-    by_state, later = np.empty_like(into[0]), np.zeros_like(old[0])
+    np.multiply(old - fresh, update * stay, out=into[:, :h])
+    np.multiply(to_fresh * inner, reset * (1 - reset), out=into[:, h : 2 * h])
+    into[:, 2 * h :] = to_fresh
+    slope_out = np.ascontiguousarray(slope_out.transpose(0, 2, 1))
+    recurrent, resets = net["state"], (keep == 0).any(axis=1)
+    by_state, later, passed = np.empty_like(into[0]), np.zeros_like(old[0]), np.empty_like(old[0])
     for t in range(steps - 1, -1, -1):
         later += slope_out[t]
         by_gate = into[t]
-        by_gate.reshape(-1, 3, h)[:] *= later[:, None, :]
-        by_state[:] = by_gate
-        by_state[:, 2 * h :] *= reset[t]
-        slopes["state"] += old[t].T @ by_state
+        by_gate.reshape(3, h, lanes)[:] *= later
+        by_state[: 2 * h] = by_gate[: 2 * h]
+        np.multiply(by_gate[2 * h :], reset[t], out=by_state[2 * h :])
+        slopes["state"] += old[t] @ by_state.T
         later *= update[t]
-        later += by_state @ recurrent
-        later *= keep[t, :, None]
+        later += np.matmul(recurrent, by_state, out=passed)
+        if resets[t]:
+            later *= keep[t]
     flat = before.ravel()
-    order = np.argsort(flat, kind="stable")
+    order = np.argsort(flat.astype(np.int16), kind="stable")
     first = np.flatnonzero(np.diff(flat[order], prepend=-1))
-    slopes["input"][flat[order][first]] += np.add.reduceat(into.reshape(-1, 3 * h)[order], first, axis=0)
+    rows = into.transpose(0, 2, 1).reshape(-1, 3 * h)
+    slopes["input"][flat[order][first]] += np.add.reduceat(rows[order], first, axis=0)
 
 
 class Trainer:

@@ -148,3 +148,17 @@ def test_training_learns_what_follows():
 def test_the_network_is_whole():
     assert lm.CLASSES * lm.MEMBERS == lm.UNITS >= 1024 and lm.UNITS - lm.SHARED >= 832 and lm.SHARED >= 192 and lm.HIDDEN >= 16
     assert views(lm.initial())["member_w"].shape == (lm.CLASSES, lm.HIDDEN, lm.MEMBERS)
+
+
+def test_a_window_is_worked_on_in_whole_pieces(monkeypatch):
+    """What a step works on has the lanes last, also in what is recorded; the members of all classes are normalised together."""
+    _, net = network()
+    rng = np.random.default_rng(5)
+    before, keep = rng.integers(0, lm.UNITS, (7, 30)), np.ones((7, 30), np.float32)
+    out, (old, gates, inner) = lm.run_states(net, before, keep, np.zeros((30, lm.HIDDEN), np.float32), record=True)
+    assert out.shape == (7, 30, lm.HIDDEN) and old.shape == inner.shape == (7, lm.HIDDEN, 30) and gates.shape == (7, 3 * lm.HIDDEN, 30)
+    assert (out[:-1].transpose(0, 2, 1) == old[1:]).all()
+    calls, known = [], lm._exponentials
+    monkeypatch.setattr(lm, "_exponentials", lambda logits: calls.append(1) or known(logits))
+    unit_log_probability(net, out.reshape(-1, lm.HIDDEN), before.ravel())
+    assert len(calls) == 2
