@@ -11,7 +11,8 @@ document and reset between documents
 
 Every training document is learned from, in rounds: each task trains a copy on its share
 of the round's documents, Spark averages the copies weighted by tokens, and the next
-round starts from the average. Counts cover all training documents; the vocabulary is
+round starts from the average. Words are looked up once: documents are stored as units,
+which the rounds and the scoring read. Counts cover all training documents; the vocabulary is
 never gathered in one place: words counted often enough (``FREQUENT`` at most) are sent
 to the tasks, and the counts of all others are joined to the documents that hold them.
 
@@ -28,16 +29,14 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
-from collections import Counter
-from collections.abc import Iterable, Iterator
-from itertools import repeat
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from depotline.llm.batches import emit, records
 from depotline.llm.registry import documents, query
 from depotline.session import store
 
@@ -56,14 +55,23 @@ RATE = 0.01
 FREQUENT = 200_000
 #: Distinct words a task counts before it hands them on, and tokens it trains on or scores together.
 COUNTED, STRETCH, SCORED = 900_000, 1_000_000, 3_000_000
-END = b""
+#: Bytes of text whose words a task looks up together.
+LOOKED_UP = 8 << 20
+SEED = 3
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words without ASCII white space, A-Z lower-cased, and the end token."""
-    words = (text or "").encode().lower().split()
-    words.append(END)
-    return words
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words without ASCII white space, A-Z lower-cased, each text's followed by the end token (empty); and how many each text has."""
+    # A space behind a text leaves an empty string after its last word, the end token; white space before it leaves one that is no token.
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.binary_join_element_wise(pc.fill_null(texts, ""), "", " ")))
+    words, lengths = lists.flatten().cast(pa.binary()), lists.value_lengths().to_numpy().astype(np.int64)
+    starts = np.cumsum(lengths) - lengths
+    led = (pc.binary_length(words).to_numpy()[starts] == 0) & (lengths > 1)
+    if led.any():
+        kept = np.ones(len(words), bool)
+        kept[starts[led]] = False
+        words, lengths = words.filter(pa.array(kept)), lengths - led
+    return words, lengths
 
 
 # ---- counts
@@ -73,21 +81,23 @@ def count_words(docs: DataFrame) -> DataFrame:
     """``word`` (bytes) and its ``count`` over all documents; the end token is the empty word."""
     schema = pa.schema([("word", pa.binary()), ("count", pa.int64())])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-
-        def handed_on():
-            for start in range(0, len(words := list(counts)), 50_000):
-                part = words[start : start + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([counts[w] for w in part], pa.int64())], schema=schema)
+    def summed(parts: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("count", "sum")]).rename_columns(schema.names)
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(words_of(text.as_py()))
-                if len(counts) >= COUNTED:
-                    yield from handed_on()
-                    counts.clear()
-        yield from handed_on()
+            found = pc.value_counts(split_words(batch.column(0))[0])
+            parts.append(pa.Table.from_arrays(found.flatten(), schema=schema))
+            held += len(found)
+            if held >= 2 * COUNTED:
+                parts = [summed(parts)]
+                held = len(parts[0])
+                if held >= COUNTED:
+                    yield from parts[0].to_batches(max_chunksize=50_000)
+                    parts, held = [], 0
+        if parts:
+            yield from summed(parts).to_batches(max_chunksize=50_000)
 
     return docs.select("text").mapInArrow(run, "word binary, count bigint").groupBy("word").agg(F.sum("count").alias("count"))
 
@@ -116,31 +126,28 @@ class Lexicon:
     def __init__(self, frequent: list[tuple[bytes, int]], totals: dict[int, tuple[int, int]]):
         """``totals``: occurrences and distinct words by shared unit, over words without a unit of their own."""
         own = frequent[: UNITS - SHARED]
-        self.rank = {word: i for i, (word, _) in enumerate(frequent)}
-        self.unit = np.array([SHARED + i if i < len(own) else shared_unit(w) for i, (w, _) in enumerate(frequent)], np.int32)
+        self.words = pa.array([word for word, _ in frequent], pa.binary())
+        self.unit = np.array([SHARED + i if i < len(own) else shared_unit(w) for i, (w, _) in enumerate(frequent)], np.int16)
         self.log_count = np.log10(np.array([c for _, c in frequent], float) + 0.5)
         sums = np.array([totals.get(u, (0, 0)) for u in range(SHARED)], float).reshape(-1, 2)
         self.log_total = np.log10(sums[:, 0] + 0.5 * (sums[:, 1] + 1))
         # A word with a unit of its own is all of it.
         self.share = np.array([0.0 if i < len(own) else self.log_count[i] - self.log_total[u] for i, u in enumerate(self.unit)])
-        self.own = {word: SHARED + i for i, (word, _) in enumerate(own)}
-        self.suffixes: dict[bytes, int] = {}
-
-    def units(self, words: list[bytes]) -> np.ndarray:
-        found = np.fromiter(map(self.own.get, words, repeat(-1)), np.int32, len(words))
-        others = np.flatnonzero(found < 0)
-        found[others] = self.shared([words[i] for i in others.tolist()])
-        return found
-
-    def shared(self, words: list[bytes]) -> list[int]:
-        tails = [w[-SUFFIX:] for w in words]
-        units = list(map(self.suffixes.get, tails))
-        if None in units:
-            if len(self.suffixes) > 200_000:
-                self.suffixes.clear()
-            self.suffixes.update((t, shared_unit(t)) for t in set(tails))
-            units = [self.suffixes[t] for t in tails]
-        return units
+
+    def look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Unit, logarithm of the count and share of each word, and which words have no count here.
+
+        These have 0 for the logarithm of their count, and it is missing from their share.
+        """
+        rank = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy()
+        # The last place of each stands for the words without a rank.
+        unit, log_count, share = (np.append(known, known.dtype.type(0))[rank] for known in (self.unit, self.log_count, self.share))
+        rare = rank < 0
+        if rare.any():
+            tails = pc.binary_slice(words.filter(pa.array(rare)), -SUFFIX).dictionary_encode()
+            unit[rare] = np.array([shared_unit(t) for t in tails.dictionary.to_pylist()], np.int16)[tails.indices.to_numpy()]
+            share[rare] = -self.log_total[unit[rare]]
+        return unit, log_count, share, rare
 
 
 # ---- the network
@@ -381,21 +388,75 @@ def log_probabilities(net: dict, units: list) -> np.ndarray:
 # ---- on Spark
 
 
-def train(docs: DataFrame, lexicon: Lexicon, seed: int = 3) -> np.ndarray:
-    """Parameters after all rounds over ``docs``, each of which is learned from once."""
+def encode(docs: DataFrame, lexicon: Lexicon, log_all: float) -> DataFrame:
+    """``docs`` (doc_id, training, fold, text) with ``units``, of 16 bits each, in place of the text.
+
+    ``n_tokens`` counts all tokens, ``n_frequent`` those whose counts the tasks hold; ``rare`` are the others. Without what these add,
+    ``base`` is the base score and ``within`` what the words' shares of their units add to the score. ``row`` tells repeated rows apart.
+    """
+    schema = pa.schema([
+        ("row", pa.int64()), ("doc_id", pa.int64()), ("training", pa.bool_()), ("fold", pa.int32()), ("n_tokens", pa.int64()), ("n_frequent", pa.int64()), ("base", pa.float64()),
+        ("within", pa.float64()), ("rare", pa.list_(pa.binary())), ("units", pa.binary()),
+    ])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 36
+        for part in together(batches, LOOKED_UP, lambda batch: batch.nbytes):
+            words, n_tokens = split_words(part.column("text"))
+            unit, log_count, share, rare = lexicon.look_up(words)
+            ends = np.append(0, np.cumsum(n_tokens))
+            before = np.append(0, np.cumsum(rare))[ends]  # rare words before each document
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.arange(row, row + len(n_tokens))), *(part.column(c) for c in ("doc_id", "training", "fold")), pa.array(n_tokens), pa.array(n_tokens - np.diff(before)),
+                    pa.array(np.add.reduceat(log_count, ends[:-1]) - n_tokens * log_all), pa.array(np.add.reduceat(share, ends[:-1])),
+                    pa.ListArray.from_arrays(pa.array(before, pa.int32()), words.filter(pa.array(rare))),
+                    pa.Array.from_buffers(pa.binary(), len(n_tokens), [None, pa.py_buffer((2 * ends).astype(np.int32)), pa.py_buffer(unit)]),
+                ],
+                schema=schema,
+            )
+            row += len(n_tokens)
+
+    columns = "row bigint, doc_id bigint, training boolean, fold int, n_tokens bigint, n_frequent bigint, base double, within double, rare array<binary>, units binary"
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "training", F.col("fold").cast("int").alias("fold"), "text").mapInArrow(run, columns)
+
+
+def together(batches: Iterable[pa.RecordBatch], most: int, size: Callable[[pa.RecordBatch], int]) -> Iterator[pa.RecordBatch]:
+    """Batches put together while their sizes do not exceed ``most``; none without rows."""
+    held, total = [], 0
+    for batch in batches:
+        if held and total + size(batch) > most:
+            yield pa.concat_batches(held)
+            held, total = [], 0
+        if batch.num_rows:
+            held.append(batch)
+            total += size(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
+def units_of(column: pa.Array) -> list[np.ndarray]:
+    """Units of each document."""
+    _, offsets, values = column.buffers()
+    borders = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1] // 2
+    units = np.frombuffer(values, np.int16)
+    return [units[a:b] for a, b in zip(borders, borders[1:], strict=False)]
+
+
+def train(encoded: DataFrame, seed: int = SEED) -> np.ndarray:
+    """Parameters after all rounds over ``encoded`` (fold, units), each of which is learned from once."""
     width = 64
     columns = [f"p{i}" for i in range(width)]
-    flat = initial(seed)
-    fold, low = F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.length("text")), F.lit(sum(ROUNDS))), 0
+    flat, low = initial(seed), 0
     for share in ROUNDS:
         start = flat
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             trainer, held, tokens = Trainer(start), [], 0
             for batch in batches:
-                for text in batch.column(0):
-                    held.append(lexicon.units(words_of(text.as_py())))
-                    tokens += len(held[-1])
+                for units in units_of(batch.column(0)) if batch.num_rows else ():
+                    held.append(units)
+                    tokens += len(units)
                     if tokens >= STRETCH:
                         trainer.learn(held)
                         held, tokens = [], 0
@@ -408,7 +469,7 @@ def train(docs: DataFrame, lexicon: Lexicon, seed: int = 3) -> np.ndarray:
                     [pa.array(range(n), pa.int32()), pa.array([trainer.tokens] * n, pa.int64()), *[pa.array(padded[:, i]) for i in range(width)]], names=["part", "tokens", *columns]
                 )
 
-        own = docs.where((fold >= low) & (fold < low + share)).select("text")
+        own = encoded.where((F.col("fold") >= low) & (F.col("fold") < low + share)).select("units")
         copies = own.mapInArrow(run, "part int, tokens bigint, " + ", ".join(f"{c} double" for c in columns))
         mean = copies.groupBy("part").agg(*[(F.sum(c) / F.sum("tokens")).alias(c) for c in columns])
         rows = sorted(tuple(r) for r in mean.collect())  # as many as the network has parameters / 64
@@ -418,12 +479,26 @@ def train(docs: DataFrame, lexicon: Lexicon, seed: int = 3) -> np.ndarray:
     return flat
 
 
+def add_model(encoded: DataFrame, flat: np.ndarray) -> DataFrame:
+    """``encoded`` with ``model``, the score without what rare words add, in place of the words and units."""
+    kept = ["row", "doc_id", "training", "n_tokens", "n_frequent", "base"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = views(flat)
+        for part in together(batches, SCORED, lambda batch: pc.sum(batch.column("n_tokens")).as_py() or 0):
+            log10 = log_probabilities(net, units_of(part.column("units"))) / math.log(10)
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(log10 + part.column("within").to_numpy())], names=[*kept, "model"])
+
+    return encoded.select(*kept, "within", "units").mapInArrow(run, "row bigint, doc_id bigint, training boolean, n_tokens bigint, n_frequent bigint, base double, model double")
+
+
 def score_documents(docs: DataFrame, training: Column) -> DataFrame:
     """Log-likelihoods of all ``docs`` (doc_id, text), learned from those where ``training`` holds.
 
     Gives ``doc_id``, ``training``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` (log10).
     """
-    docs = docs.select("doc_id", "text", F.coalesce(training, F.lit(True)).alias("training"))
+    fold = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", F.length("text")), F.lit(sum(ROUNDS)))
+    docs = docs.select("doc_id", "text", F.coalesce(training, F.lit(True)).alias("training"), fold.alias("fold"))
     counts = store(count_words(docs.where("training")), "lm-counts")
     summary = counts.agg(F.sum("count"), F.count(F.lit(1))).first()
     total, distinct = summary[0] or 0, summary[1]
@@ -434,51 +509,14 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
     rest = counts.where(~F.col("word").isin(own)) if own else counts
     totals = {r.unit: (r.total, r.n) for r in rest.groupBy(unit.cast("int").alias("unit")).agg(F.sum("count").alias("total"), F.count(F.lit(1)).alias("n")).collect()}
     lexicon = Lexicon(frequent, totals)
-    flat = train(docs.where("training"), lexicon)
     log_all = math.log10(total + 0.5 * (distinct + 1))
-    schema = pa.schema([
-        ("row", pa.int64()), ("doc_id", pa.int64()), ("training", pa.bool_()), ("n_tokens", pa.int64()), ("n_frequent", pa.int64()), ("base", pa.float64()),
-        ("model", pa.float64()), ("rare", pa.list_(pa.binary())),
-    ])
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, row = views(flat), TaskContext.get().partitionId() << 36
-
-        def finished(held: list[tuple]) -> Iterator[tuple[tuple, int]]:
-            nonlocal row
-            found = log_probabilities(net, [h[-1] for h in held]) / math.log(10)
-            for (doc_id, is_training, n_tokens, base, within, rare, _), log10 in zip(held, found.tolist(), strict=True):
-                yield (row, doc_id, is_training, n_tokens, n_tokens - len(rare), base, log10 + within, rare), 100 + 12 * len(rare)
-                row += 1
-
-        def rows():
-            held, tokens = [], 0
-            for doc_id, is_training, text in records(batches, "doc_id", "training", "text"):
-                words = words_of(text)
-                ranks = np.fromiter(map(lexicon.rank.get, words, repeat(-1)), np.int64, len(words))
-                is_rare = ranks < 0
-                rare, known = [words[i] for i in np.flatnonzero(is_rare).tolist()], ranks[~is_rare]
-                units, rare_units = np.empty(len(words), np.int32), np.array(lexicon.shared(rare), np.int64)
-                units[~is_rare], units[is_rare] = lexicon.unit[known], rare_units
-                base = float(lexicon.log_count[known].sum()) - len(words) * log_all
-                within = float(lexicon.share[known].sum()) - float(lexicon.log_total[rare_units].sum())
-                held.append((doc_id, is_training, len(words), base, within, rare, units))
-                tokens += len(words)
-                if tokens >= SCORED:
-                    yield from finished(held)
-                    held, tokens = [], 0
-            if held:
-                yield from finished(held)
-
-        return emit(rows(), schema)
-
-    columns = "row bigint, doc_id bigint, training boolean, n_tokens bigint, n_frequent bigint, base double, model double, rare array<binary>"
-    scored = store(docs.mapInArrow(run, columns), "lm-scored")
+    encoded = store(encode(docs, lexicon, log_all), "lm-encoded")
+    scored = store(add_model(encoded, train(encoded.where("training"))), "lm-scored")
     # What the words that tasks don't hold add to both scores.
-    seen = scored.select("row", F.explode("rare").alias("word")).join(counts, "word", "left")
+    seen = encoded.select("row", F.explode("rare").alias("word")).join(counts, "word", "left")
     of_row = seen.groupBy("row").agg(F.sum(F.log10(F.coalesce("count", F.lit(0)) + 0.5)).alias("log_count"), F.count("count").alias("n_rare_known"))
     log_count = F.coalesce("log_count", F.lit(0.0))
-    return scored.drop("rare").join(of_row, "row", "left").select(
+    return scored.join(of_row, "row", "left").select(
         "doc_id", "training", "n_tokens", (F.col("n_frequent") + F.coalesce("n_rare_known", F.lit(0))).alias("n_known"), F.lit(total).cast("bigint").alias("train_tokens"),
         (F.col("base") + log_count).alias("base_score"), (F.col("model") + log_count).alias("score"),
     )

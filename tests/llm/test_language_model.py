@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,3 +163,50 @@ def test_a_window_is_worked_on_in_whole_pieces(monkeypatch):
     monkeypatch.setattr(lm, "_exponentials", lambda logits: calls.append(1) or known(logits))
     unit_log_probability(net, out.reshape(-1, lm.HIDDEN), before.ravel())
     assert len(calls) == 2
+
+
+ODD = ["", None, "  The THE\tthe.\n", "\x0b\x0c a\x1cb é É İ x y ", " ", "x" * 5000, "a  b\r\n\r\nc", "\x00 \x1f\x85", "end"]
+
+
+def test_words_split_together_are_the_words_of_each():
+    texts = pa.array(ODD * 3)
+    for part in (texts, texts.slice(4, 9), texts.slice(0, 0)):
+        words, lengths = lm.split_words(part)
+        want = [[(t or "").encode() for t in tokens_of(text)] for text in part.to_pylist()]
+        assert lengths.tolist() == [len(w) for w in want] and words.to_pylist() == sum(want, [])
+
+
+def test_counts_are_added_up(frame):
+    rows = [(i, f"a b{i % 7} c{i} A") for i in range(300)]
+    want = Counter((t or "").encode() for _, text in rows for t in tokens_of(text))
+    assert {bytes(r.word): r["count"] for r in lm.count_words(frame(rows)).collect()} == want
+
+
+@pytest.mark.parametrize("n_frequent", [0, 5, 900, 1100])
+def test_looked_up_words_have_their_unit_count_and_share(n_frequent):
+    words = [b""] + [f"w{i}".encode() for i in range(1200)]
+    lexicon = Lexicon([(w, 3000 - i) for i, w in enumerate(words[:n_frequent])], {u: (50, 9) for u in range(0, lm.SHARED, 2)})
+    asked = [*words, b"z", "é€".encode(), b"w7", b""]
+    found = [a.tolist() for a in lexicon.look_up(pa.array(asked, pa.binary()))]
+    own = lm.UNITS - lm.SHARED
+    for i, (word, unit, log_count, share, rare) in enumerate(zip(asked, *found, strict=True)):
+        rank = words.index(word) if word in words else n_frequent
+        shared = zlib.crc32(word[-3:]) % lm.SHARED
+        log_total = math.log10((0 if shared % 2 else 50) + 0.5 * ((0 if shared % 2 else 9) + 1))
+        assert rare == (rank >= n_frequent) and unit == (lm.SHARED + rank if rank < min(own, n_frequent) else shared), i
+        assert log_count == pytest.approx(0 if rare else math.log10(3000 - rank + 0.5))
+        assert share == pytest.approx(-log_total if rare else 0 if rank < own else log_count - log_total)
+
+
+def test_training_and_scoring_read_the_stored_units(frame, monkeypatch):
+    read = []
+    for name in ("train", "add_model"):
+        monkeypatch.setattr(lm, name, lambda encoded, *more, known=getattr(lm, name): read.append(encoded) or known(encoded, *more))
+    rows = [(i, text) for i, text in enumerate(ODD * 5)]
+    got = score_documents(frame(rows), F.col("doc_id") % 5 != 1).collect()
+    assert len(got) == len(rows) and {r.doc_id: r.n_tokens for r in got} == {i: len(tokens_of(text)) for i, text in rows}
+    assert len(read) == 2
+    for encoded in read:
+        assert "text" not in encoded.columns and all("lm-encoded" in f for f in encoded.inputFiles())
+        for r in encoded.collect():
+            assert len(r.units) == 2 * r.n_tokens and r.n_tokens - r.n_frequent == len(r.rare)
