@@ -54,7 +54,7 @@ RATE = 0.01
 #: Words whose counts every task holds, at most.
 FREQUENT = 200_000
 #: Distinct words a task counts before it hands them on, and tokens it trains on or scores together.
-COUNTED, STRETCH, SCORED = 900_000, 1_000_000, 3_000_000
+COUNTED, STRETCH, SCORED = 900_000, 1_000_000, 5_000_000
 #: Bytes of text whose words a task looks up together.
 LOOKED_UP = 8 << 20
 SEED = 3
@@ -196,13 +196,13 @@ class Lanes:
         order = [d for docs in held for d in docs]
         self.ends = np.array([sum(lengths[d] for d in docs) for docs in held])
         self.offsets = np.cumsum(self.ends) - self.ends
-        self.target = np.concatenate([np.asarray(units[d], np.int32) for d in order])
+        self.target = np.concatenate([np.asarray(units[d], np.int16) for d in order])
         self.doc = np.repeat(np.array(order, np.int32), [lengths[d] for d in order])
         starts = np.flatnonzero(np.diff(self.doc, prepend=-1))
         self.before = np.roll(self.target, 1)
         self.before[starts] = firsts if np.isscalar(firsts) else firsts[order]
-        self.keep = np.ones(len(self.doc), np.float32)
-        self.keep[starts] = 0
+        self.keep = np.ones(len(self.doc), bool)
+        self.keep[starts] = False
 
     def windows(self, steps: int, places: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Places (steps x lanes still going) of each window, and which of them lie within their lane.
@@ -217,6 +217,11 @@ class Lanes:
             start += len(at)
 
 
+def places_within(real: np.ndarray) -> np.ndarray | slice:
+    """Places of a window that lie within their lanes, counted through; most windows have no others."""
+    return slice(None) if real.all() else np.flatnonzero(real)
+
+
 def run_states(net: dict, before: np.ndarray, keep: np.ndarray, state: np.ndarray, record: bool = False) -> tuple[np.ndarray, tuple]:
     """States after each step of a window and, if asked to ``record``, what going back takes.
 
@@ -229,8 +234,10 @@ def run_states(net: dict, before: np.ndarray, keep: np.ndarray, state: np.ndarra
     table, recurrent = table * half, np.ascontiguousarray((net["state"] * half).T)
     out = np.empty((steps, h, lanes), table.dtype)
     kept = steps if record else 1  # without a record one step's place is used over and over
-    old, gates, inner = np.empty((kept, h, lanes), table.dtype), np.empty((kept, 3 * h, lanes), table.dtype), np.empty((kept, 3 * h, lanes), table.dtype)
-    resets = (keep == 0).any(axis=1)
+    old, gates, inner = (np.empty((kept, rows, lanes), table.dtype) for rows in (h, 3 * h, h))
+    rows, into, from_state = np.empty((lanes, 3 * h), table.dtype), np.empty((3 * h, lanes), table.dtype), np.empty((3 * h, lanes), table.dtype)
+    into_gates, into_fresh, gates_from_state, fresh_from_state = into[: 2 * h], into[2 * h :], from_state[: 2 * h], from_state[2 * h :]
+    resets, before = ~keep.all(axis=1), before.astype(np.intp)
     state = np.ascontiguousarray(state.T)
     for t in range(steps):
         at = t if record else 0
@@ -238,66 +245,78 @@ def run_states(net: dict, before: np.ndarray, keep: np.ndarray, state: np.ndarra
             state = np.multiply(state, keep[t], out=old[at])
         elif record:
             old[at] = state
-        from_state, gate, fresh = np.matmul(recurrent, state, out=inner[at]), gates[at, : 2 * h], gates[at, 2 * h :]
-        into = np.ascontiguousarray(table[before[t]].T)
-        np.add(into[: 2 * h], from_state[: 2 * h], out=gate)
+        table.take(before[t], axis=0, out=rows, mode="clip")  # with this mode it writes to its place at once
+        into[:] = rows.T
+        np.matmul(recurrent, state, out=from_state)
+        if record:
+            inner[at] = fresh_from_state
+        gate, fresh = gates[at, : 2 * h], gates[at, 2 * h :]
+        np.add(into_gates, gates_from_state, out=gate)
         np.tanh(gate, out=gate)
         gate += 1
         gate *= 0.5
-        np.multiply(gate[h:], from_state[2 * h :], out=fresh)
-        fresh += into[2 * h :]
+        np.multiply(gate[h:], fresh_from_state, out=fresh)
+        fresh += into_fresh
         np.tanh(fresh, out=fresh)
         moved = np.subtract(state, fresh, out=out[t])
         moved *= gate[:h]
         moved += fresh
         state = moved
-    return out.transpose(0, 2, 1), (old, gates, inner[:, 2 * h :])
+    return out.transpose(0, 2, 1), (old, gates, inner)
+
+
+#: Logits up to here, of either sign, have exponentials and sums of exponentials far within the range of 32 bits.
+BOUNDED = 60.0
 
 
 def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Exponentials by column, and their sums; scaled so that the largest is one."""
-    logits -= logits.max(axis=0)
+    """Exponentials by row, and their sums; where they might leave their range, scaled so that each row's largest is one."""
+    if max(logits.max(), -logits.min()) > BOUNDED:
+        logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
-    return logits, logits.sum(axis=0)
+    return logits, logits @ np.ones(logits.shape[1], logits.dtype)
 
 
 def unit_log_probability(net: dict, states: np.ndarray, target: np.ndarray, slopes: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-    """Natural log-probability of each target; with ``slopes``, also adds those of the mean loss and gives the states'."""
-    order = np.argsort(target.astype(np.int16), kind="stable")
-    kind, member = np.divmod(target[order], MEMBERS)
-    columns = np.ascontiguousarray(states[order].T)
-    rows, n = np.arange(len(order)), len(order)
-    classes, total = _exponentials(net["class_w"].T @ columns + net["class_b"][:, None])
-    found, back = classes[kind, rows] / total, None
-    if slopes is not None:
-        classes /= total
-        classes[kind, rows] -= 1
-        classes /= n
-        slopes["class_w"] += columns @ classes.T
-        slopes["class_b"] += classes.sum(axis=1)
-        back = net["class_w"] @ classes
-    borders = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
+    """Natural log-probability of each target; with ``slopes``, also adds those of the mean loss and gives the states'.
+
+    Rows are sorted by target, so that those of a class lie together. A last column of ones takes the biases in.
+    """
+    target = target.astype(np.int16)
+    order = np.argsort(target, kind="stable")
+    target, n = target[order], len(order)
+    rows = np.ones((n, HIDDEN + 1), states.dtype)
+    rows[:, :HIDDEN] = states.take(order, axis=0)
+    borders = np.searchsorted(target, np.arange(CLASSES + 1) * MEMBERS).tolist()
     parts = [(c, a, b) for c, (a, b) in enumerate(zip(borders, borders[1:], strict=False)) if a < b]
-    logits = np.empty((MEMBERS, n), columns.dtype)
+    member_w = np.concatenate([net["member_w"], net["member_b"][:, None]], axis=1)
+    logits = np.empty((n, MEMBERS), rows.dtype)
     for c, a, b in parts:
-        np.matmul(net["member_w"][c].T, columns[:, a:b], out=logits[:, a:b])
-        logits[:, a:b] += net["member_b"][c][:, None]
-    members, total = _exponentials(logits)
-    found *= members[member, rows] / total
+        np.matmul(rows[a:b], member_w[c], out=logits[a:b])
+    members, of_members = _exponentials(logits)
+    classes, of_classes = _exponentials(rows @ np.vstack([net["class_w"], net["class_b"]]))
+    kind = target // MEMBERS
+    kind_at = np.arange(n) * CLASSES + kind
+    member_at = np.arange(n) * MEMBERS + (target - kind * MEMBERS)
+    found, back = classes.ravel()[kind_at] / of_classes * (members.ravel()[member_at] / of_members), None
     if slopes is not None:
-        members /= total
-        members[member, rows] -= 1
-        members /= n
+        for shares, total, hit in ((classes, of_classes, kind_at), (members, of_members, member_at)):
+            shares *= (1 / (total * n))[:, None]
+            shares.ravel()[hit] -= 1 / n
+        slope = rows.T @ classes
+        slopes["class_w"] += slope[:HIDDEN]
+        slopes["class_b"] += slope[HIDDEN]
+        sent = np.empty((n, HIDDEN), rows.dtype)
         for c, a, b in parts:
-            slopes["member_w"][c] = columns[:, a:b] @ members[:, a:b].T
-            slopes["member_b"][c] = members[:, a:b].sum(axis=1)
-            back[:, a:b] += net["member_w"][c] @ members[:, a:b]
+            slope = rows[a:b].T @ members[a:b]
+            slopes["member_w"][c] += slope[:HIDDEN]
+            slopes["member_b"][c] += slope[HIDDEN]
+            np.matmul(members[a:b], net["member_w"][c].T, out=sent[a:b])
+        sent += classes @ net["class_w"].T
+        back = np.empty_like(sent)
+        back[order] = sent
     out = np.empty(n)
     out[order] = np.log(np.maximum(found, 1e-37))
-    if back is not None:
-        undone = np.empty((n, HIDDEN), back.dtype)
-        undone[order] = back.T
-        back = undone
     return out, back
 
 
@@ -306,15 +325,22 @@ def back_through(net: dict, before: np.ndarray, keep: np.ndarray, kept: tuple, s
     old, gates, inner = kept
     steps, h, lanes = old.shape
     update, reset, fresh = gates[:, :h], gates[:, h : 2 * h], gates[:, 2 * h :]
-    stay = 1 - update
-    to_fresh = stay * (1 - fresh * fresh)
     # What a slope of the state is multiplied by on its way into each gate; the steps turn it into the gates' slopes.
     into = np.empty_like(gates)
-    np.multiply(old - fresh, update * stay, out=into[:, :h])
-    np.multiply(to_fresh * inner, reset * (1 - reset), out=into[:, h : 2 * h])
-    into[:, 2 * h :] = to_fresh
+    to_update, to_reset, to_fresh = into[:, :h], into[:, h : 2 * h], into[:, 2 * h :]
+    stay = 1 - update
+    np.multiply(fresh, fresh, out=to_fresh)
+    np.subtract(1, to_fresh, out=to_fresh)
+    to_fresh *= stay
+    np.subtract(1, reset, out=to_reset)
+    to_reset *= reset
+    to_reset *= inner
+    to_reset *= to_fresh
+    np.subtract(old, fresh, out=to_update)
+    stay *= update
+    to_update *= stay
     slope_out = np.ascontiguousarray(slope_out.transpose(0, 2, 1))
-    recurrent, resets = net["state"], (keep == 0).any(axis=1)
+    recurrent, resets = net["state"], ~keep.all(axis=1)
     by_state, later, passed = np.empty_like(into[0]), np.zeros_like(old[0]), np.empty_like(old[0])
     for t in range(steps - 1, -1, -1):
         later += slope_out[t]
@@ -330,8 +356,9 @@ def back_through(net: dict, before: np.ndarray, keep: np.ndarray, kept: tuple, s
     flat = before.ravel()
     order = np.argsort(flat.astype(np.int16), kind="stable")
     first = np.flatnonzero(np.diff(flat[order], prepend=-1))
-    rows = into.transpose(0, 2, 1).reshape(-1, 3 * h)
-    slopes["input"][flat[order][first]] += np.add.reduceat(rows[order], first, axis=0)
+    rows = into.transpose(0, 2, 1).reshape(-1, 3 * h).take(order, axis=0)
+    # As complex numbers two columns are added at a time.
+    slopes["input"][flat[order][first]] += np.add.reduceat(rows.view(np.result_type(rows, 1j)), first, axis=0).view(rows.dtype)
 
 
 class Trainer:
@@ -341,6 +368,7 @@ class Trainer:
         self.flat, self.rate = flat.copy(), rate
         self.net, self.slope = views(self.flat), np.zeros_like(flat)
         self.slopes, self.first, self.second, self.step, self.tokens = views(self.slope), np.zeros_like(flat), np.zeros_like(flat), 0, 0
+        self.change, self.size = np.empty_like(flat), np.empty_like(flat)  # places the steps work in
 
     def learn(self, units: list) -> None:
         """One pass over documents, as many in parallel as leave some hundred steps.
@@ -355,9 +383,11 @@ class Trainer:
             before, keep = lanes.before[at], lanes.keep[at]
             out, kept = run_states(self.net, before, keep, state[: at.shape[1]], record=True)
             self.slope[:] = 0
-            slope_out = np.zeros_like(out)
-            _, slope_out[real] = unit_log_probability(self.net, out[real], lanes.target[at[real]], self.slopes)
-            back_through(self.net, before, keep, kept, slope_out, self.slopes)
+            within = places_within(real)
+            _, back = unit_log_probability(self.net, out.reshape(-1, HIDDEN)[within], lanes.target[at.ravel()[within]], self.slopes)
+            slope_out = np.zeros((at.size, HIDDEN), out.dtype)
+            slope_out[within] = back
+            back_through(self.net, before, keep, kept, slope_out.reshape(out.shape), self.slopes)
             self._adam()
             state = out[-1]
             self.tokens += int(real.sum())
@@ -367,10 +397,20 @@ class Trainer:
         norm = float(np.sqrt(self.slope @ self.slope))
         if norm > 1:
             self.slope /= norm
-        self.first += 0.1 * (self.slope - self.first)
-        self.second += 0.01 * (self.slope * self.slope - self.second)
+        change, size = self.change, self.size
+        np.subtract(self.slope, self.first, out=change)
+        change *= 0.1
+        self.first += change
+        np.multiply(self.slope, self.slope, out=change)
+        change -= self.second
+        change *= 0.01
+        self.second += change
         scale = self.rate * math.sqrt(1 - 0.99**self.step) / (1 - 0.9**self.step)
-        self.flat -= scale * self.first / (np.sqrt(self.second) + 1e-8)
+        np.sqrt(self.second, out=size)
+        size += 1e-8
+        np.multiply(self.first, scale, out=change)
+        change /= size
+        self.flat -= change
 
 
 def log_probabilities(net: dict, units: list) -> np.ndarray:
@@ -379,8 +419,10 @@ def log_probabilities(net: dict, units: list) -> np.ndarray:
     state = np.zeros((len(lanes.ends), HIDDEN), np.float32)
     for at, real in lanes.windows(WINDOW, 8192):
         out, _ = run_states(net, lanes.before[at], lanes.keep[at], state[: at.shape[1]])
-        found, _ = unit_log_probability(net, out[real], lanes.target[at[real]])
-        total += np.bincount(lanes.doc[at[real]], found, len(units))
+        within = places_within(real)
+        at = at.ravel()[within]
+        found, _ = unit_log_probability(net, out.reshape(-1, HIDDEN)[within], lanes.target[at])
+        total += np.bincount(lanes.doc[at], found, len(units))
         state = out[-1]
     return total
 

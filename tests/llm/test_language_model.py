@@ -210,3 +210,51 @@ def test_training_and_scoring_read_the_stored_units(frame, monkeypatch):
         assert "text" not in encoded.columns and all("lm-encoded" in f for f in encoded.inputFiles())
         for r in encoded.collect():
             assert len(r.units) == 2 * r.n_tokens and r.n_tokens - r.n_frequent == len(r.rare)
+
+
+def test_exponentials_are_scaled_only_where_they_might_leave_their_range():
+    rng = np.random.default_rng(6)
+    small = rng.normal(0, 10, (5, 32)).clip(-50, 50).astype(np.float32)
+    exponentials, sums = lm._exponentials(small.copy())
+    assert exponentials == pytest.approx(np.exp(small.astype(float)), rel=1e-5) and sums == pytest.approx(np.exp(small.astype(float)).sum(axis=1), rel=1e-5)
+    for shift in (0, 500, -500):
+        large = small + np.float32(shift) + np.arange(5, dtype=np.float32)[:, None] * 100
+        exponentials, sums = lm._exponentials(large.copy())
+        exact = np.exp(large.astype(float) - large.max(axis=1, keepdims=True))
+        assert exponentials / sums[:, None] == pytest.approx(exact / exact.sum(axis=1, keepdims=True), rel=1e-4, abs=1e-30)
+
+
+@pytest.mark.parametrize("scale", [1, 300])
+def test_units_have_the_probability_of_the_formula(scale):
+    """Targets in any order, classes without targets, logits within and beyond the bound."""
+    flat, net = network(7)
+    flat *= scale
+    rng = np.random.default_rng(8)
+    net["class_b"][:], net["member_b"][:] = rng.normal(size=lm.CLASSES), rng.normal(size=(lm.CLASSES, lm.MEMBERS))
+    states, target = rng.uniform(-1, 1, (90, lm.HIDDEN)), rng.choice(np.append(np.arange(70), lm.UNITS - 1), 90)
+    kind, member = target // lm.MEMBERS, target % lm.MEMBERS
+    classes, members = states @ net["class_w"] + net["class_b"], np.einsum("nh,nhm->nm", states, net["member_w"][kind]) + net["member_b"][kind]
+    at, most = np.arange(90), [x.max(axis=1) for x in (classes, members)]
+    want = classes[at, kind] + members[at, member] - sum(m + np.log(np.exp(x - m[:, None]).sum(axis=1)) for x, m in zip((classes, members), most, strict=True))
+    assert unit_log_probability(net, states, target)[0] == pytest.approx(np.maximum(want, np.log(1e-37)), rel=1e-9)
+
+
+def test_windows_record_what_is_read_again_and_slopes_of_32_bits_are_those_of_64():
+    flat, _ = network(9)
+    rng = np.random.default_rng(10)
+    lanes = Lanes([rng.integers(0, 40, n).tolist() for n in (20, 20, 13, 7, 5)], 3)  # few units, each of them often
+    assert lanes.target.dtype == lanes.before.dtype == np.int16 and lanes.keep.dtype == bool
+    found = []
+    for kind in (np.float32, np.float64):
+        slope, net = np.zeros_like(flat, kind), views(flat.astype(kind))
+        for at, real in lanes.windows(20):
+            within = lm.places_within(real)
+            out, kept = lm.run_states(net, lanes.before[at], lanes.keep[at], np.zeros((at.shape[1], lm.HIDDEN), kind), record=True)
+            assert all(part.flags.c_contiguous and part.base is None for part in kept)
+            back = np.zeros((at.size, lm.HIDDEN), kind)
+            _, back[within] = unit_log_probability(net, out.reshape(-1, lm.HIDDEN)[within], lanes.target[at.ravel()[within]], views(slope))
+            lm.back_through(net, lanes.before[at], lanes.keep[at], kept, back.reshape(out.shape), views(slope))
+        found.append(slope)
+    assert found[0].dtype == np.float32 and np.abs(found[1]).max() > 0.01
+    assert found[0] == pytest.approx(found[1], rel=1e-3, abs=1e-6)
+    assert not views(found[0])["input"][40 : lm.UNITS].any()  # units that never stand before another
